@@ -1,12 +1,16 @@
-"""JSON documents as VARIANT: parse once, read many paths.
+"""JSON documents: parse once, read many paths.
 
-Spark rejects VARIANT in DISTINCT, set operations, GROUP BY and ``max``, so a
+Text is parsed straight into the members that are read, each a VARIANT, so the
+rest of a document is skipped and not built. Spark rejects VARIANT in DISTINCT, set operations, GROUP BY and ``max``, so a
 sub-document that is kept leaves these functions as canonical JSON text, with
 object keys in sorted order.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +35,25 @@ def as_document(col: Column, source: T.DataType, on_error: str = FAIL) -> Column
     return F.try_parse_json(col) if on_error == NULL else F.parse_json(col)
 
 
+def read_members(col: Column, source: T.DataType, members: Mapping[str, str], on_error: str = FAIL) -> Column:
+    """Top-level members of a document as a struct; ``members`` maps name to type.
+
+    A document that does not parse raises, or with ``on_error="null"`` gives
+    NULL members.
+    """
+    if isinstance(source, T.VariantType):
+        get = F.try_variant_get if on_error == NULL else F.variant_get
+        return F.struct(*[get(col, f"$['{name}']", kind).alias(name) for name, kind in members.items()])
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in members.items())
+    return F.from_json(col, schema, {"mode": "PERMISSIVE" if on_error == NULL else "FAILFAST"})
+
+
+def member_path(path: str) -> tuple[str, str]:
+    """Split ``$.A[0].B`` into the member ``A`` and the path ``$[0].B`` below it."""
+    name = re.match(r"\$\.([^.\[]+)", path).group(1)
+    return name, "$" + path[2 + len(name) :]
+
+
 def canonical_json(doc: Column) -> Column:
     """Text form with sorted object keys, usable in joins, groups and hashes."""
     return F.to_json(doc)

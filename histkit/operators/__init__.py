@@ -2,7 +2,7 @@
 
 from .checks import check_distinct_count_equal, check_not_null, check_recency, column_profile
 from .children import child_columns, child_list, child_pivot, explode_variant, lateral_left
-from .pivot import attribute_rows, infer_fields, pivot_attributes, pivot_rows, read_attributes
+from .pivot import attribute_rows, infer_fields, pivot_attributes, pivot_rows
 from .skew import KeyProfile, if_small, profile_keys, time_slices
 from .versions import (
     anti_rows,
@@ -39,7 +39,6 @@ __all__ = [
     "pivot_attributes",
     "pivot_rows",
     "profile_keys",
-    "read_attributes",
     "time_slices",
     "union_distinct",
     "watermark_filter",

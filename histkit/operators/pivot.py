@@ -10,35 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import FAIL, NULL
-from ..functions.documents import FIELD_KINDS, field_value, json_get
+from ..functions.casts import FAIL
+from ..functions.documents import FIELD_KINDS, field_value
 
-# Output column, path in the document, type.
-HEADER = (
-    ("deleted", "$.deleted", "string"),
-    ("id", "$.id", "bigint"),
-    ("lastUpdated", "$.lastUpdated", "timestamp_ntz"),
-)
-KEYS = tuple(name for name, _, _ in HEADER)
+# Header members of a document and their types.
+HEADER = (("deleted", "string"), ("id", "bigint"), ("lastUpdated", "timestamp_ntz"))
+KEYS = tuple(name for name, _ in HEADER)
 
 FIELD_LIST = "array<struct<name: string, type: string, value: variant>>"
 
 
-def attribute_list(doc: Column, on_error: str = FAIL) -> Column:
-    """The ``fields`` list of a document."""
-    get = F.try_variant_get if on_error == NULL else F.variant_get
-    return get(doc, "$.fields", FIELD_LIST)
-
-
-def read_attributes(df: DataFrame, doc: str = "document", on_error: str = FAIL) -> DataFrame:
-    """Header columns and ``fields`` of each document that has any attribute."""
-    header = [json_get(F.col(doc), path, target, on_error=on_error).alias(name) for name, path, target in HEADER]
-    return df.select(*header, attribute_list(F.col(doc), on_error).alias("fields")).where(F.size("fields") > 0)
-
-
 def attribute_rows(df: DataFrame) -> DataFrame:
     """One row per attribute, replays of a document version removed (A3)."""
     return (
@@ -57,10 +41,12 @@ def _name_maps(df: DataFrame) -> DataFrame:
     named = F.filter("fields", lambda f: f["name"].isNotNull())
     names = F.transform("named", lambda f: f["name"])
     repeats = F.size(F.array_distinct(names)) < F.size("named")
-    layers = F.when(repeats, F.transform("named", lambda f: F.array(f))).otherwise(F.array("named"))
+    one_each = F.transform("named", lambda f: F.array(f))
+    # no layer, and so no row, for a document without attributes
+    layers = F.when(repeats, one_each).when(F.col("n_fields") > 0, F.array("named"))
     entries = F.transform("layer", lambda f: F.struct(f["name"], f["value"]))
     return (
-        df.select(*KEYS, named.alias("named"))
+        df.select(*KEYS, named.alias("named"), F.size("fields").alias("n_fields"))
         .select(*KEYS, F.explode(layers).alias("layer"))
         .select(*KEYS, F.map_from_entries(entries).alias("values"))
     )
@@ -93,7 +79,7 @@ def pivot_rows(df: DataFrame, keys: Sequence[str], name: str, value: str, names:
 def infer_fields(df: DataFrame) -> DataFrame:
     """Which attributes occur, of which kind, in how many documents.
 
-    Takes the frame of ``read_attributes``. A value with a label is a
+    Takes the frame of ``scan_attributes``. A value with a label is a
     ``label``, another object with an id an ``id``; lists, other objects and
     mixed values are ``var``; text that always reads as a time is ``ts``.
     """

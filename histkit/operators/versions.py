@@ -14,14 +14,23 @@ from pyspark.sql import functions as F
 from .skew import TASK_ROWS, KeyProfile, profile_keys, time_slices
 
 
-def _version(key: str, ts: str) -> list[Column]:
-    # the leading NULL test gives NULLS LAST and lets the window over the key
-    # that follows reuse the sort of this one
-    return [F.col(key), F.col(ts).isNull(), F.col(ts)]
+# A column of its own, because an expression would be computed anew for each
+# window, and the second window would not see that its rows are sorted already.
+UNDATED = "_undated"
 
 
 def _per_key(key: str, ts: str, ties: Sequence[str] = (), slices: Sequence[str] = ()) -> WindowSpec:
-    return Window.partitionBy(key, *slices).orderBy(F.col(ts).isNull(), F.col(ts), *ties)
+    """Rows of a key by time, NULLS LAST."""
+    return Window.partitionBy(key, *slices).orderBy(UNDATED, ts, *ties)
+
+
+def _first_copy(df: DataFrame, key: str, ts: str, order: Sequence[str | Column]) -> DataFrame:
+    w = Window.partitionBy(key, UNDATED, ts).orderBy(*order)
+    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def _dated(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn(UNDATED, F.col(ts).isNull())
 
 
 def dedupe_versions(df: DataFrame, key: str, ts: str, order: Sequence[str | Column]) -> DataFrame:
@@ -30,8 +39,7 @@ def dedupe_versions(df: DataFrame, key: str, ts: str, order: Sequence[str | Colu
     The row-number limit runs before the shuffle as well as after it, so a
     version with any number of copies sends one row per input task.
     """
-    w = Window.partitionBy(*_version(key, ts)).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return _first_copy(_dated(df, ts), key, ts, order).drop(UNDATED)
 
 
 def latest_per_key(
@@ -54,14 +62,14 @@ def _changed(previous: str, row_hash: str) -> Column:
 
 def _fold(df: DataFrame, key: str, ts: str, row_hash: str, order: Sequence[str | Column] | None) -> DataFrame:
     """All versions of a key in one task: one shuffle and one sort for W1 and W4 together."""
-    rows = df.repartition(F.col(key))
+    rows = _dated(df.repartition(F.col(key)), ts)
     if order is not None:
-        rows = dedupe_versions(rows, key, ts, order)
+        rows = _first_copy(rows, key, ts, order)
     ties = [row_hash] if order is None else []
     return (
         rows.withColumn("_previous", F.lag(row_hash).over(_per_key(key, ts, ties)))
         .where(_changed("_previous", row_hash))
-        .drop("_previous")
+        .drop("_previous", UNDATED)
     )
 
 
@@ -79,9 +87,9 @@ def _fold_hot(
     is compared with the last hash of the key's slice before it, and only
     these first rows, one per slice, meet in one task per key.
     """
-    rows = time_slices(df, key, ts, profile)
+    rows = _dated(time_slices(df, key, ts, profile), ts)
     if order is not None:
-        rows = dedupe_versions(rows, key, ts, order)
+        rows = _first_copy(rows, key, ts, order)
     ties = [row_hash] if order is None else []
     piece = _per_key(key, ts, ties, ["_slice"])
     whole = piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -96,7 +104,7 @@ def _fold_hot(
         .withColumn("_previous", F.lag("_end").over(_per_key(key, ts)))
         .where(_changed("_previous", row_hash))
     )
-    return inside.unionByName(heads).drop("_slice", "_previous", "_at", "_end")
+    return inside.unionByName(heads).drop("_slice", "_previous", "_at", "_end", UNDATED)
 
 
 def change_history(

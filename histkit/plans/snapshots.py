@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.documents import json_get
+from ..functions.documents import json_get, member_path
 from ..functions.hashing import row_hash, surrogate_key
 from ..operators.children import child_columns, child_list, lateral_left
 from ..operators.skew import TASK_ROWS, profile_keys
@@ -30,16 +30,22 @@ def output_columns(spec: SnapshotSpec) -> list[str]:
 
 def _parsed(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
     """Document paths as typed columns, the child list, load time."""
-    scan = scan_json(source, spec.payload, spec.loaded, spec.on_error)
+    paths = [c.source for c in (*spec.columns, spec.effective)] + ([spec.children.path] if spec.children else [])
+    members = {member_path(p)[0]: "variant" for p in paths}
+    scan = scan_json(source, members, spec.payload, spec.loaded, spec.on_error)
+
+    def at(path):
+        name, rest = member_path(path)
+        return F.col("document")[name], rest
 
     def read(column):
-        return json_get(F.col("document"), column.source, column.type, spec.time_type, spec.on_error)
+        return json_get(*at(column.source), column.type, spec.time_type, spec.on_error)
 
     cols = [read(c).alias(c.name) for c in spec.columns]
     cols.append(read(spec.effective).alias(TIME))
     if spec.children:
         ch = spec.children
-        cols.append(child_list(F.col("document"), ch.path, ch.id_field, ch.type_field, spec.on_error).alias("_children"))
+        cols.append(child_list(*at(ch.path), ch.id_field, ch.type_field, spec.on_error).alias("_children"))
     rows = scan.select(*cols, F.col(spec.loaded).alias("_loaded"))
     for name in spec.require_not_null:
         rows = rows.where(F.col(name).isNotNull())

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import FAIL
-from ..functions.documents import as_document
-from ..operators.pivot import read_attributes
+from ..functions.documents import as_document, json_get, read_members
+from ..operators.pivot import FIELD_LIST, HEADER
 
 PAYLOAD, LOADED = "raw_data", "raw_inserted_timestamp"
 
@@ -19,12 +19,31 @@ def scan_cdc(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*dict.fromkeys(c.lower() for c in columns))
 
 
-def scan_json(df: DataFrame, payload: str = PAYLOAD, loaded: str = LOADED, on_error: str = FAIL) -> DataFrame:
-    """JSON documents, parsed once: (document, load time)."""
-    return df.select(as_document(F.col(payload), df.schema[payload].dataType, on_error).alias("document"), loaded)
+def scan_json(
+    df: DataFrame,
+    members: Mapping[str, str] | None = None,
+    payload: str = PAYLOAD,
+    loaded: str = LOADED,
+    on_error: str = FAIL,
+) -> DataFrame:
+    """JSON documents, parsed once: (document, load time).
+
+    ``document`` is a struct of the given top-level members, or the whole
+    document as a VARIANT.
+    """
+    col, kind = F.col(payload), df.schema[payload].dataType
+    document = as_document(col, kind, on_error) if members is None else read_members(col, kind, members, on_error)
+    return df.select(document.alias("document"), loaded)
 
 
 def scan_attributes(df: DataFrame, payload: str = PAYLOAD, on_error: str = FAIL) -> DataFrame:
-    """Attribute-list documents: header columns and the list."""
-    document = as_document(F.col(payload), df.schema[payload].dataType, on_error)
-    return read_attributes(df.select(document.alias("document")), on_error=on_error)
+    """Attribute-list documents: header columns and the ``fields`` list.
+
+    No filter on the list here: pushed below the projection it would parse the
+    document a second time. The operators that follow drop documents without
+    attributes.
+    """
+    members = {name: "variant" for name, _ in HEADER} | {"fields": FIELD_LIST}
+    document = read_members(F.col(payload), df.schema[payload].dataType, members, on_error)
+    header = [json_get(F.col("document")[name], "$", kind, on_error=on_error).alias(name) for name, kind in HEADER]
+    return df.select(document.alias("document")).select(*header, F.col("document")["fields"].alias("fields"))

@@ -36,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A test table is one small file, so one task; a landing zone is not."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def hash_sql(*exprs: str) -> str:
     """``row_hash`` as SQL."""
     parts = [

@@ -19,7 +19,7 @@ from histkit.operators import (
 from histkit.plans import AttributeSpec, ChildColumns, Column, SnapshotSpec, attribute_pivot, columns, json_history
 from histkit.sources import scan_attributes, scan_json, stage, upsert
 
-from .common import CUT, NTZ, RUN_TS, Registry, compact_sql, dedupe_sql, hash_sql, key_sql, table
+from .common import CUT, NTZ, RUN_TS, Registry, compact_sql, dedupe_sql, hash_sql, key_sql, spread, table
 
 QUERIES = Registry()
 
@@ -168,7 +168,7 @@ SNAPSHOTS = SnapshotSpec(
 
 
 def _snapshots(spark, sf) -> DataFrame:
-    e = table(spark, sf, "events")
+    e = spread(table(spark, sf, "events"))
     k = F.get_json_object("props", "$.k").cast("bigint")
     tag = F.struct(F.lit("main").alias("Kind"), F.col("event_type").alias("Name"))
     other = F.struct(F.lit("other").alias("Kind"), F.concat(F.lit("t"), F.col("user_id") % 4).alias("Name"))
@@ -269,7 +269,7 @@ ORDERS = AttributeSpec(
 
 
 def _attribute_documents(spark, sf) -> DataFrame:
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"))
 
     def text(name, value):
         return F.concat(F.lit(f'{{"name":"{name}","type":"t","value":'), value, F.lit("}"))

@@ -1 +1,232 @@
-QUERIES = {}
+"""Every table description on raw tables derived from the test tables.
+
+The raw columns follow a rule by type, so that a key passes through about ten
+states with NULLs among the values. The SQL states the values directly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from histkit.plans import MODELS, AttributeSpec, CdcSpec, attribute_pivot, cdc_history, json_history
+from histkit.plans.snapshots import output_columns
+
+from .common import NTZ, RUN_TS, Query, compact_sql, dedupe_sql, hash_sql, key_sql, spread, table
+
+LOW = "CAST(get_json_object(props, '$.k') AS BIGINT) < 50"
+LOW_SQL = "CAST(props->>'$.k' AS BIGINT) < 50"
+
+
+def _text(i: int) -> str:
+    return f"CASE WHEN low THEN concat(event_type, '-{i}') END" if i % 2 else f"concat(event_type, ' {i}')"
+
+
+def _number(i: int) -> str:
+    return f"CASE WHEN low THEN {i} END" if i % 2 else f"length(event_type) + {i}"
+
+
+def _object(i: int) -> str:
+    """JSON text with unsorted keys."""
+    return f"""concat('{{"b": {i}, "a": "', event_type, '"}}')"""
+
+
+def _sorted_object(i: int) -> str:
+    return f"""concat('{{"a":"', event_type, '","b":{i}}}')"""
+
+
+def _quoted(names) -> str:
+    return ", ".join(f'"{n}"' for n in names)
+
+
+# change logs
+
+
+def _cdc_raw(spec: CdcSpec, spark, sf):
+    e = table(spark, sf, "events").withColumn("low", F.expr(LOW))
+    cols = []
+    for i, c in enumerate(spec.columns):
+        if ":" in c.source:
+            continue
+        if c.name == "id":
+            expr = "user_id"
+        elif c.source == "meta":
+            expr = """concat('{"lastModifiedBy": "', event_type, '", "a": 1}')"""
+        else:
+            expr = {
+                "bigint": _number(i),
+                "string": _text(i),
+                "boolean": "low" if i % 2 else "CAST(low AS BIGINT)",
+                "timestamp": "TIMESTAMP_NTZ '2023-05-06 07:08:09'",
+                "double": f"CAST(length(event_type) AS DOUBLE) / 4 + {i}",
+                "json": _object(i),
+            }[c.type]
+        cols.append(F.expr(expr).alias(c.source))
+    return e.select(
+        *cols,
+        F.expr("ts + interval 1 hour").alias(spec.loaded),
+        F.expr("event_type = 'error'").alias(spec.deleted),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias(spec.effective),
+    )
+
+
+def _cdc_sql(spec: CdcSpec) -> str:
+    cols = []
+    for i, c in enumerate(spec.columns):
+        if c.name == "id":
+            expr = "user_id"
+        elif ":" in c.source:
+            expr = "event_type"
+        elif c.source == "meta":
+            expr = """concat('{"a":1,"lastModifiedBy":"', event_type, '"}')"""
+        else:
+            expr = {
+                "bigint": f"CAST({_number(i)} AS BIGINT)",
+                "string": _text(i),
+                "boolean": "low",
+                "timestamp": "TIMESTAMP '2023-05-06 07:08:09'",
+                "double": f"CAST(length(event_type) AS DOUBLE) / 4 + {i}",
+                "json": _sorted_object(i),
+            }[c.type]
+        cols.append(f'{expr} AS "{c.name}"')
+    names = [c.name for c in spec.columns]
+    row_hash = hash_sql(*[f'"{n}"' for n in names])
+    return f"""
+        WITH log AS (SELECT *, {row_hash} AS row_hash FROM (
+            SELECT {", ".join(cols)}, ts + INTERVAL '1' HOUR AS etl_updated_timestamp,
+                event_type = 'error' AS is_deleted_in_source,
+                date_trunc('milliseconds', ts) AS timestamp_effective
+            FROM (SELECT *, {LOW_SQL} AS low FROM events) e) x)
+        SELECT {key_sql("id", "timestamp_effective")} AS {spec.unique_key}, {_quoted(names)},
+            etl_updated_timestamp, is_deleted_in_source, timestamp_effective, row_hash
+        FROM {compact_sql(dedupe_sql("log") + " d")} h"""
+
+
+# snapshots
+
+GROUP = "Job_Families_on_Job_Profile_group"
+ORGANISATIONS = "Worker_Position_Organizations_group"
+
+
+def _snapshot_raw(spec, spark, sf):
+    e = spread(table(spark, sf, "events")).withColumn("low", F.expr(LOW))
+    members = {}
+    for i, c in enumerate(spec.columns):
+        name = c.source[2:]
+        if name.startswith(GROUP):
+            text = """concat('[{"Job_Family_Group":"g ', event_type, '","Job_Family":"f"},{"Job_Family":"x"}]')"""
+            members[GROUP] = text
+        elif name == ORGANISATIONS:
+            kinds = list(spec.children.types)
+            members[name] = "concat('[', " + ", ',', ".join(_child(j, k) for j, k in enumerate(kinds)) + ", ']')"
+        else:
+            members[name] = {
+                "string": f"""CASE WHEN {_value(spec, c, i)} IS NULL THEN 'null'
+                    ELSE concat('"', {_value(spec, c, i)}, '"') END""",
+                "boolean": "CASE WHEN low THEN 'true' ELSE 'false' END",
+                "date": """CASE WHEN low THEN '"2023-05-06"' ELSE 'null' END""",
+                "date_timestamp": "'\"2023-05-06 10:11:12\"'",
+                "json": _object(i),
+            }[c.type]
+    members[spec.effective.source[2:]] = "concat('\"', CAST(CAST(ts AS DATE) AS STRING), '\"')"
+    parts = [f"""concat('"{name}":', {expr})""" for name, expr in members.items()]
+    doc = "concat('{', concat_ws(',', " + ", ".join(parts) + "), '}')"
+    return e.select(
+        F.expr(doc).alias("raw_data"),
+        F.lit("f").alias("raw_filename"),
+        F.expr("ts + interval 1 hour").alias("raw_inserted_timestamp"),
+    )
+
+
+def _value(spec, column, i: int) -> str:
+    return "concat('w', user_id)" if column.name == spec.key else _text(i)
+
+
+def _child(j: int, kind: str) -> str:
+    return f"""concat('{{"Workday_ID":"', event_type, '{j}","Type":"{kind}"}}')"""
+
+
+def _snapshot_sql(spec) -> str:
+    cols = []
+    for i, c in enumerate(spec.columns):
+        name = c.source[2:]
+        if name == GROUP:
+            expr = """concat('[{"Job_Family":"f","Job_Family_Group":"g ', event_type, '"},{"Job_Family":"x"}]')"""
+        elif name.startswith(GROUP):
+            expr = "concat('g ', event_type)" if name.endswith("Group") else "'f'"
+        elif name == ORGANISATIONS:
+            kinds = enumerate(spec.children.types)
+            children = [f"""concat('{{"Type":"{k}","Workday_ID":"', event_type, '{j}"}}')""" for j, k in kinds]
+            expr = "concat('[', " + ", ',', ".join(children) + ", ']')"
+        else:
+            expr = {
+                "string": _value(spec, c, i),
+                "boolean": "low",
+                "date": "CASE WHEN low THEN DATE '2023-05-06' END",
+                "date_timestamp": "TIMESTAMP '2023-05-06 00:00:00'",
+                "json": _sorted_object(i),
+            }[c.type]
+        cols.append(f'{expr} AS "{c.name}"')
+    if spec.children:
+        cols += [f"concat(event_type, '{j}') AS {n}" for j, n in enumerate(spec.children.types.values())]
+    names = output_columns(spec)
+    row_hash = hash_sql(*[f'"{n}"' for n in names])
+    day = "CAST(ts AS DATE)" if spec.effective.type == "date" else "CAST(CAST(ts AS DATE) AS TIMESTAMP)"
+    return f"""
+        WITH docs AS (SELECT *, {row_hash} AS row_hash FROM (
+            SELECT {", ".join(cols)}, {day} AS timestamp_effective, ts + INTERVAL '1' HOUR AS loaded
+            FROM (SELECT *, {LOW_SQL} AS low FROM events) e) x)
+        SELECT {key_sql(spec.key, "timestamp_effective")} AS {spec.unique_key}, {_quoted(names)},
+            timestamp_effective, row_hash, TIMESTAMP '{RUN_TS}' AS etl_updated_timestamp
+        FROM {compact_sql(dedupe_sql("docs", spec.key, "loaded") + " d", spec.key)} h"""
+
+
+# attribute lists
+
+
+def _attribute_raw(spec: AttributeSpec, spark, sf):
+    o = spread(table(spark, sf, "orders"))
+    value = {
+        "str": """concat('"', o_orderstatus, '-{i}"')""",
+        "label": """concat('{{"id":{i},"defaultAttributes":{{"Label":"', o_orderpriority, '"}}}}')""",
+        "id": """concat('{{"id":', o_custkey + {i}, '}}')""",
+        "ts": """concat('"', CAST(o_orderdate AS STRING), '"')""",
+        "num": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)",
+        "var": """concat('{{"b": {i}, "a": "', o_orderstatus, '"}}')""",
+    }
+    parts = [
+        f"""concat('{{"name":"{name}","type":"{kind}","value":', {value[kind].format(i=i)}, '}}')"""
+        for i, (name, kind) in enumerate(spec.fields.items())
+    ]
+    doc = f"""concat('{{"deleted":"false","id":', o_orderkey, ',"lastUpdated":"', CAST(o_orderdate AS STRING),
+        '","fields":[', concat_ws(',', {", ".join(parts)}), ']}}')"""
+    return o.select(F.expr(doc).alias("raw_data"), F.col("o_orderdate").alias("raw_inserted_timestamp"))
+
+
+def _attribute_sql(spec: AttributeSpec) -> str:
+    value = {
+        "str": "concat(o_orderstatus, '-{i}')",
+        "label": "o_orderpriority",
+        "id": "o_custkey + {i}",
+        "ts": "o_orderdate",
+        "num": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,0))",
+        "var": """concat('{{"a":"', o_orderstatus, '","b":{i}}}')""",
+    }
+    cols = [f'{value[kind].format(i=i)} AS "{name}"' for i, (name, kind) in enumerate(spec.fields.items())]
+    names = ["deleted", "id", "lastUpdated", *spec.fields]
+    row_hash = hash_sql(*[f'"{n}"' for n in names])
+    return f"""SELECT *, {row_hash} AS row_hash, TIMESTAMP '{RUN_TS}' AS etl_updated_timestamp FROM (
+        SELECT 'false' AS deleted, o_orderkey AS id, o_orderdate AS "lastUpdated", {", ".join(cols)} FROM orders) x"""
+
+
+def _query(spec) -> Query:
+    spec = spec.with_(time_type=NTZ)
+    if isinstance(spec, CdcSpec):
+        return Query(lambda spark, sf: cdc_history(spec, _cdc_raw(spec, spark, sf)), _cdc_sql(spec))
+    if isinstance(spec, AttributeSpec):
+        run = lambda spark, sf: attribute_pivot(spec, _attribute_raw(spec, spark, sf), run_ts=RUN_TS)
+        return Query(run, _attribute_sql(spec))
+    run = lambda spark, sf: json_history(spec, _snapshot_raw(spec, spark, sf), run_ts=RUN_TS)
+    return Query(run, _snapshot_sql(spec))
+
+
+QUERIES = {f"model_{name}": _query(spec) for name, spec in MODELS.items()}
