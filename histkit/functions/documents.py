@@ -76,13 +76,16 @@ def json_get(doc: Column, path: str, target: str, time_type: str = "timestamp",
     return get(doc, path, time_type if target == "timestamp" else target)
 
 
-def field_value(value: Column, kind: str, timestamp_format: str | None = None, on_error: str = FAIL) -> Column:
-    """Read one attribute value by its kind (``FIELD_KINDS``).
+def field_value(
+    value: Column, kind: str, at: str = "$", timestamp_format: str | None = None, on_error: str = FAIL
+) -> Column:
+    """Read the attribute value at path ``at`` by its kind (``FIELD_KINDS``).
 
     ``timestamp_format`` reads times kept as text that a plain cast does not
     take, such as 12-hour clock times.
     """
-    path, target = FIELD_KINDS[kind]
+    below, target = FIELD_KINDS[kind]
+    path = at + below[1:]
     if kind == "ts" and timestamp_format:
         text = json_get(value, path, "string", on_error=on_error)
         parse = F.try_to_timestamp if on_error == NULL else F.to_timestamp_ltz

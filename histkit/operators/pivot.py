@@ -2,7 +2,7 @@
 
 A document lists its attributes as ``fields: [{name, type, value}]``. One row
 per attribute with a conditional maximum per column costs (attributes x
-columns) for each document, so the list becomes a map inside the row and each
+columns) for each document, so the list becomes an object inside the row and each
 column looks its name up. Only the finished wide row is aggregated.
 """
 
@@ -32,23 +32,20 @@ def attribute_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def _name_maps(df: DataFrame) -> DataFrame:
-    """``values``: the attributes of a document as a map from name to value.
+def _by_name(df: DataFrame) -> DataFrame:
+    """``values``: the attributes of a document as one object, found by name.
 
-    A document that repeats a name becomes one row per attribute instead; the
-    maximum over the document version that follows joins them again.
+    A document that repeats a name, or has an attribute without one, becomes
+    one row per named attribute instead; the maximum over the document version
+    that follows joins them again. A document without attributes gives no row.
     """
+    names = F.array_distinct(F.array_compact("fields.name"))
     named = F.filter("fields", lambda f: f["name"].isNotNull())
-    names = F.transform("named", lambda f: f["name"])
-    repeats = F.size(F.array_distinct(names)) < F.size("named")
-    one_each = F.transform("named", lambda f: F.array(f))
-    # no layer, and so no row, for a document without attributes
-    layers = F.when(repeats, one_each).when(F.col("n_fields") > 0, F.array("named"))
-    entries = F.transform("layer", lambda f: F.struct(f["name"], f["value"]))
-    return (
-        df.select(*KEYS, named.alias("named"), F.size("fields").alias("n_fields"))
-        .select(*KEYS, F.explode(layers).alias("layer"))
-        .select(*KEYS, F.map_from_entries(entries).alias("values"))
+    one_each = F.when(F.size(named) > 0, F.transform(named, lambda f: F.array(f))).otherwise(F.array(named))
+    layers = F.when(F.size(names) < F.size("fields"), one_each).when(F.size("fields") > 0, F.array("fields"))
+    entries = F.map_from_arrays("layer.name", "layer.value")
+    return df.select(*KEYS, F.explode(layers).alias("layer")).select(
+        *KEYS, F.to_variant_object(entries).alias("values")
     )
 
 
@@ -61,10 +58,10 @@ def pivot_attributes(
     values the largest wins. Replays of a version need no DISTINCT first: a
     maximum does not change when a value is seen again.
     """
-    wide = _name_maps(df).select(
+    wide = _by_name(df).select(
         *KEYS,
         *[
-            field_value(F.col("values")[name], kind, timestamp_format, on_error).alias(name)
+            field_value(F.col("values"), kind, f"$['{name}']", timestamp_format, on_error).alias(name)
             for name, kind in fields.items()
         ],
     )
