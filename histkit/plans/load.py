@@ -49,10 +49,17 @@ def load(
         rebuilt = stage(_history(spec, source, table.read(), run_ts, mode, watermark))
     if mode != CONSISTENT:
         return table.upsert(rebuilt, spec.unique_key)
-    # of a rebuilt history only the difference to the stored one is written
-    keys = rebuilt.select(F.col(spec.key).alias("_key")).distinct()
+    write_rebuilt(spec, table, rebuilt)
+
+
+def write_rebuilt(spec: CdcSpec | SnapshotSpec, table: HistoryTable, rebuilt: DataFrame) -> None:
+    """Replace the histories of the rebuilt keys; only what differs is written.
+
+    A version that is stored already is not written again, so ``rebuilt``
+    should be staged: it is read for the rows to add and for those to remove.
+    """
     stored = table.read().select(spec.unique_key, spec.key, TIME)
-    stored = stored.join(keys, F.col(spec.key).eqNullSafe(F.col("_key")), "left_semi")
+    stored = of_keys(stored, rebuilt, spec.key, rebuilt.count())
     added = stage(rebuilt.join(stored.select(spec.unique_key), spec.unique_key, "left_anti"))
     removed = stage(stored.join(rebuilt.select(spec.unique_key), spec.unique_key, "left_anti"))
     table.upsert(added, spec.unique_key, removed)

@@ -70,8 +70,9 @@ def _lateral_rows(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
     rows = _parsed(spec, source)
     order = ["_loaded", F.md5(F.to_json(F.struct(*[c for c in rows.columns if c != "_loaded"])))]
     rows = dedupe_versions(rows, spec.key, TIME, order)
-    children = rows.select(spec.key, F.explode("_children").alias("c")).select(spec.key, "c.type", "c.id")
-    wide = lateral_left(rows.drop("_children"), children, spec.key, "type", "id", spec.children.types)
+    children = rows.select(spec.key, F.explode("_children").alias("_child"))
+    children = children.select(spec.key, F.col("_child.type").alias("_type"), F.col("_child.id").alias("_id"))
+    wide = lateral_left(rows.drop("_children"), children, spec.key, "_type", "_id", spec.children.types)
     return _hashed(spec, wide)
 
 
@@ -97,6 +98,7 @@ def json_history(
     carry_all: bool = True,
     children: str = IN_ROW,
     task_rows: int = TASK_ROWS,
+    all_rows: bool = False,
 ) -> DataFrame:
     """History rows of snapshots, or with ``target`` the rows to upsert into it.
 
@@ -104,12 +106,13 @@ def json_history(
     stored version of every key is returned too and so gets that load time,
     even if the batch has nothing on the key; ``carry_all=False`` leaves these
     alone and reads the target only for the keys in the batch.
-    ``children="lateral"`` joins child columns on the key alone.
+    ``children="lateral"`` joins child columns on the key alone. ``all_rows``
+    says that ``source`` holds nothing but new rows.
     """
-    if target is not None and watermark is None:
+    if target is not None and watermark is None and not all_rows:
         watermark = current_watermark(target, LOADED)
     source = watermark_filter(source, spec.loaded, watermark)
-    stored = target if watermark is not None else None
+    stored = target if all_rows or watermark is not None else None
     if children == LATERAL:
         if stored is not None:
             raise ValueError("lateral children do not keep (key, time) unique: full rebuild only")

@@ -90,8 +90,8 @@ class HistoryTable:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return 0, [], None
             raise
-        version = manifest.agg(F.max("version")).first()[0]
-        rows = manifest.where(F.col("version") == version).collect()
+        latest = manifest.groupBy("version").agg(F.collect_list(F.struct("*")).alias("rows"))
+        version, rows = latest.orderBy(F.desc("version")).first()
         schema = T.StructType.fromJson(json.loads(rows[0]["table_schema"]))
         return version, [Entry(r["part"], r["path"], r["watermark"]) for r in rows if r["part"]], schema
 
