@@ -61,24 +61,38 @@ def check_distinct_count_equal(
     return total.withColumn("status", _status(F.col("distinct_a") == F.col("distinct_b")))
 
 
-def column_profile(df: DataFrame, table: str) -> DataFrame:
+def column_profile(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
     """Name, position, type, comment, NULL and distinct counts of each column.
 
-    Values are counted per (column, value) before they are counted per column,
-    so a value that fills a third of a column is added up where it is read.
+    Exact counts shuffle each distinct value once: values are counted per
+    (column, value) before they are counted per column, so a value that fills a
+    third of a column is added up where it is read. ``exact=False`` estimates
+    the distinct counts with sketches in one pass and shuffles nothing but them.
     """
     spark = df.sparkSession
-    as_text = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    cells = as_text.unpivot([], df.columns, "column_name", "value")
-    counts = (
-        cells.groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("column_name")
-        .agg(
-            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
-            F.count("value").alias("n_distinct"),
+    if exact:
+        as_text = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+        cells = as_text.unpivot([], df.columns, "column_name", "value")
+        counts = (
+            cells.groupBy("column_name", "value")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("column_name")
+            .agg(
+                F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+                F.count("value").alias("n_distinct"),
+            )
         )
-    )
+    else:
+        pairs = df.agg(
+            *[
+                F.struct(
+                    F.count_if(F.col(f"`{c}`").isNull()).alias("n_null"),
+                    F.approx_count_distinct(f"`{c}`").alias("n_distinct"),
+                ).alias(c)
+                for c in df.columns
+            ]
+        )
+        counts = pairs.unpivot([], df.columns, "column_name", "c").select("column_name", "c.*")
     described = spark.createDataFrame(
         [
             (table, f.name, i + 1, f.dataType.simpleString(), f.metadata.get("comment"))

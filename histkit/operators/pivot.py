@@ -21,6 +21,8 @@ HEADER = (("deleted", "string"), ("id", "bigint"), ("lastUpdated", "timestamp_nt
 KEYS = tuple(name for name, _ in HEADER)
 
 FIELD_LIST = "array<struct<name: string, type: string, value: variant>>"
+# what the pivot reads of it
+NAMED_VALUES = "array<struct<name: string, value: variant>>"
 
 
 def attribute_rows(df: DataFrame) -> DataFrame:

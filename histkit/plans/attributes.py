@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
-from ..operators.pivot import KEYS, infer_fields, pivot_attributes
+from ..operators.pivot import KEYS, NAMED_VALUES, infer_fields, pivot_attributes
 from ..operators.versions import anti_rows
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_attributes
-from .history import HASH, LOADED
+from .history import HASH, LOADED, of_keys
 from .specs import AttributeSpec
 
 
@@ -29,11 +29,15 @@ def attribute_pivot(
     """
     if target is not None and watermark is None:
         watermark = current_watermark(target, LOADED, grain=None)
-    documents = scan_attributes(watermark_filter(source, spec.loaded, watermark), spec.payload, spec.on_error)
+    batch = watermark_filter(source, spec.loaded, watermark)
+    documents = scan_attributes(batch, spec.payload, spec.on_error, NAMED_VALUES)
     wide = pivot_attributes(documents, spec.fields, spec.timestamp_format, spec.on_error)
     wide = wide.withColumn(HASH, row_hash(wide, [*KEYS, *spec.fields]))
     if target is not None:
-        wide = anti_rows(wide, target, ["id", HASH])
+        # of a large target only the rows with an id of the batch can match
+        ids = scan_attributes(batch, spec.payload, spec.on_error, None).select("id")
+        known = of_keys(target.select("id", HASH), ids, "id", batch.count())
+        wide = anti_rows(wide, known, ["id", HASH])
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts)
     return wide.select(*KEYS, *[f"`{n}`" for n in spec.fields], HASH, stamp.cast(spec.time_type).alias(LOADED))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import cast_to, effective_time
 from ..functions.documents import as_document, canonical_json, json_get
 from ..functions.hashing import row_hash, surrogate_key
-from ..operators.skew import TASK_ROWS
+from ..operators.skew import TASK_ROWS, profile_keys
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_cdc
 from .history import HASH, LOADED, REFERENCE, TIME, changes
@@ -75,4 +75,5 @@ def cdc_history(
         watermark = current_watermark(target, LOADED)
     rows = cdc_rows(spec, watermark_filter(source, spec.loaded, watermark))
     stored = target if all_rows or watermark is not None else None
-    return finish_cdc(spec, changes(rows, spec.key, LOADED, stored, mode, task_rows=task_rows))
+    profile = profile_keys(rows, spec.key, task_rows)
+    return finish_cdc(spec, changes(rows, spec.key, LOADED, stored, mode, profile=profile))

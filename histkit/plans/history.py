@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import TASK_ROWS, if_small, profile_keys
+from ..operators.skew import KeyProfile, if_small, profile_keys
 from ..operators.versions import change_history, latest_per_key
 
 TIME, HASH, LOADED = "timestamp_effective", "row_hash", "etl_updated_timestamp"
@@ -30,7 +30,7 @@ def changes(
     target: DataFrame | None = None,
     mode: str = REFERENCE,
     carry_all: bool = False,
-    task_rows: int = TASK_ROWS,
+    profile: KeyProfile | None = None,
 ) -> DataFrame:
     """Changed versions among ``rows``, seen against the versions in ``target``.
 
@@ -47,7 +47,7 @@ def changes(
       version loaded before wins over a new copy, and the result is the whole
       history of these keys.
     """
-    profile = profile_keys(rows, key, task_rows)
+    profile = profile or profile_keys(rows, key)
     if target is None:
         return change_history(rows, key, TIME, [loaded, HASH], HASH, profile)
     if mode == CONSISTENT:

@@ -12,6 +12,7 @@ from ..operators.skew import TASK_ROWS, profile_keys
 from ..operators.versions import change_history, dedupe_versions
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_json
+from ..sources.tables import stage
 from .history import HASH, LOADED, REFERENCE, TIME, changes
 from .specs import SnapshotSpec
 
@@ -52,6 +53,15 @@ def _parsed(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
     return rows
 
 
+def _keys(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
+    """The keys of all documents, with nothing else parsed."""
+    column = next(c for c in spec.columns if c.name == spec.key)
+    member, rest = member_path(column.source)
+    scan = scan_json(source, {member: "variant"}, spec.payload, spec.loaded, spec.on_error)
+    key = json_get(F.col("document")[member], rest, column.type, spec.time_type, spec.on_error)
+    return scan.select(key.alias(spec.key))
+
+
 def _hashed(spec: SnapshotSpec, rows: DataFrame) -> DataFrame:
     untracked = {c.name for c in spec.columns if not c.tracked}
     return rows.withColumn(HASH, row_hash(rows, [c for c in output_columns(spec) if c not in untracked]))
@@ -113,16 +123,17 @@ def json_history(
         watermark = current_watermark(target, LOADED)
     source = watermark_filter(source, spec.loaded, watermark)
     stored = target if all_rows or watermark is not None else None
+    profile = profile_keys(_keys(spec, source), spec.key, task_rows)
     if children == LATERAL:
         if stored is not None:
             raise ValueError("lateral children do not keep (key, time) unique: full rebuild only")
-        rows = _lateral_rows(spec, source)
-        profile = profile_keys(rows, spec.key, task_rows)
-        # rows of one (key, time) follow each other by hash
-        wide = change_history(rows, spec.key, TIME, None, HASH, profile)
+        wide = change_history(_lateral_rows(spec, source), spec.key, TIME, None, HASH, profile)
     else:
         rows = snapshot_rows(spec, source)
+        if profile.any_hot:
+            # hot keys take several passes; parse once for all of them
+            rows = stage(rows)
         if stored is not None:
             stored = stored.withColumn("_loaded", F.lit(None).cast(rows.schema["_loaded"].dataType))
-        wide = changes(rows, spec.key, "_loaded", stored, mode, carry_all, task_rows)
+        wide = changes(rows, spec.key, "_loaded", stored, mode, carry_all, profile)
     return finish_snapshots(spec, wide, run_ts)

@@ -36,14 +36,18 @@ def scan_json(
     return df.select(document.alias("document"), loaded)
 
 
-def scan_attributes(df: DataFrame, payload: str = PAYLOAD, on_error: str = FAIL) -> DataFrame:
+def scan_attributes(
+    df: DataFrame, payload: str = PAYLOAD, on_error: str = FAIL, fields: str | None = FIELD_LIST
+) -> DataFrame:
     """Attribute-list documents: header columns and the ``fields`` list.
 
-    No filter on the list here: pushed below the projection it would parse the
-    document a second time. The operators that follow drop documents without
-    attributes.
+    ``fields`` is the type the list is read as; None leaves it out. No filter
+    on the list here: pushed below the projection it would parse the document
+    a second time. The operators that follow drop documents without attributes.
     """
-    members = {name: "variant" for name, _ in HEADER} | {"fields": FIELD_LIST}
+    members = {name: "variant" for name, _ in HEADER} | ({"fields": fields} if fields else {})
     document = read_members(F.col(payload), df.schema[payload].dataType, members, on_error)
-    header = [json_get(F.col("document")[name], "$", kind, on_error=on_error).alias(name) for name, kind in HEADER]
-    return df.select(document.alias("document")).select(*header, F.col("document")["fields"].alias("fields"))
+    cols = [json_get(F.col("document")[name], "$", kind, on_error=on_error).alias(name) for name, kind in HEADER]
+    if fields:
+        cols.append(F.col("document")["fields"].alias("fields"))
+    return df.select(document.alias("document")).select(*cols)

@@ -38,7 +38,7 @@ SNAP = SnapshotSpec(
 
 
 def landed(spark, docs, day=1):
-    rows = [(d if isinstance(d, str) else json.dumps(d), dt.datetime(2024, 1, day, 0, n)) for n, d in enumerate(docs)]
+    rows = [(d if isinstance(d, str) else json.dumps(d), dt.datetime(2024, 1, day) + dt.timedelta(seconds=n)) for n, d in enumerate(docs)]
     return spark.createDataFrame(rows, "raw_data string, raw_inserted_timestamp timestamp_ntz")
 
 
@@ -66,6 +66,12 @@ def test_missing_paths_nulls_and_undated_documents(spark):
     assert len(history(spark, docs, SNAP.with_(require_not_null=("timestamp_effective",)))) == 1
 
 
+def test_a_hot_entity_gives_the_same_history(spark):
+    docs = [{"Id": "hot", "Day": f"2024-{1 + n // 28:02}-{1 + n % 28:02}", "Name": "ab"[n % 3 == 0]} for n in range(200)]
+    docs += [{"Id": "b", "Day": "2024-01-01", "Name": "x"}]
+    assert history(spark, docs, task_rows=20) == history(spark, docs)
+
+
 def test_same_day_keeps_the_document_that_landed_first(spark):
     rows = history(spark, [{"Id": "a", "Day": "2024-01-01", "Name": n} for n in ("first", "second")])
     assert [r["name"] for r in rows] == ["first"]

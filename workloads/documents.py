@@ -243,7 +243,7 @@ _DAY = f"(SELECT * FROM dated WHERE loaded >= CAST(TIMESTAMP '{FIRST_RUN}' AS DA
         SELECT 1 FROM changed c WHERE c.entity_id = t.entity_id AND c.timestamp_effective = t.timestamp_effective)""")
 def json_history_incremental(spark, sf):
     spec = SNAPSHOTS.with_(require_not_null=("timestamp_effective",))
-    raw = _snapshots(spark, sf)
+    raw = stage(_snapshots(spark, sf))
     early = raw.where(F.col("raw_inserted_timestamp") < F.lit(CUT).cast(NTZ))
     target = stage(json_history(spec, early, run_ts=FIRST_RUN))
     return upsert(target, stage(json_history(spec, raw, target, run_ts=SECOND_RUN)), spec.unique_key)
@@ -331,7 +331,7 @@ _HALF = "1998-06-01 00:00:00"
 @QUERIES.add(f"SELECT * REPLACE (CASE WHEN lastUpdated < TIMESTAMP '{_HALF}' THEN TIMESTAMP '{_HALF}' "
              f"ELSE etl_updated_timestamp END AS etl_updated_timestamp) FROM {_ATTRIBUTE_ROWS} p")
 def attribute_pivot_incremental(spark, sf):
-    docs = _attribute_documents(spark, sf)
+    docs = stage(_attribute_documents(spark, sf))
     early = docs.where(F.col("raw_inserted_timestamp") < F.lit(_HALF).cast(NTZ))
     target = stage(attribute_pivot(ORDERS, early, run_ts=_HALF))
     return target.unionByName(attribute_pivot(ORDERS, docs, target, run_ts=RUN_TS))

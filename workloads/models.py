@@ -186,17 +186,20 @@ def _snapshot_sql(spec) -> str:
 def _attribute_raw(spec: AttributeSpec, spark, sf):
     o = spread(table(spark, sf, "orders"))
     value = {
-        "str": """concat('"', o_orderstatus, '-{i}"')""",
-        "label": """concat('{{"id":{i},"defaultAttributes":{{"Label":"', o_orderpriority, '"}}}}')""",
-        "id": """concat('{{"id":', o_custkey + {i}, '}}')""",
-        "ts": """concat('"', CAST(o_orderdate AS STRING), '"')""",
+        "str": """concat('"', o_orderstatus, '-', f.i, '"')""",
+        "label": """concat('{"id":', f.i, ',"defaultAttributes":{"Label":"', o_orderpriority, '"}}')""",
+        "id": """concat('{"id":', o_custkey + f.i, '}')""",
+        "ts": """concat('"', o_orderdate, '"')""",
         "num": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)",
-        "var": """concat('{{"b": {i}, "a": "', o_orderstatus, '"}}')""",
+        "var": """concat('{"b": ', f.i, ', "a": "', o_orderstatus, '"}')""",
     }
-    parts = [
-        f"""concat('{{"name":"{name}","type":"{kind}","value":', {value[kind].format(i=i)}, '}}')"""
-        for i, (name, kind) in enumerate(spec.fields.items())
-    ]
+    # one short expression per kind; one per field makes code too long to be compiled well
+    parts = []
+    for kind in dict.fromkeys(spec.fields.values()):
+        names = [(name, i) for i, (name, k) in enumerate(spec.fields.items()) if k == kind]
+        structs = ", ".join(f"named_struct('n', '{name}', 'i', {i})" for name, i in names)
+        field = f"""concat('{{"name":"', f.n, '","type":"{kind}","value":', {value[kind]}, '}}')"""
+        parts.append(f"concat_ws(',', transform(array({structs}), f -> {field}))")
     doc = f"""concat('{{"deleted":"false","id":', o_orderkey, ',"lastUpdated":"', CAST(o_orderdate AS STRING),
         '","fields":[', concat_ws(',', {", ".join(parts)}), ']}}')"""
     return o.select(F.expr(doc).alias("raw_data"), F.col("o_orderdate").alias("raw_inserted_timestamp"))
