@@ -61,19 +61,18 @@ def cdc_history(
     mode: str = REFERENCE,
     watermark: str | None = None,
     task_rows: int = TASK_ROWS,
-    all_rows: bool = False,
 ) -> DataFrame:
     """History rows of a change log, or with ``target`` the rows to upsert into it.
 
     With a target only rows loaded since the day of its newest row are read;
     ``watermark`` gives that day if the caller knows it. An empty target counts
-    as none. ``all_rows`` says that ``source`` holds nothing but new rows. In
-    ``consistent`` mode the result is the full history of each key in the
-    batch and takes the place of that key's stored rows.
+    as none. In ``consistent`` mode the result is the full history of each key
+    in the batch and takes the place of that key's stored rows (``load`` does
+    the same from the first new version of a key on).
     """
-    if target is not None and watermark is None and not all_rows:
+    if target is not None and watermark is None:
         watermark = current_watermark(target, LOADED)
     rows = cdc_rows(spec, watermark_filter(source, spec.loaded, watermark))
-    stored = target if all_rows or watermark is not None else None
+    stored = target if watermark is not None else None
     profile = profile_keys(rows, spec.key, task_rows)
     return finish_cdc(spec, changes(rows, spec.key, LOADED, stored, mode, profile=profile))

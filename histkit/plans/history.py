@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import KeyProfile, if_small, profile_keys
@@ -64,6 +64,40 @@ def changes(
     return (out if carry_all else out.where("_side = 0")).drop("_side")
 
 
+def first_versions(rows: DataFrame, key: str) -> DataFrame:
+    """The earliest effective time per key, as (_key, _since); NULL times are the latest."""
+    return rows.groupBy(F.col(key).alias("_key")).agg(F.min(_position()).alias("_since"))
+
+
+def tails(stored: DataFrame, firsts: DataFrame, key: str, n_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Stored versions of the keys in ``firsts``: those from there on, and the last one before."""
+    both = stored.join(if_small(firsts, n_rows), F.col(key).eqNullSafe(F.col("_key")))
+    after = both.where(_position() >= F.col("_since")).drop("_key", "_since")
+    before = both.where(_position() < F.col("_since")).select(key, TIME, HASH)
+    return after, latest_per_key(before, key, TIME, order=[HASH])
+
+
+def rebuild_tails(
+    stored: DataFrame, firsts: DataFrame, key: str, loaded: str, n_rows: int, rows: DataFrame | None = None
+) -> DataFrame:
+    """The history of the keys in ``firsts`` from there on, out of stored versions and new ``rows``.
+
+    What lies before the first new version of a key cannot change, so of a key
+    with a long history only its end is read in full. A stored version wins
+    over a new copy of it.
+    """
+    after, before = tails(stored, firsts, key, n_rows)
+    both = _marked(after, 0).unionByName(_marked(before, 2), allowMissingColumns=True)
+    if rows is not None:
+        both = both.unionByName(_marked(rows, 1))
+    out = change_history(both, key, TIME, ["_side", loaded, HASH], HASH)
+    return out.where("_side < 2").drop("_side")
+
+
+def _position() -> Column:
+    return F.struct(F.col(TIME).isNull().alias("undated"), F.col(TIME).alias("time"))
+
+
 def _marked(df: DataFrame, side: int) -> DataFrame:
     return df.withColumn("_side", F.lit(side))
 

@@ -10,8 +10,8 @@ from ..operators.watermark import watermark_filter
 from ..sources.tables import HistoryTable, stage
 from .attributes import attribute_pivot
 from .cdc import cdc_history, cdc_rows, finish_cdc
-from .history import CONSISTENT, HASH, LOADED, REFERENCE, TIME, changes, of_keys
-from .snapshots import json_history
+from .history import CONSISTENT, HASH, LOADED, REFERENCE, TIME, changes, first_versions, rebuild_tails, tails
+from .snapshots import finish_snapshots, json_history, snapshot_rows, stored_rows
 from .specs import AttributeSpec, CdcSpec, SnapshotSpec
 
 
@@ -29,60 +29,69 @@ def load(
     The first run, a full refresh, and a table without any load time take the
     whole source. The batch is staged once, so that a lost executor or a retry
     does not read the source again. ``mode="consistent"`` with a ``log`` table
-    keeps every version of a change log, uncompacted, and rebuilds the touched
-    keys from it; the result then equals a full rebuild in any arrival order.
+    keeps every version of a change log, uncompacted, and rebuilds from it; the
+    result then equals a full rebuild in any arrival order.
     """
     if isinstance(spec, AttributeSpec):
         return _load_attributes(spec, source, table, run_ts, full_refresh)
     if log is not None and (mode != CONSISTENT or not isinstance(spec, CdcSpec)):
         raise ValueError("a log belongs to the consistent mode of a change log")
     watermark = None if full_refresh or not table.exists() else table.watermark()
+    if watermark is None and log is not None:
+        log.replace(_versions(spec, source))
+        return table.replace(finish_cdc(spec, changes(log.read(), spec.key, LOADED)))
     if watermark is None:
-        if log is not None:
-            versions = dedupe_versions(cdc_rows(spec, source), spec.key, TIME, [LOADED, HASH])
-            log.replace(versions)
-            return table.replace(finish_cdc(spec, changes(log.read(), spec.key, LOADED)))
-        return table.replace(_history(spec, source, None, run_ts, mode, None))
-    if log is not None:
-        rebuilt = stage(_from_log(spec, watermark_filter(source, spec.loaded, watermark), log))
-    else:
-        rebuilt = stage(_history(spec, source, table.read(), run_ts, mode, watermark))
-    if mode != CONSISTENT:
-        return table.upsert(rebuilt, spec.unique_key)
-    write_rebuilt(spec, table, rebuilt)
+        return table.replace(_history(spec, source, run_ts))
+    if mode == CONSISTENT:
+        return load_rows(spec, watermark_filter(source, spec.loaded, watermark), table, run_ts, log)
+    batch = stage(_history(spec, source, run_ts, table.read(), watermark))
+    table.upsert(batch, spec.unique_key)
 
 
-def write_rebuilt(spec: CdcSpec | SnapshotSpec, table: HistoryTable, rebuilt: DataFrame) -> None:
-    """Replace the histories of the rebuilt keys; only what differs is written.
+def load_rows(
+    spec: CdcSpec | SnapshotSpec,
+    batch: DataFrame,
+    table: HistoryTable,
+    run_ts: str | None = None,
+    log: HistoryTable | None = None,
+) -> None:
+    """Fold ``batch`` into an existing table, consistently.
 
-    A version that is stored already is not written again, so ``rebuilt``
-    should be staged: it is read for the rows to add and for those to remove.
+    Keys are rebuilt from their first version in the batch on, and only the
+    difference to what is stored is written. A batch that was loaded before
+    changes nothing; with a log, one that reached the log but not the table is
+    made good.
     """
-    stored = table.read().select(spec.unique_key, spec.key, TIME)
-    stored = of_keys(stored, rebuilt, spec.key, rebuilt.count())
-    added = stage(rebuilt.join(stored.select(spec.unique_key), spec.unique_key, "left_anti"))
-    removed = stage(stored.join(rebuilt.select(spec.unique_key), spec.unique_key, "left_anti"))
-    table.upsert(added, spec.unique_key, removed)
-
-
-def _history(spec, source, target, run_ts, mode, watermark) -> DataFrame:
     if isinstance(spec, CdcSpec):
-        return cdc_history(spec, source, target, mode, watermark)
-    return json_history(spec, source, target, run_ts, mode, watermark)
-
+        rows = stage(cdc_rows(spec, batch) if log is None else _versions(spec, batch))
+        landed, stored = LOADED, table.read()
+    else:
+        rows = stage(snapshot_rows(spec, batch))
+        landed, stored = "_loaded", stored_rows(table.read(), rows)
+    n, firsts = rows.count(), first_versions(rows, spec.key)
+    if log is None:
+        wide = rebuild_tails(stored.select(*rows.columns), firsts, spec.key, landed, n, rows)
+    else:
+        known = log.read().select(F.col(spec.key).alias("_key"), F.col(TIME).alias("_time"))
+        same = F.col(spec.key).eqNullSafe(F.col("_key")) & F.col(TIME).eqNullSafe(F.col("_time"))
+        log.append(stage(rows.join(known, same, "left_anti")))
+        wide = rebuild_tails(log.read(), firsts, spec.key, landed, n)
+    rebuilt = stage(finish_cdc(spec, wide) if isinstance(spec, CdcSpec) else finish_snapshots(spec, wide, run_ts))
+    stored, _ = tails(table.read().select(spec.unique_key, spec.key, TIME, HASH), firsts, spec.key, n)
+    added = rebuilt.join(stored.select(spec.unique_key), spec.unique_key, "left_anti")
+    removed = stored.join(rebuilt.select(spec.unique_key), spec.unique_key, "left_anti")
+    table.upsert(stage(added), spec.unique_key, stage(removed.select(spec.unique_key, TIME)))
+
+
+def _history(spec, source, run_ts, target=None, watermark=None) -> DataFrame:
+    if isinstance(spec, CdcSpec):
+        return cdc_history(spec, source, target, watermark=watermark)
+    return json_history(spec, source, target, run_ts, watermark=watermark)
 
-def _from_log(spec: CdcSpec, batch: DataFrame, log: HistoryTable) -> DataFrame:
-    """Add the new versions to the log and rebuild the keys of the batch from it.
 
-    The keys are those of everything read again since the table's watermark, so
-    a run that was lost after the log was written is made good by the next one.
-    """
-    rows = stage(dedupe_versions(cdc_rows(spec, batch), spec.key, TIME, [LOADED, HASH]))
-    known = log.read().select(F.col(spec.key).alias("_key"), F.col(TIME).alias("_time"))
-    same = F.col(spec.key).eqNullSafe(F.col("_key")) & F.col(TIME).eqNullSafe(F.col("_time"))
-    log.append(stage(rows.join(known, same, "left_anti")))
-    versions = of_keys(log.read(), rows, spec.key, rows.count())
-    return finish_cdc(spec, changes(versions, spec.key, LOADED))
+def _versions(spec: CdcSpec, source: DataFrame) -> DataFrame:
+    """All versions of a change log, without copies."""
+    return dedupe_versions(cdc_rows(spec, source), spec.key, TIME, [LOADED, HASH])
 
 
 def _load_attributes(spec, source, table, run_ts, full_refresh) -> None:

@@ -82,6 +82,8 @@ def _lateral_rows(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
     rows = dedupe_versions(rows, spec.key, TIME, order)
     children = rows.select(spec.key, F.explode("_children").alias("_child"))
     children = children.select(spec.key, F.col("_child.type").alias("_type"), F.col("_child.id").alias("_id"))
+    # a child repeated on many dates would give equal rows, which compaction drops anyway
+    children = children.distinct()
     wide = lateral_left(rows.drop("_children"), children, spec.key, "_type", "_id", spec.children.types)
     return _hashed(spec, wide)
 
@@ -108,7 +110,6 @@ def json_history(
     carry_all: bool = True,
     children: str = IN_ROW,
     task_rows: int = TASK_ROWS,
-    all_rows: bool = False,
 ) -> DataFrame:
     """History rows of snapshots, or with ``target`` the rows to upsert into it.
 
@@ -116,13 +117,12 @@ def json_history(
     stored version of every key is returned too and so gets that load time,
     even if the batch has nothing on the key; ``carry_all=False`` leaves these
     alone and reads the target only for the keys in the batch.
-    ``children="lateral"`` joins child columns on the key alone. ``all_rows``
-    says that ``source`` holds nothing but new rows.
+    ``children="lateral"`` joins child columns on the key alone.
     """
-    if target is not None and watermark is None and not all_rows:
+    if target is not None and watermark is None:
         watermark = current_watermark(target, LOADED)
     source = watermark_filter(source, spec.loaded, watermark)
-    stored = target if all_rows or watermark is not None else None
+    stored = target if watermark is not None else None
     profile = profile_keys(_keys(spec, source), spec.key, task_rows)
     if children == LATERAL:
         if stored is not None:
@@ -134,6 +134,11 @@ def json_history(
             # hot keys take several passes; parse once for all of them
             rows = stage(rows)
         if stored is not None:
-            stored = stored.withColumn("_loaded", F.lit(None).cast(rows.schema["_loaded"].dataType))
+            stored = stored_rows(stored, rows)
         wide = changes(rows, spec.key, "_loaded", stored, mode, carry_all, profile)
     return finish_snapshots(spec, wide, run_ts)
+
+
+def stored_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored versions in the shape of ``snapshot_rows``; when they landed is not kept."""
+    return target.withColumn("_loaded", F.lit(None).cast(rows.schema["_loaded"].dataType)).select(*rows.columns)

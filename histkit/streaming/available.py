@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.cdc import cdc_history
-from ..plans.history import CONSISTENT
-from ..plans.load import write_rebuilt
-from ..plans.snapshots import json_history
+from ..plans.load import load, load_rows
 from ..plans.specs import CdcSpec, SnapshotSpec
-from ..sources.tables import HistoryTable, stage
+from ..sources.tables import HistoryTable
 
 
 def load_available(
@@ -19,21 +16,16 @@ def load_available(
     """Fold the files of a streaming source that are new since the last call into ``table``.
 
     The source's own bookkeeping says which files are new, so nothing is read
-    twice and no day is read again; the batch function is the one of ``load``,
-    in consistent mode. A micro-batch that is run again after a failure meets
-    its own versions in the table and changes nothing.
+    twice and no day is read again; batches are folded in as in the consistent
+    mode of ``load``. A micro-batch that is run again after a failure meets its
+    own versions in the table and changes nothing.
     """
 
     def fold(batch: DataFrame, _: int) -> None:
-        target = table.read() if table.exists() else None
-        # everything in the batch is new: no mark to filter by
-        if isinstance(spec, CdcSpec):
-            rows = cdc_history(spec, batch, target, CONSISTENT, all_rows=True)
+        if table.exists():
+            load_rows(spec, batch, table, run_ts)
         else:
-            rows = json_history(spec, batch, target, run_ts, CONSISTENT, all_rows=True)
-        if target is None:
-            table.replace(rows)
-        else:
-            write_rebuilt(spec, table, stage(rows))
+            load(spec, batch, table, run_ts)
 
-    return landed.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = landed.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    return query.trigger(availableNow=True).start()

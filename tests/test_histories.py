@@ -154,3 +154,29 @@ def test_casts_that_fail(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         cdc_history(SPEC, df).collect()
     assert cdc_history(SPEC.with_(on_error="null"), df).first()["id"] is None
+
+
+def test_consistent_load_rewrites_only_the_periods_that_change(spark, tmp_path):
+    table = HistoryTable(spark, f"{tmp_path}/t", grain="day")
+    days_apart = 24 * 60
+    rows = [(1, n * days_apart, "AB"[n % 2], "", n) for n in range(6)]
+    load(SPEC, raw(spark, rows[:5]), table, mode=CONSISTENT)
+    before = {e.part: e.path for e in table._snapshot()[1]}
+    load(SPEC, raw(spark, rows), table, mode=CONSISTENT)
+    after = {e.part: e.path for e in table._snapshot()[1]}
+    assert len(before) == 5 and len(after) == 6
+    assert all(after[p] == before[p] for p in before)
+    # a late version between two stored ones makes the later of them redundant
+    late = (1, 2 * days_apart + 10, "B", "", 6)
+    load(SPEC, raw(spark, [*rows, late]), table, mode=CONSISTENT)
+    assert short(table.read()) == short(cdc_history(SPEC, raw(spark, [*rows, late])))
+
+
+def test_a_hot_key_loads_like_any_other(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 1, 1, 2]), rng.randrange(300), rng.choice("AB"), "", n // 100) for n in range(300)]
+    full = short(cdc_history(SPEC, raw(spark, rows)))
+    assert short(cdc_history(SPEC, raw(spark, rows), task_rows=20)) == full
+    target = stage(cdc_history(SPEC, raw(spark, days(rows, 0, 1))))
+    plain = cdc_history(SPEC, raw(spark, rows), target)
+    assert short(cdc_history(SPEC, raw(spark, rows), target, task_rows=20)) == short(plain)
