@@ -31,7 +31,13 @@ class KeyProfile:
     null_is_hot: bool = False
 
     def is_hot(self, key: Column) -> Column:
-        return F.coalesce(key.isin(list(self.hot)), F.lit(self.null_is_hot))
+        listed = key.isin(list(self.hot))
+        return listed | key.isNull() if self.null_is_hot else listed
+
+    def is_light(self, key: Column) -> Column:
+        """The opposite, NULL included; both are plain enough to reach the scan."""
+        others = ~key.isin(list(self.hot))
+        return others & key.isNotNull() if self.null_is_hot else others | key.isNull()
 
     @property
     def any_hot(self) -> bool:
@@ -114,4 +120,5 @@ def time_slices(df: DataFrame, key: str, ts: str, profile: KeyProfile, name: str
     ).first()[0]
     cuts = [float("-inf"), *sorted(set(marks or [0.5])), float("inf")]
     cut = Bucketizer(splits=cuts, inputCol="_line", outputCol=name, handleInvalid="keep")
-    return cut.transform(line).drop("_key", "_index", "_lo", "_span", "_line")
+    sliced = cut.transform(line).withColumn(name, F.col(name).cast("int"))
+    return sliced.drop("_key", "_index", "_lo", "_span", "_line")

@@ -125,9 +125,9 @@ def change_history(
     profile = profile or profile_keys(df, key, task_rows)
     if not profile.any_hot:
         return _fold(df, key, ts, row_hash, order)
-    hot = profile.is_hot(F.col(key))
-    light = _fold(df.where(~hot), key, ts, row_hash, order)
-    return light.unionByName(_fold_hot(df.where(hot), key, ts, row_hash, order, profile))
+    light = _fold(df.where(profile.is_light(F.col(key))), key, ts, row_hash, order)
+    hot = _fold_hot(df.where(profile.is_hot(F.col(key))), key, ts, row_hash, order, profile)
+    return light.unionByName(hot)
 
 
 def compact_changes(
