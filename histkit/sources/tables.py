@@ -42,9 +42,9 @@ def merge_into(batch: DataFrame, table: str, key: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors can read.
 
-    Only a local session may go without that setting.
+    Only a local session may go without a checkpoint folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")

@@ -34,12 +34,12 @@ def test_snapshot_history_shuffles_and_sorts_once(spark):
 
 
 def test_copies_are_dropped_before_the_shuffle(spark):
-    text = plan(ALL["dedupe_versions_keep_first"].run(spark, SF))
+    text = plan(ALL["dedupe_versions"].run(spark, SF))
     assert text.count("WindowGroupLimit") == 2 and count(text, "Exchange") == 1
 
 
 def test_pivot_aggregates_before_its_one_shuffle(spark):
-    text = plan(ALL["attribute_pivot_full"].run(spark, SF))
+    text = plan(ALL["attribute_pivot"].run(spark, SF))
     assert "partial_max" in text and text.count("hashpartitioning") == 1
 
 

@@ -23,10 +23,10 @@ class Query:
 
 class Registry(dict):
     def add(self, sql: str | None = None):
-        """Register the decorated function under its name."""
+        """Register the decorated function under its name, less the ``q_`` that avoids an import's name."""
 
         def take(run):
-            self[run.__name__] = Query(run, sql)
+            self[run.__name__.removeprefix("q_")] = Query(run, sql)
             return run
 
         return take

@@ -114,7 +114,7 @@ FLAGS = {"A": "part_a", "N": "part_n", "R": "part_r"}
            max(CASE WHEN l_returnflag = 'N' THEN l_partkey END) AS part_n,
            max(CASE WHEN l_returnflag = 'R' THEN l_partkey END) AS part_r
     FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY l_orderkey""")
-def child_pivot_rows(spark, sf):
+def q_child_pivot(spark, sf):
     return child_pivot(table(spark, sf, "lineitem"), ["l_orderkey"], "l_returnflag", "l_partkey", FLAGS)
 
 
@@ -135,7 +135,7 @@ def child_pivot_in_document(spark, sf):
     LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'A') a ON a.l_orderkey = o_orderkey
     LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'N') n ON n.l_orderkey = o_orderkey
     LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') r ON r.l_orderkey = o_orderkey""")
-def lateral_left_joins(spark, sf):
+def q_lateral_left(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", "l_partkey")
     return lateral_left(orders, lines, "o_orderkey", "l_returnflag", "l_partkey", FLAGS)
@@ -319,7 +319,7 @@ _ATTRIBUTE_ROWS = f"""(
 
 
 @QUERIES.add(f"SELECT * FROM {_ATTRIBUTE_ROWS} p")
-def attribute_pivot_full(spark, sf):
+def q_attribute_pivot(spark, sf):
     return attribute_pivot(ORDERS, _attribute_documents(spark, sf), run_ts=RUN_TS)
 
 
@@ -365,7 +365,7 @@ def conditional_max_pivot(spark, sf):
     SELECT name, kind, 2 * count(*) AS n_docs FROM orders CROSS JOIN (VALUES ('custkey', 'id'), ('status', 'label'),
         ('priority', 'str'), ('orderdate', 'ts'), ('total', 'num'), ('detail', 'var'), ('absent', 'str'),
         ('order', 'num')) v(name, kind) GROUP BY name, kind""")
-def infer_attribute_kinds(spark, sf):
+def q_infer_fields(spark, sf):
     return infer_fields(scan_attributes(_attribute_documents(spark, sf)))
 
 

@@ -85,7 +85,7 @@ def watermark_scalar_subquery(spark, sf):
 @QUERIES.add(f"""
     WITH {change_log_sql()} SELECT id, timestamp_effective, status, etl_updated_timestamp, row_hash
     FROM {dedupe_sql("log")} d""")
-def dedupe_versions_keep_first(spark, sf):
+def q_dedupe_versions(spark, sf):
     log = change_log(spark, sf)
     log = log.select(
         "id",
@@ -100,7 +100,7 @@ def dedupe_versions_keep_first(spark, sf):
 @QUERIES.add("""
     SELECT user_id, ts, event_id, event_type FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1""")
-def latest_version_per_key(spark, sf):
+def q_latest_per_key(spark, sf):
     e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
     return latest_per_key(e, "user_id", "ts", order=["event_id"])
 
@@ -108,7 +108,7 @@ def latest_version_per_key(spark, sf):
 @QUERIES.add("""
     SELECT user_id, ts, event_id, event_type FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""")
-def earliest_version_per_key(spark, sf):
+def q_earliest_per_key(spark, sf):
     e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
     return latest_per_key(e, "user_id", "ts", ascending=True, order=["event_id"])
 
@@ -117,7 +117,7 @@ def earliest_version_per_key(spark, sf):
     SELECT o_orderkey, {hash_sql("o_custkey", "o_orderstatus", "cents", "o_orderdate", "nullif(o_orderpriority, '5-LOW')")}
            AS row_hash
     FROM (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS cents FROM orders) o""")
-def row_hash_columns(spark, sf):
+def q_row_hash(spark, sf):
     o = table(spark, sf, "orders").select(
         "o_orderkey",
         "o_custkey",
@@ -130,7 +130,7 @@ def row_hash_columns(spark, sf):
 
 
 @QUERIES.add(f"SELECT event_id, {key_sql('user_id', 'ts')} AS event_key FROM events")
-def surrogate_keys(spark, sf):
+def q_surrogate_key(spark, sf):
     return table(spark, sf, "events").select("event_id", surrogate_key("user_id", "ts").alias("event_key"))
 
 
@@ -189,7 +189,7 @@ def history_hot_keys(spark, sf):
          batch AS (SELECT user_id, ts FROM events WHERE ts >= DATE '{CUT}' - INTERVAL '2' DAY)
     SELECT * FROM last l WHERE NOT EXISTS (
         SELECT 1 FROM batch b WHERE l.user_id = b.user_id AND l.ts = b.ts)""")
-def anti_join_versions(spark, sf):
+def q_anti_versions(spark, sf):
     e = table(spark, sf, "events").select("user_id", "ts", "event_id")
     batch = e.where(F.col("ts") >= F.expr(f"timestamp_ntz '{CUT}' - interval 2 days"))
     return anti_versions(e.where(F.col("ts") < CUT), batch, "user_id", "ts")
@@ -199,7 +199,7 @@ def anti_join_versions(spark, sf):
     SELECT c.c_custkey, c.c_name FROM customer c
     LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') o
         ON c.c_custkey = o.o_custkey WHERE o.o_custkey IS NULL""")
-def anti_join_rows(spark, sf):
+def q_anti_rows(spark, sf):
     urgent = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
     urgent = urgent.select(F.col("o_custkey").alias("c_custkey"))
     return anti_rows(table(spark, sf, "customer").select("c_custkey", "c_name"), urgent, ["c_custkey"])
@@ -209,7 +209,7 @@ def anti_join_rows(spark, sf):
     SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_totalprice < 300000
     UNION
     SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_totalprice >= 200000""")
-def union_of_halves(spark, sf):
+def q_union_distinct(spark, sf):
     o = table(spark, sf, "orders")
     cols = ["o_custkey", "o_orderstatus", "o_orderpriority"]
     return union_distinct(o.where("o_totalprice < 300000").select(cols), o.where("o_totalprice >= 200000").select(cols))
@@ -219,7 +219,7 @@ def union_of_halves(spark, sf):
     SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN '1-URGENT' ELSE o_orderpriority END
            AS o_orderpriority FROM orders
     UNION ALL SELECT o_orderkey + 100000000, 'N', o_orderpriority FROM orders WHERE o_orderstatus = 'F'""")
-def upsert_rows(spark, sf):
+def q_upsert(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     changed = o.where("o_orderstatus = 'O'").withColumn("o_orderpriority", F.lit("1-URGENT"))
     new = o.where("o_orderstatus = 'F'").select(
