@@ -6,17 +6,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from histkit.llm.common import documents
+from histkit.llm.common import documents, whole_texts
+from histkit.llm.fingerprints import as_text, fingerprint, likeness
+from histkit.llm.ordered import with_next
 from histkit.llm.pieces import encode_pieces
+from histkit.llm.secrets import KINDS, find_secrets, spans_text
 from histkit.llm.sharding import shard_by_bytes
 from histkit.llm.token_files import read_token_files, write_token_files
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text, and the text with its second half replaced from the next document."""
+    texts = whole_texts(documents(spark, sf_dir)).withColumn("print", fingerprint(F.col("text")))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
+    both = (
+        with_next(texts, "doc_id", "text", ["text", "print"])
+        .select("doc_id", n.cast("bigint").alias("n_chars"), "print", "next_print", edited.alias("edited"))
+        .withColumn("edited_print", fingerprint(F.col("edited")))
+    )
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(F.col("print")).alias("fingerprint"),
+        as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+    )
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(documents(spark, sf_dir), ["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] != KINDS.index("opaque"))
+
+    def count(test):
+        return F.size(F.filter("spans", test)).cast("bigint")
+
+    def of_kind(k):
+        return lambda s: s["kind"] == k
+
+    return found.select(
+        "doc_id",
+        *[count(of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+        count(lambda s: s["verdict"] == "live").alias("n_live"),
+        count(lambda s: s["verdict"] == "example").alias("n_example"),
+    )
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
@@ -33,7 +78,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op2_token_files, op4_pieces, op10_sharding)}
+QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op10_sharding)}
 
 #: The same rows as SQL, where SQL can express the method.
 SQL: dict[str, str] = {}
