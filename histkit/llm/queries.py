@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from histkit.llm.common import documents, whole_texts
+from histkit.llm.decontamination import find_leaks
 from histkit.llm.fingerprints import as_text, fingerprint, likeness
 from histkit.llm.ordered import with_next
 from histkit.llm.pieces import encode_pieces
 from histkit.llm.secrets import KINDS, find_secrets, spans_text
 from histkit.llm.sharding import shard_by_bytes
 from histkit.llm.token_files import read_token_files, write_token_files
+from histkit.llm.toxicity import THRESHOLD, fit, held_out, score
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,22 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit(docs, labels, ~held_out(F.col("doc_id"), 3))
+    return score(docs, model, ["doc_id"]).select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(documents(spark, sf_dir)).select(
         "doc_id",
@@ -78,7 +96,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op10_sharding)}
+QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op6_toxicity, op8_decontamination, op10_sharding)}
 
 #: The same rows as SQL, where SQL can express the method.
 SQL: dict[str, str] = {}

@@ -1,0 +1,100 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+
+from histkit.llm.decontamination import K1, SEGMENT, B, Index, find_leaks, overlap, split_item, words_of
+from histkit.llm.queries import op8_decontamination
+from tests.llm.small import SF, empty, frame, odd, rows
+
+ITEMS = "item_id bigint, text string"
+
+
+def test_split_item():
+    assert split_item("Who was it? A dog.\nNo, a cat.") == (["who", "was", "it", "a", "dog"], ["no", "a", "cat"])
+    assert split_item("One sentence only") == (["one", "sentence", "only"], [])
+    assert split_item(" \n") == ([], [])
+
+
+def test_retrieval_is_all_above_threshold():
+    """Block maxima pass over nothing: the same pairs as scoring every item."""
+    rng = random.Random(5)
+    vocabulary = [f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(2000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(1, 60)))) for i in range(90)]
+    frequency = Counter(w for _, t in items for w in set(t.split()))
+    mean = sum(len(t.split()) for _, t in items) / len(items)
+    index = Index.build(items, len(items), frequency, mean)
+
+    def weights(text):
+        own = text.split()
+        scale = K1 * (1 - B + B * len(own) / mean)
+        w = {
+            t: math.log1p((len(items) - frequency[t] + 0.5) / (frequency[t] + 0.5)) * c * (K1 + 1) / (c + scale)
+            for t, c in Counter(own).items()
+        }
+        return {t: v / sum(w.values()) for t, v in w.items()}
+
+    passages = [set(rng.choices(vocabulary, k=rng.randint(1, 150))) for _ in range(200)]
+    pairs = sorted((p, index.terms[t]) for p, own in enumerate(passages) for t in own if t in index.terms)
+    for threshold in (0.2, 0.5, 0.8):
+        got = index.retrieve(np.array([t for _, t in pairs]), np.array([p for p, _ in pairs]), threshold)
+        plain = [
+            (p, i, sum(v for t, v in weights(text).items() if t in own))
+            for p, own in enumerate(passages)
+            for i, (_, text) in enumerate(items)
+        ]
+        want = {(p, i): s for p, i, s in plain if s >= threshold}
+        assert {(p, i): s for p, i, s in got}.keys() == want.keys() and want
+        assert all(abs(s - want[p, i]) < 1e-9 for p, i, s in got)
+
+
+def whole_copies():
+    items = [(r["item_id"], f" {' '.join(words_of(r['text']))} ") for r in rows(table="benchmark")]
+    texts = [(r["doc_id"], f" {' '.join(words_of(r['text']))} ") for r in rows()]
+    return {(d, i) for d, t in texts for i, w in items if w in t}
+
+
+def test_query(spark):
+    got = op8_decontamination(spark, SF).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == whole_copies() != set()
+    assert all(r["score"] >= 0.5 and 0 <= r["answer_overlap"] <= 1 for r in got)
+
+
+def test_anywhere_in_long_documents(spark):
+    """Items of any length at any place, changed a little; parts of an item are not enough."""
+    rng = random.Random(2)
+    filler = [f"f{i}" for i in range(5000)]
+    items = [(i, " ".join(f"q{i}x{k}" for k in range(n)) + f". answer{i} to{i} it{i}") for i, n in enumerate((8, 30, 60, 150))]
+    docs, want = [], set()
+    for d in range(60):
+        key, text = items[d % 4]
+        own = rng.choices(filler, k=rng.randint(0, 700))
+        at = rng.randint(0, len(own))
+        docs.append((d, " ".join(own[:at] + text.upper().replace(".", "!").split() + own[at:])))
+        want.add((d, key))
+        part = text.split()[: 6 if key == 0 else len(text.split()) // 4]
+        docs.append((100 + d, " ".join(own + (part[:3] if key < 3 else part[:30]) + own)))
+    benchmark = spark.createDataFrame(items, ITEMS)
+    for size in (16 << 20, 300):  # one index, and several
+        got = find_leaks(frame(spark, docs), benchmark, index_bytes=size).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
+def test_overlap():
+    assert overlap("a b c d e".split(), "x a b c d e y".split()) == 1
+    assert overlap("a b c d e".split(), "x a b c d y".split()) == 0.5
+    assert overlap(["a"], ["b", "a"]) == 1 and overlap([], ["a"]) == 0
+
+
+def test_odd_rows(spark):
+    docs = odd(spark)
+    benchmark = spark.createDataFrame(
+        [(None, None), (1, ""), (2, "same words in two rows of one id"), (2, "another text of the same id"), (None, "a text without an id")],
+        ITEMS,
+    )
+    got = sorted(((r["doc_id"], r["item_id"]) for r in find_leaks(docs, benchmark).collect()), key=str)
+    assert got == [(5, 2), (5, 2), (5, 2), (None, None)]
+    assert find_leaks(empty(spark), benchmark).collect() == []
+    assert find_leaks(docs, spark.createDataFrame([], ITEMS)).collect() == []
+    assert SEGMENT > 0
