@@ -51,7 +51,9 @@ MAGIC = b"PFORIDS1"
 #: Blocks packed or unpacked at a time.
 CHUNK = 4_096
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
+#: Marks at the end of a word of letters are tokens apart from it, so words with and without share ids.
+MARKS = ".,"
 
 _COUNTS = struct.Struct("<QQQQ")
 _INDEX = np.dtype([("start", "<u8"), ("least", "<u4"), ("width", "u1"), ("outliers", "u1")])
@@ -230,6 +232,7 @@ def _open(path: str):
 
 
 _UNSAFE = re.compile(r"\s \s|  ")
+_SPACE = re.compile(r"\s")
 
 
 class WordEncoder:
@@ -241,33 +244,79 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self.kept: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it, from one text with the words on lines of their own.
+
+        A line end before a space is a token of its own, so it shows where a word's ids end.
+        """
+        odd = [w for w in words if not w or _SPACE.search(w)]
+        of_odd = dict(zip(odd, self._ids([" " + w for w in odd]), strict=True))
+        plain = [w for w in words if w not in of_odd]
+        if plain:
+            text = "".join([f" {w}\n" for w in plain])
+            ids = np.array(self.tokenizer.encode_batch_fast([text + " ."], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(ids == self.line)
+            if len(ends) != len(plain):
+                raise ValueError("this vocabulary has no token of its own for a line end")
+            data, starts = ids.tobytes(), np.append(0, ends[:-1] + 1)
+            of_odd.update(
+                (w, data[4 * i : 4 * j]) for w, i, j in zip(plain, starts.tolist(), ends.tolist(), strict=True)
+            )
+        return [of_odd[w] for w in words]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        kept = self.kept
-        pieces = []
-        for text in texts:
-            if _UNSAFE.search(text) or any(s in text for s in self.special):
-                pieces.append(None)
-            else:
-                first, *rest = text.split(" ")
-                pieces.append([first, *[" " + w for w in rest]] if first else [" " + w for w in rest])
-        seen = {w for p in pieces if p for w in p}
-        missing = [w for w in seen if w not in kept]
-        new = dict(zip(missing, self._ids(missing), strict=True))
+        kept, get = self.kept, self.kept.get
+        out: list[list | None] = []
+        gaps, firsts, wholes = [], [], []
+        for at, text in enumerate(texts):
+            words = text.split(" ")
+            ids = list(map(get, words))
+            gap = [(i, words[i]) for i, known in enumerate(ids) if known is None] if None in ids else []
+            # words that begin with white space, and empty ones, are never kept
+            unsafe = any(not w or w[0].isspace() for _, w in gap) and _UNSAFE.search(text)
+            if not text or unsafe or any(s in text for s in self.special):
+                wholes.append(at)
+                out.append(None)
+                continue
+            # the first word has no space before it, unless the text begins with one
+            ids[0] = b""
+            if words[0]:
+                firsts.append(at)
+            if gap and not gap[0][0]:
+                del gap[0]
+            if gap:
+                gaps.append((at, gap))
+            out.append(ids)
+        missing = {}
+        for w in {w for _, mine in gaps for _, w in mine}:
+            base = w.rstrip(MARKS)
+            missing[w] = (base, w[len(base) :]) if len(base) < len(w) and base.isalpha() else (w, "")
+        unseen = list({base for base, _ in missing.values() if base not in kept})
+        new = dict(zip(unseen, self._word_ids(unseen), strict=True))
+        marks = list({mark for _, mark in missing.values()} - {""})
+        of_mark = {"": b"", **dict(zip(marks, self._ids(marks), strict=True))}
+        found = {w: (get(base) or new[base]) + of_mark[mark] for w, (base, mark) in missing.items()}
+        for at, mine in gaps:
+            for i, w in mine:
+                out[at][i] = found[w]
         for w, ids in new.items():
             if len(kept) >= KEPT_WORDS:
                 break
-            if len(w) <= 32:
+            if len(w) <= 32 and w and not w[0].isspace():
                 kept[w] = ids
-        new.update((w, kept[w]) for w in seen if w in kept)
-        whole = iter(self._ids([t for t, p in zip(texts, pieces, strict=True) if p is None]))
-        return [next(whole) if p is None else b"".join(map(new.__getitem__, p)) for p in pieces]
+        for at, ids in zip(firsts, self._ids([texts[i].split(" ", 1)[0] for i in firsts]), strict=True):
+            out[at][0] = ids
+        for at, ids in zip(wholes, self._ids([texts[i] for i in wholes]), strict=True):
+            out[at] = [ids]
+        return [b"".join(ids) for ids in out]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
