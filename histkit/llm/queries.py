@@ -9,6 +9,7 @@ import public_tokenizers
 from histkit.llm.common import documents, whole_texts
 from histkit.llm.decontamination import find_leaks
 from histkit.llm.fingerprints import as_text, fingerprint, likeness
+from histkit.llm.near_duplicates import near_duplicate_classes
 from histkit.llm.ordered import with_next
 from histkit.llm.pieces import encode_pieces
 from histkit.llm.secrets import KINDS, find_secrets, spans_text
@@ -84,6 +85,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "first")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(documents(spark, sf_dir)).select(
         "doc_id",
@@ -96,7 +101,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op6_toxicity, op8_decontamination, op10_sharding)}
+QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op6_toxicity, op8_decontamination, op9_near_duplicates, op10_sharding)}
 
 #: The same rows as SQL, where SQL can express the method.
 SQL: dict[str, str] = {}
