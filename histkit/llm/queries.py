@@ -14,6 +14,7 @@ from histkit.llm.ordered import with_next
 from histkit.llm.pieces import encode_pieces
 from histkit.llm.secrets import KINDS, find_secrets, spans_text
 from histkit.llm.sharding import shard_by_bytes
+from histkit.llm.substrings import remove_repeats
 from histkit.llm.token_files import read_token_files, write_token_files
 from histkit.llm.toxicity import THRESHOLD, fit, held_out, score
 
@@ -81,6 +82,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), hashed=True).withColumnRenamed("kept", "kept_sha256")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -101,7 +106,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op6_toxicity, op8_decontamination, op9_near_duplicates, op10_sharding)}
+QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op6_toxicity, op7_substrings, op8_decontamination, op9_near_duplicates, op10_sharding)}
 
 #: The same rows as SQL, where SQL can express the method.
 SQL: dict[str, str] = {}
