@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
+from histkit.llm import language_model
 from histkit.llm.common import documents, whole_texts
 from histkit.llm.decontamination import find_leaks
 from histkit.llm.fingerprints import as_text, fingerprint, likeness
@@ -70,6 +71,13 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    unseen = held_out(F.col("doc_id"), 5)
+    model, counts = language_model.fit(docs.where(~unseen))
+    return language_model.score(docs, unseen, model, counts)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -106,7 +114,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op6_toxicity, op7_substrings, op8_decontamination, op9_near_duplicates, op10_sharding)}
+QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op5_language_model, op6_toxicity, op7_substrings, op8_decontamination, op9_near_duplicates, op10_sharding)}
 
 #: The same rows as SQL, where SQL can express the method.
 SQL: dict[str, str] = {}
