@@ -32,6 +32,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ MAGIC = b"PFORIDS1"
 #: Blocks packed or unpacked at a time.
 CHUNK = 4_096
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 500_000
 #: Marks at the end of a word of letters are tokens apart from it, so words with and without share ids.
 MARKS = ".,"
 
@@ -235,6 +236,15 @@ _UNSAFE = re.compile(r"\s \s|  ")
 _SPACE = re.compile(r"\s")
 
 
+def _places(values: list, wanted) -> list[int]:
+    """Where ``wanted`` stands in ``values``."""
+    out, at = [], -1
+    for _ in range(values.count(wanted)):
+        at = values.index(wanted, at + 1)
+        out.append(at)
+    return out
+
+
 class WordEncoder:
     """Ids of whole texts by the ``tokenizers`` library, word by word."""
 
@@ -246,6 +256,7 @@ class WordEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self.kept: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -256,7 +267,9 @@ class WordEncoder:
 
         A line end before a space is a token of its own, so it shows where a word's ids end.
         """
-        odd = [w for w in words if not w or _SPACE.search(w)]
+        # white space inside words is rare, and one look at all of them tells
+        whole = len(" ".join(words).split()) == len(words)
+        odd = [] if whole else [w for w in words if not w or _SPACE.search(w)]
         of_odd = dict(zip(odd, self._ids([" " + w for w in odd]), strict=True))
         plain = [w for w in words if w not in of_odd]
         if plain:
@@ -274,49 +287,55 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         kept, get = self.kept, self.kept.get
-        out: list[list | None] = []
-        gaps, firsts, wholes = [], [], []
-        for at, text in enumerate(texts):
-            words = text.split(" ")
-            ids = list(map(get, words))
-            gap = [(i, words[i]) for i, known in enumerate(ids) if known is None] if None in ids else []
-            # words that begin with white space, and empty ones, are never kept
-            unsafe = any(not w or w[0].isspace() for _, w in gap) and _UNSAFE.search(text)
+        split = [text.split(" ") for text in texts]
+        # each word is looked up once for all these texts
+        known = dict.fromkeys(chain.from_iterable(split))
+        names = list(known)
+        ids = list(map(get, names))
+        unseen = [names[i] for i in _places(ids, None)]
+        known = dict(zip(names, ids, strict=True))
+        known.update(self._unseen(unseen))
+        # words that begin with white space, and empty ones, are never kept
+        blank = {w for w in unseen if not w or w[0].isspace()}
+        out: list[bytes | None] = []
+        for text, words in zip(texts, split, strict=True):
+            unsafe = blank and not blank.isdisjoint(words) and _UNSAFE.search(text)
             if not text or unsafe or any(s in text for s in self.special):
-                wholes.append(at)
                 out.append(None)
-                continue
-            # the first word has no space before it, unless the text begins with one
-            ids[0] = b""
-            if words[0]:
-                firsts.append(at)
-            if gap and not gap[0][0]:
-                del gap[0]
-            if gap:
-                gaps.append((at, gap))
-            out.append(ids)
-        missing = {}
-        for w in {w for _, mine in gaps for _, w in mine}:
-            base = w.rstrip(MARKS)
-            missing[w] = (base, w[len(base) :]) if len(base) < len(w) and base.isalpha() else (w, "")
-        unseen = list({base for base, _ in missing.values() if base not in kept})
-        new = dict(zip(unseen, self._word_ids(unseen), strict=True))
-        marks = list({mark for _, mark in missing.values()} - {""})
-        of_mark = {"": b"", **dict(zip(marks, self._ids(marks), strict=True))}
-        found = {w: (get(base) or new[base]) + of_mark[mark] for w, (base, mark) in missing.items()}
-        for at, mine in gaps:
-            for i, w in mine:
-                out[at][i] = found[w]
-        for w, ids in new.items():
-            if len(kept) >= KEPT_WORDS:
-                break
-            if len(w) <= 32 and w and not w[0].isspace():
-                kept[w] = ids
-        for at, ids in zip(firsts, self._ids([texts[i].split(" ", 1)[0] for i in firsts]), strict=True):
-            out[at][0] = ids
-        for at, ids in zip(wholes, self._ids([texts[i] for i in wholes]), strict=True):
-            out[at] = [ids]
-        return [b"".join(ids) for ids in out]
+            else:
+                # the first word has no space before it, unless the text begins with one
+                words[0] = self._first(words[0])
+                words[1:] = map(known.__getitem__, words[1:])
+                out.append(b"".join(words))
+        whole = [at for at, ids in enumerate(out) if ids is None]
+        for at, ids in zip(whole, self._ids([texts[at] for at in whole]), strict=True):
+            out[at] = ids
+        return out
+
+    def _first(self, word: str) -> bytes:
+        found = self.firsts.get(word)
+        if found is None:
+            found = self._ids([word])[0]
+            if len(self.firsts) < KEPT_WORDS // 10 and len(word) <= 32:
+                self.firsts[word] = found
+        return found
+
+    def _unseen(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are not kept; keeps them."""
+        kept, get = self.kept, self.kept.get
+        # letters with marks at the end are two tokens or more: those of the letters, and the marks'
+        marked = [(w, w.rstrip(MARKS)) for w in words if w[-1:] in MARKS]
+        marked = [(w, base) for w, base in marked if base.isalpha()]
+        asked = {*words}.difference([w for w, _ in marked]).union([base for _, base in marked if base not in kept])
+        asked = list(asked)
+        found = dict(zip(asked, self._word_ids(asked), strict=True))
+        marks = list({w[len(base) :] for w, base in marked})
+        of_mark = dict(zip(marks, self._ids(marks), strict=True))
+        both = [(w, (get(base) or found[base]) + of_mark[w[len(base) :]]) for w, base in marked]
+        if len(kept) < KEPT_WORDS:
+            kept.update((w, ids) for w, ids in found.items() if len(w) <= 32 and w and not w[0].isspace())
+        found.update(both)
+        return found
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
