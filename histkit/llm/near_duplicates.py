@@ -17,10 +17,9 @@ least one with probability 0.99995. Buckets are not expanded into pairs:
 1. Each member is compared with the bucket's smallest node (its pivot), exactly,
    by the Jaccard similarity of the shingle sets. Links are joined into classes.
 2. Buckets whose members all fell into one class need nothing more. In the
-   others, members of different classes are compared with more and more other
-   members (16, 256, ... per bucket), until all pairs are settled: in one class
-   by now, compared, or further apart from the pivot than the triangle
-   inequality of the Jaccard distance allows for a link.
+   others, members of other classes than the pivot's are compared with all
+   members, again exactly, as blocks of arrays inside a task; only links that
+   join two classes leave it.
 
 So no link among candidates is lost, and large groups of alike texts cost one
 comparison a member.
@@ -40,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histkit.llm.common import let, whole_texts, words
+from histkit.llm.common import ceil_div, let, whole_texts, words
 from histkit.llm.components import components
 from histkit.llm.fingerprints import SHINGLE, shingle_hashes
 from histkit.sources.tables import stage
@@ -48,8 +47,8 @@ from histkit.sources.tables import stage
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 SIMILAR = 0.8
-#: Members per bucket that others are compared with in each further round grow by this factor.
-GROWTH = 16
+#: Members of a bucket that are compared at a time, columns of their tables, and rows of such blocks in a task.
+BLOCK, COLUMNS, TASK_ROWS = 256, 8192, 4_000
 #: Height of the lowest slab of ranks; each further slab ends at twice the rank.
 LOWEST = 0.25
 #: Darts after which most documents have all coordinates.
@@ -229,6 +228,91 @@ def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     return stage(named.join(mixed.select("bucket"), "bucket", "left_semi"))
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each left with each right array of distinct numbers."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    where = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    values, column = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    often = np.flatnonzero(np.bincount(column) > 1)
+    place = np.full(len(values), -1)
+    place[often] = np.arange(len(often))
+    column = place[column]
+    where, column = where[column >= 0], column[column >= 0]
+    for at in range(0, len(often), COLUMNS):
+        mine = (column >= at) & (column < at + COLUMNS)
+        table = np.zeros((len(left) + len(right), min(COLUMNS, len(often) - at)), np.float32)
+        table[where[mine], column[mine] - at] = 1
+        out += table[: len(left)] @ table[len(left) :].T
+    return out
+
+
+def _settler(similar: float):
+    def settle(rows: pa.Table) -> pa.Table:
+        """Links between different classes, block by block; no more than connect what is linked."""
+        rows = rows.sort_by([("bucket", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        key = np.column_stack([np.asarray(rows[c]) for c in ("bucket", "i", "j")])
+        node, root, is_left = (np.asarray(rows[c]) for c in ("node", "root", "is_left"))
+        lists = rows["shingles"].combine_chunks()
+        offsets, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+        first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+        links: list[tuple[int, int]] = []
+        up: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        for at, to in zip(first, np.append(first[1:], len(key)), strict=True):
+            mine = np.arange(at, to)
+            left, right = mine[is_left[mine]], mine[~is_left[mine]]
+            if not len(left) or not len(right):
+                continue
+            sets = [[flat[offsets[k] : offsets[k + 1]] for k in side] for side in (left, right)]
+            n = [np.array([len(x) for x in side]) for side in sets]
+            both = _shared(*sets)
+            near = both >= similar * (n[0][:, None] + n[1][None, :] - both) - 1e-4
+            for a, b in zip(*np.nonzero(near & (root[left][:, None] != root[right][None, :])), strict=True):
+                x, y = top(int(root[left[a]])), top(int(root[right[b]]))
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    links.append((int(node[left[a]]), int(node[right[b]])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return settle
+
+
+def _links_between(apart: DataFrame, roots: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """a, b: links between classes that share a bucket.
+
+    The class of a bucket's pivot is at home there. The members of other classes
+    are compared with all members, ``BLOCK`` with ``BLOCK`` at a time, so that a
+    task holds two blocks, however large the bucket.
+    """
+    home = roots.select(F.col("node").alias("pivot"), F.col("root").alias("home"))
+    away = F.col("root") != F.coalesce("home", "pivot")
+    named = apart.join(home, "pivot", "left").withColumn("away", away)
+    sizes = named.groupBy("bucket").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count_if("away") / BLOCK).cast("int").alias("away_blocks"),
+    )
+    sized = named.join(sizes, "bucket")
+
+    def side(rows: DataFrame, own: str, other: str, name: str, is_left: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(name)
+        all_ = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("j" if is_left else "i")
+        return rows.select("bucket", "node", "root", F.lit(is_left).alias("is_left"), block, all_)
+
+    both = side(sized.where("away"), "away_blocks", "blocks", "i", True).unionByName(
+        side(sized, "blocks", "away_blocks", "j", False)
+    )
+    both = stage(both)
+    tasks = F.lit(max(1, ceil_div(both.count(), TASK_ROWS)))
+    shard = F.pmod(F.xxhash64("bucket", "i", "j"), tasks).cast("int").alias("shard")
+    schema = "a bigint, b bigint"
+    return stage(both.join(sets, "node").withColumn("shard", shard).groupBy("shard").applyInArrow(_settler(similar), schema))
+
+
 def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, content, class_id (the smallest id in the class) and first (one row of a class; copies of it too).
 
@@ -262,32 +346,9 @@ def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFra
     edges = tested.where(F.col("similarity") >= similar).select("a", "b")
     roots = components(edges)
 
-    away = tested.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away"))
-    apart = _rooted(members.join(away, ["pivot", "node"], "left").fillna(0.0, ["away"]), roots)
-    tries, before = GROWTH, 0
-    while (largest := apart.agg(F.max("size")).first()[0]) is not None:
-        # a share of the members, by a fixed hash, so that no bucket has to be put in order
-        turn = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30)) / (1 << 30) * F.col("size")
-        chosen = apart.where((turn < tries) & (turn >= before) & (F.col("node") != F.col("pivot")))
-        other = chosen.select(
-            "bucket", F.col("node").alias("n2"), F.col("root").alias("r2"), F.col("away").alias("away2")
-        )
-        close = F.abs(F.col("away") - F.col("away2")) <= 1 - similar + 1e-9
-        pairs = (
-            apart.where("node != pivot")
-            .join(other, "bucket")
-            .where((F.col("root") != F.col("r2")) & close)
-            .select(F.least("node", "n2").alias("a"), F.greatest("node", "n2").alias("b"))
-            .distinct()
-        )
-        more = _verified(pairs, sets).where(F.col("similarity") >= similar).select("a", "b")
-        edges = stage(edges.unionByName(more))
-        if not more.isEmpty():
-            roots = components(edges)
-            apart = _rooted(apart.drop("root"), roots)
-        if tries >= largest:
-            break
-        tries, before = tries * GROWTH, tries
+    more = _links_between(_rooted(members, roots), roots, sets, similar)
+    if not more.isEmpty():
+        roots = components(edges.unionByName(more))
 
     rooted = nodes.join(roots, "node", "left").select("content", "least", F.coalesce("root", "node").alias("root"))
     head = F.min_by(F.struct("least", "content"), F.struct(F.col("least").isNull(), "least", "content"))

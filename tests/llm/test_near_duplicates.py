@@ -130,10 +130,12 @@ def families(rng):
     return texts
 
 
-@pytest.mark.parametrize("growth", [2, 16])
-def test_no_link_is_lost(spark, monkeypatch, growth):
+@pytest.mark.parametrize("block", [3, 256])
+def test_no_link_is_lost(spark, monkeypatch, block):
     """Chains and dense groups around the threshold give the components of all pairs."""
-    monkeypatch.setattr(near_duplicates, "GROWTH", growth)
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    monkeypatch.setattr(near_duplicates, "COLUMNS", 10 * block)
+    monkeypatch.setattr(near_duplicates, "TASK_ROWS", 20 * block)
     texts = families(random.Random(7))
     out = near_duplicate_classes(frame(spark, list(enumerate(texts)))).collect()
     assert {r["doc_id"]: r["class_id"] for r in out} == dict(enumerate(brute(texts)))
