@@ -268,7 +268,7 @@ class WordEncoder:
         A line end before a space is a token of its own, so it shows where a word's ids end.
         """
         # white space inside words is rare, and one look at all of them tells
-        whole = len(" ".join(words).split()) == len(words)
+        whole = " ".join(words).split() == words
         odd = [] if whole else [w for w in words if not w or _SPACE.search(w)]
         of_odd = dict(zip(odd, self._ids([" " + w for w in odd]), strict=True))
         plain = [w for w in words if w not in of_odd]
