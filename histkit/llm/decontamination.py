@@ -32,9 +32,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,57 +164,62 @@ class Index:
 _SCHEMA = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double, n_passages bigint"
 
 
-def _matcher(sent, threshold: float):
-    def match(index: Index, docs: list[tuple]) -> list[tuple]:
-        """Verified rows of one batch of (place, words)."""
-        numbers, passage, owner, begin = [], [], [], []
-        at = 0
-        for place, own in docs:
-            found = np.fromiter(map(index.terms.get, own, (0 for _ in own)), np.int64, len(own))
-            chunk = np.arange(len(own)) // SEGMENT
-            n = max(1, ceil_div(len(own), SEGMENT) - 1)
-            known = np.flatnonzero(found)
-            # a chunk of words belongs to the passage that it begins and to the one before
-            for shift in (0, 1):
-                mine = chunk[known] - shift
-                good = (mine >= 0) & (mine < n)
-                numbers.append(found[known][good])
-                passage.append(mine[good] + at)
-            owner += [place] * n
-            begin += [i * SEGMENT for i in range(n)]
-            at += n
-        if not at:
-            return []
-        width = len(index.terms) + 1
-        pairs = np.unique(np.concatenate(passage) * width + np.concatenate(numbers))
-        words = dict(docs)
-        best: dict[tuple, list] = {}
-        for p, segment, score in index.retrieve(pairs % width, pairs // width, threshold):
-            own = words[owner[p]][begin[p] : begin[p] + 2 * SEGMENT]
-            question, answer = overlap(index.questions[segment], own), overlap(index.answers[segment], own)
-            if not index.questions[segment]:  # a segment of the answer alone
-                question = answer
-            if question >= QUESTION or (question >= QUESTION_WITH_ANSWER and answer >= ANSWER):
-                row = best.setdefault((owner[p], index.ids[segment]), [0.0, 0.0, 0.0, 0])
-                row[:] = *max(tuple(row[:3]), (score, question, answer)), row[3] + 1
-        return [(place, item, *row) for (place, item), row in best.items()]
-
+def _match(index: Index, docs: list[tuple], threshold: float) -> list[tuple]:
+    """Verified rows (place, item, ...) of one batch of (place, words)."""
+    numbers, passage, owner, begin = [], [], [], []
+    at = 0
+    for place, own in docs:
+        found = np.fromiter(map(index.terms.get, own, (0 for _ in own)), np.int64, len(own))
+        chunk = np.arange(len(own)) // SEGMENT
+        n = max(1, ceil_div(len(own), SEGMENT) - 1)
+        known = np.flatnonzero(found)
+        # a chunk of words belongs to the passage that it begins and to the one before
+        for shift in (0, 1):
+            mine = chunk[known] - shift
+            good = (mine >= 0) & (mine < n)
+            numbers.append(found[known][good])
+            passage.append(mine[good] + at)
+        owner += [place] * n
+        begin += [i * SEGMENT for i in range(n)]
+        at += n
+    if not at:
+        return []
+    width = len(index.terms) + 1
+    pairs = np.unique(np.concatenate(passage) * width + np.concatenate(numbers))
+    words = dict(docs)
+    best: dict[tuple, list] = {}
+    for p, segment, score in index.retrieve(pairs % width, pairs // width, threshold):
+        own = words[owner[p]][begin[p] : begin[p] + 2 * SEGMENT]
+        question, answer = overlap(index.questions[segment], own), overlap(index.answers[segment], own)
+        if not index.questions[segment]:  # a segment of the answer alone
+            question = answer
+        if question >= QUESTION or (question >= QUESTION_WITH_ANSWER and answer >= ANSWER):
+            row = best.setdefault((owner[p], index.ids[segment]), [0.0, 0.0, 0.0, 0])
+            row[:] = *max(tuple(row[:3]), (score, question, answer)), row[3] + 1
+    return [(place, item, *row) for (place, item), row in best.items()]
+
+
+def _match_texts(index: Index, texts: list, threshold: float) -> list[tuple]:
+    rows, waiting, size = [], [], 0
+    for place, text in enumerate(texts):
+        own = words_of(text or "")
+        if own:
+            waiting.append((place, own))
+            size += len(own)
+        if size >= BATCH_WORDS:
+            rows += _match(index, waiting, threshold)
+            waiting, size = [], 0
+    return rows + _match(index, waiting, threshold)
+
+
+def _finder(sent, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                keys, rows, waiting, size = part.column(0).to_pylist(), [], [], 0
-                for place, text in enumerate(part.column(1).to_pylist()):
-                    own = words_of(text)
-                    if own:
-                        waiting.append((place, own))
-                        size += len(own)
-                    if size >= BATCH_WORDS:
-                        rows += match(index, waiting)
-                        waiting, size = [], 0
-                rows += match(index, waiting)
+                rows = _match_texts(sent.value, part.column(1).to_pylist(), threshold)
                 if rows:
+                    keys = part.column(0).to_pylist()
                     columns = list(zip(*[(keys[r[0]], *r[1:]) for r in rows], strict=True))
                     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
                     yield pa.record_batch(
@@ -223,6 +230,20 @@ def _matcher(sent, threshold: float):
     return run
 
 
+def _cleaner(sent, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (structs) whose text has no verified item."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                texts = pc.struct_field(part.column(0), "text").to_pylist()
+                keep = np.ones(part.num_rows, bool)
+                keep[[r[0] for r in _match_texts(sent.value, texts, threshold)]] = False
+                yield part.filter(pa.array(keep))
+
+    return run
+
+
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """shard, word, items that have it, and (word NULL) items and their words."""
     for batch in batches:
@@ -239,30 +260,41 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, index_bytes: int = INDEX_BYTES
-) -> DataFrame:
-    """Verified (doc_id, item_id) pairs with score, overlaps and the passages that leak.
-
-    One row for each row of ``docs`` and each item id it leaks.
-    """
-    spark = docs.sparkSession
+def _indexes(benchmark: DataFrame, index_bytes: int) -> Iterator:
+    """A broadcast index for each shard of the benchmark."""
+    context = benchmark.sparkSession.sparkContext
     items = whole_texts(benchmark, key="item_id").withColumnRenamed("doc_id", "item_id")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, ceil_div(size, index_bytes))
     items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
     counted = items.select("shard", "text").mapInArrow(_terms, "shard int, word string, n bigint")
-    source = whole_texts(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n_items, n_words = counted.where("word IS NULL").agg(F.count(F.lit(1)), F.sum("n")).first()
     frequency = counted.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"))
-    out = None
     for shard in range(shards):
         here = counted.where((F.col("shard") == shard) & F.col("word").isNotNull()).select("word").distinct()
         of_word = {r["word"]: r["n"] for r in frequency.join(here, "word", "left_semi").collect()}
         rows = items.where(F.col("shard") == shard).orderBy("item_id", "text").collect()
-        index = Index.build(
-            [(r["item_id"], r["text"]) for r in rows], n_items, of_word, min(SEGMENT, (n_words or 0) / max(1, n_items))
-        )
-        found = source.mapInArrow(_matcher(spark.sparkContext.broadcast(index), threshold), _SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out
+        length = min(SEGMENT, (n_words or 0) / max(1, n_items))
+        yield context.broadcast(Index.build([(r["item_id"], r["text"]) for r in rows], n_items, of_word, length))
+
+
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, index_bytes: int = INDEX_BYTES
+) -> DataFrame:
+    """Verified (doc_id, item_id) pairs with score, overlaps and the passages that leak.
+
+    One row for each row of ``docs`` and each item id it leaks.
+    """
+    source = whole_texts(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    found = [source.mapInArrow(_finder(sent, threshold), _SCHEMA) for sent in _indexes(benchmark, index_bytes)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, index_bytes: int = INDEX_BYTES
+) -> DataFrame:
+    """The rows of ``docs`` without a verified item, with all their columns. Rows do not move."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    for sent in _indexes(benchmark, index_bytes):
+        rows = rows.mapInArrow(_cleaner(sent, threshold), rows.schema)
+    return rows.select("row.*")

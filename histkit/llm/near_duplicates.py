@@ -335,7 +335,8 @@ def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFra
 
     asked = members.select("node").distinct().join(nodes.select("node", "content", "least"), "node")
     # one row of each text that shares a bucket
-    texts = with_content(docs).join(asked, "content").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    own = with_content(docs).withColumnRenamed("content", "name")
+    texts = own.join(asked, (own["name"] == asked["content"]) & own["doc_id"].eqNullSafe(asked["least"]))
     sets = stage(
         texts.select("node", F.transform(shingle_hashes(F.col("text")), lambda h: F.shiftright(h, 32).cast("int")).alias("shingles"))
         .select("node", F.array_distinct("shingles").alias("shingles"))
@@ -360,11 +361,15 @@ def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFra
 
 
 def drop_near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """One row of each class of ``docs``, with all its columns."""
-    first = near_duplicate_classes(docs, similar).where("first")
-    kept = stage(first.select(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).distinct())
-    rows = docs.select(F.struct(*docs.columns).alias("_row"))
-    text = F.coalesce(F.col("_row.text"), F.lit(""))
-    keyed = rows.withColumn("_content", content_of(words(text)))
-    found = keyed.join(kept, "_content").where(F.col("_row.doc_id").eqNullSafe(F.col("_id")))
-    return found.dropDuplicates(["_content"]).select("_row.*")
+    """One row of each class of ``docs``, with all its columns: that of the smallest id.
+
+    Copies of a text are reduced to one row in each task before they move.
+    """
+    kept = near_duplicate_classes(docs, similar).where("first").select("content").distinct()
+    row = F.col("_row")
+    keyed = docs.select(F.struct(*docs.columns).alias("_row")).select(
+        "_row", content_of(words(F.coalesce(row["text"], F.lit("")))).alias("content")
+    )
+    order = F.struct(row["doc_id"].isNull(), row["doc_id"])
+    each = keyed.groupBy("content").agg(F.min_by("_row", order).alias("_row"))
+    return each.join(stage(kept), "content", "left_semi").select("_row.*")

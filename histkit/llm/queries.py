@@ -82,7 +82,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit(docs, labels, ~held_out(F.col("doc_id"), 3))
-    return score(docs, model, ["doc_id"]).select(
+    return score(docs.select("doc_id", "text"), model).select("row.doc_id", "score").select(
         "doc_id",
         held_out(F.col("doc_id"), 3).alias("held_out"),
         "score",

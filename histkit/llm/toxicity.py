@@ -31,8 +31,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from histkit.llm.common import whole_texts
 from histkit.sources.tables import stage
@@ -384,20 +386,19 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample
     return ToxicityModel(lexicons[-1], trees, *isotonic(raw, y))
 
 
-def score(docs: DataFrame, model: ToxicityModel, carry: list[str]) -> DataFrame:
-    """``carry`` and ``score`` of each row of ``docs`` (column text)."""
+def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``row``, a struct of all columns of ``docs``, and ``score``. Rows do not move."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*carry, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    row = docs.select(F.struct(*docs.columns).alias("row"))
+    schema = T.StructType([row.schema["row"], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Features(sent.value.lexicon)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                x = np.array([maker.of(t) for t in part.columns[-1].to_pylist()])
-                yield pa.record_batch(
-                    [*part.columns[:-1], pa.array(sent.value.scores(x), pa.float64())], [*carry, "_score"]
-                )
+                texts = pc.struct_field(part.column(0), "text").to_pylist()
+                x = np.array([maker.of(t or "") for t in texts])
+                yield pa.record_batch([part.column(0), pa.array(sent.value.scores(x), pa.float64())], ["row", "score"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return source.mapInArrow(run, f"{kinds}, _score double").withColumnRenamed("_score", "score")
+    return row.mapInArrow(run, schema)

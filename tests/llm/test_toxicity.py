@@ -87,13 +87,13 @@ def test_odd_rows(spark, toxic):
     docs = odd(spark)
     labels = spark.createDataFrame([(5, None, toxic), (7, 1, toxic), (7, 1, toxic), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     model = fit(docs, labels)
-    got = score(docs, model, ["doc_id"])
-    assert got.columns == ["doc_id", "score"] and got.count() == docs.count()
-    assert all(0 <= r["score"] <= 1 for r in got.collect())
-    assert score(empty(spark), fit(empty(spark), labels), ["doc_id"]).collect() == []
+    got = score(docs, model)
+    assert got.columns == ["row", "score"] and got.select("row.*").columns == docs.columns
+    assert got.count() == docs.count() and all(0 <= r["score"] <= 1 for r in got.collect())
+    assert score(empty(spark), fit(empty(spark), labels)).collect() == []
 
 
 def test_repeated_rows_score_alike(spark):
     docs = frame(spark, [(1, "you moron"), (2, "you moron"), (None, "you moron")])
     labels = spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int")
-    assert len({r["score"] for r in score(docs, fit(docs, labels), ["doc_id"]).collect()}) == 1
+    assert len({r["score"] for r in score(docs, fit(docs, labels)).collect()}) == 1
