@@ -25,9 +25,6 @@ Every result comes from a match of word sequences, so unequal windows with one
 hash remove nothing. What they could do is hide the right owner, with a chance
 of 2**-64 a pair. Words are compared by 32 bits of their own hash.
 
-Small per-document tables of runs and spans are joined to the texts by broadcast
-if they were counted to fit ``BROADCAST_BYTES``, else by a shuffle.
-
 Odd rows: NULL and empty texts have no words; NULL ids count as larger than all
 ids and not smaller than each other; rows with one id never remove each other's
 words; an empty table gives an empty result.
@@ -49,11 +46,12 @@ from histkit.sources.tables import stage
 
 WINDOW = 13
 #: Words that a task hashes at a time, and words of runs in one shard.
-BATCH_WORDS = 1_000_000
-SHARD_WORDS = 300_000
+BATCH_WORDS = 500_000
+SHARD_WORDS = 150_000
 #: Words of repeats that one owner may bring to a shard.
-OWNER_WORDS = 100_000
-BROADCAST_BYTES = 24 << 20
+OWNER_WORDS = 50_000
+#: Windows of a bucket that are sorted at a time.
+SORTED = 500_000
 
 _LAST = np.iinfo(np.int64).max
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)  # odd; the base of the window polynomial
@@ -204,8 +202,13 @@ def _settler(parts: int):
         found = [unpack_windows(d) for k, d in zip(kind, data, strict=True) if k == 0]
         if found:
             hashes, doc, place = (np.concatenate(c) for c in zip(*found, strict=True))
-            owner, shared = owners(hashes, doc)
-            rows += [(b, 1, d) for b, d in _repeat_rows(doc[shared], place[shared], owner[shared], parts)]
+            slices = ceil_div(len(hashes), SORTED)
+            part = (mix(hashes) % np.uint64(slices)).astype(np.int16)
+            for k in range(slices):
+                mine = np.flatnonzero(part == k)
+                owner, shared = owners(hashes[mine], doc[mine])
+                mine, owner = mine[shared], owner[shared]
+                rows += [(b, 1, d) for b, d in _repeat_rows(doc[mine], place[mine], owner, parts)]
         return pa.Table.from_batches([_rows(rows)])
 
     return settle
@@ -340,11 +343,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return own.withColumns({"doc": F.coalesce("doc_id", F.lit(_LAST)), "text_key": F.xxhash64("text")})
 
 
-def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted size allows it."""
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
-
-
 def _word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
@@ -388,7 +386,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     settled = routed.groupBy("bucket").applyInArrow(_settler(parts), "bucket int, kind int, data binary")
     runs = stage(settled.groupBy("bucket").applyInArrow(_runs, _RUNS))
-    n_runs, n_words = runs.agg(F.count(F.lit(1)), F.sum(F.col("n") + WINDOW - 1)).first()
+    n_words = runs.agg(F.sum(F.col("n") + WINDOW - 1)).first()[0]
 
     # owners with many repeats are referred to in several shards
     load = runs.groupBy("owner").agg(F.sum(F.col("n") + WINDOW - 1).alias("load")).where(F.col("load") > OWNER_WORDS)
@@ -409,7 +407,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("owner", "start", "n", chosen.alias("shards"))).alias("runs"))
     )
     cut = (
-        keyed.join(_small(per_doc, n_runs, 40), "doc")
+        keyed.join(per_doc, "doc")
         .select("doc", "text_key", _word_hashes(F.col("text")).alias("h"), "runs")
         .mapInArrow(_cut_runs, "shard int, is_reference boolean, doc bigint, text_key bigint, start int, words binary")
     )
@@ -446,5 +444,5 @@ def remove_repeats(docs: DataFrame, hashed: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept: the words that stay, joined by spaces (or their sha256 if ``hashed``)."""
     spans = repeated_spans(docs)
     per_doc = spans.groupBy("doc", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    joined = _keyed(docs).join(_small(per_doc, spans.count(), 32), ["doc", "text_key"], "left")
+    joined = _keyed(docs).join(per_doc, ["doc", "text_key"], "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(_remove(not hashed), _KEPT)

@@ -89,14 +89,14 @@ def quilt(rng):
 
 @pytest.mark.parametrize("parts", [1, 5])
 def test_passages(spark, monkeypatch, parts):
-    """Any number of buckets, shards and tasks; owners split; joins by shuffle."""
+    """Any number of buckets, shards and tasks; owners split."""
     docs = quilt(random.Random(parts))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     if parts > 1:
         monkeypatch.setattr(substrings, "OWNER_WORDS", 100)
         monkeypatch.setattr(substrings, "SHARD_WORDS", 1000)
-        monkeypatch.setattr(substrings, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(substrings, "SORTED", 50)
     try:
         table = frame(spark, docs).repartition(parts * 2)
         assert found(remove_repeats(table)) == brute(docs)
