@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from histkit.llm.common import ceil_div, whole_texts
 
 SEGMENT = 64
-BLOCK = 16
+BLOCK = 4
 #: Share of an item's BM25 weight that a passage must have to be retrieved.
 THRESHOLD = 0.5
 K1, B = 1.2, 0.75
