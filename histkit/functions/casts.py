@@ -32,6 +32,19 @@ def date_as_timestamp(col: Column, target: str = "timestamp", on_error: str = FA
     return cast_to(col, "date", on_error=on_error).cast(target)
 
 
+def zone_free(col: Column, source: T.DataType) -> Column:
+    """A ``timestamp`` as the date and time it has in UTC, whatever the session time zone; other types as they are.
+
+    Text, days and months of a ``timestamp`` follow the session, so two times in
+    the hour that clocks repeat look equal. Keys, hashes, parts and watermarks
+    are made from this instead.
+    """
+    if not isinstance(source, T.TimestampType):
+        return col
+    seconds = (F.unix_micros(col) / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def type_name(col: Column) -> Column:
     """SQL type name of a value."""
     return F.typeof(col)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .casts import zone_free
+
 NULL_MARK = "-"
 
 
@@ -23,7 +25,7 @@ def _as_text(name: str, data_type: T.DataType) -> Column:
         return (col + F.lit(0.0)).cast("string")
     if isinstance(data_type, (T.VariantType, T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(col)
-    return col.cast("string")
+    return zone_free(col, data_type).cast("string")
 
 
 def row_hash(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
@@ -40,7 +42,11 @@ def row_hash(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def surrogate_key(*columns: str) -> Column:
-    """MD5 of the parts as text, NULL as the empty string, joined by ``-``."""
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]
+def surrogate_key(df: DataFrame, *columns: str) -> Column:
+    """MD5 of columns of ``df`` as text, NULL as the empty string, joined by ``-``.
+
+    Times enter as in UTC, so a key does not depend on the session.
+    """
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
+    parts = [F.coalesce(zone_free(F.col(f"`{c}`"), types[c.lower()]).cast("string"), F.lit("")) for c in columns]
     return F.md5(F.concat_ws("-", *parts))

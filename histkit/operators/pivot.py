@@ -21,6 +21,8 @@ HEADER = (("deleted", "string"), ("id", "bigint"), ("lastUpdated", "timestamp_nt
 KEYS = tuple(name for name, _ in HEADER)
 
 FIELD_LIST = "array<struct<name: string, type: string, value: variant>>"
+# kinds as ``infer_fields`` sees them; text comes first, so that a range tells text from mixed values
+SEEN = ("str", "ts", "label", "id", "num", "var")
 # what the pivot reads of it
 NAMED_VALUES = "array<struct<name: string, value: variant>>"
 
@@ -60,7 +62,8 @@ def pivot_attributes(
     values the largest wins. Replays of a version need no DISTINCT first: a
     maximum does not change when a value is seen again.
     """
-    wide = _by_name(df).select(
+    # the narrow rows are shuffled; the wide ones are sorted and aggregated where they are made
+    wide = _by_name(df).repartition(*KEYS).select(
         *KEYS,
         *[
             field_value(F.col("values"), kind, f"$['{name}']", timestamp_format, on_error).alias(name)
@@ -80,39 +83,46 @@ def infer_fields(df: DataFrame) -> DataFrame:
 
     Takes the frame of ``scan_attributes``. A value with a label is a
     ``label``, another object with an id an ``id``; lists, other objects and
-    mixed values are ``var``; text that always reads as a time is ``ts``.
+    mixed values are ``var``; text that always reads as a time is ``ts``. A
+    document counts as often as it landed.
     """
     names = F.transform("fields", lambda f: f["name"])
+    # only a document that repeats a name has to look for its first place
+    plain = F.size(F.array_distinct("names")) == F.size("names")
     marked = F.transform(
         "fields",
         lambda f, i: F.struct(
             f["name"].alias("name"),
             f["value"].alias("value"),
-            (F.array_position(F.col("names"), f["name"]) == i + 1).alias("first"),
+            (F.col("plain") | (F.array_position(F.col("names"), f["name"]) == i + 1)).alias("first"),
         ),
     )
     rows = (
         df.select("fields", names.alias("names"))
+        .withColumn("plain", plain)
         .select(F.explode(marked).alias("f"))
         .select("f.name", "f.value", "f.first")
         .where("name IS NOT NULL")
     )
+    number = {kind: F.lit(i) for i, kind in enumerate(SEEN)}
     shape = F.schema_of_variant("value")
     text = F.try_variant_get(F.col("value"), "$", "string")
     seen = (
         F.when(shape.isNull() | (shape == "VOID"), F.lit(None))
-        .when(F.try_variant_get(F.col("value"), FIELD_KINDS["label"][0], "string").isNotNull(), "label")
-        .when(F.try_variant_get(F.col("value"), "$.id", "decimal(38,0)").isNotNull(), "id")
-        .when(shape.startswith("ARRAY") | shape.startswith("OBJECT"), "var")
-        .when(shape == "STRING", F.when(F.try_to_timestamp(text).isNotNull(), "ts").otherwise("str"))
-        .when(shape == "BOOLEAN", "str")
-        .otherwise("num")
+        .when(F.try_variant_get(F.col("value"), FIELD_KINDS["label"][0], "string").isNotNull(), number["label"])
+        .when(F.try_variant_get(F.col("value"), "$.id", "decimal(38,0)").isNotNull(), number["id"])
+        .when(shape.startswith("ARRAY") | shape.startswith("OBJECT"), number["var"])
+        .when(shape == "STRING", F.when(F.try_to_timestamp(text).isNotNull(), number["ts"]).otherwise(number["str"]))
+        .when(shape == "BOOLEAN", number["str"])
+        .otherwise(number["num"])
     )
+    # numbers, as the least and largest text could not be had without sorting all attributes
     low, high = F.min("seen"), F.max("seen")
     kind = (
-        F.when(low == high, low)
-        .when(low.isin("str", "ts") & high.isin("str", "ts"), "str")
-        .otherwise(F.coalesce(F.when(low.isNotNull(), F.lit("var")), F.lit("str")))
+        F.when(low.isNull(), "str")
+        .when(low == high, F.get(F.array(*[F.lit(k) for k in SEEN]), low))
+        .when(high <= SEEN.index("ts"), "str")
+        .otherwise("var")
     )
     return (
         rows.select("name", "first", seen.alias("seen"))

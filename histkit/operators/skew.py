@@ -16,55 +16,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import stage
+
+#: What one task may hold of a key, as rows and as bytes of the row's type.
 TASK_ROWS = 2_000_000
+TASK_BYTES = 512 << 20
 SMALL_ROWS = 200_000
 
 
 @dataclass(frozen=True)
 class KeyProfile:
-    """Row count of a frame and the keys with more than ``limit`` rows."""
+    """Row count of a frame and the keys with more than ``limit`` rows, as a frame (_hot, n)."""
 
     rows: int
     limit: int
-    hot: tuple = ()
+    hot: DataFrame | None = None
+    n_hot: int = 0
     hot_rows: int = 0
-    null_is_hot: bool = False
-
-    def is_hot(self, key: Column) -> Column:
-        listed = key.isin(list(self.hot))
-        return listed | key.isNull() if self.null_is_hot else listed
 
-    def is_light(self, key: Column) -> Column:
-        """The opposite, NULL included; both are plain enough to reach the scan."""
-        others = ~key.isin(list(self.hot))
-        return others & key.isNotNull() if self.null_is_hot else others | key.isNull()
+    def rows_of(self, df: DataFrame, key: str, hot: bool) -> DataFrame:
+        """The rows of ``df`` with a hot key, or all others. NULL is a key like any other."""
+        keys = if_small(self.hot.select("_hot"), self.n_hot)
+        return df.join(keys, F.col(key).eqNullSafe(F.col("_hot")), "left_semi" if hot else "left_anti")
 
     @property
     def any_hot(self) -> bool:
-        return bool(self.hot) or self.null_is_hot
+        return self.n_hot > 0
+
 
+def task_limit(df: DataFrame) -> int:
+    """Rows of ``df`` that a task may hold of one key; a wide row counts for more."""
+    return max(1, min(TASK_ROWS, TASK_BYTES // max(1, df._jdf.schema().defaultSize())))
 
-def profile_keys(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> KeyProfile:
+
+def profile_keys(df: DataFrame, key: str, task_rows: int | None = None) -> KeyProfile:
     """Count rows and find hot keys.
 
-    A key is hot above both ``task_rows`` and the average size of a shuffle
-    partition, so there are fewer hot keys than shuffle partitions and the
-    list that reaches the driver is bounded by that setting. A frame no larger
-    than one task has none and costs only the count.
+    A key is hot if it has more rows than one task may hold, however many rows
+    or shuffle partitions there are. Hot keys are kept as a table, for there may
+    be as many as tasks. A frame no larger than the limit has none and costs only
+    the count.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = task_rows or task_limit(df)
     rows = df.count()
-    limit = max(task_rows, rows // parts)
     if rows <= limit:
         return KeyProfile(rows, limit)
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).collect()
-    return KeyProfile(
-        rows,
-        limit,
-        tuple(r[0] for r in hot if r[0] is not None),
-        sum(r["n"] for r in hot),
-        any(r[0] is None for r in hot),
-    )
+    counted = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    hot = stage(counted)
+    n_hot, hot_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return KeyProfile(rows, limit, hot, n_hot, hot_rows)
 
 
 def if_small(df: DataFrame, rows: int, limit: int = SMALL_ROWS) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .skew import TASK_ROWS, KeyProfile, profile_keys, time_slices
+from .skew import KeyProfile, profile_keys, time_slices
 
 
 # A column of its own, because an expression would be computed anew for each
@@ -24,8 +24,10 @@ def _per_key(key: str, ts: str, ties: Sequence[str] = (), slices: Sequence[str]
     return Window.partitionBy(key, *slices).orderBy(UNDATED, ts, *ties)
 
 
-def _first_copy(df: DataFrame, key: str, ts: str, order: Sequence[str | Column]) -> DataFrame:
-    w = Window.partitionBy(key, UNDATED, ts).orderBy(*order)
+def _first_copy(
+    df: DataFrame, key: str, ts: str, order: Sequence[str | Column], slices: Sequence[str] = ()
+) -> DataFrame:
+    w = Window.partitionBy(key, *slices, UNDATED, ts).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
@@ -87,9 +89,10 @@ def _fold_hot(
     is compared with the last hash of the key's slice before it, and only
     these first rows, one per slice, meet in one task per key.
     """
-    rows = _dated(time_slices(df, key, ts, profile), ts)
+    # a slice holds all copies of its times, so one shuffle serves dedupe and comparison
+    rows = _dated(time_slices(df, key, ts, profile).repartition(key, "_slice"), ts)
     if order is not None:
-        rows = _first_copy(rows, key, ts, order)
+        rows = _first_copy(rows, key, ts, order, ["_slice"])
     ties = [row_hash] if order is None else []
     piece = _per_key(key, ts, ties, ["_slice"])
     whole = piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -114,7 +117,7 @@ def change_history(
     order: Sequence[str | Column] | None = None,
     row_hash: str = "row_hash",
     profile: KeyProfile | None = None,
-    task_rows: int = TASK_ROWS,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Versions that differ from the version before them.
 
@@ -125,13 +128,13 @@ def change_history(
     profile = profile or profile_keys(df, key, task_rows)
     if not profile.any_hot:
         return _fold(df, key, ts, row_hash, order)
-    light = _fold(df.where(profile.is_light(F.col(key))), key, ts, row_hash, order)
-    hot = _fold_hot(df.where(profile.is_hot(F.col(key))), key, ts, row_hash, order, profile)
+    light = _fold(profile.rows_of(df, key, hot=False), key, ts, row_hash, order)
+    hot = _fold_hot(profile.rows_of(df, key, hot=True), key, ts, row_hash, order, profile)
     return light.unionByName(hot)
 
 
 def compact_changes(
-    df: DataFrame, key: str, ts: str, row_hash: str = "row_hash", task_rows: int = TASK_ROWS
+    df: DataFrame, key: str, ts: str, row_hash: str = "row_hash", task_rows: int | None = None
 ) -> DataFrame:
     """Change compaction of rows that are already unique per (key, time)."""
     return change_history(df, key, ts, None, row_hash, task_rows=task_rows)

@@ -1,7 +1,7 @@
 """High-water marks of incremental loads.
 
-A mark travels as text in the session time zone and goes back in as a literal
-of the filtered column's own type, so the comparison needs no cast on the
+A mark travels as text in UTC and goes back in as a literal of the filtered
+column's own type, so the comparison needs no cast on the
 column and reaches the Parquet scan and partition pruning.
 """
 
@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.casts import zone_free
 
 DAY, EXACT = "day", None
 
@@ -19,14 +22,22 @@ def _grain(col: Column, grain: str | None) -> Column:
 
 def current_watermark(target: DataFrame, column: str, grain: str | None = DAY) -> str | None:
     """Newest load time of ``target``, cut to the day by default; None if it has none."""
-    return target.agg(_grain(F.max(column), grain).cast("string")).first()[0]
+    newest = zone_free(F.max(column), target.schema[column].dataType)
+    return target.agg(_grain(newest, grain).cast("string")).first()[0]
+
+
+def mark_literal(watermark: str, target: T.DataType) -> Column:
+    """A mark as a literal of type ``target``."""
+    if isinstance(target, T.TimestampType):
+        watermark = f"{watermark} 00:00:00Z" if len(watermark) == 10 else f"{watermark}Z"
+    return F.lit(watermark).cast(target)
 
 
 def watermark_filter(df: DataFrame, column: str, watermark: str | None) -> DataFrame:
     """Rows loaded at or after the mark. No mark means a first run: all rows."""
     if watermark is None:
         return df
-    return df.where(F.col(column) >= F.lit(watermark).cast(df.schema[column].dataType))
+    return df.where(F.col(column) >= mark_literal(watermark, df.schema[column].dataType))
 
 
 def watermark_subquery(df: DataFrame, column: str, target: DataFrame, target_column: str, grain: str | None = DAY):
@@ -35,5 +46,10 @@ def watermark_subquery(df: DataFrame, column: str, target: DataFrame, target_col
     Without a first job, but the scan cannot prune by a value it does not know
     yet, and an empty target keeps nothing.
     """
-    mark = target.agg(_grain(F.max(target_column), grain).alias("mark"))
-    return df.where(F.col(column) >= mark.scalar().cast(df.schema[column].dataType))
+    newest = zone_free(F.max(target_column), target.schema[target_column].dataType)
+    mark = target.agg(_grain(newest, grain).cast("timestamp_ntz").alias("mark")).scalar()
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), mark)
+        return df.where(F.col(column) >= F.timestamp_micros(micros))
+    return df.where(F.col(column) >= mark.cast(kind))

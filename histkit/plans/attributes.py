@@ -10,6 +10,7 @@ from ..operators.pivot import KEYS, NAMED_VALUES, infer_fields, pivot_attributes
 from ..operators.versions import anti_rows
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_attributes
+from ..sources.tables import stage
 from .history import HASH, LOADED, of_keys
 from .specs import AttributeSpec
 
@@ -30,13 +31,13 @@ def attribute_pivot(
     if target is not None and watermark is None:
         watermark = current_watermark(target, LOADED, grain=None)
     batch = watermark_filter(source, spec.loaded, watermark)
-    documents = scan_attributes(batch, spec.payload, spec.on_error, NAMED_VALUES)
+    documents = scan_attributes(batch, spec.payload, spec.on_error, NAMED_VALUES, spec.timestamp_format)
     wide = pivot_attributes(documents, spec.fields, spec.timestamp_format, spec.on_error)
     wide = wide.withColumn(HASH, row_hash(wide, [*KEYS, *spec.fields]))
     if target is not None:
-        # of a large target only the rows with an id of the batch can match
-        ids = scan_attributes(batch, spec.payload, spec.on_error, None).select("id")
-        known = of_keys(target.select("id", HASH), ids, "id", batch.count())
+        # the documents are read once; of a large target only the rows with an id of the batch can match
+        wide = stage(wide)
+        known = of_keys(target.select("id", HASH), wide, "id", wide.count())
         wide = anti_rows(wide, known, ["id", HASH])
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts)
     return wide.select(*KEYS, *[f"`{n}`" for n in spec.fields], HASH, stamp.cast(spec.time_type).alias(LOADED))
@@ -44,6 +45,6 @@ def attribute_pivot(
 
 def infer_spec(spec: AttributeSpec, source: DataFrame) -> AttributeSpec:
     """``spec`` with the fields found in the documents (D5); one row per field reaches the driver."""
-    found = infer_fields(scan_attributes(source, spec.payload, spec.on_error))
+    found = infer_fields(scan_attributes(source, spec.payload, spec.on_error, timestamp_format=spec.timestamp_format))
     kinds = {r["name"]: r["kind"] for r in found.orderBy("name").collect()}
     return spec.with_(fields=kinds)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from ..functions.casts import cast_to, effective_time
 from ..functions.documents import as_document, canonical_json, json_get
 from ..functions.hashing import row_hash, surrogate_key
-from ..operators.skew import TASK_ROWS, profile_keys
+from ..operators.skew import profile_keys
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_cdc
+from ..sources.tables import stage
 from .history import HASH, LOADED, REFERENCE, TIME, changes
 from .specs import CdcSpec, Column
 
@@ -51,7 +52,7 @@ def cdc_rows(spec: CdcSpec, source: DataFrame) -> DataFrame:
 def finish_cdc(spec: CdcSpec, rows: DataFrame) -> DataFrame:
     """Surrogate key and column order."""
     names = [f"`{c.name}`" for c in spec.columns]
-    return rows.select(surrogate_key(spec.key, TIME).alias(spec.unique_key), *names, LOADED, DELETED, TIME, HASH)
+    return rows.select(surrogate_key(rows, spec.key, TIME).alias(spec.unique_key), *names, LOADED, DELETED, TIME, HASH)
 
 
 def cdc_history(
@@ -60,7 +61,7 @@ def cdc_history(
     target: DataFrame | None = None,
     mode: str = REFERENCE,
     watermark: str | None = None,
-    task_rows: int = TASK_ROWS,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """History rows of a change log, or with ``target`` the rows to upsert into it.
 
@@ -75,4 +76,7 @@ def cdc_history(
     rows = cdc_rows(spec, watermark_filter(source, spec.loaded, watermark))
     stored = target if watermark is not None else None
     profile = profile_keys(rows, spec.key, task_rows)
+    if profile.any_hot:
+        # hot keys take several passes; read the source once for all of them
+        rows = stage(rows)
     return finish_cdc(spec, changes(rows, spec.key, LOADED, stored, mode, profile=profile))

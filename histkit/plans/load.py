@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,12 @@ from ..operators.watermark import watermark_filter
 from ..sources.tables import HistoryTable, stage
 from .attributes import attribute_pivot
 from .cdc import cdc_history, cdc_rows, finish_cdc
-from .history import CONSISTENT, HASH, LOADED, REFERENCE, TIME, changes, first_versions, rebuild_tails, tails
-from .snapshots import finish_snapshots, json_history, snapshot_rows, stored_rows
+from .history import CONSISTENT, HASH, LOADED, REFERENCE, TIME, changes, first_versions, of_keys, rebuild_tails, tails
+from .snapshots import IN_ROW, finish_snapshots, json_history, snapshot_rows, stored_rows
 from .specs import AttributeSpec, CdcSpec, SnapshotSpec
 
+HEADER_TIME = "lastUpdated"
+
 
 def load(
     spec: CdcSpec | SnapshotSpec | AttributeSpec,
@@ -23,12 +27,17 @@ def load(
     mode: str = REFERENCE,
     full_refresh: bool = False,
     log: HistoryTable | None = None,
+    carry_all: bool = True,
+    children: str = IN_ROW,
+    task_rows: int | None = None,
 ) -> None:
     """Fold new raw rows into ``table``, creating it on the first run.
 
     The first run, a full refresh, and a table without any load time take the
-    whole source. The batch is staged once, so that a lost executor or a retry
-    does not read the source again. ``mode="consistent"`` with a ``log`` table
+    whole source. The changed rows are staged before the table is touched.
+    ``carry_all`` and ``children`` are those of ``json_history``, ``task_rows``
+    is the share of a key that one task may hold; an attribute table is cut into
+    periods of ``lastUpdated`` unless ``table`` names another column. ``mode="consistent"`` with a ``log`` table
     keeps every version of a change log, uncompacted, and rebuilds from it; the
     result then equals a full rebuild in any arrival order.
     """
@@ -36,15 +45,21 @@ def load(
         return _load_attributes(spec, source, table, run_ts, full_refresh)
     if log is not None and (mode != CONSISTENT or not isinstance(spec, CdcSpec)):
         raise ValueError("a log belongs to the consistent mode of a change log")
+    options = {"task_rows": task_rows}
+    if isinstance(spec, SnapshotSpec):
+        options |= {"carry_all": carry_all, "children": children}
     watermark = None if full_refresh or not table.exists() else table.watermark()
+    if watermark is not None and log is not None:
+        # the compacted table stays behind where nothing changed
+        watermark = log.watermark() if log.exists() else None
     if watermark is None and log is not None:
         log.replace(_versions(spec, source))
         return table.replace(finish_cdc(spec, changes(log.read(), spec.key, LOADED)))
     if watermark is None:
-        return table.replace(_history(spec, source, run_ts))
+        return table.replace(_history(spec, source, run_ts, **options))
     if mode == CONSISTENT:
         return load_rows(spec, watermark_filter(source, spec.loaded, watermark), table, run_ts, log)
-    batch = stage(_history(spec, source, run_ts, table.read(), watermark))
+    batch = stage(_history(spec, source, run_ts, table.read(), watermark, **options))
     table.upsert(batch, spec.unique_key)
 
 
@@ -72,7 +87,9 @@ def load_rows(
     if log is None:
         wide = rebuild_tails(stored.select(*rows.columns), firsts, spec.key, landed, n, rows)
     else:
-        known = log.read().select(F.col(spec.key).alias("_key"), F.col(TIME).alias("_time"))
+        # of the log only the batch's keys, which are broadcast if there are few
+        known = of_keys(log.read().select(spec.key, TIME), rows, spec.key, n)
+        known = known.select(F.col(spec.key).alias("_key"), F.col(TIME).alias("_time"))
         same = F.col(spec.key).eqNullSafe(F.col("_key")) & F.col(TIME).eqNullSafe(F.col("_time"))
         log.append(stage(rows.join(known, same, "left_anti")))
         wide = rebuild_tails(log.read(), firsts, spec.key, landed, n)
@@ -83,10 +100,10 @@ def load_rows(
     table.upsert(stage(added), spec.unique_key, stage(removed.select(spec.unique_key, TIME)))
 
 
-def _history(spec, source, run_ts, target=None, watermark=None) -> DataFrame:
+def _history(spec, source, run_ts, target=None, watermark=None, **options) -> DataFrame:
     if isinstance(spec, CdcSpec):
-        return cdc_history(spec, source, target, watermark=watermark)
-    return json_history(spec, source, target, run_ts, watermark=watermark)
+        return cdc_history(spec, source, target, watermark=watermark, **options)
+    return json_history(spec, source, target, run_ts, watermark=watermark, **options)
 
 
 def _versions(spec: CdcSpec, source: DataFrame) -> DataFrame:
@@ -96,6 +113,8 @@ def _versions(spec: CdcSpec, source: DataFrame) -> DataFrame:
 
 def _load_attributes(spec, source, table, run_ts, full_refresh) -> None:
     """Attribute tables are rebuilt on a full refresh and appended to otherwise."""
+    if table.time == TIME:  # attribute rows have no such column
+        table = replace(table, time=HEADER_TIME)
     watermark = None if full_refresh or not table.exists() else table.watermark(day=False)
     if watermark is None:
         return table.replace(attribute_pivot(spec, source, run_ts=run_ts))

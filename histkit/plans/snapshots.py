@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.documents import json_get, member_path
 from ..functions.hashing import row_hash, surrogate_key
 from ..operators.children import child_columns, child_list, lateral_left
-from ..operators.skew import TASK_ROWS, profile_keys
+from ..operators.skew import profile_keys
 from ..operators.versions import change_history, dedupe_versions
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_json
@@ -92,7 +92,7 @@ def finish_snapshots(spec: SnapshotSpec, rows: DataFrame, run_ts: str | None) ->
     """Surrogate key, load time of this run, column order."""
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts)
     return rows.select(
-        surrogate_key(spec.key, TIME).alias(spec.unique_key),
+        surrogate_key(rows, spec.key, TIME).alias(spec.unique_key),
         *output_columns(spec),
         TIME,
         HASH,
@@ -109,7 +109,7 @@ def json_history(
     watermark: str | None = None,
     carry_all: bool = True,
     children: str = IN_ROW,
-    task_rows: int = TASK_ROWS,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """History rows of snapshots, or with ``target`` the rows to upsert into it.
 

@@ -2,7 +2,7 @@
 
 from .catalog import SOURCES, Source, read_source
 from .scans import scan_attributes, scan_cdc, scan_json
-from .tables import HistoryTable, merge_into, shared_folder, stage, upsert
+from .tables import HistoryTable, merge_into, remove_staged, shared_folder, stage, upsert
 
 __all__ = [
     "HistoryTable",
@@ -10,6 +10,7 @@ __all__ = [
     "Source",
     "merge_into",
     "read_source",
+    "remove_staged",
     "scan_attributes",
     "scan_cdc",
     "scan_json",

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import FAIL
-from ..functions.documents import as_document, json_get, read_members
+from ..functions.documents import as_document, field_value, json_get, read_members
 from ..operators.pivot import FIELD_LIST, HEADER
 
+TIMES = "timestamp_ntz"
 PAYLOAD, LOADED = "raw_data", "raw_inserted_timestamp"
 
 
@@ -37,17 +38,31 @@ def scan_json(
 
 
 def scan_attributes(
-    df: DataFrame, payload: str = PAYLOAD, on_error: str = FAIL, fields: str | None = FIELD_LIST
+    df: DataFrame,
+    payload: str = PAYLOAD,
+    on_error: str = FAIL,
+    fields: str | None = FIELD_LIST,
+    timestamp_format: str | None = None,
 ) -> DataFrame:
     """Attribute-list documents: header columns and the ``fields`` list.
 
     ``fields`` is the type the list is read as; None leaves it out. No filter
     on the list here: pushed below the projection it would parse the document
     a second time. The operators that follow drop documents without attributes.
+
+    The header's time is read with ``timestamp_format`` like those of the
+    fields. It tells versions of a document apart, so one that is there and
+    cannot be read raises, with ``on_error="null"`` too.
     """
     members = {name: "variant" for name, _ in HEADER} | ({"fields": fields} if fields else {})
     document = read_members(F.col(payload), df.schema[payload].dataType, members, on_error)
-    cols = [json_get(F.col("document")[name], "$", kind, on_error=on_error).alias(name) for name, kind in HEADER]
+    cols = []
+    for name, kind in HEADER:
+        value = F.col("document")[name]
+        if kind == TIMES:
+            cols.append(field_value(value, "ts", "$", timestamp_format).alias(name))
+        else:
+            cols.append(json_get(value, "$", kind, on_error=on_error).alias(name))
     if fields:
         cols.append(F.col("document")["fields"].alias("fields"))
     return df.select(document.alias("document")).select(*cols)

@@ -2,10 +2,14 @@
 
 Plain Parquet has no atomic upsert, so a table is a set of immutable part
 directories and a manifest that names the current ones. A load writes new
-directories for the parts it touches and then adds one manifest file, which is
-the switch: a lost job leaves the table as it was, and readers never see a
-directory change. Parts are periods of the effective time, so an upsert
-rewrites the periods its rows fall in, not the table. One writer at a time.
+directories for the parts it touches and then adds one manifest folder, whose
+success mark is the switch: a lost job leaves the table as it was, and readers
+never see a directory change. Only the newest manifest is read. Parts are periods
+of the effective time, so an upsert rewrites the periods its rows fall in, not
+the table. Appends add small entries; eight of a part become one, and eight of
+those one again, so the manifest grows with the periods and the logarithm of the
+loads. ``remove_unused`` deletes what no manifest needs any more. One writer at
+a time.
 
 Catalogs with row-level operations do not need this; see ``merge_into``.
 """
@@ -13,18 +17,23 @@ Catalogs with row-level operations do not need this; see ``merge_into``.
 from __future__ import annotations
 
 import json
+import re
 import tempfile
+import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import zone_free
+
 PART = "history_part"
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
-MANIFEST = "version bigint, part string, path string, watermark string, table_schema string"
+MANIFEST = "part string, path string, watermark string, level int, table_schema string"
+#: So many entries of a part that were folded equally often are folded into one.
+FOLD = 8
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -68,6 +77,7 @@ class Entry:
     part: str
     path: str
     watermark: str | None
+    level: int = 0
 
 
 @dataclass(frozen=True)
@@ -82,21 +92,33 @@ class HistoryTable:
 
     # reading
 
+    def _folder(self, name: str):
+        """Spark's file system for a folder of the table, and the folder's path."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _versions(self) -> list[int]:
+        """Committed versions, oldest first; a commit that was lost on the way has no success mark."""
+        fs, path = self._folder("manifest")
+        if not fs.exists(path):
+            return []
+        found = [f.getPath() for f in fs.listStatus(path) if f.isDirectory()]
+        done = [p.getName() for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return sorted(int(name) for name in done)
+
+    def _manifest(self, version: int) -> tuple[list[Entry], T.StructType]:
+        rows = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest/{version:012d}").collect()
+        schema = next(r["table_schema"] for r in rows if r["table_schema"])
+        entries = [Entry(r["part"], r["path"], r["watermark"], r["level"]) for r in rows if r["part"]]
+        return entries, T.StructType.fromJson(json.loads(schema))
+
     def _snapshot(self) -> tuple[int, list[Entry], T.StructType | None]:
         """Current version, its parts and its schema; bounded by the number of parts."""
-        try:
-            manifest = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return 0, [], None
-            raise
-        latest = manifest.groupBy("version").agg(F.collect_list(F.struct("*")).alias("rows"))
-        version, rows = latest.orderBy(F.desc("version")).first()
-        schema = T.StructType.fromJson(json.loads(rows[0]["table_schema"]))
-        return version, [Entry(r["part"], r["path"], r["watermark"]) for r in rows if r["part"]], schema
+        versions = self._versions()
+        return (versions[-1], *self._manifest(versions[-1])) if versions else (0, [], None)
 
     def exists(self) -> bool:
-        return self._snapshot()[0] > 0
+        return bool(self._versions())
 
     def _read(self, entries: list[Entry], schema: T.StructType) -> DataFrame:
         if not entries:
@@ -117,29 +139,47 @@ class HistoryTable:
 
     # writing
 
-    def _part(self) -> Column:
+    def _part(self, df: DataFrame) -> Column:
         if self.time is None:
             return F.lit("all")
+        time = zone_free(F.col(self.time), df.schema[self.time].dataType)
         # the letter keeps the value from being read back as a date
-        return F.coalesce(F.concat(F.lit("p"), F.date_format(self.time, GRAINS[self.grain])), F.lit("none"))
+        return F.coalesce(F.concat(F.lit("p"), F.date_format(time, GRAINS[self.grain])), F.lit("none"))
 
-    def _write(self, df: DataFrame) -> list[Entry]:
+    def _write(self, df: DataFrame, level: int = 0) -> list[Entry]:
         """Write ``df`` by part; returns the new entries with their newest load time."""
         folder = f"data/{uuid.uuid4().hex}"
         # rebalance joins small outputs of a part and splits large ones
-        rows = df.withColumn(PART, self._part()).hint("rebalance", F.col(PART))
+        rows = df.withColumn(PART, self._part(df)).hint("rebalance", F.col(PART))
         rows.write.partitionBy(PART).parquet(f"{self.path}/{folder}")
-        loaded = F.max(self.loaded) if self.loaded in df.columns else F.lit(None)
+        loaded = F.lit(None)
+        if self.loaded in df.columns:
+            loaded = zone_free(F.max(self.loaded), df.schema[self.loaded].dataType)
         # one width for all marks, so that text order is time order
         mark = F.date_format(loaded, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         schema = T.StructType([*df.schema.fields, T.StructField(PART, T.StringType())])
         parts = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}").groupBy(PART).agg(mark.alias("mark"))
-        return [Entry(r[PART], f"{folder}/{PART}={r[PART]}", r["mark"]) for r in parts.collect()]
+        return [Entry(r[PART], f"{folder}/{PART}={r[PART]}", r["mark"], level) for r in parts.collect()]
 
     def _commit(self, version: int, entries: list[Entry], schema: T.StructType) -> None:
-        rows = [(version, e.part, e.path, e.watermark, schema.json()) for e in entries]
-        rows = rows or [(version, None, None, None, schema.json())]
-        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        rows = [(e.part, e.path, e.watermark, e.level, None) for e in entries]
+        rows.append((None, None, None, None, schema.json()))
+        # a folder of this version without a success mark is what a lost commit left
+        folder = f"{self.path}/manifest/{version:012d}"
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(folder)
+
+    def _folded(self, entries: list[Entry], schema: T.StructType) -> list[Entry]:
+        """``entries`` with eight of one part and level written as one of the next level."""
+        while True:
+            groups: dict[tuple, list[Entry]] = {}
+            for e in entries:
+                groups.setdefault((e.part, e.level), []).append(e)
+            full = [g for g in groups.values() if len(g) >= FOLD]
+            if not full:
+                return entries
+            for group in full:
+                merged = self._write(self._read(group, schema), group[0].level + 1)
+                entries = [e for e in entries if e not in group] + merged
 
     def replace(self, df: DataFrame) -> None:
         """Full refresh (S5). Earlier versions stay on disk until they are cleaned up."""
@@ -147,10 +187,11 @@ class HistoryTable:
         self._commit(version + 1, self._write(df), df.schema)
 
     def append(self, batch: DataFrame) -> None:
-        """Add rows; writes nothing but them."""
+        """Add rows; from time to time small entries of a part are written together."""
         version, entries, schema = self._snapshot()
         batch = batch.select(*schema.names) if schema else batch
-        self._commit(version + 1, entries + self._write(batch), schema or batch.schema)
+        schema = schema or batch.schema
+        self._commit(version + 1, self._folded(entries + self._write(batch), schema), schema)
 
     def upsert(self, batch: DataFrame, key: str, removed: DataFrame | None = None) -> None:
         """Replace or add rows by ``key`` and drop the keys of ``removed``.
@@ -163,11 +204,42 @@ class HistoryTable:
         if not version:
             return self.replace(batch)
         batch = batch.select(*schema.names)
-        gone = batch.select(key, self._part().alias(PART))
+        gone = batch.select(key, self._part(batch).alias(PART))
         if removed is not None:
-            gone = gone.unionByName(removed.select(key, self._part().alias(PART)))
+            gone = gone.unionByName(removed.select(key, self._part(removed).alias(PART)))
         touched = {r[0] for r in gone.select(PART).distinct().collect()}
         old = self._read([e for e in entries if e.part in touched], schema)
         merged = old.join(gone.select(key), key, "left_anti").unionByName(batch)
         kept = [e for e in entries if e.part not in touched]
         self._commit(version + 1, kept + self._write(merged), schema)
+
+    # cleaning up
+
+    def remove_unused(self, older_than: float) -> int:
+        """Delete data folders and manifests that the newest version does not need.
+
+        Only what was last changed more than ``older_than`` seconds ago goes, so
+        leave time for readers of earlier versions and for a load that runs now.
+        Returns how many folders were deleted.
+        """
+        version, entries, _ = self._snapshot()
+        if not version:
+            return 0
+        needed = {e.path.split("/")[1] for e in entries} | {f"{version:012d}"}
+        folders = [self._folder("data"), self._folder("manifest")]
+        return sum(_drop_old(fs, path, needed, older_than) for fs, path in folders if fs.exists(path))
+
+
+def _drop_old(fs, path, needed: set[str], older_than: float) -> int:
+    before = (time.time() - older_than) * 1000
+    old = [f.getPath() for f in fs.listStatus(path) if f.getModificationTime() < before]
+    return sum(fs.delete(p, True) for p in old if p.getName() not in needed)
+
+
+def remove_staged(spark: SparkSession, older_than: float) -> int:
+    """Delete staged batches below ``spark.checkpoint.dir`` last changed more than ``older_than`` seconds ago."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark)).getParent()
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    others = {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
+    foreign = {name for name in others if not re.fullmatch("[0-9a-f]{32}", name)}
+    return _drop_old(fs, path, foreign, older_than) if others else 0

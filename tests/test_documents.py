@@ -268,3 +268,18 @@ def test_consistent_snapshot_loads_equal_a_full_rebuild(spark, tmp_path):
     assert sorted(stored.drop("etl_updated_timestamp").collect()) == sorted(full.collect())
     stamps = {(r["id"], r["name"]): r["etl_updated_timestamp"].day for r in stored.collect()}
     assert stamps == {("a", "x"): 1, ("b", "x"): 1, ("a", "y"): 2, ("a", "z"): 2}
+
+
+def test_header_times_in_the_fields_format(spark):
+    """Two versions of one id with 12-hour times stay two; an unread time raises in either mode."""
+    spec = AttributeSpec("t", ("t", "t"), {"name": "str", "at": "ts"}, time_type="timestamp_ntz")
+    docs = [
+        doc(1, ("name", "a"), ("at", "2024-01-01 09:00 AM"), updated="2024-01-01 01:00 AM"),
+        doc(1, ("name", "b"), ("at", "2024-01-01 09:00 PM"), updated="2024-01-01 01:00 PM"),
+    ]
+    clock = spec.with_(timestamp_format="yyyy-MM-dd hh:mm a")
+    for mode in ("fail", "null"):
+        out = attribute_pivot(clock.with_(on_error=mode), landed(spark, docs), run_ts="2024-02-01").collect()
+        assert sorted((r["lastUpdated"].hour, r["name"], r["at"].hour) for r in out) == [(1, "a", 9), (13, "b", 21)]
+        with pytest.raises(Exception, match="INVALID_VARIANT_CAST|CANNOT_PARSE"):
+            attribute_pivot(spec.with_(on_error=mode), landed(spark, docs[:1]), run_ts="2024-02-01").collect()

@@ -47,7 +47,7 @@ def test_row_hash_of_nested_and_variant_values(spark):
 
 def test_surrogate_key_treats_null_as_empty(spark):
     df = spark.createDataFrame([(None, "x"), ("", "x"), ("1", None)], "a string, b string")
-    keys = [r[0] for r in df.select(surrogate_key("a", "b")).collect()]
+    keys = [r[0] for r in df.select(surrogate_key(df, "a", "b")).collect()]
     assert keys[0] == keys[1] != keys[2]
     assert keys[2] == spark.sql("SELECT md5('1-')").first()[0]
 

@@ -38,9 +38,27 @@ def test_copies_are_dropped_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and count(text, "Exchange") == 1
 
 
-def test_pivot_aggregates_before_its_one_shuffle(spark):
+def test_pivot_shuffles_narrow_rows_and_sorts_once(spark):
     text = plan(ALL["attribute_pivot"].run(spark, SF))
-    assert "partial_max" in text and text.count("hashpartitioning") == 1
+    assert text.count("hashpartitioning") == 1 and count(text, "Sort") == 1
+
+
+def test_inferring_fields_sorts_nothing(spark):
+    text = plan(ALL["infer_fields"].run(spark, SF))
+    assert count(text, "Sort") == 0 and "HashAggregate" in text
+
+
+@pytest.mark.parametrize("partitions", [4, 8, 200])
+@pytest.mark.parametrize("name", ["history_hot_keys", "change_compaction_hot_keys"])
+def test_hot_keys_are_cut_in_every_session(spark, name, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        text = plan(ALL[name].run(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    hot = text[text.index("_slice") :]
+    assert "_slice" in text and hot.count("Exchange hashpartitioning") <= 4
 
 
 def test_incremental_reads_three_columns_of_the_target_and_broadcasts_the_batch_keys(spark):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from histkit.plans import AttributeSpec, load
-from histkit.sources import HistoryTable, merge_into, read_source, shared_folder, stage, upsert
+from histkit.sources import HistoryTable, merge_into, read_source, remove_staged, shared_folder, stage, tables, upsert
 from tests.test_documents import SPEC as ATTRIBUTES
 from tests.test_documents import doc, landed
 
@@ -82,6 +82,48 @@ def test_a_reader_keeps_its_version(spark, tmp_path):
     assert short(old) == [("a", 1)] and short(table.read()) == [("a", 2)]
 
 
+def test_a_failed_first_commit_is_no_table(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path))
+    os.makedirs(f"{tmp_path}/manifest/000000000001/_temporary")
+    assert not table.exists() and table.watermark() is None
+    with pytest.raises(ValueError):
+        table.read()
+    table.replace(frame(spark, ("a", 1, 1, 1)))
+    assert short(table.read()) == [("a", 1)]
+
+
+def test_many_small_appends_leave_a_small_manifest(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "FOLD", 3)
+    table = HistoryTable(spark, str(tmp_path))
+    for i in range(20):
+        table.append(frame(spark, (f"k{i}", i, 1 + i % 2, 1 + i)))
+    _, entries, _ = table._snapshot()
+    # two periods, at most two entries on each of the levels 0 to 2
+    assert len(entries) <= 12 and {e.level for e in entries} <= {0, 1, 2}
+    assert short(table.read()) == sorted((f"k{i}", i) for i in range(20))
+    assert table.watermark() == "2024-06-20"
+    assert table.spark.read.parquet(f"{tmp_path}/manifest/000000000020").count() == len(entries) + 1
+
+
+def test_unused_folders_are_removed_by_age(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path))
+    table.replace(frame(spark, ("a", 1, 1, 1)))
+    table.replace(frame(spark, ("a", 2, 1, 2)))
+    assert table.remove_unused(3600) == 0
+    assert table.remove_unused(-5) == 2  # a data folder and a manifest
+    assert short(table.read()) == [("a", 2)] and len(os.listdir(f"{tmp_path}/data")) == 1
+    assert HistoryTable(spark, f"{tmp_path}/none").remove_unused(0) == 0
+    stage(frame(spark, ("a", 1, 1, 1)))
+    assert remove_staged(spark, 24 * 3600) == 0
+
+
+def test_attribute_load_with_a_default_table(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path))
+    for day in (1, 3):
+        load(ATTRIBUTES, landed(spark, [doc(day, ("name", "x"))], day=day), table, run_ts=f"2024-01-0{day} 00:00:00")
+    assert sorted(r["id"] for r in table.read().collect()) == [1, 3]
+
+
 def test_empty_first_load(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     table.replace(frame(spark))

@@ -36,7 +36,9 @@ def _order_documents(spark, sf) -> DataFrame:
     """One document per order with its lines, in line order."""
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey",
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity").alias("line"),
+        F.struct(
+            "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", F.col("l_quantity").cast("bigint").alias("l_quantity")
+        ).alias("line"),
     )
     per_order = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
@@ -52,12 +54,12 @@ _FIRST_LINE = """(SELECT * FROM lineitem QUALIFY row_number() OVER (
 @QUERIES.add(f"""
     SELECT o_orderkey, l_partkey AS first_part,
            CASE WHEN l_partkey IS NOT NULL THEN '{{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey
-             || ',"l_quantity":' || CAST(CAST(l_quantity AS DECIMAL(18,1)) AS VARCHAR) || ',"l_returnflag":"'
+             || ',"l_quantity":' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ',"l_returnflag":"'
              || l_returnflag || '","l_suppkey":' || l_suppkey || '}}' END AS first_line
     FROM orders LEFT JOIN {_FIRST_LINE} f ON o_orderkey = l_orderkey""")
 def json_array_first(spark, sf):
     doc = F.col("doc")
-    first_line = F.regexp_replace(json_get(doc, "$.lines[0]", "string"), r'("l_quantity":\d+),', "$1.0,")
+    first_line = json_get(doc, "$.lines[0]", "string")
     return _order_documents(spark, sf).select(
         "o_orderkey", json_get(doc, "$.lines[0].l_partkey", "bigint").alias("first_part"), first_line.alias("first_line")
     )
@@ -345,20 +347,25 @@ def attribute_pivot_incremental(spark, sf):
         UNION ALL SELECT o_orderkey, o_orderdate, 'priority', '"' || o_orderpriority || '"' FROM orders
         UNION ALL SELECT o_orderkey, o_orderdate, 'orderdate',
             '"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"' FROM orders
+        UNION ALL SELECT o_orderkey, o_orderdate, 'total', regexp_replace(
+            CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '\.?0+$', '') FROM orders
+        UNION ALL SELECT o_orderkey, o_orderdate, 'absent', 'null' FROM orders
         UNION ALL SELECT o_orderkey, o_orderdate, 'detail', '{"a":[1,2],"z":' || o_custkey || '}' FROM orders
         UNION ALL SELECT o_orderkey, o_orderdate, 'order', CAST(o_orderkey AS VARCHAR) FROM orders) x""")
 def attribute_rows_distinct(spark, sf):
-    rows = attribute_rows(scan_attributes(_attribute_documents(spark, sf)))
-    return rows.where("name NOT IN ('total', 'absent')")
+    return attribute_rows(scan_attributes(_attribute_documents(spark, sf)))
+
+
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 @QUERIES.add("""
-    SELECT o_custkey, max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderstatus END) AS "1-URGENT",
-           max(CASE WHEN o_orderpriority = '5-LOW' THEN o_orderstatus END) AS "5-LOW"
-    FROM orders GROUP BY o_custkey""")
+    SELECT o_custkey, """ + ", ".join(
+    f"""max(CASE WHEN o_orderpriority = '{p}' THEN o_orderstatus END) AS "{p}\"""" for p in _PRIORITIES
+) + " FROM orders GROUP BY o_custkey")
 def conditional_max_pivot(spark, sf):
     o = table(spark, sf, "orders")
-    return pivot_rows(o, ["o_custkey"], "o_orderpriority", "o_orderstatus", ["1-URGENT", "5-LOW"])
+    return pivot_rows(o, ["o_custkey"], "o_orderpriority", "o_orderstatus", _PRIORITIES)
 
 
 @QUERIES.add("""

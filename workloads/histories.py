@@ -88,6 +88,6 @@ def load_consistent_from_log(spark, sf):
     folder = shared_folder(spark)
     stored = HistoryTable(spark, f"{folder}/history", grain="day")
     kept = HistoryTable(spark, f"{folder}/log")
-    for day in ("2024-01-10", CUT, "2024-03-01"):
-        load(LOG_SPEC, _loaded_before(log, day), stored, mode=CONSISTENT, log=kept)
+    for part in (_loaded_before(log, "2024-01-10"), _loaded_before(log, CUT), log):
+        load(LOG_SPEC, part, stored, mode=CONSISTENT, log=kept)
     return stored.read()

@@ -131,7 +131,8 @@ def q_row_hash(spark, sf):
 
 @QUERIES.add(f"SELECT event_id, {key_sql('user_id', 'ts')} AS event_key FROM events")
 def q_surrogate_key(spark, sf):
-    return table(spark, sf, "events").select("event_id", surrogate_key("user_id", "ts").alias("event_key"))
+    e = table(spark, sf, "events")
+    return e.select("event_id", surrogate_key(e, "user_id", "ts").alias("event_key"))
 
 
 _COMPACT = """
@@ -196,13 +197,15 @@ def q_anti_versions(spark, sf):
 
 
 @QUERIES.add("""
-    SELECT c.c_custkey, c.c_name FROM customer c
-    LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') o
-        ON c.c_custkey = o.o_custkey WHERE o.o_custkey IS NULL""")
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+    LEFT JOIN (SELECT DISTINCT 2 * c_custkey AS twice, 'F' AS status FROM customer) c
+        ON o_custkey = twice AND o_orderstatus = status WHERE twice IS NULL""")
 def q_anti_rows(spark, sf):
-    urgent = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
-    urgent = urgent.select(F.col("o_custkey").alias("c_custkey"))
-    return anti_rows(table(spark, sf, "customer").select("c_custkey", "c_name"), urgent, ["c_custkey"])
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    known = table(spark, sf, "customer").select(
+        (2 * F.col("c_custkey")).alias("o_custkey"), F.lit("F").alias("o_orderstatus")
+    )
+    return anti_rows(orders, known, ["o_custkey", "o_orderstatus"])
 
 
 @QUERIES.add("""
