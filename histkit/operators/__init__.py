@@ -1,6 +1,6 @@
 """Operators on DataFrames; each can be used on its own."""
 
-from .checks import check_distinct_count_equal, check_not_null, check_recency, column_profile
+from .checks import check_distinct_count_equal, check_not_null, check_recency, check_table, column_profile
 from .children import child_columns, child_list, child_pivot, explode_variant, lateral_left
 from .pivot import attribute_rows, infer_fields, pivot_attributes, pivot_rows
 from .skew import KeyProfile, if_small, profile_keys, time_slices
@@ -24,6 +24,7 @@ __all__ = [
     "check_distinct_count_equal",
     "check_not_null",
     "check_recency",
+    "check_table",
     "child_columns",
     "child_list",
     "child_pivot",

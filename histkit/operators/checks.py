@@ -61,13 +61,50 @@ def check_distinct_count_equal(
     return total.withColumn("status", _status(F.col("distinct_a") == F.col("distinct_b")))
 
 
-def column_profile(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
+def check_table(
+    df: DataFrame,
+    recency: tuple[str, str, int] | None = None,
+    as_of: str | None = None,
+    distinct: tuple[str, DataFrame, str] | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """All checks of a table: (check, column, tag, severity, failures, status).
+
+    NULLs of every column (or ``columns``); with ``recency`` (field, date part,
+    interval) whether the table is up to date ``as_of`` a time; with ``distinct``
+    (column, other table, its column) whether both have equally many values.
+    ``failures`` counts NULLs, 1 for a table that is late, or the difference.
+    """
+
+    def tagged(checked: DataFrame, check: str, column: Column, tag: str, failures: Column) -> DataFrame:
+        return checked.select(
+            F.lit(check).alias("check"),
+            column.alias("column"),
+            F.lit(tag).alias("tag"),
+            F.lit(WARN).alias("severity"),
+            failures.cast("bigint").alias("failures"),
+            "status",
+        )
+
+    out = tagged(check_not_null(df, columns), "not_null", F.col("column"), "validity", F.col("failures"))
+    if recency:
+        late = check_recency(df, *recency, as_of)
+        failed = (F.col("status") != PASS).cast("int")
+        out = out.unionByName(tagged(late, "recency", F.col("field"), "timeliness", failed))
+    if distinct:
+        column, other, other_column = distinct
+        both = check_distinct_count_equal(df, column, other, other_column)
+        gap = F.abs(F.col("distinct_a") - F.col("distinct_b"))
+        out = out.unionByName(tagged(both, "distinct_count", F.lit(column), "completeness", gap))
+    return out
+
+
+def column_profile(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
     """Name, position, type, comment, NULL and distinct counts of each column.
 
-    Exact counts shuffle each distinct value once: values are counted per
-    (column, value) before they are counted per column, so a value that fills a
-    third of a column is added up where it is read. ``exact=False`` estimates
-    the distinct counts with sketches in one pass and shuffles nothing but them.
+    Distinct counts are estimated with sketches, in one pass that shuffles
+    nothing but them. ``exact=True`` counts them: each distinct value of each
+    column is shuffled once, after values were counted where they are read.
     """
     spark = df.sparkSession
     if exact:

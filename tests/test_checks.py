@@ -26,12 +26,12 @@ def test_distinct_counts(spark):
 
 def test_profile(spark):
     df = spark.createDataFrame([(1, None), (1, "x")], "a int, b string").withMetadata("a", {"comment": "key"})
-    rows = sorted(map(tuple, column_profile(df, "t").collect()))
+    rows = sorted(map(tuple, column_profile(df, "t", exact=True).collect()))
     assert rows == [("t", "a", 1, "int", "key", 0, 1), ("t", "b", 2, "string", None, 1, 1)]
     assert [r["n_null"] for r in column_profile(df.limit(0), "t").collect()] == [0, 0]
 
 
 def test_profile_by_sketch(spark):
     df = spark.range(1000).selectExpr("id", "id % 10 AS d", "nullif(id % 2, 0) AS n")
-    rows = {r["column_name"]: (r["n_null"], r["n_distinct"]) for r in column_profile(df, "t", exact=False).collect()}
+    rows = {r["column_name"]: (r["n_null"], r["n_distinct"]) for r in column_profile(df, "t").collect()}
     assert rows["d"] == (0, 10) and rows["n"] == (500, 1) and abs(rows["id"][1] - 1000) < 100

@@ -18,7 +18,7 @@ from histkit.operators import (
     watermark_filter,
     watermark_subquery,
 )
-from histkit.sources import scan_cdc, stage, upsert
+from histkit.sources import read_source, scan_cdc, stage, upsert
 
 from .common import CUT, NTZ, Registry, change_log, change_log_sql, dedupe_sql, hash_sql, key_sql, table
 
@@ -135,6 +135,26 @@ def q_surrogate_key(spark, sf):
     return e.select("event_id", surrogate_key(e, "user_id", "ts").alias("event_key"))
 
 
+@QUERIES.add(f"""
+    SELECT event_id, {key_sql('user_id', 'ts')} AS event_key, {hash_sql('user_id', 'ts')} AS row_hash FROM events""")
+def keys_in_another_zone(spark, sf):
+    """Keys and hashes of a ``timestamp``, made in a session that is not in UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        e = table(spark, sf, "events").withColumn("ts", F.expr("to_timestamp(cast(ts AS string) || 'Z')"))
+        both = [surrogate_key(e, "user_id", "ts").alias("event_key"), row_hash(e, ["user_id", "ts"]).alias("row_hash")]
+        return stage(e.select("event_id", *both))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@QUERIES.add("SELECT c_custkey, c_name, c_nationkey FROM customer")
+def q_read_source(spark, sf):
+    """A raw table by its name, where it was put."""
+    found = read_source(spark, "icims_raw", "person", tables={"person": f"{sf}/customer.parquet"})
+    return found.select("c_custkey", "c_name", "c_nationkey")
+
+
 _COMPACT = """
     SELECT {key}, ts, event_id, row_hash FROM (
         SELECT *, lag(row_hash) OVER (PARTITION BY {key} ORDER BY ts) AS prev FROM (
