@@ -22,9 +22,19 @@ def _range_of(key: Column, cuts: list[int]) -> Column:
     return F.when(key.isNull(), -1).otherwise(coarse + F.size(F.filter(rest, lambda c: c < key)))
 
 
-def with_next(df: DataFrame, key: str, tie: str, columns: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def with_next(
+    df: DataFrame,
+    key: str,
+    tie: str,
+    columns: list[str],
+    rows_per_range: int = ROWS_PER_RANGE,
+    derive: dict[str, Column] | None = None,
+) -> DataFrame:
     """Add ``next_<c>`` for each of ``columns``: the value in the next row by falling ``key``.
 
+    ``derive`` adds columns made from others of the row; costly ones belong
+    there, so that they are made once per row.
+
     Ties go by rising ``tie``, NULL keys come last, and after the last row comes
     the first. ``key`` must be a bigint that few rows share.
 
@@ -53,5 +63,5 @@ def with_next(df: DataFrame, key: str, tie: str, columns: list[str], rows_per_ra
     if nulls:
         ends = ends.unionByName(first_rows(df.where(F.col(key).isNull()).withColumn("_range", F.lit(0 if cuts else -1))))
     within = Window.partitionBy("_range").orderBy("_copy", F.col(key).desc_nulls_last(), tie)
-    found = rows_of.unionByName(ends).select("*", *[F.lead(c).over(within).alias(f"next_{c}") for c in columns])
+    found = rows_of.withColumns(derive or {}).unionByName(ends.withColumns(derive or {})).select("*", *[F.lead(c).over(within).alias(f"next_{c}") for c in columns])
     return found.where(~F.col("_copy")).drop("_range", "_copy")

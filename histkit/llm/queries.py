@@ -22,12 +22,12 @@ from histkit.llm.toxicity import THRESHOLD, fit, held_out, score
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text, and the text with its second half replaced from the next document."""
-    texts = whole_texts(documents(spark, sf_dir)).withColumn("print", fingerprint(F.col("text")))
+    texts = whole_texts(documents(spark, sf_dir))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     both = (
-        with_next(texts, "doc_id", "text", ["text", "print"])
+        with_next(texts, "doc_id", "text", ["text", "print"], derive={"print": fingerprint(F.col("text"))})
         .select("doc_id", n.cast("bigint").alias("n_chars"), "print", "next_print", edited.alias("edited"))
         .withColumn("edited_print", fingerprint(F.col("edited")))
     )
@@ -117,4 +117,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op5_language_model, op6_toxicity, op7_substrings, op8_decontamination, op9_near_duplicates, op10_sharding)}
 
 #: The same rows as SQL, where SQL can express the method.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_substrings": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d),
+        windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM starts),
+        first AS (SELECT k, min(doc_id) AS m FROM windows GROUP BY k),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN first USING (k) WHERE m < doc_id),
+        each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+            FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+}

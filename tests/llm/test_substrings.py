@@ -141,3 +141,10 @@ def test_odd_rows(spark):
     pairs = [(None, passage), (None, passage + " x"), (4, passage), (4, "y " + passage), (2, "z " + passage)]
     assert found(remove_repeats(frame(spark, pairs))) == brute(pairs)
     assert remove_repeats(empty(spark)).collect() == []
+
+
+def test_query_against_sql(spark):
+    from histkit.llm.queries import SQL
+    from tests.oracle import difference, duck
+
+    assert difference(op7_substrings(spark, SF), duck(SF), SQL["op7_substrings"]) is None
