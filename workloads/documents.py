@@ -408,7 +408,7 @@ def load_attributes(spark, sf):
         UNION ALL SELECT o_orderkey, o_orderdate, 'orderdate',
             '"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"' FROM orders
         UNION ALL SELECT o_orderkey, o_orderdate, 'total', regexp_replace(
-            CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '\.?0+$', '') FROM orders
+            CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '[.]?0+$', '') FROM orders
         UNION ALL SELECT o_orderkey, o_orderdate, 'absent', 'null' FROM orders
         UNION ALL SELECT o_orderkey, o_orderdate, 'detail', '{"a":[1,2],"z":' || o_custkey || '}' FROM orders
         UNION ALL SELECT o_orderkey, o_orderdate, 'order', CAST(o_orderkey AS VARCHAR) FROM orders) x""")

@@ -8,12 +8,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from histkit.plans import MODELS, AttributeSpec, CdcSpec, attribute_pivot, cdc_history, json_history
+from histkit.plans import (
+    CONSISTENT,
+    MODELS,
+    AttributeSpec,
+    CdcSpec,
+    SnapshotSpec,
+    attribute_pivot,
+    cdc_history,
+    json_history,
+    load,
+)
 from histkit.plans.snapshots import output_columns
+from histkit.sources import HistoryTable, shared_folder, stage
 
-from .common import NTZ, RUN_TS, Query, compact_sql, dedupe_sql, hash_sql, key_sql, spread, table
+from .common import CUT, NTZ, RUN_TS, Query, compact_sql, dedupe_sql, hash_sql, key_sql, spread, table
 
 LOW = "CAST(get_json_object(props, '$.k') AS BIGINT) < 50"
+MONTH = "CAST(trunc(CAST(ts AS DATE), 'MM') AS STRING)"
 LOW_SQL = "CAST(props->>'$.k' AS BIGINT) < 50"
 
 
@@ -56,7 +68,7 @@ def _cdc_raw(spec: CdcSpec, spark, sf):
                 "bigint": _number(i),
                 "string": _text(i),
                 "boolean": "low" if i % 2 else "CAST(low AS BIGINT)",
-                "timestamp": "TIMESTAMP_NTZ '2023-05-06 07:08:09'",
+                "timestamp": "CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ)",
                 "double": f"CAST(length(event_type) AS DOUBLE) / 4 + {i}",
                 "json": _object(i),
             }[c.type]
@@ -83,7 +95,7 @@ def _cdc_sql(spec: CdcSpec) -> str:
                 "bigint": f"CAST({_number(i)} AS BIGINT)",
                 "string": _text(i),
                 "boolean": "low",
-                "timestamp": "TIMESTAMP '2023-05-06 07:08:09'",
+                "timestamp": "date_trunc('hour', ts)",
                 "double": f"CAST(length(event_type) AS DOUBLE) / 4 + {i}",
                 "json": _sorted_object(i),
             }[c.type]
@@ -123,8 +135,8 @@ def _snapshot_raw(spec, spark, sf):
                 "string": f"""CASE WHEN {_value(spec, c, i)} IS NULL THEN 'null'
                     ELSE concat('"', {_value(spec, c, i)}, '"') END""",
                 "boolean": "CASE WHEN low THEN 'true' ELSE 'false' END",
-                "date": """CASE WHEN low THEN '"2023-05-06"' ELSE 'null' END""",
-                "date_timestamp": "'\"2023-05-06 10:11:12\"'",
+                "date": f"""CASE WHEN low THEN concat('"', {MONTH}, '"') ELSE 'null' END""",
+                "date_timestamp": f"""concat('"', {MONTH}, ' 10:11:12"')""",
                 "json": _object(i),
             }[c.type]
     members[spec.effective.source[2:]] = "concat('\"', CAST(CAST(ts AS DATE) AS STRING), '\"')"
@@ -161,8 +173,8 @@ def _snapshot_sql(spec) -> str:
             expr = {
                 "string": _value(spec, c, i),
                 "boolean": "low",
-                "date": "CASE WHEN low THEN DATE '2023-05-06' END",
-                "date_timestamp": "TIMESTAMP '2023-05-06 00:00:00'",
+                "date": "CASE WHEN low THEN CAST(date_trunc('month', ts) AS DATE) END",
+                "date_timestamp": "CAST(date_trunc('month', ts) AS TIMESTAMP)",
                 "json": _sorted_object(i),
             }[c.type]
         cols.append(f'{expr} AS "{c.name}"')
@@ -232,4 +244,31 @@ def _query(spec) -> Query:
     return Query(run, _snapshot_sql(spec))
 
 
+# second runs: the rows that landed before a cut, then all rows, through a stored table
+
+HALF = "1998-06-01 00:00:00"
+
+
+def _in_two_loads(spec, raw, cut: str, first: str, **options):
+    def run(spark, sf):
+        stored = HistoryTable(spark, shared_folder(spark), grain="year")
+        source = stage(raw(spec, spark, sf))
+        load(spec, source.where(F.col(spec.loaded) < F.lit(cut).cast(NTZ)), stored, first, **options)
+        load(spec, source, stored, RUN_TS, **options)
+        return stored.read()
+
+    return run
+
+
+def _second_run(spec) -> Query:
+    """Change logs end like one full rebuild; attribute rows keep the load time of the run that added them."""
+    spec = spec.with_(time_type=NTZ)
+    if isinstance(spec, CdcSpec):
+        return Query(_in_two_loads(spec, _cdc_raw, CUT, CUT, mode=CONSISTENT), _cdc_sql(spec))
+    sql = f"""SELECT * REPLACE (CASE WHEN "lastUpdated" < TIMESTAMP '{HALF}' THEN TIMESTAMP '{HALF}'
+        ELSE etl_updated_timestamp END AS etl_updated_timestamp) FROM ({_attribute_sql(spec)}) a"""
+    return Query(_in_two_loads(spec, _attribute_raw, HALF, HALF), sql)
+
+
 QUERIES = {f"model_{name}": _query(spec) for name, spec in MODELS.items()}
+QUERIES |= {f"load_{name}": _second_run(s) for name, s in MODELS.items() if not isinstance(s, SnapshotSpec)}
