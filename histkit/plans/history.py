@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.casts import zone_free
 from ..operators.skew import KeyProfile, if_small, profile_keys
 from ..operators.versions import change_history, latest_per_key
 
@@ -70,24 +71,42 @@ def first_versions(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(F.col(key).alias("_key")).agg(F.min(_position()).alias("_since"))
 
 
-def tails(stored: DataFrame, firsts: DataFrame, key: str, n_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Stored versions of the keys in ``firsts``: those from there on, and the last one before."""
+def earliest(firsts: DataFrame) -> str:
+    """The smallest time in ``firsts``, in UTC; a time after all others if there is none."""
+    kind = firsts.schema["_since"].dataType["time"].dataType
+    return firsts.agg(zone_free(F.min("_since.time"), kind).cast("string")).first()[0] or "9999-12-31"
+
+
+def versions_from(stored: DataFrame, firsts: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """Stored versions of the keys in ``firsts`` from there on."""
     both = stored.join(if_small(firsts, n_rows), F.col(key).eqNullSafe(F.col("_key")))
-    after = both.where(_position() >= F.col("_since")).drop("_key", "_since")
-    before = both.where(_position() < F.col("_since")).select(key, TIME, HASH)
-    return after, latest_per_key(before, key, TIME, order=[HASH])
+    return both.where(_position() >= F.col("_since")).drop("_key", "_since")
+
+
+def last_before(stored: DataFrame, firsts: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """Key, time and hash of the last stored version of each key before its time in ``firsts``."""
+    narrow = stored.select(key, TIME, HASH).join(if_small(firsts, n_rows), F.col(key).eqNullSafe(F.col("_key")))
+    before = narrow.where(_position() < F.col("_since")).drop("_key", "_since")
+    return latest_per_key(before, key, TIME, order=[HASH])
 
 
 def rebuild_tails(
-    stored: DataFrame, firsts: DataFrame, key: str, loaded: str, n_rows: int, rows: DataFrame | None = None
+    stored: DataFrame,
+    recent: DataFrame,
+    firsts: DataFrame,
+    key: str,
+    loaded: str,
+    n_rows: int,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """The history of the keys in ``firsts`` from there on, out of stored versions and new ``rows``.
 
     What lies before the first new version of a key cannot change, so of a key
-    with a long history only its end is read in full. A stored version wins
-    over a new copy of it.
+    with a long history only its end is read in full, out of ``recent``: the
+    stored rows of the periods that can hold it. Three columns of all stored
+    rows give the version before. A stored version wins over a new copy of it.
     """
-    after, before = tails(stored, firsts, key, n_rows)
+    after, before = versions_from(recent, firsts, key, n_rows), last_before(stored, firsts, key, n_rows)
     both = _marked(after, 0).unionByName(_marked(before, 2), allowMissingColumns=True)
     if rows is not None:
         both = both.unionByName(_marked(rows, 1))

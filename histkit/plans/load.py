@@ -12,7 +12,7 @@ from ..operators.watermark import watermark_filter
 from ..sources.tables import HistoryTable, stage
 from .attributes import attribute_pivot
 from .cdc import cdc_history, cdc_rows, finish_cdc
-from .history import CONSISTENT, HASH, LOADED, REFERENCE, TIME, changes, first_versions, of_keys, rebuild_tails, tails
+from .history import CONSISTENT, HASH, LOADED, REFERENCE, TIME, changes, earliest, first_versions, of_keys, rebuild_tails, versions_from
 from .snapshots import IN_ROW, finish_snapshots, json_history, snapshot_rows, stored_rows
 from .specs import AttributeSpec, CdcSpec, SnapshotSpec
 
@@ -78,23 +78,24 @@ def load_rows(
     made good.
     """
     if isinstance(spec, CdcSpec):
-        rows = stage(cdc_rows(spec, batch) if log is None else _versions(spec, batch))
-        landed, stored = LOADED, table.read()
+        rows, landed = stage(cdc_rows(spec, batch) if log is None else _versions(spec, batch)), LOADED
     else:
-        rows = stage(snapshot_rows(spec, batch))
-        landed, stored = "_loaded", stored_rows(table.read(), rows)
-    n, firsts = rows.count(), first_versions(rows, spec.key)
+        rows, landed = stage(snapshot_rows(spec, batch)), "_loaded"
+    n, firsts = rows.count(), stage(first_versions(rows, spec.key))
+    since = earliest(firsts)
     if log is None:
-        wide = rebuild_tails(stored.select(*rows.columns), firsts, spec.key, landed, n, rows)
+        recent = table.read(since)
+        recent = recent if isinstance(spec, CdcSpec) else stored_rows(recent, rows)
+        wide = rebuild_tails(table.read(), recent.select(*rows.columns), firsts, spec.key, landed, n, rows)
     else:
         # of the log only the batch's keys, which are broadcast if there are few
         known = of_keys(log.read().select(spec.key, TIME), rows, spec.key, n)
         known = known.select(F.col(spec.key).alias("_key"), F.col(TIME).alias("_time"))
         same = F.col(spec.key).eqNullSafe(F.col("_key")) & F.col(TIME).eqNullSafe(F.col("_time"))
         log.append(stage(rows.join(known, same, "left_anti")))
-        wide = rebuild_tails(log.read(), firsts, spec.key, landed, n)
+        wide = rebuild_tails(log.read(), log.read(since), firsts, spec.key, landed, n)
     rebuilt = stage(finish_cdc(spec, wide) if isinstance(spec, CdcSpec) else finish_snapshots(spec, wide, run_ts))
-    stored, _ = tails(table.read().select(spec.unique_key, spec.key, TIME, HASH), firsts, spec.key, n)
+    stored = versions_from(table.read(since).select(spec.unique_key, spec.key, TIME, HASH), firsts, spec.key, n)
     added = rebuilt.join(stored.select(spec.unique_key), spec.unique_key, "left_anti")
     removed = stored.join(rebuilt.select(spec.unique_key), spec.unique_key, "left_anti")
     table.upsert(stage(added), spec.unique_key, stage(removed.select(spec.unique_key, TIME)))

@@ -125,11 +125,14 @@ class HistoryTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{e.path}" for e in entries])
 
-    def read(self) -> DataFrame:
-        """The current rows."""
+    def read(self, since: str | None = None) -> DataFrame:
+        """The current rows (S7), or those of the periods from a time on (text, in UTC) and without time."""
         version, entries, schema = self._snapshot()
         if not version:
             raise ValueError(f"no table at {self.path}")
+        if since is not None and self.time is not None:
+            first = "p" + since[: len(GRAINS[self.grain])]
+            entries = [e for e in entries if e.part >= first or e.part == "none"]
         return self._read(entries, schema)
 
     def watermark(self, day: bool = True) -> str | None:

@@ -124,6 +124,15 @@ def test_attribute_load_with_a_default_table(spark, tmp_path):
     assert sorted(r["id"] for r in table.read().collect()) == [1, 3]
 
 
+def test_reading_from_a_time_on_skips_earlier_periods(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path))
+    table.replace(frame(spark, ("a", 1, 1, 1), ("b", 1, 2, 1), ("c", 1, 3, 1), ("d", 1, None, 1)))
+    late = table.read("2024-02-20 10:00:00")
+    assert short(late) == [("b", 1), ("c", 1), ("d", 1)]
+    assert not any("p2024-01" in f for f in late.inputFiles())
+    assert short(table.read("9999-12-31")) == [("d", 1)]
+
+
 def test_empty_first_load(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     table.replace(frame(spark))
