@@ -7,6 +7,11 @@ operator names are not looked at, so they may have any name.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,5 +38,26 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def tidy(run):
+    """A function of batches whose worker gives back the memory that it used.
+
+    Workers live on after a task. Arrow's pool and the C library keep what they
+    freed, and over the stages of a pipeline that adds up.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def ceil_div(a: int, b: int) -> int:
     return -(-a // b)

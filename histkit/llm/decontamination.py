@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histkit.llm.common import ceil_div, whole_texts
+from histkit.llm.common import ceil_div, tidy, whole_texts
 
 SEGMENT = 64
 BLOCK = 4
@@ -56,7 +56,7 @@ ANSWER = 0.5
 #: Text of the items in one index, in bytes.
 INDEX_BYTES = 16 << 20
 #: Words of documents that are matched together.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 200_000
 
 _WORD = re.compile(r"\w+")
 
@@ -213,6 +213,7 @@ def _match_texts(index: Index, texts: list, threshold: float) -> list[tuple]:
 
 
 def _finder(sent, threshold: float):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -231,6 +232,7 @@ def _finder(sent, threshold: float):
 
 
 def _cleaner(sent, threshold: float):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (structs) whose text has no verified item."""
         for batch in batches:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histkit.llm.common import ceil_div, let, whole_texts, words
+from histkit.llm.common import ceil_div, let, tidy, whole_texts, words
 from histkit.llm.components import components
 from histkit.llm.fingerprints import SHINGLE, shingle_hashes
 from histkit.sources.tables import stage
@@ -54,7 +54,7 @@ LOWEST = 0.25
 #: Darts after which most documents have all coordinates.
 DARTS = COORDINATES * np.log(COORDINATES) + 2 * COORDINATES
 #: Shingles that are handled at a time.
-BATCH_WORDS = 250_000
+BATCH_WORDS = 100_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # the golden ratio as a 64-bit fraction
 
@@ -178,6 +178,7 @@ def _band(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return buckets(signatures(element[first], doc[first], 1 + np.log(times), len(ends)))
 
 
+@tidy
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, content, word hashes) to (doc_id, content, buckets)."""
     for batch in batches:

@@ -33,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histkit.llm.common import whole_texts
+from histkit.llm.common import tidy, whole_texts
 
 MARK = "\u2581"
 #: Chunks and piece pairs that a worker keeps.
-KEPT_CHUNKS = 400_000
-KEPT_PAIRS = 1_000_000
+KEPT_CHUNKS = 200_000
+KEPT_PAIRS = 300_000
 
 
 class PieceModel:
@@ -196,6 +196,7 @@ def encode_pieces(docs: DataFrame, path: str, with_ids: bool = True) -> DataFram
     kinds += [("ids", pa.binary()), ("decoded", pa.string())] if with_ids else []
     schema = pa.schema(kinds)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(path)
         for batch in batches:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histkit.llm.common import whole_texts
+from histkit.llm.common import tidy, whole_texts
 from histkit.sources.tables import stage
 
 #: Labelled rows that a model is fitted on, terms of its lexicon, folds.
@@ -48,7 +48,7 @@ LEAST_ROWS = 3
 LEAST_RATIO = 1.5
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 #: A lexicon word so many words from a second-person word is near it.
 NEAR = 5
 
@@ -285,6 +285,7 @@ def _ratio(toxic, clean, n_toxic, n_clean):
     return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
 
 
+@tidy
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """term, fold, toxic rows, clean rows of each batch."""
     for batch in batches:
@@ -364,6 +365,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample
     lexicons = _lexicons(rows)
     sent = spark.sparkContext.broadcast(lexicons)
 
+    @tidy
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         makers = [Features(x) for x in sent.value[:FOLDS]]
         for batch in batches:
@@ -392,6 +394,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     row = docs.select(F.struct(*docs.columns).alias("row"))
     schema = T.StructType([row.schema["row"], T.StructField("score", T.DoubleType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Features(sent.value.lexicon)
         for batch in batches:
