@@ -27,6 +27,7 @@ table has no files and reads back as no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -52,7 +53,7 @@ MAGIC = b"PFORIDS1"
 #: Blocks packed or unpacked at a time.
 CHUNK = 4_096
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 700_000
 #: Marks at the end of a word of letters are tokens apart from it, so words with and without share ids.
 MARKS = ".,"
 
@@ -245,6 +246,17 @@ def _places(values: list, wanted) -> list[int]:
     return out
 
 
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in byte-level models: printable ones for themselves, the rest from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) if b in printable else chr(256 + rest.index(b)) for b in range(256)}
+
+
+#: Packers of a few ids as little-endian 32-bit numbers.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(24)]
+
+
 class WordEncoder:
     """Ids of whole texts by the ``tokenizers`` library, word by word."""
 
@@ -254,6 +266,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # a word of letters is one pre-token of a plain byte-level model, which can be asked without detours
+        kind = json.loads(self.tokenizer.to_str())
+        before = kind["pre_tokenizer"] or {}
+        self.plain = kind["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
+        self.signs = byte_signs()
         self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self.kept: dict[str, bytes] = {}
         self.firsts: dict[str, bytes] = {"": b""}
@@ -271,6 +288,9 @@ class WordEncoder:
         whole = " ".join(words).split() == words
         odd = [] if whole else [w for w in words if not w or _SPACE.search(w)]
         of_odd = dict(zip(odd, self._ids([" " + w for w in odd]), strict=True))
+        if self.plain:
+            space = self.signs[ord(" ")]
+            of_odd.update((w, self._letters(w, space)) for w in words if w.isalpha())
         plain = [w for w in words if w not in of_odd]
         if plain:
             text = "".join([f" {w}\n" for w in plain])
@@ -312,17 +332,32 @@ class WordEncoder:
             out[at] = ids
         return out
 
+    def _letters(self, word: str, before: str) -> bytes:
+        """Ids of a word of letters after ``before`` (the sign of a space, or nothing)."""
+        seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.signs)
+        ids = [token.id for token in self.tokenizer.model.tokenize(before + seen)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
+
     def _first(self, word: str) -> bytes:
+        """Ids of a word without a space before it."""
         found = self.firsts.get(word)
         if found is None:
-            found = self._ids([word])[0]
-            if len(self.firsts) < KEPT_WORDS // 10 and len(word) <= 32:
+            base = word.rstrip(MARKS)
+            if self.plain and base.isalpha():
+                found = self._letters(base, "") + (self._first(word[len(base) :]) if base != word else b"")
+            else:
+                found = self._ids([word])[0]
+            if len(self.firsts) < KEPT_WORDS // 4 and len(word) <= 32:
                 self.firsts[word] = found
         return found
 
     def _unseen(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are not kept; keeps them."""
         kept, get = self.kept, self.kept.get
+        # a line end between words is a token, and the word after it has no space before it
+        lines = [(w, w.split("\n")) for w in words if "\n" in w]
+        lines = [(w, own) for w, own in lines if w.split() == own]
+        words = {*words}.difference([w for w, _ in lines]).union([own[0] for _, own in lines if own[0] not in kept])
         # letters with marks at the end are two tokens or more: those of the letters, and the marks'
         marked = [(w, w.rstrip(MARKS)) for w in words if w[-1:] in MARKS]
         marked = [(w, base) for w, base in marked if base.isalpha()]
@@ -335,6 +370,9 @@ class WordEncoder:
         if len(kept) < KEPT_WORDS:
             kept.update((w, ids) for w, ids in found.items() if len(w) <= 32 and w and not w[0].isspace())
         found.update(both)
+        end = np.array([self.line], "<u4").tobytes()
+        for w, (head, *rest) in lines:
+            found[w] = (get(head) or found[head]) + b"".join([end + self._first(r) for r in rest])
         return found
 
 
