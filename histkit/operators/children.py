@@ -60,8 +60,9 @@ def lateral_left(
 ) -> DataFrame:
     """One left join per child type on the key alone.
 
-    Several children of a type multiply the row. Kept for callers that need
-    exactly that; ``child_pivot`` and ``child_columns`` keep rows unique.
+    Several children of a type multiply the row: a key with D children of each
+    of n types gives D**n rows for each of its rows. Kept for callers that need
+    exactly that, and never a default; ``child_pivot`` and ``child_columns`` keep rows unique.
     """
     for child_type, name in types.items():
         one = children.where(F.col(type_column) == F.lit(child_type)).select(
