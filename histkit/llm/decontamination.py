@@ -1,21 +1,24 @@
 """Benchmark decontamination: BM25 over test items with block maxima.
 
 The test items are the indexed side. Items longer than ``SEGMENT`` words are
-indexed in segments. A posting's weight is its BM25 weight in the item divided
-by the item's own total, so a passage that holds all of an item scores 1 and
-one threshold holds for all items. Postings are kept by blocks of ``BLOCK``
+indexed in segments of that length, the last of which overlaps the one before.
+A posting's weight is its BM25 weight in the segment divided by the segment's
+own total, so a passage that holds all of a segment scores 1 and one threshold
+holds for all. Postings are kept by blocks of ``BLOCK``
 items with the largest weight of a term in each block.
 
 Every passage of every document is a query. Passages are ``2 * SEGMENT`` words
 long and begin every ``SEGMENT`` words, so each segment that a document repeats
 lies whole in one. As in block-max WAND, the maxima of a passage's terms give
 an upper bound for each block; blocks below the threshold are passed over, the
-items of the others are scored, and all that reach the threshold are retrieved.
+segments of the others are scored, and all that reach the threshold are retrieved.
 This is done for many passages at a time with array operations.
 
-What is retrieved is verified on the words: the share of the question's and of
-the answer's word runs that the passage has. The last sentence of an item
-counts as its answer, the rest as its question.
+Segments only retrieve. What is verified is the whole item, on the words: the
+share of its question's and of its answer's word runs that the passage has, or,
+if the item is longer than a segment, that the document has around the passages
+in which segments were found. The last sentence of an item counts as its answer,
+the rest as its question.
 
 The index is broadcast in shards of a fixed size; a benchmark too large for one
 is split, and the documents are read once for each. Documents do not move.
@@ -86,43 +89,52 @@ def overlap(item: list[str], passage: list[str]) -> float:
 
 @dataclass
 class Index:
-    """Items and their postings by block."""
+    """Items, and the postings of their segments by block."""
 
-    ids: list  # item id of each segment
+    ids: list  # of the items
     questions: list
     answers: list
+    shares: list  # word -> share of the item's weight
+    item_of: list  # item of each segment
     terms: dict  # word -> number from 1
     starts: np.ndarray  # of each term's blocks
     blocks: np.ndarray
     maxima: np.ndarray
-    weights: dict  # block -> (terms, dense weights of its items)
+    weights: dict  # block -> (terms, dense weights of its segments)
 
     @staticmethod
     def build(items: list[tuple], n_items: int, frequency: dict[str, int], mean_length: float) -> Index:
         """``items``: (id, text). Statistics cover all shards of the benchmark."""
-        ids, questions, answers, texts = [], [], [], []
-        for key, text in items:
-            question, answer = split_item(text)
-            whole = question + answer
-            for at in range(0, len(whole), SEGMENT):
-                ids.append(key)
-                texts.append(whole[at : at + SEGMENT])
-                questions.append(question[at : at + SEGMENT])
-                answers.append(answer[max(0, at - len(question)) : max(0, at + SEGMENT - len(question))])
-        terms: dict[str, int] = {}
-        rows = []
-        for item, own in enumerate(texts):
+        ids, questions, answers, shares, item_of, segments = [], [], [], [], [], []
+
+        def weigh(own: list[str]) -> dict[str, float]:
             scale = K1 * (1 - B + B * len(own) / max(1.0, mean_length))
             weight = {
                 w: math.log1p((n_items - frequency[w] + 0.5) / (frequency[w] + 0.5)) * c * (K1 + 1) / (c + scale)
                 for w, c in Counter(own).items()
             }
             total = sum(weight.values())
-            rows += [(terms.setdefault(w, len(terms) + 1), item, v / total) for w, v in weight.items()]
+            return {w: v / total for w, v in weight.items()}
+
+        for key, text in items:
+            question, answer = split_item(text)
+            whole = question + answer
+            if not whole:
+                continue
+            ids.append(key)
+            questions.append(question)
+            answers.append(answer)
+            shares.append(weigh(whole))
+            last = max(0, len(whole) - SEGMENT)
+            for at in (*range(0, last, SEGMENT), last):
+                item_of.append(len(ids) - 1)
+                segments.append(weigh(whole[at : at + SEGMENT]) if last else shares[-1])
+        terms: dict[str, int] = {}
+        rows = [(terms.setdefault(w, len(terms) + 1), n, v) for n, own in enumerate(segments) for w, v in own.items()]
         postings = np.array(rows or np.zeros((0, 3)), float).reshape(-1, 3)
         term, item, value = postings[:, 0].astype(np.int64), postings[:, 1].astype(np.int64), postings[:, 2]
         block = item // BLOCK
-        n_blocks = ceil_div(len(texts), BLOCK) if texts else 0
+        n_blocks = ceil_div(len(segments), BLOCK) if segments else 0
         key, at = np.unique(term * max(1, n_blocks) + block, return_inverse=True)
         maxima = np.zeros(len(key))
         np.maximum.at(maxima, at, value)
@@ -134,7 +146,7 @@ class Index:
             dense[np.searchsorted(own, term[mine]), item[mine] % BLOCK] = value[mine]
             weights[b] = (own, dense)
         starts = np.searchsorted(key // max(1, n_blocks), np.arange(len(terms) + 2))
-        return Index(ids, questions, answers, terms, starts, key % max(1, n_blocks), maxima, weights)
+        return Index(ids, questions, answers, shares, item_of, terms, starts, key % max(1, n_blocks), maxima, weights)
 
     def retrieve(self, terms: np.ndarray, passage: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
         """(passage, segment, score) of all that reach ``threshold``.
@@ -164,6 +176,22 @@ class Index:
 _SCHEMA = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double, n_passages bigint"
 
 
+def _regions(own: list[str], begins: set[int], length: int) -> Iterator[tuple[int, list[str]]]:
+    """Words in which an item of ``length`` words is verified, and how many of the passages at ``begins`` they surround.
+
+    For an item of one segment, each passage. For longer ones, the passages that
+    begin within half its length are taken together, with room for the rest of
+    the item on both sides; all regions together are a few times the document.
+    """
+    room = 2 * max(0, length - SEGMENT)
+    stride = max(SEGMENT, length // 2)
+    near: dict[int, list[int]] = {}
+    for b in sorted(begins):
+        near.setdefault(b // stride, []).append(b)
+    for group in near.values():
+        yield len(group), own[max(0, group[0] - room) : group[-1] + 2 * SEGMENT + room]
+
+
 def _match(index: Index, docs: list[tuple], threshold: float) -> list[tuple]:
     """Verified rows (place, item, ...) of one batch of (place, words)."""
     numbers, passage, owner, begin = [], [], [], []
@@ -187,15 +215,18 @@ def _match(index: Index, docs: list[tuple], threshold: float) -> list[tuple]:
     width = len(index.terms) + 1
     pairs = np.unique(np.concatenate(passage) * width + np.concatenate(numbers))
     words = dict(docs)
+    hits: dict[tuple, set] = {}
+    for p, segment, _ in index.retrieve(pairs % width, pairs // width, threshold):
+        hits.setdefault((owner[p], index.item_of[segment]), set()).add(begin[p])
     best: dict[tuple, list] = {}
-    for p, segment, score in index.retrieve(pairs % width, pairs // width, threshold):
-        own = words[owner[p]][begin[p] : begin[p] + 2 * SEGMENT]
-        question, answer = overlap(index.questions[segment], own), overlap(index.answers[segment], own)
-        if not index.questions[segment]:  # a segment of the answer alone
-            question = answer
-        if question >= QUESTION or (question >= QUESTION_WITH_ANSWER and answer >= ANSWER):
-            row = best.setdefault((owner[p], index.ids[segment]), [0.0, 0.0, 0.0, 0])
-            row[:] = *max(tuple(row[:3]), (score, question, answer)), row[3] + 1
+    for (place, item), begins in hits.items():
+        for n, own in _regions(words[place], begins, len(index.questions[item]) + len(index.answers[item])):
+            question, answer = overlap(index.questions[item], own), overlap(index.answers[item], own)
+            if question >= QUESTION or (question >= QUESTION_WITH_ANSWER and answer >= ANSWER):
+                held = set(own)
+                score = sum(v for w, v in index.shares[item].items() if w in held)
+                row = best.setdefault((place, index.ids[item]), [0.0, 0.0, 0.0, 0])
+                row[:] = *max(tuple(row[:3]), (score, question, answer)), row[3] + n
     return [(place, item, *row) for (place, item), row in best.items()]
 
 

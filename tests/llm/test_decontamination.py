@@ -81,6 +81,28 @@ def test_anywhere_in_long_documents(spark):
         assert {(r["doc_id"], r["item_id"]) for r in got} == want
 
 
+def test_segments_only_retrieve(spark):
+    """Items just over one or two segments take no document that has their last words; a segment of an item is not the item."""
+    rng = random.Random(6)
+    filler = [f"f{i}" for i in range(3000)]
+    common = ["of", "the", "it"]
+    items = [(n, " ".join(f"q{n}x{k}" for k in range(n - 3)) + " " + " ".join(common)) for n in (65, 66, 67, 129, 130, 131, 640)]
+    items[0] = (65, " ".join(f"q65x{k}" for k in range(64)) + " the")
+    docs, want = [], set()
+    for d in range(20):
+        docs.append((d, " ".join(rng.choices(filler, k=150) + common + rng.choices(filler, k=150))))
+    for d, (key, text) in enumerate(items):
+        own = rng.choices(filler, k=170)
+        docs.append((100 + d, " ".join(own[:80] + text.split() + own[80:])))
+        want.add((100 + d, key))
+    long = items[-1][1].split()
+    for d, at in enumerate((0, 64, 300, 576)):  # a tenth of the long item
+        docs.append((200 + d, " ".join(filler[:90] + long[at : at + SEGMENT] + filler[90:180])))
+    got = find_leaks(frame(spark, docs), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert all(abs(r["score"] - 1) < 1e-9 and r["question_overlap"] == 1 for r in got)
+
+
 def test_overlap():
     assert overlap("a b c d e".split(), "x a b c d e y".split()) == 1
     assert overlap("a b c d e".split(), "x a b c d y".split()) == 0.5
