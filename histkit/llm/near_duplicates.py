@@ -10,9 +10,15 @@ documents keep the same dart with the probability of their weighted Jaccard
 similarity, and the work is a few darts per shingle, not one hash per shingle
 and coordinate.
 
+Links are pairs at Jaccard similarity 0.8 or more of the shingle *sets*, which
+repeated shingles pull apart from the weighted one. A text that repeats a shingle
+therefore has a second signature, with weight 1 for each shingle; where none is
+repeated the two are the same.
+
 Texts with equal words are one node from the start. Nodes that agree in all 5
-coordinates of one of 25 bands share a bucket. Pairs at similarity 0.8 share at
-least one with probability 0.99995. Buckets are not expanded into pairs:
+coordinates of one of 25 bands, by either signature, share a bucket. Pairs at set
+similarity 0.8 share at least one with probability 0.99995, by those of weight 1.
+Buckets are not expanded into pairs:
 
 1. Each member is compared with the bucket's smallest node (its pivot), exactly,
    by the Jaccard similarity of the shingle sets. Links are joined into classes.
@@ -167,7 +173,12 @@ def buckets(kept: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _band(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _band(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of several documents, by document, and how many each has.
+
+    A document has those of weight 1, by which links are found, and if it repeats
+    a shingle those of its weights besides.
+    """
     element, doc = shingles_of(hashes, ends)
     order = np.lexsort((element, doc))
     element, doc = element[order], doc[order]
@@ -175,7 +186,21 @@ def _band(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     new[1:] = (element[1:] != element[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
     times = np.diff(np.append(first, len(doc)))
-    return buckets(signatures(element[first], doc[first], 1 + np.log(times), len(ends)))
+    element, doc = element[first], doc[first]
+    plain = buckets(signatures(element, doc, np.ones(len(doc)), len(ends)))
+    repeats = np.zeros(len(ends), bool)
+    repeats[doc[times > 1]] = True
+    mine = repeats[doc]
+    place = np.cumsum(repeats) - 1
+    weighted = buckets(signatures(element[mine], place[doc[mine]], 1 + np.log(times[mine]), int(repeats.sum())))
+    some = np.diff(ends, prepend=0) > 0
+    owner = np.concatenate([np.repeat(np.flatnonzero(some), BANDS), np.repeat(np.flatnonzero(repeats), BANDS)])
+    values = np.concatenate([plain[some].reshape(-1), weighted.reshape(-1)])
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    # a bucket that both signatures give is one
+    new = np.append(True, (owner[1:] != owner[:-1]) | (values[1:] != values[:-1]))[: len(owner)]
+    return values[new], np.bincount(owner[new], minlength=len(ends))
 
 
 @tidy
@@ -190,9 +215,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH_WORDS, side="right")) - 1)
             to = min(to, batch.num_rows)
             ends = offsets[at + 1 : to + 1] - offsets[at]
-            found = _band(flat[offsets[at] : offsets[to]], ends)
-            sizes = np.where(np.diff(ends, prepend=0) > 0, BANDS, 0)
-            values = found[sizes > 0].reshape(-1)
+            values, sizes = _band(flat[offsets[at] : offsets[to]], ends)
             part = batch.slice(at, to - at)
             bands = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, pa.int64()))
             yield pa.record_batch([part.column(0), part.column(1), bands], ["doc_id", "content", "bands"])

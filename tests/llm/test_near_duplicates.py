@@ -141,6 +141,22 @@ def test_no_link_is_lost(spark, monkeypatch, block):
     assert {r["doc_id"]: r["class_id"] for r in out} == dict(enumerate(brute(texts)))
 
 
+def test_no_link_is_lost_where_passages_repeat(spark):
+    """Texts against themselves written twice, three times and more often, and with a line said over and over."""
+    rng = random.Random(8)
+    texts = []
+    for f in range(40):
+        own = [f"w{f}x{i}" for i in range(100)]
+        texts.append(" ".join(own))
+        texts.append(" ".join(own * (2 + f % 4)))
+        line = own[40:60] * (1 + 5 * (f % 5))
+        texts.append(" ".join(own[:40] + line + own[60:]) + f" end{rng.random()}")
+    rng.shuffle(texts)
+    out = near_duplicate_classes(frame(spark, list(enumerate(texts)))).collect()
+    assert {r["doc_id"]: r["class_id"] for r in out} == dict(enumerate(brute(texts)))
+    assert len({r["class_id"] for r in out}) == 40
+
+
 def test_second_round_finds_what_the_pivot_hides(spark):
     """b is like c but not like the pivot a, though all three share buckets."""
     rng = random.Random(3)
