@@ -14,6 +14,12 @@ an upper bound for each block; blocks below the threshold are passed over, the
 segments of the others are scored, and all that reach the threshold are retrieved.
 This is done for many passages at a time with array operations.
 
+A question can have less than half of its item's weight. So the word runs of
+questions are a second index, in the same way, with weights that are shares of
+the runs of a segment; a passage that has as much of a question as verification
+asks for is retrieved by it, whatever the answer. A question of fewer than
+``ALONE`` words counts without its answer only if the item's weight is reached.
+
 Segments only retrieve. What is verified is the whole item, on the words: the
 share of its question's and of its answer's word runs that the passage has, or,
 if the item is longer than a segment, that the document has around the passages
@@ -56,6 +62,8 @@ RUN = 4
 QUESTION = 0.7
 QUESTION_WITH_ANSWER = 0.5
 ANSWER = 0.5
+#: Words from which a question says enough to count alone.
+ALONE = 8
 #: Text of the items in one index, in bytes.
 INDEX_BYTES = 16 << 20
 #: Words of documents that are matched together.
@@ -81,6 +89,18 @@ def _runs(words: list[str], n: int) -> set[tuple]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def _run_numbers(numbers: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit number of the run of n words at each place, 0 where a word is unknown (0)."""
+    size = max(0, len(numbers) - n + 1)
+    out, known = np.full(size, n, np.uint64), np.ones(size, bool)
+    for k in range(n):
+        part = numbers[k : k + size]
+        out = (out ^ part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+        known &= part > 0
+    return np.where(known, out | np.uint64(1), np.uint64(0))
+
+
 def overlap(item: list[str], passage: list[str]) -> float:
     """Share of the item's word runs that the passage has."""
     own = _runs(item, RUN)
@@ -96,6 +116,8 @@ class Index:
     answers: list
     shares: list  # word -> share of the item's weight
     item_of: list  # item of each segment
+    runs: Index | None  # of the questions' word runs; its terms are sorted numbers of runs
+    lengths: list  # of these runs
     terms: dict  # word -> number from 1
     starts: np.ndarray  # of each term's blocks
     blocks: np.ndarray
@@ -131,10 +153,30 @@ class Index:
                 segments.append(weigh(whole[at : at + SEGMENT]) if last else shares[-1])
         terms: dict[str, int] = {}
         rows = [(terms.setdefault(w, len(terms) + 1), n, v) for n, own in enumerate(segments) for w, v in own.items()]
+        posted = Index._post(rows, len(segments))
+        run_rows, run_items, found, lengths = [], [], {}, set()
+        for item, question in enumerate(questions):
+            n = min(RUN, len(question))
+            lengths.add(n)
+            own = _run_numbers(np.array([terms[w] for w in question], np.int64), n).tolist()
+            first = {r: at for at, r in reversed(list(enumerate(own)))}  # a run belongs to the segment where it comes first
+            pieces: dict[int, list] = {}
+            for r, at in first.items():
+                pieces.setdefault(at // (SEGMENT - RUN + 1), []).append(r)
+            for piece in pieces.values():
+                run_rows += [(found.setdefault(r, len(found) + 1), len(run_items), 1 / len(piece)) for r in piece]
+                run_items.append(item)
+        runs = Index([], [], [], [], run_items, None, [], found, *Index._post(run_rows, len(run_items)))
+        return Index(ids, questions, answers, shares, item_of, runs, sorted(lengths), terms, *posted)
+
+    @staticmethod
+    def _post(rows: list[tuple], n_segments: int) -> tuple:
+        """starts, blocks, maxima and weights of (term, segment, weight)."""
         postings = np.array(rows or np.zeros((0, 3)), float).reshape(-1, 3)
+        n_terms = int(postings[:, 0].max()) if len(postings) else 0
         term, item, value = postings[:, 0].astype(np.int64), postings[:, 1].astype(np.int64), postings[:, 2]
         block = item // BLOCK
-        n_blocks = ceil_div(len(segments), BLOCK) if segments else 0
+        n_blocks = ceil_div(n_segments, BLOCK) if n_segments else 0
         key, at = np.unique(term * max(1, n_blocks) + block, return_inverse=True)
         maxima = np.zeros(len(key))
         np.maximum.at(maxima, at, value)
@@ -145,8 +187,8 @@ class Index:
             dense = np.zeros((len(own), BLOCK))
             dense[np.searchsorted(own, term[mine]), item[mine] % BLOCK] = value[mine]
             weights[b] = (own, dense)
-        starts = np.searchsorted(key // max(1, n_blocks), np.arange(len(terms) + 2))
-        return Index(ids, questions, answers, shares, item_of, terms, starts, key % max(1, n_blocks), maxima, weights)
+        starts = np.searchsorted(key // max(1, n_blocks), np.arange(n_terms + 2))
+        return starts, key % max(1, n_blocks), maxima, weights
 
     def retrieve(self, terms: np.ndarray, passage: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
         """(passage, segment, score) of all that reach ``threshold``.
@@ -194,37 +236,55 @@ def _regions(own: list[str], begins: set[int], length: int) -> Iterator[tuple[in
 
 def _match(index: Index, docs: list[tuple], threshold: float) -> list[tuple]:
     """Verified rows (place, item, ...) of one batch of (place, words)."""
-    numbers, passage, owner, begin = [], [], [], []
+    owner, begin = [], []
+    seen: tuple[list, list] = [], []  # (term, passage), of words and of runs
+    names = np.array(sorted(index.runs.terms), np.uint64)
+    number_of = np.array([index.runs.terms[r] for r in names.tolist()], np.int64)
     at = 0
     for place, own in docs:
         found = np.fromiter(map(index.terms.get, own, (0 for _ in own)), np.int64, len(own))
-        chunk = np.arange(len(own)) // SEGMENT
         n = max(1, ceil_div(len(own), SEGMENT) - 1)
+
+        def add(kind: int, where: np.ndarray, terms: np.ndarray) -> None:
+            # a chunk of words belongs to the passage that it begins and to the one before
+            for shift in (0, 1):
+                mine = where // SEGMENT - shift
+                good = (mine >= 0) & (mine < n)
+                seen[kind].append(np.column_stack([mine[good] + at, terms[good]]))
+
         known = np.flatnonzero(found)
-        # a chunk of words belongs to the passage that it begins and to the one before
-        for shift in (0, 1):
-            mine = chunk[known] - shift
-            good = (mine >= 0) & (mine < n)
-            numbers.append(found[known][good])
-            passage.append(mine[good] + at)
+        add(0, known, found[known])
+        for length in index.lengths:
+            listed = _run_numbers(found, length)
+            where = np.flatnonzero(listed)
+            place_of = np.minimum(np.searchsorted(names, listed[where]), len(names) - 1)
+            same = names[place_of] == listed[where]
+            add(1, where[same], number_of[place_of[same]])
         owner += [place] * n
         begin += [i * SEGMENT for i in range(n)]
         at += n
     if not at:
         return []
-    width = len(index.terms) + 1
-    pairs = np.unique(np.concatenate(passage) * width + np.concatenate(numbers))
     words = dict(docs)
     hits: dict[tuple, set] = {}
-    for p, segment, _ in index.retrieve(pairs % width, pairs // width, threshold):
-        hits.setdefault((owner[p], index.item_of[segment]), set()).add(begin[p])
+    for kind, (side, least) in enumerate(((index, threshold), (index.runs, QUESTION_WITH_ANSWER))):
+        if not seen[kind]:
+            continue
+        width = len(side.terms) + 1
+        both = np.concatenate(seen[kind])
+        pairs = np.unique(both[:, 0] * width + both[:, 1])
+        for p, segment, _ in side.retrieve(pairs % width, pairs // width, least):
+            hits.setdefault((owner[p], side.item_of[segment]), set()).add(begin[p])
     best: dict[tuple, list] = {}
     for (place, item), begins in hits.items():
         for n, own in _regions(words[place], begins, len(index.questions[item]) + len(index.answers[item])):
             question, answer = overlap(index.questions[item], own), overlap(index.answers[item], own)
-            if question >= QUESTION or (question >= QUESTION_WITH_ANSWER and answer >= ANSWER):
-                held = set(own)
-                score = sum(v for w, v in index.shares[item].items() if w in held)
+            if question < QUESTION_WITH_ANSWER:
+                continue
+            held = set(own)
+            score = sum(v for w, v in index.shares[item].items() if w in held)
+            alone = len(index.questions[item]) >= ALONE or not index.answers[item] or score >= threshold - 1e-9
+            if (question >= QUESTION and alone) or answer >= ANSWER:
                 row = best.setdefault((place, index.ids[item]), [0.0, 0.0, 0.0, 0])
                 row[:] = *max(tuple(row[:3]), (score, question, answer)), row[3] + n
     return [(place, item, *row) for (place, item), row in best.items()]

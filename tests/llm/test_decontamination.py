@@ -103,6 +103,17 @@ def test_segments_only_retrieve(spark):
     assert all(abs(r["score"] - 1) < 1e-9 and r["question_overlap"] == 1 for r in got)
 
 
+def test_question_alone(spark):
+    """A whole question is found whatever its answer weighs; a short one is no leak without it."""
+    filler = [f"f{i}" for i in range(300)]
+    ask = {1: "who went there first and what did they see", 2: "who went"}
+    items = [(k, f"{q}? " + " ".join(f"a{k}x{i}" for i in range(40))) for k, q in ask.items()]
+    docs = [(k, " ".join(filler[:100] + q.split() + filler[100:])) for k, q in ask.items()]
+    got = find_leaks(frame(spark, docs), spark.createDataFrame(items, ITEMS)).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in got] == [(1, 1)]
+    assert got[0]["question_overlap"] == 1 and got[0]["answer_overlap"] == 0 and got[0]["score"] < 0.5
+
+
 def test_overlap():
     assert overlap("a b c d e".split(), "x a b c d e y".split()) == 1
     assert overlap("a b c d e".split(), "x a b c d y".split()) == 0.5
