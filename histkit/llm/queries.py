@@ -10,6 +10,7 @@ from histkit.llm import language_model
 from histkit.llm.common import documents, whole_texts
 from histkit.llm.decontamination import find_leaks
 from histkit.llm.fingerprints import as_text, fingerprint, likeness
+from histkit.llm.hard_negatives import hard_negatives
 from histkit.llm.near_duplicates import near_duplicate_classes
 from histkit.llm.ordered import with_next
 from histkit.llm.pieces import encode_pieces
@@ -18,6 +19,7 @@ from histkit.llm.sharding import shard_by_bytes
 from histkit.llm.substrings import remove_repeats
 from histkit.llm.token_files import read_token_files, write_token_files
 from histkit.llm.toxicity import THRESHOLD, fit, held_out, score
+from histkit.llm.vectors import embeddings
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +116,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_fingerprints, op2_token_files, op3_secrets, op4_pieces, op5_language_model, op6_toxicity, op7_substrings, op8_decontamination, op9_near_duplicates, op10_sharding)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(embeddings(spark, sf_dir), moved)
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_fingerprints,
+        op2_token_files,
+        op3_secrets,
+        op4_pieces,
+        op5_language_model,
+        op6_toxicity,
+        op7_substrings,
+        op8_decontamination,
+        op9_near_duplicates,
+        op10_sharding,
+        op11_hard_negatives,
+    )
+}
 
 #: The same rows as SQL, where SQL can express the method.
 SQL: dict[str, str] = {
@@ -134,4 +156,24 @@ SQL: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
                sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)""",
+    "op11_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                   CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+            FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id,
+               positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 3""",
 }

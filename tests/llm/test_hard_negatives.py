@@ -1,0 +1,118 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from histkit.llm import hard_negatives as module
+from histkit.llm.hard_negatives import LIMIT, Summaries, _finest, _pairs, hard_negatives
+from histkit.llm.queries import SQL, op11_hard_negatives
+from tests.oracle import difference, duck
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def brute(rows, every=50, n_positives=5, n_negatives=3):
+    """(anchor, positive, rank, negative, positive score, negative score) by all pairs, in Python's integers."""
+    usable = {}
+    for i, v, label in rows:
+        if i is not None and label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            usable.setdefault(i, []).append((label, [float(np.float32(x)) for x in v]))
+    ints = {i: (min(r)[0], [int(np.floor(256 * x)) for x in min(r)[1]]) for i, r in usable.items()}
+
+    def score(a, b):
+        return max(-LIMIT, min(LIMIT, sum(x * y for x, y in zip(ints[a][1], ints[b][1]))))
+
+    out = []
+    for a in [i for i in ints if i % every == 0]:
+        ranked = sorted((i for i in ints if i != a), key=lambda i: (-score(a, i), i))
+        for p in [i for i in ranked if ints[i][0] == ints[a][0]][:n_positives]:
+            ps = score(a, p)
+            near = [i for i in ranked if ints[i][0] != ints[a][0] and 50 * ps <= 100 * score(a, i) <= 95 * ps]
+            out += [(a, p, r + 1, i, ps, score(a, i)) for r, i in enumerate(near[:n_negatives])]
+    return sorted(out)
+
+
+def found(df):
+    names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in df.select(*names).collect())
+
+
+def grouped(rng, n, width, groups=12, noise=0.4):
+    """Vectors around a few centres, labels by chance, so that windows have rows."""
+    centres = rng.normal(size=(groups, width))
+    v = centres[rng.integers(0, groups, n)] + noise * rng.normal(size=(n, width))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    return [(i, [float(x) for x in v[i].astype(np.float32)], int(rng.integers(0, 4))) for i in range(n)]
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_query_equals_sql(spark, sf):
+    path = f"/root/testdata/sf{sf}"
+    assert difference(op11_hard_negatives(spark, path), duck(path), SQL["op11_hard_negatives"]) is None
+
+
+@pytest.mark.parametrize("width", [1, 5, 64, 70])
+def test_equals_all_pairs(spark, width):
+    rows = grouped(np.random.default_rng(width), 400, width)
+    assert found(hard_negatives(frame(spark, rows), anchor_every=10)) == brute(rows, 10)
+
+
+def test_many_chunks_and_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(module, "ROWS", 7)
+    monkeypatch.setattr(module, "ANCHORS", 3)
+    monkeypatch.setattr(module, "HELD", 5)
+    rows = grouped(np.random.default_rng(3), 300, 20)
+    assert found(hard_negatives(frame(spark, rows).repartition(5), anchor_every=10, chunk_bytes=6_000)) == brute(rows, 10)
+
+
+def test_ties_copies_and_a_label_that_holds_most(spark):
+    rng = np.random.default_rng(5)
+    same = [0.5, 0.25, -0.125]
+    rows = [(i, same, 1 if i % 3 else 2) for i in range(200)]
+    rows += [(200 + i, [float(x) for x in rng.choice([0.25, 0.4, 0.5], 3)], 1) for i in range(100)]
+    assert found(hard_negatives(frame(spark, rows))) == brute(rows)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [0.5, 0.5], 1), (1, [0.5, 0.4], 1), (2, [0.5], 1), (3, [], 1), (4, [0.4, 0.3], 2), (5, [0.3, 0.3], 3),
+        (6, None, 1), (7, [0.5, nan], 1), (8, [inf, 0.5], 1), (9, [None, 0.5], 1), (10, [0.5, 0.5], None),
+        (None, [0.5, 0.5], 1), (11, [0.45, 0.3], 2), (11, [0.45, 0.3], 2), (11, [0.1, 0.1], 5), (50, [0.5, 0.5], 1),
+        (100, [-0.5, -0.5], 1), (150, [0.2, 0.2], 9), (200, [0.0, 0.0], 1), (12, [3e38, 3e38], 1), (13, [2e38, 2e38], 2),
+        (14, [2.0**30, 1.0], 2), (250, [2.0**25, 2.0**24], 2), (15, [2.0**24, 3.0], 3),
+    ]
+    clashing = frame(spark, rows).selectExpr("*", "1 AS score", "2 AS question", "'x' AS vector", "3 AS rank", "4 AS _n")
+    assert found(hard_negatives(clashing)) == brute(rows)
+    assert found(hard_negatives(frame(spark, []))) == []
+    assert found(hard_negatives(frame(spark, [(1, [0.5], 1)]))) == []
+
+
+def test_bounds_hold_and_pass_pairs_over():
+    """The limits of a pair's score hold on every level, and smooth vectors are settled by them."""
+    rng = np.random.default_rng(1)
+    # runs of like components, as summaries of segments want them
+    smooth = np.floor(256 * np.repeat(rng.normal(size=(300, 8)), 16, axis=1))
+    a = Summaries(smooth[:40], *_finest(smooth[:40]))
+    r = Summaries(smooth[40:], *_finest(smooth[40:]))
+    score = a.vectors @ r.vectors.T
+    for (am, ad), (rm, rd) in zip(a.levels, r.levels):
+        assert (np.abs(score - am @ rm.T) <= ad @ rd.T + 1e-6 * np.abs(score).max()).all()
+    # at segments of one value nothing is left open
+    (am, ad), (rm, rd) = a.levels[1], r.levels[1]
+    assert np.abs(ad).max() < 1e-6 and np.allclose(am @ rm.T, score)
+    top = np.sort(score, axis=1)[:, -5]
+    wanted = np.ones(score.shape, bool)
+    ia, ir, s = _pairs(a, r, wanted, top, np.full(len(top), np.inf))
+    assert sorted(zip(ia, ir)) == sorted(zip(*np.nonzero(score >= top[:, None])))
+    assert (s == score[ia, ir]).all()
+
+
+def test_labels_may_be_derived(spark):
+    rows = grouped(np.random.default_rng(8), 200, 6)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    changed = [(i, v, (label + 1) % 10 if i % 7 == 0 else label) for i, v, label in rows]
+    assert found(hard_negatives(frame(spark, rows), moved)) == brute(changed)
