@@ -14,6 +14,7 @@ from histkit.llm.hard_negatives import hard_negatives
 from histkit.llm.near_duplicates import near_duplicate_classes
 from histkit.llm.ordered import with_next
 from histkit.llm.pieces import encode_pieces
+from histkit.llm.prefix_trie import prefix_nodes
 from histkit.llm.secrets import KINDS, find_secrets, spans_text
 from histkit.llm.sharding import shard_by_bytes
 from histkit.llm.substrings import remove_repeats
@@ -121,6 +122,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(embeddings(spark, sf_dir), moved)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -135,6 +140,7 @@ QUERIES = {
         op9_near_duplicates,
         op10_sharding,
         op11_hard_negatives,
+        op12_prefix_trie,
     )
 }
 
@@ -176,4 +182,51 @@ SQL: dict[str, str] = {
         WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
         WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
         QUALIFY rank <= 3""",
+    "op12_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        lengths AS (
+            SELECT conv_id, conv_id - conv_id % 5 AS first, CAST(conv_id AS VARCHAR) AS name, max(place) AS n
+            FROM turns GROUP BY ALL),
+        shared AS (
+            SELECT conv_id, first, (4294967295 - list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(1, len(name) + 1), lambda i: ascii(name[i])::BIGINT)),
+                lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)),
+                    lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % 9 AS h
+            FROM lengths),
+        taken AS (
+            SELECT s.conv_id, s.first, h, least(h, coalesce(f.n, 0)) AS t
+            FROM shared s LEFT JOIN lengths f ON f.conv_id = s.first),
+        rebuilt AS (
+            SELECT conv_id, place - h + t AS d, role, text FROM turns JOIN taken USING (conv_id) WHERE place > h
+            UNION ALL
+            SELECT a.conv_id, place, role, text FROM taken a JOIN turns s ON s.conv_id = a.first AND place <= h),
+        whole AS (
+            SELECT conv_id, coalesce(list({'role': role, 'text': text} ORDER BY d) FILTER (d IS NOT NULL), []) AS w
+            FROM lengths LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+        ways AS (
+            SELECT conv_id, unnest(range(0, len(w) + 1)) AS depth, w FROM whole),
+        keyed AS (
+            SELECT conv_id, depth, depth = len(w) AS ends, md5(CAST(w[1:depth] AS VARCHAR)) AS k,
+                   CASE WHEN depth > 0 THEN md5(CAST(w[1:depth - 1] AS VARCHAR)) END AS up,
+                   CASE WHEN depth > 0 THEN strlen(w[depth].text) ELSE 0 END AS bytes
+            FROM ways),
+        nodes AS (
+            SELECT depth, k, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM keyed GROUP BY depth, k),
+        children AS (SELECT depth - 1 AS depth, up AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+        told AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (depth, k)),
+        below AS (
+            SELECT a.depth, a.k, count(DISTINCT t.k || t.depth) FILTER (t.n_children = 0) AS n_leaves,
+                   sum((t.n_convs - 1) * t.bytes) AS saved_tokens
+            FROM (SELECT DISTINCT a.depth, a.k, b.depth AS d2, b.k AS k2
+                  FROM keyed a JOIN keyed b ON a.conv_id = b.conv_id AND b.depth >= a.depth) a
+            JOIN told t ON t.depth = d2 AND t.k = k2 GROUP BY a.depth, a.k)
+        SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, b.n_leaves,
+               CAST(b.saved_tokens AS BIGINT) AS saved_tokens, t.ends_sha256
+        FROM told t JOIN below b USING (depth, k) LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.k = t.up""",
 }
