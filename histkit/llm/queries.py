@@ -20,6 +20,7 @@ from histkit.llm.sharding import shard_by_bytes
 from histkit.llm.substrings import remove_repeats
 from histkit.llm.token_files import read_token_files, write_token_files
 from histkit.llm.toxicity import THRESHOLD, fit, held_out, score
+from histkit.llm.vector_duplicates import vector_links
 from histkit.llm.vectors import embeddings
 
 
@@ -126,6 +127,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(embeddings(spark, sf_dir))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -141,6 +146,7 @@ QUERIES = {
         op10_sharding,
         op11_hard_negatives,
         op12_prefix_trie,
+        op13_vector_duplicates,
     )
 }
 
@@ -229,4 +235,19 @@ SQL: dict[str, str] = {
         SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, b.n_leaves,
                CAST(b.saved_tokens AS BIGINT) AS saved_tokens, t.ends_sha256
         FROM told t JOIN below b USING (depth, k) LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.k = t.up""",
+    "op13_vector_duplicates": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        sized AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM usable),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM sized a JOIN sized b ON a.vec_id <> b.vec_id
+            WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.95),
+        reach AS (SELECT DISTINCT a AS vec_id, a AS other FROM links UNION SELECT vec_id, b FROM reach JOIN links ON other = a),
+        counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+        least AS (SELECT vec_id, min(other) AS component FROM reach GROUP BY vec_id)
+        SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
+               vec_id = coalesce(component, vec_id) AS kept
+        FROM embeddings LEFT JOIN counted USING (vec_id) LEFT JOIN least USING (vec_id)""",
 }
