@@ -9,6 +9,7 @@ from .plans import (
     cdc_history,
     json_history,
     load,
+    read_history,
 )
 from .sources import HistoryTable, read_source
 
@@ -22,5 +23,6 @@ __all__ = [
     "cdc_history",
     "json_history",
     "load",
+    "read_history",
     "read_source",
 ]

@@ -3,7 +3,7 @@
 from .checks import check_distinct_count_equal, check_not_null, check_recency, check_table, column_profile
 from .children import child_columns, child_list, child_pivot, explode_variant, lateral_left
 from .pivot import attribute_rows, infer_fields, pivot_attributes, pivot_rows
-from .skew import KeyProfile, if_small, profile_keys, time_slices
+from .skew import Cuts, if_small, sampled, stretches, time_cuts
 from .versions import (
     anti_rows,
     anti_versions,
@@ -16,7 +16,7 @@ from .versions import (
 from .watermark import current_watermark, watermark_filter, watermark_subquery
 
 __all__ = [
-    "KeyProfile",
+    "Cuts",
     "anti_rows",
     "anti_versions",
     "attribute_rows",
@@ -39,8 +39,9 @@ __all__ = [
     "lateral_left",
     "pivot_attributes",
     "pivot_rows",
-    "profile_keys",
-    "time_slices",
+    "sampled",
+    "stretches",
+    "time_cuts",
     "union_distinct",
     "watermark_filter",
     "watermark_subquery",

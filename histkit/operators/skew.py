@@ -1,47 +1,44 @@
-"""Hot keys: find them, and cut their versions into time slices.
+"""Hot keys: cut the versions of keys that outgrow a task into stretches of time.
 
-A history is ordered per key, so a plain window puts all versions of a key in
-one task. That is right for most keys and fails for one that holds a third of
-all rows. ``profile_keys`` finds the keys that outgrow a task, and
-``time_slices`` gives the rows of those keys a slice number that rises with
-time, so that a window per (key, slice) stays within a task.
+A history is ordered per key, so a plain window puts all versions of a key in one
+task. That is right for most keys and fails for one that holds a third of all rows.
+
+All versions in (key, time) order are cut into ranges of about as many rows as a
+task may hold. The cuts are versions of the data: the last ones of the ranges that
+Spark's range partitioning makes of a sample of keys and times. A key without a cut
+stays whole. Of a key with cuts each range is a *stretch*, and as a cut is a version
+itself, a copy of that version goes along into the next stretch, where it stands
+before all others: a window over one stretch finds every predecessor.
+
+No rows are counted by key, and what is known of the cuts is a table like others.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.tables import stage
 
 #: What one task may hold of a key, as rows and as bytes of the row's type.
 TASK_ROWS = 2_000_000
 TASK_BYTES = 512 << 20
+#: Rows of a range that the sample has, about.
+SAMPLED = 2_000
+#: Rows of a frame that may be broadcast.
 SMALL_ROWS = 200_000
 
+STRETCH, BORDER = "_stretch", "_border"
 
-@dataclass(frozen=True)
-class KeyProfile:
-    """Row count of a frame and the keys with more than ``limit`` rows, as a frame (_hot, n)."""
 
-    rows: int
-    limit: int
-    hot: DataFrame | None = None
-    n_hot: int = 0
-    hot_rows: int = 0
-
-    def rows_of(self, df: DataFrame, key: str, hot: bool) -> DataFrame:
-        """The rows of ``df`` with a hot key, or all others. NULL is a key like any other."""
-        keys = if_small(self.hot.select("_hot"), self.n_hot)
-        return df.join(keys, F.col(key).eqNullSafe(F.col("_hot")), "left_semi" if hot else "left_anti")
+@dataclass(frozen=True)
+class Cuts:
+    """Cuts by key, as a table (_cut_key, _cuts) of ``keys`` rows."""
 
-    @property
-    def any_hot(self) -> bool:
-        return self.n_hot > 0
+    table: DataFrame
+    keys: int
 
 
 def task_limit(df: DataFrame) -> int:
@@ -49,76 +46,58 @@ def task_limit(df: DataFrame) -> int:
     return max(1, min(TASK_ROWS, TASK_BYTES // max(1, df._jdf.schema().defaultSize())))
 
 
-def profile_keys(df: DataFrame, key: str, task_rows: int | None = None) -> KeyProfile:
-    """Count rows and find hot keys.
+def sampled(df: DataFrame, limit: int) -> DataFrame:
+    """A share of the rows, so that a range of ``limit`` rows has about ``SAMPLED`` of them."""
+    return df if limit <= SAMPLED else df.sample(SAMPLED / limit, seed=7)
 
-    A key is hot if it has more rows than one task may hold, however many rows
-    or shuffle partitions there are. Hot keys are kept as a table, for there may
-    be as many as tasks. A frame no larger than the limit has none and costs only
-    the count.
-    """
-    limit = task_rows or task_limit(df)
-    rows = df.count()
-    if rows <= limit:
-        return KeyProfile(rows, limit)
-    counted = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    hot = stage(counted)
-    n_hot, hot_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return KeyProfile(rows, limit, hot, n_hot, hot_rows)
 
+def _position(ts: str | Column) -> Column:
+    """NULL times come last."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.struct(ts.isNull().alias("undated"), ts.alias("at"))
 
-def if_small(df: DataFrame, rows: int, limit: int = SMALL_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if its counted size allows it."""
-    return F.broadcast(df) if rows <= limit else df
 
+def time_cuts(sample: DataFrame, key: str, ts: str, limit: int) -> Cuts | None:
+    """Cuts for ranges of about ``limit`` rows, from a sample as ``sampled`` takes it; None for one range."""
+    rows = stage(sample.select(F.col(key).alias("_cut_key"), _position(ts).alias("_cut")))
+    ranges = -(-rows.count() // min(limit, SAMPLED))
+    if ranges < 2:
+        return None
+    ranged = rows.repartitionByRange(ranges, "_cut_key", "_cut").withColumn("_range", F.spark_partition_id())
+    ends = ranged.groupBy("_range").agg(F.max(F.struct("_cut_key", "_cut")).alias("_end"))
+    by_key = ends.groupBy(F.col("_end._cut_key").alias("_cut_key")).agg(F.sort_array(F.collect_list("_end._cut")).alias("_cuts"))
+    table = stage(by_key)
+    return Cuts(table, table.count())
 
-def _seconds(ts: Column, data_type: T.DataType) -> Column:
-    """A number that never falls as ``ts`` rises, whatever the session time zone."""
-    if isinstance(data_type, T.TimestampNTZType):
-        clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.date_part(F.lit("SECOND"), ts)
-        return F.unix_date(ts.cast("date")) * F.lit(86400.0) + clock.cast("double")
-    if isinstance(data_type, T.DateType):
-        return F.unix_date(ts).cast("double")
-    return F.unix_micros(ts).cast("double")
 
+def _below(cuts: Column, position: Column) -> Column:
+    """How many of the sorted ``cuts`` lie below ``position``, by binary search."""
 
-def time_slices(df: DataFrame, key: str, ts: str, profile: KeyProfile, name: str = "_slice") -> DataFrame:
-    """Number slices of about ``profile.limit`` rows in (key, time) order.
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        after = F.get(cuts, middle) < position
+        low, high = F.when(after, middle + 1).otherwise(span["low"]), F.when(after, span["high"]).otherwise(middle)
+        done = span["low"] >= span["high"]
+        return F.when(done, span).otherwise(F.struct(low.alias("low"), high.alias("high")))
 
-    Rows sit on one line: the index of their key plus the share of that key's
-    time span that has passed. Cut points are quantiles of the line, so a burst
-    of versions is cut as finely as a quiet year is not. The number is a pure
-    function of (key, time): recomputed tasks and plan branches agree on it.
-    What reaches the driver is one row per hot key and one number per slice.
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(cuts))).cast("int"))
+    whole = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    return F.aggregate(steps, whole, halve, lambda span: span["low"])
+
+
+def stretches(df: DataFrame, key: str, ts: str, cuts: Cuts) -> DataFrame:
+    """``df`` with the number of each row's stretch, which rises with time within a key.
+
+    A version at a cut is there twice: the second time, marked as border, in the next stretch.
     """
-    at = _seconds(F.col(ts), df.schema[ts].dataType)
-    spans = (
-        df.groupBy(key)
-        .agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-        .select(key, "_lo", (F.col("_hi") - F.col("_lo")).alias("_span"))
-        .collect()
-    )
-    schema = T.StructType(
-        [
-            T.StructField("_key", df.schema[key].dataType),
-            T.StructField("_index", T.IntegerType()),
-            T.StructField("_lo", T.DoubleType()),
-            T.StructField("_span", T.DoubleType()),
-        ]
-    )
-    index = df.sparkSession.createDataFrame(
-        [(r[0], i, r["_lo"] or 0.0, r["_span"] or 1.0) for i, r in enumerate(spans)], schema
-    )
-    # NULL times come last, so they take the end of the key's stretch
-    share = F.coalesce((at - F.col("_lo")) / F.col("_span") * F.lit(0.99), F.lit(0.995))
-    line = df.join(F.broadcast(index), F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(
-        "_line", F.col("_index") + share
-    )
-    pieces = max(2, -(-profile.hot_rows // max(1, profile.limit)))
-    marks = line.agg(
-        F.percentile_approx("_line", [i / pieces for i in range(1, pieces)], max(10_000, 10 * pieces))
-    ).first()[0]
-    cuts = [float("-inf"), *sorted(set(marks or [0.5])), float("inf")]
-    cut = Bucketizer(splits=cuts, inputCol="_line", outputCol=name, handleInvalid="keep")
-    sliced = cut.transform(line).withColumn(name, F.col(name).cast("int"))
-    return sliced.drop("_key", "_index", "_lo", "_span", "_line")
+    joined = df.join(if_small(cuts.table, cuts.keys), F.col(key).eqNullSafe(F.col("_cut_key")), "left")
+    numbered = joined.withColumn(STRETCH, F.when(F.col("_cuts").isNull(), 0).otherwise(_below(F.col("_cuts"), _position(ts))))
+    at_cut = F.get(F.col("_cuts"), F.col(STRETCH)).eqNullSafe(_position(ts))
+    twice = F.when(at_cut, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = numbered.select(*df.columns, STRETCH, F.explode(twice).alias(BORDER))
+    return both.withColumn(STRETCH, F.col(STRETCH) + F.col(BORDER).cast("int"))
+
+
+def if_small(df: DataFrame, rows: int, limit: int = SMALL_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only if its counted size allows it."""
+    return F.broadcast(df) if rows <= limit else df

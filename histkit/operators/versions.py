@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .skew import KeyProfile, profile_keys, time_slices
+from .skew import BORDER, STRETCH, Cuts, sampled, stretches, task_limit, time_cuts
 
 
 # A column of its own, because an expression would be computed anew for each
@@ -19,15 +19,15 @@ from .skew import KeyProfile, profile_keys, time_slices
 UNDATED = "_undated"
 
 
-def _per_key(key: str, ts: str, ties: Sequence[str] = (), slices: Sequence[str] = ()) -> WindowSpec:
+def _per_key(key: str, ts: str, ties: Sequence[str] = (), stretch: Sequence[str] = ()) -> WindowSpec:
     """Rows of a key by time, NULLS LAST."""
-    return Window.partitionBy(key, *slices).orderBy(UNDATED, ts, *ties)
+    return Window.partitionBy(key, *stretch).orderBy(UNDATED, ts, *ties)
 
 
 def _first_copy(
-    df: DataFrame, key: str, ts: str, order: Sequence[str | Column], slices: Sequence[str] = ()
+    df: DataFrame, key: str, ts: str, order: Sequence[str | Column], stretch: Sequence[str] = ()
 ) -> DataFrame:
-    w = Window.partitionBy(key, *slices, UNDATED, ts).orderBy(*order)
+    w = Window.partitionBy(key, *stretch, UNDATED, ts).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
@@ -62,75 +62,42 @@ def _changed(previous: str, row_hash: str) -> Column:
     return F.col(previous).isNull() | (F.col(previous) != F.col(row_hash))
 
 
-def _fold(df: DataFrame, key: str, ts: str, row_hash: str, order: Sequence[str | Column] | None) -> DataFrame:
-    """All versions of a key in one task: one shuffle and one sort for W1 and W4 together."""
-    rows = _dated(df.repartition(F.col(key)), ts)
-    if order is not None:
-        rows = _first_copy(rows, key, ts, order)
-    ties = [row_hash] if order is None else []
-    return (
-        rows.withColumn("_previous", F.lag(row_hash).over(_per_key(key, ts, ties)))
-        .where(_changed("_previous", row_hash))
-        .drop("_previous", UNDATED)
-    )
-
-
-def _fold_hot(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    row_hash: str,
-    order: Sequence[str | Column] | None,
-    profile: KeyProfile,
-) -> DataFrame:
-    """The same result with each key cut into time slices.
-
-    Inside a slice the previous version is at hand. The first row of a slice
-    is compared with the last hash of the key's slice before it, and only
-    these first rows, one per slice, meet in one task per key.
-    """
-    # a slice holds all copies of its times, so one shuffle serves dedupe and comparison
-    rows = _dated(time_slices(df, key, ts, profile).repartition(key, "_slice"), ts)
-    if order is not None:
-        rows = _first_copy(rows, key, ts, order, ["_slice"])
-    ties = [row_hash] if order is None else []
-    piece = _per_key(key, ts, ties, ["_slice"])
-    whole = piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = (
-        rows.withColumn("_previous", F.lag(row_hash).over(piece))
-        .withColumn("_at", F.row_number().over(piece))
-        .withColumn("_end", F.last(row_hash).over(whole))
-    )
-    inside = rows.where("_at > 1").where(_changed("_previous", row_hash))
-    heads = (
-        rows.where("_at = 1")
-        .withColumn("_previous", F.lag("_end").over(_per_key(key, ts)))
-        .where(_changed("_previous", row_hash))
-    )
-    return inside.unionByName(heads).drop("_slice", "_previous", "_at", "_end", UNDATED)
-
-
 def change_history(
     df: DataFrame,
     key: str,
     ts: str,
     order: Sequence[str | Column] | None = None,
     row_hash: str = "row_hash",
-    profile: KeyProfile | None = None,
+    sample: DataFrame | None = None,
     task_rows: int | None = None,
+    flag: str | None = None,
 ) -> DataFrame:
     """Versions that differ from the version before them.
 
     With ``order`` the copies of a version are removed first (W1); without it
     rows of one (key, time) follow each other by hash. ``row_hash`` must not
-    be NULL.
+    be NULL. With ``flag`` all versions are returned, and a column of that name
+    tells which ones differ.
+
+    One shuffle and one sort serve W1 and W4 together, whether keys are cut into
+    stretches or not. ``sample`` gives keys and times for the cuts, as ``sampled``
+    takes them, where ``df`` is dear to read twice; ``task_rows`` is the number of
+    rows of a key that one task may hold.
     """
-    profile = profile or profile_keys(df, key, task_rows)
-    if not profile.any_hot:
-        return _fold(df, key, ts, row_hash, order)
-    light = _fold(profile.rows_of(df, key, hot=False), key, ts, row_hash, order)
-    hot = _fold_hot(profile.rows_of(df, key, hot=True), key, ts, row_hash, order, profile)
-    return light.unionByName(hot)
+    limit = task_rows or task_limit(df)
+    cuts = time_cuts(sampled(df, limit) if sample is None else sample, key, ts, limit)
+    stretch = [STRETCH] if cuts else []
+    rows = stretches(df, key, ts, cuts) if cuts else df
+    rows = _dated(rows.repartition(key, *stretch), ts)
+    if order is not None:
+        rows = _first_copy(rows, key, ts, order, stretch)
+    ties = [row_hash] if order is None else []
+    rows = rows.withColumn("_previous", F.lag(row_hash).over(_per_key(key, ts, ties, stretch)))
+    if cuts:
+        rows = rows.where(~F.col(BORDER))
+    changed = _changed("_previous", row_hash)
+    rows = rows.withColumn(flag, changed) if flag else rows.where(changed)
+    return rows.drop("_previous", UNDATED, STRETCH, BORDER)
 
 
 def compact_changes(

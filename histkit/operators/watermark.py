@@ -33,23 +33,40 @@ def mark_literal(watermark: str, target: T.DataType) -> Column:
     return F.lit(watermark).cast(target)
 
 
-def watermark_filter(df: DataFrame, column: str, watermark: str | None) -> DataFrame:
-    """Rows loaded at or after the mark. No mark means a first run: all rows."""
+def watermark_filter(df: DataFrame, column: str, watermark: str | None, day: str | None = None) -> DataFrame:
+    """Rows loaded at or after the mark. No mark means a first run: all rows.
+
+    ``day`` names a partition column with the day of ``column`` (in UTC, as a date or
+    as text): directories of earlier days are not even listed for reading.
+    """
     if watermark is None:
         return df
-    return df.where(F.col(column) >= mark_literal(watermark, df.schema[column].dataType))
+    since = F.col(column) >= mark_literal(watermark, df.schema[column].dataType)
+    if day is not None:
+        since &= F.col(day) >= F.lit(watermark[:10]).cast(df.schema[day].dataType)
+    return df.where(since)
 
 
-def watermark_subquery(df: DataFrame, column: str, target: DataFrame, target_column: str, grain: str | None = DAY):
+def watermark_subquery(
+    df: DataFrame, column: str, target: DataFrame, target_column: str, grain: str | None = DAY, day: str | None = None
+) -> DataFrame:
     """The same filter as one lazy plan with a scalar subquery.
 
-    Without a first job, but the scan cannot prune by a value it does not know
-    yet, and an empty target keeps nothing.
+    Without a first job; an empty target keeps nothing. The mark is not known when
+    the scan is planned, but with ``day`` its value picks the directories when the
+    scan starts.
     """
     newest = zone_free(F.max(target_column), target.schema[target_column].dataType)
-    mark = target.agg(_grain(newest, grain).cast("timestamp_ntz").alias("mark")).scalar()
+
+    def mark():
+        return target.agg(_grain(newest, grain).cast("timestamp_ntz").alias("mark")).scalar()
+
     kind = df.schema[column].dataType
     if isinstance(kind, T.TimestampType):
-        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), mark)
-        return df.where(F.col(column) >= F.timestamp_micros(micros))
-    return df.where(F.col(column) >= mark.cast(kind))
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), mark())
+        since = F.col(column) >= F.timestamp_micros(micros)
+    else:
+        since = F.col(column) >= mark().cast(kind)
+    if day is not None:
+        since &= F.col(day) >= mark().cast("date").cast(df.schema[day].dataType)
+    return df.where(since)

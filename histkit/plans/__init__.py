@@ -2,8 +2,8 @@
 
 from .attributes import attribute_pivot, infer_spec
 from .cdc import cdc_history, cdc_rows
-from .history import CONSISTENT, REFERENCE, replace_keys
-from .load import load
+from .history import CONSISTENT, REFERENCE, history_of, replace_keys
+from .load import load, read_history
 from .models import MODELS
 from .snapshots import json_history, snapshot_rows
 from .specs import AttributeSpec, CdcSpec, ChildColumns, Column, SnapshotSpec, columns, fields
@@ -22,9 +22,11 @@ __all__ = [
     "cdc_rows",
     "columns",
     "fields",
+    "history_of",
     "infer_spec",
     "json_history",
     "load",
+    "read_history",
     "replace_keys",
     "snapshot_rows",
 ]

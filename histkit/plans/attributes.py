@@ -30,7 +30,7 @@ def attribute_pivot(
     """
     if target is not None and watermark is None:
         watermark = current_watermark(target, LOADED, grain=None)
-    batch = watermark_filter(source, spec.loaded, watermark)
+    batch = watermark_filter(source, spec.loaded, watermark, spec.loaded_day)
     documents = scan_attributes(batch, spec.payload, spec.on_error, NAMED_VALUES, spec.timestamp_format)
     wide = pivot_attributes(documents, spec.fields, spec.timestamp_format, spec.on_error)
     wide = wide.withColumn(HASH, row_hash(wide, [*KEYS, *spec.fields]))

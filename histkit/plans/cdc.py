@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from ..functions.casts import cast_to, effective_time
 from ..functions.documents import as_document, canonical_json, json_get
 from ..functions.hashing import row_hash, surrogate_key
-from ..operators.skew import profile_keys
+from ..operators.skew import sampled, task_limit
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_cdc
 from ..sources.tables import stage
-from .history import HASH, LOADED, REFERENCE, TIME, changes
+from .history import CHANGED, HASH, LOADED, REFERENCE, TIME, changes
 from .specs import CdcSpec, Column
 
 DELETED = "is_deleted_in_source"
@@ -52,7 +52,9 @@ def cdc_rows(spec: CdcSpec, source: DataFrame) -> DataFrame:
 def finish_cdc(spec: CdcSpec, rows: DataFrame) -> DataFrame:
     """Surrogate key and column order."""
     names = [f"`{c.name}`" for c in spec.columns]
-    return rows.select(surrogate_key(rows, spec.key, TIME).alias(spec.unique_key), *names, LOADED, DELETED, TIME, HASH)
+    kept = [c for c in (CHANGED,) if c in rows.columns]
+    key = surrogate_key(rows, spec.key, TIME).alias(spec.unique_key)
+    return rows.select(key, *names, LOADED, DELETED, TIME, HASH, *kept)
 
 
 def cdc_history(
@@ -67,16 +69,18 @@ def cdc_history(
 
     With a target only rows loaded since the day of its newest row are read;
     ``watermark`` gives that day if the caller knows it. An empty target counts
-    as none. In ``consistent`` mode the result is the full history of each key
-    in the batch and takes the place of that key's stored rows (``load`` does
-    the same from the first new version of a key on).
+    as none. In ``consistent`` mode the result is all versions of each key in the
+    batch, with ``is_change``, and takes the place of that key's stored rows
+    (``load`` does the same from the first new version of a key on);
+    ``history_of`` takes the history out of it.
     """
     if target is not None and watermark is None:
         watermark = current_watermark(target, LOADED)
-    rows = cdc_rows(spec, watermark_filter(source, spec.loaded, watermark))
-    stored = target if watermark is not None else None
-    profile = profile_keys(rows, spec.key, task_rows)
-    if profile.any_hot:
-        # hot keys take several passes; read the source once for all of them
-        rows = stage(rows)
-    return finish_cdc(spec, changes(rows, spec.key, LOADED, stored, mode, profile=profile))
+    source = watermark_filter(source, spec.loaded, watermark, spec.loaded_day)
+    rows = cdc_rows(spec, source)
+    if watermark is None or target is None:
+        # the source is read once in full, and a few of its rows for the cuts
+        limit = task_rows or task_limit(rows)
+        sample = cdc_rows(spec, sampled(source, limit))
+        return finish_cdc(spec, changes(rows, spec.key, LOADED, mode=mode, sample=sample, task_rows=limit))
+    return finish_cdc(spec, changes(stage(rows), spec.key, LOADED, target, mode, task_rows=task_rows))

@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import zone_free
-from ..operators.skew import KeyProfile, if_small, profile_keys
+from ..operators.skew import if_small
 from ..operators.versions import change_history, latest_per_key
 
 TIME, HASH, LOADED = "timestamp_effective", "row_hash", "etl_updated_timestamp"
 
 REFERENCE, CONSISTENT = "reference", "consistent"
 
+#: Which versions are changes, and when a snapshot landed; kept beside the versions in consistent mode.
+CHANGED, LANDED = "is_change", "_loaded"
+
 
 def of_keys(target: DataFrame, rows: DataFrame, key: str, n_rows: int) -> DataFrame:
     """Rows of ``target`` whose key occurs in the ``n_rows`` rows, NULL included.
@@ -24,6 +27,13 @@ def of_keys(target: DataFrame, rows: DataFrame, key: str, n_rows: int) -> DataFr
     return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
 
 
+def history_of(versions: DataFrame) -> DataFrame:
+    """The history among all versions of consistent mode: the changes, without what is kept beside them."""
+    if CHANGED not in versions.columns:
+        return versions
+    return versions.where(CHANGED).drop(CHANGED, LANDED)
+
+
 def changes(
     rows: DataFrame,
     key: str,
@@ -31,7 +41,8 @@ def changes(
     target: DataFrame | None = None,
     mode: str = REFERENCE,
     carry_all: bool = False,
-    profile: KeyProfile | None = None,
+    sample: DataFrame | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Changed versions among ``rows``, seen against the versions in ``target``.
 
@@ -44,25 +55,32 @@ def changes(
       replace itself by an equal row), so three columns of the target are
       read, and only for the keys in the batch. With ``carry_all`` the last
       versions of all keys are read in full and returned.
-    - ``consistent``: all stored versions of the batch's keys take part, a
-      version loaded before wins over a new copy, and the result is the whole
-      history of these keys.
+    - ``consistent``: the result is *all* versions, marked as change or not, so
+      that what compaction leaves out is not forgotten: a version's time stays
+      taken, and a late version can make its successor a change. ``target`` holds
+      such rows too; those of the batch's keys take part, and the result has the
+      whole history of these keys.
+
+    With a target ``rows`` are read several times: pass a staged batch.
     """
-    profile = profile or profile_keys(rows, key)
+    order, options = [loaded, HASH], {"sample": sample, "task_rows": task_rows}
     if target is None:
-        return change_history(rows, key, TIME, [loaded, HASH], HASH, profile)
+        flag = CHANGED if mode == CONSISTENT else None
+        return change_history(rows, key, TIME, order, HASH, flag=flag, **options)
+    n = rows.count()
     if mode == CONSISTENT:
-        stored = of_keys(target.select(*rows.columns), rows, key, profile.rows)
-        both = _marked(rows, 1).unionByName(_marked(stored, 0))
-        # a key with few new rows may have many stored ones: count them together
-        return change_history(both, key, TIME, ["_side", loaded, HASH], HASH).drop("_side")
+        if CHANGED not in target.columns:
+            raise ValueError(f"consistent mode needs all versions, with {CHANGED}, as it returns them")
+        stored = of_keys(target.select(*rows.columns), rows, key, n)
+        # a key with few new rows may have many stored ones: they are cut together
+        return change_history(rows.unionByName(stored), key, TIME, order, HASH, task_rows=task_rows, flag=CHANGED)
     if carry_all:
         stored = target.select([c for c in target.columns if c in rows.columns])
     else:
-        stored = of_keys(target.select(key, TIME, HASH), rows, key, profile.rows)
+        stored = of_keys(target.select(key, TIME, HASH), rows, key, n)
     last = latest_per_key(stored, key, TIME, order=[HASH])
     both = _marked(rows, 0).unionByName(_marked(last, 1), allowMissingColumns=True)
-    out = change_history(both, key, TIME, ["_side", loaded, HASH], HASH, profile)
+    out = change_history(both, key, TIME, ["_side", *order], HASH, **options)
     return (out if carry_all else out.where("_side = 0")).drop("_side")
 
 
@@ -91,27 +109,21 @@ def last_before(stored: DataFrame, firsts: DataFrame, key: str, n_rows: int) ->
 
 
 def rebuild_tails(
-    stored: DataFrame,
-    recent: DataFrame,
-    firsts: DataFrame,
-    key: str,
-    loaded: str,
-    n_rows: int,
-    rows: DataFrame | None = None,
+    stored: DataFrame, recent: DataFrame, firsts: DataFrame, key: str, loaded: str, rows: DataFrame, task_rows: int | None = None
 ) -> DataFrame:
-    """The history of the keys in ``firsts`` from there on, out of stored versions and new ``rows``.
+    """All versions of the keys in ``firsts`` from there on, marked, out of stored versions and new ``rows``.
 
     What lies before the first new version of a key cannot change, so of a key
     with a long history only its end is read in full, out of ``recent``: the
     stored rows of the periods that can hold it. Three columns of all stored
-    rows give the version before. A stored version wins over a new copy of it.
+    rows give the version before. Of a version's copies, stored or new, the one
+    loaded first is kept.
     """
-    after, before = versions_from(recent, firsts, key, n_rows), last_before(stored, firsts, key, n_rows)
-    both = _marked(after, 0).unionByName(_marked(before, 2), allowMissingColumns=True)
-    if rows is not None:
-        both = both.unionByName(_marked(rows, 1))
-    out = change_history(both, key, TIME, ["_side", loaded, HASH], HASH)
-    return out.where("_side < 2").drop("_side")
+    n = rows.count()
+    after, before = versions_from(recent, firsts, key, n), last_before(stored, firsts, key, n)
+    both = _marked(after.unionByName(rows), 0).unionByName(_marked(before, 1), allowMissingColumns=True)
+    out = change_history(both, key, TIME, [loaded, HASH], HASH, task_rows=task_rows, flag=CHANGED)
+    return out.where("_side = 0").drop("_side")
 
 
 def _position() -> Column:

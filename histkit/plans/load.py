@@ -5,20 +5,36 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..operators.versions import dedupe_versions
 from ..operators.watermark import watermark_filter
 from ..sources.tables import HistoryTable, stage
 from .attributes import attribute_pivot
 from .cdc import cdc_history, cdc_rows, finish_cdc
-from .history import CONSISTENT, HASH, LOADED, REFERENCE, TIME, changes, earliest, first_versions, of_keys, rebuild_tails, versions_from
-from .snapshots import IN_ROW, finish_snapshots, json_history, snapshot_rows, stored_rows
+from .history import (
+    CHANGED,
+    CONSISTENT,
+    HASH,
+    LANDED,
+    LOADED,
+    REFERENCE,
+    TIME,
+    earliest,
+    first_versions,
+    history_of,
+    rebuild_tails,
+    versions_from,
+)
+from .snapshots import IN_ROW, finish_snapshots, json_history, snapshot_rows
 from .specs import AttributeSpec, CdcSpec, SnapshotSpec
 
 HEADER_TIME = "lastUpdated"
 
 
+def read_history(table: HistoryTable, since: str | None = None) -> DataFrame:
+    """The history in a stored table, whichever mode keeps it."""
+    return history_of(table.rows(since))
+
+
 def load(
     spec: CdcSpec | SnapshotSpec | AttributeSpec,
     source: DataFrame,
@@ -26,41 +42,42 @@ def load(
     run_ts: str | None = None,
     mode: str = REFERENCE,
     full_refresh: bool = False,
-    log: HistoryTable | None = None,
     carry_all: bool = True,
     children: str = IN_ROW,
     task_rows: int | None = None,
+    watermark: str | None = None,
 ) -> None:
     """Fold new raw rows into ``table``, creating it on the first run.
 
     The first run, a full refresh, and a table without any load time take the
-    whole source. The changed rows are staged before the table is touched.
+    whole source; else rows loaded since the table's newest load time are taken,
+    or since ``watermark``. The changed rows are staged before the table is touched.
     ``carry_all`` and ``children`` are those of ``json_history``, ``task_rows``
     is the share of a key that one task may hold; an attribute table is cut into
-    periods of ``lastUpdated`` unless ``table`` names another column. ``mode="consistent"`` with a ``log`` table
-    keeps every version of a change log, uncompacted, and rebuilds from it; the
-    result then equals a full rebuild in any arrival order.
+    periods of ``lastUpdated`` unless ``table`` names another column.
+
+    With ``mode="consistent"`` the table holds all versions, and ``read_history``
+    gives the changes among them: in whatever steps and order rows arrive, the
+    result equals a full rebuild from all of them.
     """
+    if full_refresh or not table.exists():
+        watermark = None
+    elif watermark is None:
+        watermark = table.watermark(day=not isinstance(spec, AttributeSpec))
     if isinstance(spec, AttributeSpec):
-        return _load_attributes(spec, source, table, run_ts, full_refresh)
-    if log is not None and (mode != CONSISTENT or not isinstance(spec, CdcSpec)):
-        raise ValueError("a log belongs to the consistent mode of a change log")
+        return _load_attributes(spec, source, table, run_ts, watermark)
     options = {"task_rows": task_rows}
     if isinstance(spec, SnapshotSpec):
-        options |= {"carry_all": carry_all, "children": children}
-    watermark = None if full_refresh or not table.exists() else table.watermark()
-    if watermark is not None and log is not None:
-        # the compacted table stays behind where nothing changed
-        watermark = log.watermark() if log.exists() else None
-    if watermark is None and log is not None:
-        log.replace(_versions(spec, source))
-        return table.replace(finish_cdc(spec, changes(log.read(), spec.key, LOADED)))
+        options |= {"carry_all": carry_all, "children": children, "run_ts": run_ts}
+    history = cdc_history if isinstance(spec, CdcSpec) else json_history
     if watermark is None:
-        return table.replace(_history(spec, source, run_ts, **options))
+        return table.replace(history(spec, source, mode=mode, **options))
     if mode == CONSISTENT:
-        return load_rows(spec, watermark_filter(source, spec.loaded, watermark), table, run_ts, log)
-    batch = stage(_history(spec, source, run_ts, table.read(), watermark, **options))
-    table.upsert(batch, spec.unique_key)
+        return load_rows(spec, watermark_filter(source, spec.loaded, watermark, spec.loaded_day), table, run_ts, task_rows)
+    stored = table.rows()
+    if CHANGED in stored.columns:
+        raise ValueError("the table holds all versions: load it in consistent mode")
+    table.upsert(stage(history(spec, source, stored, watermark=watermark, **options)), spec.unique_key)
 
 
 def load_rows(
@@ -68,55 +85,34 @@ def load_rows(
     batch: DataFrame,
     table: HistoryTable,
     run_ts: str | None = None,
-    log: HistoryTable | None = None,
+    task_rows: int | None = None,
 ) -> None:
-    """Fold ``batch`` into an existing table, consistently.
+    """Fold ``batch`` into an existing table of all versions.
 
     Keys are rebuilt from their first version in the batch on, and only the
-    difference to what is stored is written. A batch that was loaded before
-    changes nothing; with a log, one that reached the log but not the table is
-    made good.
+    difference to what is stored is written: new versions, copies that were loaded
+    earlier than the stored ones, and versions that are a change now or no longer.
+    No version ever goes. A batch that was loaded before changes nothing.
     """
-    if isinstance(spec, CdcSpec):
-        rows, landed = stage(cdc_rows(spec, batch) if log is None else _versions(spec, batch)), LOADED
-    else:
-        rows, landed = stage(snapshot_rows(spec, batch)), "_loaded"
-    n, firsts = rows.count(), stage(first_versions(rows, spec.key))
-    since = earliest(firsts)
-    if log is None:
-        recent = table.read(since)
-        recent = recent if isinstance(spec, CdcSpec) else stored_rows(recent, rows)
-        wide = rebuild_tails(table.read(), recent.select(*rows.columns), firsts, spec.key, landed, n, rows)
-    else:
-        # of the log only the batch's keys, which are broadcast if there are few
-        known = of_keys(log.read().select(spec.key, TIME), rows, spec.key, n)
-        known = known.select(F.col(spec.key).alias("_key"), F.col(TIME).alias("_time"))
-        same = F.col(spec.key).eqNullSafe(F.col("_key")) & F.col(TIME).eqNullSafe(F.col("_time"))
-        log.append(stage(rows.join(known, same, "left_anti")))
-        wide = rebuild_tails(log.read(), log.read(since), firsts, spec.key, landed, n)
-    rebuilt = stage(finish_cdc(spec, wide) if isinstance(spec, CdcSpec) else finish_snapshots(spec, wide, run_ts))
-    stored = versions_from(table.read(since).select(spec.unique_key, spec.key, TIME, HASH), firsts, spec.key, n)
-    added = rebuilt.join(stored.select(spec.unique_key), spec.unique_key, "left_anti")
-    removed = stored.join(rebuilt.select(spec.unique_key), spec.unique_key, "left_anti")
-    table.upsert(stage(added), spec.unique_key, stage(removed.select(spec.unique_key, TIME)))
-
-
-def _history(spec, source, run_ts, target=None, watermark=None, **options) -> DataFrame:
-    if isinstance(spec, CdcSpec):
-        return cdc_history(spec, source, target, watermark=watermark, **options)
-    return json_history(spec, source, target, run_ts, watermark=watermark, **options)
-
-
-def _versions(spec: CdcSpec, source: DataFrame) -> DataFrame:
-    """All versions of a change log, without copies."""
-    return dedupe_versions(cdc_rows(spec, source), spec.key, TIME, [LOADED, HASH])
-
-
-def _load_attributes(spec, source, table, run_ts, full_refresh) -> None:
+    is_log = isinstance(spec, CdcSpec)
+    loaded = LOADED if is_log else LANDED
+    rows = stage(cdc_rows(spec, batch) if is_log else snapshot_rows(spec, batch))
+    firsts = stage(first_versions(rows, spec.key))
+    since, n = earliest(firsts), firsts.count()
+    recent = table.rows(since)
+    if CHANGED not in recent.columns:
+        raise ValueError("the table does not hold all versions: refresh it in consistent mode")
+    wide = rebuild_tails(table.rows(), recent.select(*rows.columns), firsts, spec.key, loaded, rows, task_rows)
+    rebuilt = stage(finish_cdc(spec, wide) if is_log else finish_snapshots(spec, wide, run_ts))
+    same = [spec.unique_key, HASH, CHANGED, loaded]
+    stored = versions_from(recent.select(*dict.fromkeys([*same, spec.key, TIME])), firsts, spec.key, n)
+    table.upsert(stage(rebuilt.join(stored.select(*same), same, "left_anti")), spec.unique_key)
+
+
+def _load_attributes(spec, source, table, run_ts, watermark) -> None:
     """Attribute tables are rebuilt on a full refresh and appended to otherwise."""
     if table.time == TIME:  # attribute rows have no such column
         table = replace(table, time=HEADER_TIME)
-    watermark = None if full_refresh or not table.exists() else table.watermark(day=False)
     if watermark is None:
         return table.replace(attribute_pivot(spec, source, run_ts=run_ts))
-    table.append(stage(attribute_pivot(spec, source, table.read(), run_ts, watermark)))
+    table.append(stage(attribute_pivot(spec, source, table.rows(), run_ts, watermark)))

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.documents import json_get, member_path
 from ..functions.hashing import row_hash, surrogate_key
 from ..operators.children import child_columns, child_list, lateral_left
-from ..operators.skew import profile_keys
+from ..operators.skew import sampled, task_limit
 from ..operators.versions import change_history, dedupe_versions
 from ..operators.watermark import current_watermark, watermark_filter
 from ..sources.scans import scan_json
 from ..sources.tables import stage
-from .history import HASH, LOADED, REFERENCE, TIME, changes
+from .history import CHANGED, CONSISTENT, HASH, LANDED, LOADED, REFERENCE, TIME, changes
 from .specs import SnapshotSpec
 
 IN_ROW, LATERAL = "in_row", "lateral"
@@ -47,21 +47,12 @@ def _parsed(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
     if spec.children:
         ch = spec.children
         cols.append(child_list(*at(ch.path), ch.id_field, ch.type_field, spec.on_error).alias("_children"))
-    rows = scan.select(*cols, F.col(spec.loaded).alias("_loaded"))
+    rows = scan.select(*cols, F.col(spec.loaded).alias(LANDED))
     for name in spec.require_not_null:
         rows = rows.where(F.col(name).isNotNull())
     return rows
 
 
-def _keys(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
-    """The keys of all documents, with nothing else parsed."""
-    column = next(c for c in spec.columns if c.name == spec.key)
-    member, rest = member_path(column.source)
-    scan = scan_json(source, {member: "variant"}, spec.payload, spec.loaded, spec.on_error)
-    key = json_get(F.col("document")[member], rest, column.type, spec.time_type, spec.on_error)
-    return scan.select(key.alias(spec.key))
-
-
 def _hashed(spec: SnapshotSpec, rows: DataFrame) -> DataFrame:
     untracked = {c.name for c in spec.columns if not c.tracked}
     return rows.withColumn(HASH, row_hash(rows, [c for c in output_columns(spec) if c not in untracked]))
@@ -78,7 +69,7 @@ def snapshot_rows(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
 def _lateral_rows(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
     """Children joined on the key alone, one join per type: rows may multiply."""
     rows = _parsed(spec, source)
-    order = ["_loaded", F.md5(F.to_json(F.struct(*[c for c in rows.columns if c != "_loaded"])))]
+    order = [LANDED, F.md5(F.to_json(F.struct(*[c for c in rows.columns if c != LANDED])))]
     rows = dedupe_versions(rows, spec.key, TIME, order)
     children = rows.select(spec.key, F.explode("_children").alias("_child"))
     children = children.select(spec.key, F.col("_child.type").alias("_type"), F.col("_child.id").alias("_id"))
@@ -91,12 +82,14 @@ def _lateral_rows(spec: SnapshotSpec, source: DataFrame) -> DataFrame:
 def finish_snapshots(spec: SnapshotSpec, rows: DataFrame, run_ts: str | None) -> DataFrame:
     """Surrogate key, load time of this run, column order."""
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts)
+    kept = [LANDED, CHANGED] if CHANGED in rows.columns else []
     return rows.select(
         surrogate_key(rows, spec.key, TIME).alias(spec.unique_key),
         *output_columns(spec),
         TIME,
         HASH,
         stamp.cast(spec.time_type).alias(LOADED),
+        *kept,
     )
 
 
@@ -117,28 +110,28 @@ def json_history(
     stored version of every key is returned too and so gets that load time,
     even if the batch has nothing on the key; ``carry_all=False`` leaves these
     alone and reads the target only for the keys in the batch.
-    ``children="lateral"`` joins child columns on the key alone.
+    ``children="lateral"`` joins child columns on the key alone. In ``consistent``
+    mode the result is all versions of each key in the batch, with ``is_change``
+    and when they landed; see ``cdc_history``.
     """
     if target is not None and watermark is None:
         watermark = current_watermark(target, LOADED)
-    source = watermark_filter(source, spec.loaded, watermark)
+    source = watermark_filter(source, spec.loaded, watermark, spec.loaded_day)
     stored = target if watermark is not None else None
-    profile = profile_keys(_keys(spec, source), spec.key, task_rows)
+    if children == LATERAL and (stored is not None or mode == CONSISTENT):
+        raise ValueError("lateral children do not keep (key, time) unique: full rebuild only")
+    rows = snapshot_rows(spec, source)
+    if stored is not None:
+        if mode != CONSISTENT:
+            # when a stored version landed is not kept
+            stored = stored.withColumn(LANDED, F.lit(None).cast(rows.schema[LANDED].dataType)).select(*rows.columns)
+        wide = changes(stage(rows), spec.key, LANDED, stored, mode, carry_all, task_rows=task_rows)
+        return finish_snapshots(spec, wide, run_ts)
+    # documents are parsed once, and a few of them for the cuts
+    limit = task_rows or task_limit(rows)
+    sample = _parsed(spec, sampled(source, limit))
     if children == LATERAL:
-        if stored is not None:
-            raise ValueError("lateral children do not keep (key, time) unique: full rebuild only")
-        wide = change_history(_lateral_rows(spec, source), spec.key, TIME, None, HASH, profile)
+        wide = change_history(_lateral_rows(spec, source), spec.key, TIME, None, HASH, sample, limit)
     else:
-        rows = snapshot_rows(spec, source)
-        if profile.any_hot:
-            # hot keys take several passes; parse once for all of them
-            rows = stage(rows)
-        if stored is not None:
-            stored = stored_rows(stored, rows)
-        wide = changes(rows, spec.key, "_loaded", stored, mode, carry_all, profile)
+        wide = changes(rows, spec.key, LANDED, mode=mode, sample=sample, task_rows=limit)
     return finish_snapshots(spec, wide, run_ts)
-
-
-def stored_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stored versions in the shape of ``snapshot_rows``; when they landed is not kept."""
-    return target.withColumn("_loaded", F.lit(None).cast(rows.schema["_loaded"].dataType)).select(*rows.columns)

@@ -44,7 +44,11 @@ def fields(text: str) -> dict[str, str]:
 
 @dataclass(frozen=True)
 class CdcSpec:
-    """A change log to keep as a history."""
+    """A change log to keep as a history.
+
+    ``loaded_day`` names a partition column of the raw table that holds the day
+    of the load time, as a date or as text; batches then read its directories only.
+    """
 
     name: str
     source: tuple[str, str]
@@ -52,6 +56,7 @@ class CdcSpec:
     columns: tuple[Column, ...]
     key: str = "id"
     loaded: str = "_h2_sf_inserted"
+    loaded_day: str | None = None
     deleted: str = "_h2_is_deleted"
     effective: str = "_h2_binlog_ts_ms"
     time_type: str = "timestamp"
@@ -87,6 +92,7 @@ class SnapshotSpec:
     require_not_null: tuple[str, ...] = ()
     payload: str = "raw_data"
     loaded: str = "raw_inserted_timestamp"
+    loaded_day: str | None = None
     time_type: str = "timestamp"
     on_error: str = FAIL
 
@@ -103,6 +109,7 @@ class AttributeSpec:
     fields: Mapping[str, str] = field(default_factory=dict)
     payload: str = "raw_data"
     loaded: str = "raw_inserted_timestamp"
+    loaded_day: str | None = None
     time_type: str = "timestamp"
     timestamp_format: str | None = None
     on_error: str = FAIL

@@ -1,22 +1,23 @@
 """Target tables: upsert, replace, append, read.
 
-Plain Parquet has no atomic upsert, so a table is a set of immutable part
-directories and a manifest that names the current ones. A load writes new
-directories for the parts it touches and then adds one manifest folder, whose
-success mark is the switch: a lost job leaves the table as it was, and readers
-never see a directory change. Only the newest manifest is read. Parts are periods
-of the effective time, so an upsert rewrites the periods its rows fall in, not
-the table. Appends add small entries; eight of a part become one, and eight of
-those one again, so the manifest grows with the periods and the logarithm of the
-loads. ``remove_unused`` deletes what no manifest needs any more. One writer at
-a time.
-
-Catalogs with row-level operations do not need this; see ``merge_into``.
+A stored table is partitioned Parquet: a directory for each period (day, month or
+year) of the effective time. A load writes the periods that its rows fall in again,
+by Spark's dynamic partition overwrite, and leaves the others alone. Catalogs with
+row-level operations do not need this; see ``merge_into``.
+
+What a lost load leaves behind: Spark writes new files aside and moves them at the
+end, directory by directory. A load that is lost before that has changed nothing; run
+it again. One that is lost while directories are moved can leave some periods new
+and others old, and the period in hand without rows. The newest load time may then
+be that of the lost load, so load again with ``watermark=`` the day before it, or
+with ``full_refresh``: loads give the same rows however often they are run. A full
+refresh deletes first, so a lost one leaves no table, and the next load is a first
+run. One writer at a time, and readers see the old or the new files of a period, or
+fail if their files went away while they read.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import tempfile
 import time
@@ -28,12 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import zone_free
+from ..operators.watermark import DAY, EXACT, current_watermark
 
-PART = "history_part"
+PERIOD = "history_period"
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
-MANIFEST = "part string, path string, watermark string, level int, table_schema string"
-#: So many entries of a part that were folded equally often are folded into one.
-FOLD = 8
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -72,17 +71,9 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-@dataclass(frozen=True)
-class Entry:
-    part: str
-    path: str
-    watermark: str | None
-    level: int = 0
-
-
 @dataclass(frozen=True)
 class HistoryTable:
-    """A table at ``path`` cut into periods of ``time`` (one part if None)."""
+    """A table at ``path`` cut into periods of ``time`` (one if None)."""
 
     spark: SparkSession
     path: str
@@ -90,147 +81,72 @@ class HistoryTable:
     grain: str = "month"
     loaded: str = "etl_updated_timestamp"
 
-    # reading
-
-    def _folder(self, name: str):
-        """Spark's file system for a folder of the table, and the folder's path."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _versions(self) -> list[int]:
-        """Committed versions, oldest first; a commit that was lost on the way has no success mark."""
-        fs, path = self._folder("manifest")
-        if not fs.exists(path):
-            return []
-        found = [f.getPath() for f in fs.listStatus(path) if f.isDirectory()]
-        done = [p.getName() for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(name) for name in done)
-
-    def _manifest(self, version: int) -> tuple[list[Entry], T.StructType]:
-        rows = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest/{version:012d}").collect()
-        schema = next(r["table_schema"] for r in rows if r["table_schema"])
-        entries = [Entry(r["part"], r["path"], r["watermark"], r["level"]) for r in rows if r["part"]]
-        return entries, T.StructType.fromJson(json.loads(schema))
-
-    def _snapshot(self) -> tuple[int, list[Entry], T.StructType | None]:
-        """Current version, its parts and its schema; bounded by the number of parts."""
-        versions = self._versions()
-        return (versions[-1], *self._manifest(versions[-1])) if versions else (0, [], None)
+    # The columns are kept in a folder without rows, which Spark's readers pass over:
+    # a table can be empty, and reading needs no look into its files.
+    @property
+    def _columns(self) -> str:
+        return f"{self.path}/_columns"
 
     def exists(self) -> bool:
-        return bool(self._versions())
-
-    def _read(self, entries: list[Entry], schema: T.StructType) -> DataFrame:
-        if not entries:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{e.path}" for e in entries])
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._columns}/_SUCCESS")
+        return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
 
-    def read(self, since: str | None = None) -> DataFrame:
-        """The current rows (S7), or those of the periods from a time on (text, in UTC) and without time."""
-        version, entries, schema = self._snapshot()
-        if not version:
+    def _all(self) -> DataFrame:
+        if not self.exists():
             raise ValueError(f"no table at {self.path}")
+        columns = self.spark.read.parquet(self._columns).schema
+        return self.spark.read.schema(columns.add(PERIOD, T.StringType())).parquet(self.path)
+
+    def rows(self, since: str | None = None) -> DataFrame:
+        """All rows, or those of the periods from a time on (text, in UTC) and without time."""
+        rows = self._all()
         if since is not None and self.time is not None:
-            first = "p" + since[: len(GRAINS[self.grain])]
-            entries = [e for e in entries if e.part >= first or e.part == "none"]
-        return self._read(entries, schema)
+            first = since[: len(GRAINS[self.grain])]
+            rows = rows.where(F.col(PERIOD).isNull() | (F.col(PERIOD) >= first))
+        return rows.drop(PERIOD)
 
     def watermark(self, day: bool = True) -> str | None:
-        """Newest load time, cut to the day unless ``day`` is false; from the manifest, without a scan."""
-        marks = [e.watermark for e in self._snapshot()[1] if e.watermark]
-        return max(marks)[: 10 if day else None] if marks else None
-
-    # writing
+        """Newest load time, cut to the day unless ``day`` is false: reads that column only."""
+        rows = self.rows()
+        return current_watermark(rows, self.loaded, DAY if day else EXACT) if self.loaded in rows.columns else None
 
-    def _part(self, df: DataFrame) -> Column:
+    def _period(self, df: DataFrame) -> Column:
         if self.time is None:
             return F.lit("all")
-        time = zone_free(F.col(self.time), df.schema[self.time].dataType)
-        # the letter keeps the value from being read back as a date
-        return F.coalesce(F.concat(F.lit("p"), F.date_format(time, GRAINS[self.grain])), F.lit("none"))
-
-    def _write(self, df: DataFrame, level: int = 0) -> list[Entry]:
-        """Write ``df`` by part; returns the new entries with their newest load time."""
-        folder = f"data/{uuid.uuid4().hex}"
-        # rebalance joins small outputs of a part and splits large ones
-        rows = df.withColumn(PART, self._part(df)).hint("rebalance", F.col(PART))
-        rows.write.partitionBy(PART).parquet(f"{self.path}/{folder}")
-        loaded = F.lit(None)
-        if self.loaded in df.columns:
-            loaded = zone_free(F.max(self.loaded), df.schema[self.loaded].dataType)
-        # one width for all marks, so that text order is time order
-        mark = F.date_format(loaded, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        schema = T.StructType([*df.schema.fields, T.StructField(PART, T.StringType())])
-        parts = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}").groupBy(PART).agg(mark.alias("mark"))
-        return [Entry(r[PART], f"{folder}/{PART}={r[PART]}", r["mark"], level) for r in parts.collect()]
-
-    def _commit(self, version: int, entries: list[Entry], schema: T.StructType) -> None:
-        rows = [(e.part, e.path, e.watermark, e.level, None) for e in entries]
-        rows.append((None, None, None, None, schema.json()))
-        # a folder of this version without a success mark is what a lost commit left
-        folder = f"{self.path}/manifest/{version:012d}"
-        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(folder)
-
-    def _folded(self, entries: list[Entry], schema: T.StructType) -> list[Entry]:
-        """``entries`` with eight of one part and level written as one of the next level."""
-        while True:
-            groups: dict[tuple, list[Entry]] = {}
-            for e in entries:
-                groups.setdefault((e.part, e.level), []).append(e)
-            full = [g for g in groups.values() if len(g) >= FOLD]
-            if not full:
-                return entries
-            for group in full:
-                merged = self._write(self._read(group, schema), group[0].level + 1)
-                entries = [e for e in entries if e not in group] + merged
+        return F.date_format(zone_free(F.col(self.time), df.schema[self.time].dataType), GRAINS[self.grain])
+
+    def _write(self, df: DataFrame, mode: str, overwrite: str = "static") -> None:
+        # rebalance joins small outputs of a period and splits large ones
+        rows = df.withColumn(PERIOD, self._period(df)).hint("rebalance", F.col(PERIOD))
+        rows.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(PERIOD).parquet(self.path)
 
     def replace(self, df: DataFrame) -> None:
-        """Full refresh (S5). Earlier versions stay on disk until they are cleaned up."""
-        version, _, _ = self._snapshot()
-        self._commit(version + 1, self._write(df), df.schema)
+        """Full refresh."""
+        self._write(df, "overwrite")
+        df.limit(0).write.mode("overwrite").parquet(self._columns)
 
     def append(self, batch: DataFrame) -> None:
-        """Add rows; from time to time small entries of a part are written together."""
-        version, entries, schema = self._snapshot()
-        batch = batch.select(*schema.names) if schema else batch
-        schema = schema or batch.schema
-        self._commit(version + 1, self._folded(entries + self._write(batch), schema), schema)
+        """Add rows."""
+        if not self.exists():
+            return self.replace(batch)
+        self._write(batch.select(*self.rows().columns), "append")
 
-    def upsert(self, batch: DataFrame, key: str, removed: DataFrame | None = None) -> None:
-        """Replace or add rows by ``key`` and drop the keys of ``removed``.
+    def upsert(self, batch: DataFrame, key: str) -> None:
+        """Replace or add rows by ``key``.
 
         A key must fix the effective time, so that a row and its replacement
-        are in one part. ``batch`` and ``removed`` are read several times: pass
-        staged frames.
+        are in one period. ``batch`` is read several times: pass a staged frame.
         """
-        version, entries, schema = self._snapshot()
-        if not version:
+        if not self.exists():
             return self.replace(batch)
-        batch = batch.select(*schema.names)
-        gone = batch.select(key, self._part(batch).alias(PART))
-        if removed is not None:
-            gone = gone.unionByName(removed.select(key, self._part(removed).alias(PART)))
-        touched = {r[0] for r in gone.select(PART).distinct().collect()}
-        old = self._read([e for e in entries if e.part in touched], schema)
-        merged = old.join(gone.select(key), key, "left_anti").unionByName(batch)
-        kept = [e for e in entries if e.part not in touched]
-        self._commit(version + 1, kept + self._write(merged), schema)
-
-    # cleaning up
-
-    def remove_unused(self, older_than: float) -> int:
-        """Delete data folders and manifests that the newest version does not need.
-
-        Only what was last changed more than ``older_than`` seconds ago goes, so
-        leave time for readers of earlier versions and for a load that runs now.
-        Returns how many folders were deleted.
-        """
-        version, entries, _ = self._snapshot()
-        if not version:
-            return 0
-        needed = {e.path.split("/")[1] for e in entries} | {f"{version:012d}"}
-        folders = [self._folder("data"), self._folder("manifest")]
-        return sum(_drop_old(fs, path, needed, older_than) for fs, path in folders if fs.exists(path))
+        stored = self._all()
+        batch = batch.select(*[c for c in stored.columns if c != PERIOD])
+        # as many as the batch has periods
+        touched = [r[0] for r in batch.select(self._period(batch).alias(PERIOD)).distinct().collect()]
+        within = F.col(PERIOD).isin([p for p in touched if p is not None])
+        within = within | F.col(PERIOD).isNull() if None in touched else within
+        merged = stage(upsert(stored.where(within).drop(PERIOD), batch, key))
+        self._write(merged, "overwrite", "dynamic")
 
 
 def _drop_old(fs, path, needed: set[str], older_than: float) -> int:

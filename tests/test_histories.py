@@ -4,8 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from histkit.plans import CONSISTENT, CdcSpec, Column, cdc_history, load, replace_keys
+from histkit.plans import CONSISTENT, CdcSpec, Column, cdc_history, history_of, load, read_history, replace_keys
 from histkit.sources import HistoryTable, stage, upsert
+from tests.test_tables import files
 
 T0 = dt.datetime(2024, 1, 1)
 SPEC = CdcSpec(
@@ -32,7 +33,10 @@ def raw(spark, rows):
                 bool(rest and rest[0]),
                 None if minute is None else T0 + dt.timedelta(minutes=minute),
             )
-            for n, (i, minute, a, b, day, *rest) in enumerate(rows)
+            # a row's place tells when within the day it landed; None leaves its place empty
+            for n, row in enumerate(rows)
+            if row is not None
+            for i, minute, a, b, day, *rest in [row]
         ],
         SCHEMA,
     )
@@ -63,14 +67,14 @@ COUNTER_EXAMPLE = [(1, 10, "A", "", 1), (1, 20, "A", "", 2), (1, 30, "C", "", 2)
 
 
 def days(rows, *wanted):
-    return [r for r in rows if r[4] in wanted]
+    return [r if r[4] in wanted else None for r in rows]
 
 
 def fold(spark, rows, steps, mode):
     """Load days in steps: each run sees all rows landed so far."""
     target = None
     for until in steps:
-        seen = raw(spark, [r for r in rows if r[4] <= until])
+        seen = raw(spark, [r if r[4] <= until else None for r in rows])
         batch = stage(cdc_history(SPEC, seen, target, mode=mode))
         if target is None:
             target = batch
@@ -78,7 +82,7 @@ def fold(spark, rows, steps, mode):
             target = stage(replace_keys(target, batch, "id"))
         else:
             target = stage(upsert(target, batch, SPEC.unique_key))
-    return target
+    return history_of(target)
 
 
 def test_reference_mode_emits_a_version_read_twice_as_a_change(spark):
@@ -116,31 +120,71 @@ def test_null_keys_and_times_are_kept(spark):
     )
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_load_with_a_log_equals_a_full_rebuild_in_any_order(spark, tmp_path, seed):
+def scrambled(seed, n=48):
+    """Few keys and times, so that late rows are copies that differ, or lie between stored versions."""
     rng = random.Random(seed)
-    rows = [(rng.choice([1, 2, 3, None]), rng.choice([None, *range(30)]), rng.choice("AB"), "", n // 12) for n in range(48)]
+    return [(rng.choice([1, 2, 3, None]), rng.choice([None, *range(30)]), rng.choice("AB"), "", i // 12) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_consistent_steps_equal_a_full_rebuild_in_any_order(spark, tmp_path, seed):
+    rows = scrambled(seed)
+    full = short(cdc_history(SPEC, raw(spark, rows)))
+    assert short(fold(spark, rows, [0, 1, 3], CONSISTENT)) == full
     table = HistoryTable(spark, f"{tmp_path}/t", grain="day")
-    log = HistoryTable(spark, f"{tmp_path}/log")
     for until in (0, 1, 3):
-        load(SPEC, raw(spark, [r for r in rows if r[4] <= until]), table, mode=CONSISTENT, log=log)
-    assert short(table.read()) == short(cdc_history(SPEC, raw(spark, rows)))
+        load(SPEC, raw(spark, days(rows, *range(until + 1))), table, mode=CONSISTENT)
+    assert short(read_history(table)) == full
+
+
+def test_consistent_loads_whose_earlier_rows_land_last(spark, tmp_path):
+    """A copy loaded earlier than the stored one takes its place, whenever it is found."""
+    rows = scrambled(7)
+    table = HistoryTable(spark, f"{tmp_path}/t", grain="day")
+    for wanted in ((2, 3), (1,), (0, 1, 2, 3)):
+        load(SPEC, raw(spark, days(rows, *wanted)), table, mode=CONSISTENT, watermark="2024-01-01")
+    assert short(read_history(table)) == short(cdc_history(SPEC, raw(spark, rows)))
+
+
+def test_a_copy_of_a_version_that_compaction_left_out(spark, tmp_path):
+    """The time of a version without a change stays taken."""
+    rows = [(1, 10, "A", "", 0), (1, 20, "A", "", 0), (1, 20, "Z", "", 1)]
+    assert short(fold(spark, rows, [0, 1], CONSISTENT)) == [(1, 10, "A", "")]
+    table = HistoryTable(spark, f"{tmp_path}/t")
+    load(SPEC, raw(spark, days(rows, 0)), table, mode=CONSISTENT)
+    load(SPEC, raw(spark, rows), table, mode=CONSISTENT)
+    assert short(read_history(table)) == [(1, 10, "A", "")] and table.rows().count() == 2
+
+
+def test_modes_do_not_mix(spark, tmp_path):
+    df = raw(spark, COUNTER_EXAMPLE)
+    plain, versions = HistoryTable(spark, f"{tmp_path}/p"), HistoryTable(spark, f"{tmp_path}/v")
+    load(SPEC, df, plain)
+    load(SPEC, df, versions, mode=CONSISTENT)
+    with pytest.raises(ValueError):
+        load(SPEC, df, plain, mode=CONSISTENT)
+    with pytest.raises(ValueError):
+        load(SPEC, df, versions)
+    with pytest.raises(ValueError):
+        cdc_history(SPEC, df, plain.rows(), mode=CONSISTENT)
+    load(SPEC, df, plain, mode=CONSISTENT, full_refresh=True)
+    assert short(read_history(plain)) == short(read_history(versions))
 
 
 def test_load_again_without_news_changes_nothing(spark, tmp_path):
     df = raw(spark, COUNTER_EXAMPLE)
     table = HistoryTable(spark, f"{tmp_path}/t")
     load(SPEC, df, table, mode=CONSISTENT)
-    before = sorted(table.read().collect())
+    before = sorted(table.rows().collect())
     load(SPEC, df, table, mode=CONSISTENT)
-    assert sorted(table.read().collect()) == before
+    assert sorted(table.rows().collect()) == before
 
 
 def test_load_full_refresh_forgets_what_the_source_lost(spark, tmp_path):
     table = HistoryTable(spark, f"{tmp_path}/t")
     load(SPEC, raw(spark, [(1, 10, "A", "", 0), (2, 10, "A", "", 0)]), table)
     load(SPEC, raw(spark, [(1, 10, "A", "", 0)]), table, full_refresh=True)
-    assert short(table.read()) == [(1, 10, "A", "")]
+    assert short(read_history(table)) == [(1, 10, "A", "")]
 
 
 def test_watermark_reads_the_last_day_again_and_not_more(spark):
@@ -161,15 +205,15 @@ def test_consistent_load_rewrites_only_the_periods_that_change(spark, tmp_path):
     days_apart = 24 * 60
     rows = [(1, n * days_apart, "AB"[n % 2], "", n) for n in range(6)]
     load(SPEC, raw(spark, rows[:5]), table, mode=CONSISTENT)
-    before = {e.part: e.path for e in table._snapshot()[1]}
+    before = files(table)
     load(SPEC, raw(spark, rows), table, mode=CONSISTENT)
-    after = {e.part: e.path for e in table._snapshot()[1]}
+    after = files(table)
     assert len(before) == 5 and len(after) == 6
     assert all(after[p] == before[p] for p in before)
     # a late version between two stored ones makes the later of them redundant
     late = (1, 2 * days_apart + 10, "B", "", 6)
     load(SPEC, raw(spark, [*rows, late]), table, mode=CONSISTENT)
-    assert short(table.read()) == short(cdc_history(SPEC, raw(spark, [*rows, late])))
+    assert short(read_history(table)) == short(cdc_history(SPEC, raw(spark, [*rows, late])))
 
 
 def test_a_hot_key_loads_like_any_other(spark, tmp_path):

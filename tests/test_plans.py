@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from histkit.operators import current_watermark, watermark_filter
+from histkit.operators import current_watermark, watermark_filter, watermark_subquery
 from histkit.plans import cdc_history
 from histkit.sources import stage
 from workloads import ALL
@@ -22,6 +22,12 @@ def count(text, operator):
     return len(re.findall(rf"[-+ ]{operator}\b", text))
 
 
+def assert_no_slow_path(text):
+    for word in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in text
+    assert not re.search(r"Window[^\n]*\n[^\n]*Exchange SinglePartition", text)
+
+
 def test_full_history_shuffles_and_sorts_once(spark):
     text = plan(ALL["cdc_history_full"].run(spark, SF))
     assert count(text, "Exchange") == 1 and count(text, "Sort") == 1
@@ -50,22 +56,33 @@ def test_inferring_fields_sorts_nothing(spark):
 
 @pytest.mark.parametrize("partitions", [4, 8, 200])
 @pytest.mark.parametrize("name", ["history_hot_keys", "change_compaction_hot_keys"])
-def test_hot_keys_are_cut_in_every_session(spark, name, partitions):
+def test_stretches_are_shuffled_and_sorted_once_in_every_session(spark, name, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         text = plan(ALL[name].run(spark, SF))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    hot = text[text.index("_slice") :]
-    assert "_slice" in text and hot.count("Exchange hashpartitioning") <= 4
+    assert "_stretch" in text and "BroadcastHashJoin" in text
+    assert count(text, "Exchange") == 1 and count(text, "Sort") == 1
+
+
+def test_rows_are_not_counted_by_key(spark, monkeypatch):
+    """Only the sample's size and the number of keys with cuts reach the driver."""
+    counted, frame = [], type(spark.range(1))
+    count_rows = frame.count
+    monkeypatch.setattr(frame, "count", lambda df: counted.append(df.columns) or count_rows(df))
+    for name in ("first", "collect", "toPandas", "toArrow"):
+        monkeypatch.setattr(frame, name, lambda df: pytest.fail("collected"))
+    ALL["history_hot_keys"].run(spark, SF)
+    assert counted == [["_cut_key", "_cut"], ["_cut_key", "_cuts"]]
 
 
 def test_incremental_reads_three_columns_of_the_target_and_broadcasts_the_batch_keys(spark):
     log = change_log(spark, SF)
     target = stage(cdc_history(LOG_SPEC, log))
     text = plan(cdc_history(LOG_SPEC, log, target))
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    schemas = re.findall(r"ReadSchema: struct<([^>\n]*)>", text)
     assert "id:bigint,timestamp_effective:timestamp_ntz,row_hash:string" in schemas
     assert "LeftSemi" in text and "BroadcastExchange" in text
 
@@ -78,11 +95,50 @@ def test_a_watermark_reaches_the_scan(spark):
     assert "ReadSchema: struct<id:bigint,_h2_sf_inserted:timestamp>" in text
 
 
-@pytest.mark.parametrize("name", sorted(ALL))
+def directories_read(spark, df):
+    """How many directories each scan of a plan reads."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    metrics = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    return [m.apply("numPartitions").value() for m in metrics if m.contains("numPartitions")]
+
+
+def by_day(spark, path, kind):
+    """A raw log in directories by the day it landed."""
+    log = change_log(spark, SF)
+    log.withColumn("day", F.col("_h2_sf_inserted").cast("date").cast(kind)).write.partitionBy("day").parquet(path)
+    return spark.read.schema(log.schema.add("day", kind)).parquet(path)
+
+
+@pytest.mark.parametrize("kind", ["date", "string"])
+def test_a_watermark_picks_the_directories_of_its_days(spark, tmp_path, kind):
+    raw = by_day(spark, f"{tmp_path}/raw", kind)
+    days = sorted(r[0] for r in raw.select(F.col("day").cast("string")).distinct().collect())
+    mark = days[-3]
+    late = watermark_filter(raw, "_h2_sf_inserted", mark, "day")
+    assert re.search(r"PartitionFilters: \[isnotnull\(day#\d+\), \(day#\d+ >= ", plan(late))
+    assert directories_read(spark, late.select("id")) == [3]
+    assert late.count() == raw.where(F.col("_h2_sf_inserted") >= F.lit(mark).cast("timestamp_ntz")).count()
+    # the whole load: its batch has the filter too
+    spec = LOG_SPEC.with_(loaded_day="day")
+    target = stage(cdc_history(spec, raw))
+    assert "PartitionFilters: [isnotnull(day" in plan(watermark_filter(raw, spec.loaded, current_watermark(target, "etl_updated_timestamp"), spec.loaded_day))
+
+
+def test_a_subquery_watermark_picks_them_when_the_scan_starts(spark, tmp_path):
+    raw = by_day(spark, f"{tmp_path}/raw", "date")
+    days = sorted(r[0] for r in raw.select("day").distinct().collect())
+    target = stage(raw.where(F.col("day") <= days[-3]).select(F.col("_h2_sf_inserted").alias("loaded")))
+    late = watermark_subquery(raw, "_h2_sf_inserted", target, "loaded", day="day").select("id")
+    assert re.search(r"PartitionFilters: \[[^\n]*day#\d+ >= [^\n]*ubquery", plan(late))
+    assert directories_read(spark, late.select("id")) == [3]
+
+
+# what the loads run is looked at where they run, in test_oracle.py
+@pytest.mark.parametrize("name", sorted(n for n in ALL if not n.startswith("load_")))
 def test_no_python_no_cross_join_no_single_partition_window(spark, name):
-    if name.startswith("load_"):
-        pytest.skip("runs loads; its pieces are covered")
-    text = plan(ALL[name].run(spark, SF))
-    for word in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in text
-    assert not re.search(r"Window[^\n]*\n[^\n]*Exchange SinglePartition", text)
+    assert_no_slow_path(plan(ALL[name].run(spark, SF)))

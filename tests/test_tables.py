@@ -3,9 +3,10 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from histkit.plans import AttributeSpec, load
-from histkit.sources import HistoryTable, merge_into, read_source, remove_staged, shared_folder, stage, tables, upsert
+from histkit.sources import HistoryTable, merge_into, read_source, remove_staged, shared_folder, stage, upsert
 from tests.test_documents import SPEC as ATTRIBUTES
 from tests.test_documents import doc, landed
 
@@ -23,96 +24,90 @@ def short(df):
     return sorted((r["k"], r["v"]) for r in df.collect())
 
 
-def parts(table):
-    return {e.part: e.path for e in table._snapshot()[1]}
+def files(table):
+    """Data files by period."""
+    out = {}
+    for folder, _, names in os.walk(table.path):
+        if "history_period=" in folder:
+            found = {n for n in names if n.endswith(".parquet")}
+            out |= {folder.split("history_period=")[1]: found} if found else {}
+    return out
 
 
 def test_upsert_rewrites_only_the_periods_it_touches(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     assert not table.exists()
     table.replace(frame(spark, ("a", 1, 1, 1), ("b", 1, 2, 1), ("c", 1, None, 1)))
-    before = parts(table)
-    assert set(before) == {"p2024-01", "p2024-02", "none"}
+    before = files(table)
+    assert set(before) == {"2024-01", "2024-02", "__HIVE_DEFAULT_PARTITION__"}
     table.upsert(stage(frame(spark, ("b", 2, 2, 3), ("d", 2, 3, 3))), "k")
-    after = parts(table)
-    assert short(table.read()) == [("a", 1), ("b", 2), ("c", 1), ("d", 2)]
-    assert {p for p in before if before[p] == after[p]} == {"p2024-01", "none"}
-    assert table.watermark() == "2024-06-03"
-    assert table.watermark(day=False) == "2024-06-03 00:00:00.000000"
-
-
-def test_removed_rows_and_emptied_periods(spark, tmp_path):
-    table = HistoryTable(spark, str(tmp_path))
-    table.replace(frame(spark, ("a", 1, 1, 1), ("b", 1, 2, 1)))
-    table.upsert(stage(frame(spark)), "k", removed=stage(frame(spark, ("b", 1, 2, 1))))
-    assert short(table.read()) == [("a", 1)] and set(parts(table)) == {"p2024-01"}
-    table.upsert(stage(frame(spark)), "k", removed=stage(frame(spark, ("a", 1, 1, 1))))
-    assert table.exists() and table.read().count() == 0 and table.watermark() is None
+    after = files(table)
+    assert short(table.rows()) == [("a", 1), ("b", 2), ("c", 1), ("d", 2)]
+    assert {p for p in before if before[p] == after[p]} == {"2024-01", "__HIVE_DEFAULT_PARTITION__"}
+    table.upsert(stage(frame(spark, ("c", 5, None, 4))), "k")
+    assert files(table)["2024-02"] == after["2024-02"] and ("c", 5) in short(table.rows())
+    assert table.watermark() == "2024-06-04"
+    assert table.watermark(day=False) == "2024-06-04 00:00:00"
 
 
 def test_append_and_column_order(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     table.append(frame(spark, ("a", 1, 1, 1)))
     table.append(frame(spark, ("b", 2, 1, 2)).select("etl_updated_timestamp", "v", "k", "timestamp_effective"))
-    assert short(table.read()) == [("a", 1), ("b", 2)]
+    assert short(table.rows()) == [("a", 1), ("b", 2)]
     table.upsert(stage(frame(spark, ("a", 3, 1, 3))), "k")
-    assert short(table.read()) == [("a", 3), ("b", 2)]
+    assert short(table.rows()) == [("a", 3), ("b", 2)]
 
 
-def test_a_table_without_time_is_one_part(spark, tmp_path):
+def test_a_table_without_time_is_one_period(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path), time=None)
     table.replace(frame(spark, ("a", 1, 1, 1)).select("k", "v"))
     table.upsert(stage(frame(spark, ("a", 2, 1, 1), ("b", 1, 1, 1)).select("k", "v")), "k")
-    assert short(table.read()) == [("a", 2), ("b", 1)] and set(parts(table)) == {"all"}
+    assert short(table.rows()) == [("a", 2), ("b", 1)] and set(files(table)) == {"all"}
+    assert table.watermark() is None
 
 
-def test_a_write_that_never_commits_is_not_seen(spark, tmp_path):
-    table = HistoryTable(spark, str(tmp_path))
-    table.replace(frame(spark, ("a", 1, 1, 1)))
-    table._write(frame(spark, ("a", 9, 1, 9)))
-    assert short(table.read()) == [("a", 1)]
-    assert len(os.listdir(f"{tmp_path}/data")) == 2
+@pytest.mark.parametrize("grain, periods", [("day", {"2024-01-05", "2024-02-05"}), ("year", {"2024"})])
+def test_grains(spark, tmp_path, grain, periods):
+    table = HistoryTable(spark, str(tmp_path), grain=grain)
+    table.replace(frame(spark, ("a", 1, 1, 1), ("b", 1, 2, 1)))
+    assert set(files(table)) == periods and short(table.rows()) == [("a", 1), ("b", 1)]
 
 
-def test_a_reader_keeps_its_version(spark, tmp_path):
+def test_a_full_refresh_leaves_nothing_of_the_table_before(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
-    table.replace(frame(spark, ("a", 1, 1, 1)))
-    old = table.read()
-    table.upsert(stage(frame(spark, ("a", 2, 1, 2))), "k")
-    assert short(old) == [("a", 1)] and short(table.read()) == [("a", 2)]
+    table.replace(frame(spark, ("a", 1, 1, 1), ("b", 1, 2, 1)))
+    table.replace(frame(spark, ("a", 2, 1, 2)).withColumn("more", F.lit("x")))
+    assert short(table.rows()) == [("a", 2)] and set(files(table)) == {"2024-01"}
+    assert table.rows().columns[-1] == "more"
 
 
-def test_a_failed_first_commit_is_no_table(spark, tmp_path):
+def test_a_lost_write_is_not_seen(spark, tmp_path):
+    """What a job leaves aside when it is lost before it moves its files."""
     table = HistoryTable(spark, str(tmp_path))
-    os.makedirs(f"{tmp_path}/manifest/000000000001/_temporary")
-    assert not table.exists() and table.watermark() is None
-    with pytest.raises(ValueError):
-        table.read()
     table.replace(frame(spark, ("a", 1, 1, 1)))
-    assert short(table.read()) == [("a", 1)]
+    aside = f"{tmp_path}/.spark-staging-lost/history_period=2024-01"
+    frame(spark, ("z", 9, 1, 9)).write.parquet(aside)
+    assert short(table.rows()) == [("a", 1)]
+    broken = frame(spark, ("b", 1, 1, 2)).withColumn("v", F.expr("CAST(raise_error('lost') AS int)"))
+    with pytest.raises(Exception, match="lost"):
+        table.append(broken)
+    assert short(table.rows()) == [("a", 1)] and table.watermark() == "2024-06-01"
 
 
-def test_many_small_appends_leave_a_small_manifest(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "FOLD", 3)
+def test_a_lost_full_refresh_is_no_table(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
-    for i in range(20):
-        table.append(frame(spark, (f"k{i}", i, 1 + i % 2, 1 + i)))
-    _, entries, _ = table._snapshot()
-    # two periods, at most two entries on each of the levels 0 to 2
-    assert len(entries) <= 12 and {e.level for e in entries} <= {0, 1, 2}
-    assert short(table.read()) == sorted((f"k{i}", i) for i in range(20))
-    assert table.watermark() == "2024-06-20"
-    assert table.spark.read.parquet(f"{tmp_path}/manifest/000000000020").count() == len(entries) + 1
+    broken = frame(spark, ("b", 1, 1, 2)).withColumn("v", F.expr("CAST(raise_error('lost') AS int)"))
+    with pytest.raises(Exception, match="lost"):
+        table.replace(broken)
+    assert not table.exists()
+    with pytest.raises(ValueError):
+        table.rows()
+    table.replace(frame(spark, ("a", 1, 1, 1)))
+    assert short(table.rows()) == [("a", 1)]
 
 
-def test_unused_folders_are_removed_by_age(spark, tmp_path):
-    table = HistoryTable(spark, str(tmp_path))
-    table.replace(frame(spark, ("a", 1, 1, 1)))
-    table.replace(frame(spark, ("a", 2, 1, 2)))
-    assert table.remove_unused(3600) == 0
-    assert table.remove_unused(-5) == 2  # a data folder and a manifest
-    assert short(table.read()) == [("a", 2)] and len(os.listdir(f"{tmp_path}/data")) == 1
-    assert HistoryTable(spark, f"{tmp_path}/none").remove_unused(0) == 0
+def test_staged_batches_are_removed_by_age(spark):
     stage(frame(spark, ("a", 1, 1, 1)))
     assert remove_staged(spark, 24 * 3600) == 0
 
@@ -121,22 +116,22 @@ def test_attribute_load_with_a_default_table(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     for day in (1, 3):
         load(ATTRIBUTES, landed(spark, [doc(day, ("name", "x"))], day=day), table, run_ts=f"2024-01-0{day} 00:00:00")
-    assert sorted(r["id"] for r in table.read().collect()) == [1, 3]
+    assert sorted(r["id"] for r in table.rows().collect()) == [1, 3]
 
 
 def test_reading_from_a_time_on_skips_earlier_periods(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     table.replace(frame(spark, ("a", 1, 1, 1), ("b", 1, 2, 1), ("c", 1, 3, 1), ("d", 1, None, 1)))
-    late = table.read("2024-02-20 10:00:00")
+    late = table.rows("2024-02-20 10:00:00")
     assert short(late) == [("b", 1), ("c", 1), ("d", 1)]
-    assert not any("p2024-01" in f for f in late.inputFiles())
-    assert short(table.read("9999-12-31")) == [("d", 1)]
+    assert "PartitionFilters: [(isnull(history_period" in late._jdf.queryExecution().executedPlan().toString()
+    assert short(table.rows("9999-12-31")) == [("d", 1)]
 
 
 def test_empty_first_load(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     table.replace(frame(spark))
-    assert table.exists() and table.watermark() is None and table.read().columns[0] == "k"
+    assert table.exists() and table.watermark() is None and table.rows().columns[0] == "k"
 
 
 def test_upsert_frames(spark):
@@ -176,9 +171,9 @@ def test_attribute_tables_append_and_refresh(spark, tmp_path):
     both = first.unionByName(landed(spark, [doc(2, ("name", "y"))], day=3))
     load(spec, both, table, run_ts="2024-01-04 00:00:00")
     load(spec, both, table, run_ts="2024-01-05 00:00:00")
-    assert sorted((r["id"], str(r["etl_updated_timestamp"])[:10]) for r in table.read().collect()) == [
+    assert sorted((r["id"], str(r["etl_updated_timestamp"])[:10]) for r in table.rows().collect()) == [
         (1, "2024-01-01"),
         (2, "2024-01-04"),
     ]
     load(spec, both.where("raw_data LIKE '%\"y\"%'"), table, run_ts="2024-01-06", full_refresh=True)
-    assert [r["id"] for r in table.read().collect()] == [2]
+    assert [r["id"] for r in table.rows().collect()] == [2]

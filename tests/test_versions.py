@@ -11,8 +11,8 @@ from histkit.operators import (
     compact_changes,
     dedupe_versions,
     latest_per_key,
-    profile_keys,
-    time_slices,
+    stretches,
+    time_cuts,
     union_distinct,
 )
 
@@ -90,12 +90,30 @@ def test_history_equals_brute_force(spark, seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_hot_keys_give_the_same_history(spark, seed):
+@pytest.mark.parametrize("task_rows", [7, 100])
+def test_keys_in_stretches_give_the_same_history(spark, seed, task_rows):
     rows = random_rows(seed, 600, ["hot"] * 5 + [None] * 5 + list("abc"), 200)
     df = frame(spark, rows)
-    profile = profile_keys(df, "id", task_rows=100)
-    assert {r["_hot"] for r in profile.hot.collect()} == {"hot", None}
-    assert got(change_history(df, "id", "ts", ["n", "row_hash"], task_rows=100)) == brute_history(rows)
+    cut = {r["_cut_key"] for r in time_cuts(df, "id", "ts", task_rows).table.collect()}
+    assert {"hot", None} <= cut
+    assert got(change_history(df, "id", "ts", ["n", "row_hash"], task_rows=task_rows)) == brute_history(rows)
+
+
+def test_all_versions_with_their_marks(spark):
+    rows = random_rows(9, 300, ["hot", "hot", None, "a"], 80)
+    plain = {r[:3]: r for r in brute_history(rows)}
+    for task_rows in (20, 10_000):
+        marked = change_history(frame(spark, rows), "id", "ts", ["n", "row_hash"], task_rows=task_rows, flag="new")
+        assert got(marked.where("new").drop("new")) == brute_history(rows)
+        # one row of each (key, time), and no border is left
+        assert marked.count() == len({r[:2] for r in rows}) == marked.dropDuplicates(["id", "ts"]).count()
+    assert plain
+
+
+def test_rows_of_one_time_without_order_follow_their_hash(spark):
+    rows = [("hot", m // 3, "ABCA"[(m * 7) % 4], m) for m in range(300)]
+    plain = got(change_history(frame(spark, rows), "id", "ts"))
+    assert got(change_history(frame(spark, rows), "id", "ts", task_rows=10)) == plain
 
 
 def test_copies_of_one_version_can_be_most_of_a_table(spark):
@@ -105,22 +123,27 @@ def test_copies_of_one_version_can_be_most_of_a_table(spark):
 
 
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
-def test_slices_follow_time_and_split_the_key(spark, kind):
-    df = frame(spark, [("hot", 1440 * m, "A", 1) for m in range(400)]).withColumn("ts", F.col("ts").cast(kind))
-    profile = profile_keys(df, "id", task_rows=40)
-    assert [r["_hot"] for r in profile.hot.collect()] == ["hot"]
-    sliced = time_slices(df, "id", "ts", profile).select("ts", "_slice").orderBy("ts").collect()
-    numbers = [r["_slice"] for r in sliced]
-    assert numbers == sorted(numbers)
-    largest = max(numbers.count(n) for n in set(numbers))
-    assert len(set(numbers)) >= 4 and largest <= 2 * profile.limit
-
-
-def test_the_limit_follows_neither_rows_nor_partitions(spark):
-    df = spark.range(1000).select((F.col("id") % 50).alias("k"))
-    assert profile_keys(df, "k", task_rows=19).n_hot == df.select("k").distinct().count()  # 20 rows each
-    assert not profile_keys(df, "k", task_rows=20).any_hot
-    assert not profile_keys(df, "k").any_hot
+def test_stretches_follow_time_and_split_the_key(spark, kind):
+    minutes = [*range(400), None]
+    df = frame(spark, [("hot", m and 1440 * m, "A", 1) for m in minutes] + [("light", 1, "A", 1)])
+    df = df.withColumn("ts", F.col("ts").cast(kind))
+    cuts = time_cuts(df, "id", "ts", 40)
+    rows = stretches(df, "id", "ts", cuts).where("id = 'hot'").orderBy(F.col("ts").asc_nulls_last()).collect()
+    numbers = [r["_stretch"] for r in rows if not r["_border"]]
+    assert numbers == sorted(numbers) and len(numbers) == len(minutes)
+    sizes = [numbers.count(n) for n in set(numbers)]
+    assert len(sizes) >= 8 and max(sizes) <= 80
+    # each stretch but the first has one border row, which is the last version of the one before
+    last = {r["_stretch"]: r["ts"] for r in rows if not r["_border"]}
+    border = {r["_stretch"]: r["ts"] for r in rows if r["_border"]}
+    assert all(border[n] == last[n - 1] for n in set(numbers) - {0})
+
+
+def test_a_frame_within_the_limit_is_not_cut(spark):
+    df = frame(spark, [("a", m, "A", 1) for m in range(100)])
+    assert time_cuts(df, "id", "ts", 100) is None
+    assert time_cuts(df, "id", "ts", 99) is not None
+    assert time_cuts(df.limit(0), "id", "ts", 1) is None
 
 
 def test_anti_joins_and_null_keys(spark):

@@ -1,6 +1,7 @@
 """Keys, hashes, parts and marks of a ``timestamp`` do not depend on the session's zone."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def test_both_versions_of_the_repeated_hour_are_stored(spark, zone, tmp_path):
     load(SPEC, raw(spark, ("a", FIRST, 4), ("b", SECOND, 5)), table)
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     load(SPEC, raw(spark, ("a", FIRST, 4), ("b", SECOND, 5)), table)  # again, in another zone
-    rows = table.read().select("event_key", "status", F.unix_seconds("timestamp_effective").alias("s")).collect()
+    rows = table.rows().select("event_key", "status", F.unix_seconds("timestamp_effective").alias("s")).collect()
     assert sorted((r["status"], r["s"]) for r in rows) == [("a", FIRST), ("b", SECOND)]
     assert len({r["event_key"] for r in rows}) == 2
-    assert {e.part for e in table._snapshot()[1]} == {"p2024-11-03"}
+    assert {n for n in os.listdir(tmp_path) if "=" in n} == {"history_period=2024-11-03"}

@@ -70,7 +70,7 @@ LOG_SPEC = CdcSpec(
 )
 
 
-def change_log(spark: SparkSession, sf_dir: str, replay_status: str = "'replayed'") -> DataFrame:
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
 
     def copy(status, delay):
@@ -83,10 +83,10 @@ def change_log(spark: SparkSession, sf_dir: str, replay_status: str = "'replayed
             F.col("ts").alias("_h2_binlog_ts_ms"),
         )
 
-    return copy("event_type", "1 hour").unionByName(copy(replay_status, "2 days"))
+    return copy("event_type", "1 hour").unionByName(copy("'replayed'", "2 days"))
 
 
-def change_log_sql(replay_status: str = "'replayed'") -> str:
+def change_log_sql() -> str:
     """CTE ``log``: the typed change log with its row hash."""
 
     def copy(status, delay):
@@ -95,7 +95,7 @@ def change_log_sql(replay_status: str = "'replayed'") -> str:
             ts AS timestamp_effective FROM events"""
 
     return f"""log AS (SELECT *, {hash_sql("id", "status")} AS row_hash FROM (
-        {copy("event_type", "'1' HOUR")} UNION ALL {copy(replay_status, "'2' DAY")}) x)"""
+        {copy("event_type", "'1' HOUR")} UNION ALL {copy("'replayed'", "'2' DAY")}) x)"""
 
 
 LOG_COLUMNS = "id, status, amount, etl_updated_timestamp, is_deleted_in_source, timestamp_effective, row_hash"

@@ -24,8 +24,10 @@ from histkit.plans import (
     SnapshotSpec,
     attribute_pivot,
     columns,
+    history_of,
     json_history,
     load,
+    read_history,
     replace_keys,
 )
 from histkit.sources import HistoryTable, scan_attributes, scan_json, shared_folder, stage, upsert
@@ -282,7 +284,7 @@ def json_history_carry_batch(spark, sf):
     stored = HistoryTable(spark, shared_folder(spark))
     load(spec, raw.where(F.col("raw_inserted_timestamp") < F.lit(CUT).cast(NTZ)), stored, FIRST_RUN, carry_all=False)
     load(spec, raw, stored, SECOND_RUN, carry_all=False)
-    return stored.read()
+    return read_history(stored)
 
 
 @QUERIES.add(f"""
@@ -295,9 +297,9 @@ def json_history_consistent(spark, sf):
     spec = SNAPSHOTS.with_(require_not_null=("timestamp_effective",))
     raw = stage(_snapshots(spark, sf))
     early = raw.where(F.col("raw_inserted_timestamp") < F.lit(CUT).cast(NTZ))
-    target = stage(json_history(spec, early, run_ts=FIRST_RUN))
-    rebuilt = stage(json_history(spec, raw, target, run_ts=SECOND_RUN, mode=CONSISTENT))
-    return replace_keys(target, rebuilt, spec.key)
+    versions = stage(json_history(spec, early, run_ts=FIRST_RUN, mode=CONSISTENT))
+    rebuilt = stage(json_history(spec, raw, versions, run_ts=SECOND_RUN, mode=CONSISTENT))
+    return history_of(replace_keys(versions, rebuilt, spec.key))
 
 
 # attribute lists: every order as a document, each landed twice
@@ -396,7 +398,7 @@ def load_attributes(spark, sf):
     stored = HistoryTable(spark, shared_folder(spark), grain="year")
     load(ORDERS, docs.where(F.col("raw_inserted_timestamp") < F.lit(_HALF).cast(NTZ)), stored, _HALF)
     load(ORDERS, docs, stored, RUN_TS)
-    return stored.read()
+    return read_history(stored)
 
 
 @QUERIES.add("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from histkit.plans import CONSISTENT, cdc_history, load, replace_keys
+from histkit.plans import CONSISTENT, cdc_history, history_of, load, read_history, replace_keys
 from histkit.sources import HistoryTable, shared_folder, stage, upsert
 
 from .common import (
@@ -24,8 +24,8 @@ QUERIES = Registry()
 KEYED = f"{key_sql('id', 'timestamp_effective')} AS event_key, {LOG_COLUMNS}"
 
 
-def full_sql(replay_status: str = "'replayed'") -> str:
-    return f"WITH {change_log_sql(replay_status)} SELECT {KEYED} FROM {compact_sql(dedupe_sql('log') + ' d')} h"
+def full_sql() -> str:
+    return f"WITH {change_log_sql()} SELECT {KEYED} FROM {compact_sql(dedupe_sql('log') + ' d')} h"
 
 
 @QUERIES.add(full_sql())
@@ -69,25 +69,33 @@ def load_incremental(spark, sf):
     stored = HistoryTable(spark, shared_folder(spark), grain="day")
     load(LOG_SPEC, _loaded_before(log, CUT), stored)
     load(LOG_SPEC, log, stored)
-    return stored.read()
+    return read_history(stored)
 
 
-@QUERIES.add(full_sql("event_type"))
+@QUERIES.add(full_sql())
 def cdc_history_consistent(spark, sf):
-    """Two runs in consistent mode equal one full rebuild."""
-    log = change_log(spark, sf, "event_type")
-    target = stage(cdc_history(LOG_SPEC, _loaded_before(log, CUT)))
-    rebuilt = stage(cdc_history(LOG_SPEC, log, target, mode=CONSISTENT))
-    return replace_keys(target, rebuilt, LOG_SPEC.key)
+    """Two runs in consistent mode equal one full rebuild; late copies differ from what is stored."""
+    log = change_log(spark, sf)
+    versions = stage(cdc_history(LOG_SPEC, _loaded_before(log, CUT), mode=CONSISTENT))
+    rebuilt = stage(cdc_history(LOG_SPEC, log, versions, mode=CONSISTENT))
+    return history_of(replace_keys(versions, rebuilt, LOG_SPEC.key))
 
 
 @QUERIES.add(full_sql())
 def load_consistent_from_log(spark, sf):
-    """Three loads with late copies that differ, rebuilt from the kept log: equal to one full rebuild."""
+    """Three loads with late copies that differ, into a table of all versions: equal to one full rebuild."""
     log = change_log(spark, sf)
-    folder = shared_folder(spark)
-    stored = HistoryTable(spark, f"{folder}/history", grain="day")
-    kept = HistoryTable(spark, f"{folder}/log")
+    stored = HistoryTable(spark, shared_folder(spark), grain="day")
     for part in (_loaded_before(log, "2024-01-10"), _loaded_before(log, CUT), log):
-        load(LOG_SPEC, part, stored, mode=CONSISTENT, log=kept)
-    return stored.read()
+        load(LOG_SPEC, part, stored, mode=CONSISTENT)
+    return read_history(stored)
+
+
+@QUERIES.add(full_sql())
+def load_consistent_out_of_order(spark, sf):
+    """Rows that land late, in the middle of what is stored: the second half of the log, then all of it."""
+    log = change_log(spark, sf)
+    stored = HistoryTable(spark, shared_folder(spark), grain="day")
+    load(LOG_SPEC, log.where(F.col("_h2_sf_inserted") >= F.lit(CUT).cast("timestamp_ntz")), stored, mode=CONSISTENT)
+    load(LOG_SPEC, log, stored, mode=CONSISTENT, watermark="2024-01-01")
+    return read_history(stored)

@@ -18,6 +18,7 @@ from histkit.plans import (
     cdc_history,
     json_history,
     load,
+    read_history,
 )
 from histkit.plans.snapshots import output_columns
 from histkit.sources import HistoryTable, shared_folder, stage
@@ -157,7 +158,7 @@ def _child(j: int, kind: str) -> str:
     return f"""concat('{{"Workday_ID":"', event_type, '{j}","Type":"{kind}"}}')"""
 
 
-def _snapshot_sql(spec) -> str:
+def _snapshot_sql(spec, stamp: str = f"TIMESTAMP '{RUN_TS}'") -> str:
     cols = []
     for i, c in enumerate(spec.columns):
         name = c.source[2:]
@@ -188,7 +189,7 @@ def _snapshot_sql(spec) -> str:
             SELECT {", ".join(cols)}, {day} AS timestamp_effective, ts + INTERVAL '1' HOUR AS loaded
             FROM (SELECT *, {LOW_SQL} AS low FROM events) e) x)
         SELECT {key_sql(spec.key, "timestamp_effective")} AS {spec.unique_key}, {_quoted(names)},
-            timestamp_effective, row_hash, TIMESTAMP '{RUN_TS}' AS etl_updated_timestamp
+            timestamp_effective, row_hash, {stamp} AS etl_updated_timestamp
         FROM {compact_sql(dedupe_sql("docs", spec.key, "loaded") + " d", spec.key)} h"""
 
 
@@ -247,6 +248,7 @@ def _query(spec) -> Query:
 # second runs: the rows that landed before a cut, then all rows, through a stored table
 
 HALF = "1998-06-01 00:00:00"
+LAST_OF_FIRST = "2024-01-14 23:30:00"
 
 
 def _in_two_loads(spec, raw, cut: str, first: str, **options):
@@ -255,20 +257,23 @@ def _in_two_loads(spec, raw, cut: str, first: str, **options):
         source = stage(raw(spec, spark, sf))
         load(spec, source.where(F.col(spec.loaded) < F.lit(cut).cast(NTZ)), stored, first, **options)
         load(spec, source, stored, RUN_TS, **options)
-        return stored.read()
+        return read_history(stored)
 
     return run
 
 
 def _second_run(spec) -> Query:
-    """Change logs end like one full rebuild; attribute rows keep the load time of the run that added them."""
+    """Histories end like one full rebuild; snapshots and attribute rows keep the load time of the run that added them."""
     spec = spec.with_(time_type=NTZ)
     if isinstance(spec, CdcSpec):
         return Query(_in_two_loads(spec, _cdc_raw, CUT, CUT, mode=CONSISTENT), _cdc_sql(spec))
+    if isinstance(spec, SnapshotSpec):
+        stamp = f"CASE WHEN loaded < TIMESTAMP '{CUT}' THEN TIMESTAMP '{LAST_OF_FIRST}' ELSE TIMESTAMP '{RUN_TS}' END"
+        return Query(_in_two_loads(spec, _snapshot_raw, CUT, LAST_OF_FIRST, mode=CONSISTENT), _snapshot_sql(spec, stamp))
     sql = f"""SELECT * REPLACE (CASE WHEN "lastUpdated" < TIMESTAMP '{HALF}' THEN TIMESTAMP '{HALF}'
         ELSE etl_updated_timestamp END AS etl_updated_timestamp) FROM ({_attribute_sql(spec)}) a"""
     return Query(_in_two_loads(spec, _attribute_raw, HALF, HALF), sql)
 
 
 QUERIES = {f"model_{name}": _query(spec) for name, spec in MODELS.items()}
-QUERIES |= {f"load_{name}": _second_run(s) for name, s in MODELS.items() if not isinstance(s, SnapshotSpec)}
+QUERIES |= {f"load_{name}": _second_run(spec) for name, spec in MODELS.items()}
