@@ -94,7 +94,7 @@ def test_history_equals_brute_force(spark, seed):
 def test_keys_in_stretches_give_the_same_history(spark, seed, task_rows):
     rows = random_rows(seed, 600, ["hot"] * 5 + [None] * 5 + list("abc"), 200)
     df = frame(spark, rows)
-    cut = {r["_cut_key"] for r in time_cuts(df, "id", "ts", task_rows).table.collect()}
+    cut = {r["_cut_key"] for r in time_cuts(df, "id", "ts", task_rows).heads.collect()}
     assert {"hot", None} <= cut
     assert got(change_history(df, "id", "ts", ["n", "row_hash"], task_rows=task_rows)) == brute_history(rows)
 

@@ -18,7 +18,7 @@ from histkit.operators import (
     watermark_filter,
     watermark_subquery,
 )
-from histkit.sources import read_source, scan_cdc, stage, upsert
+from histkit.sources import read_source, scan_cdc, shared_folder, stage, upsert
 
 from .common import CUT, NTZ, Registry, change_log, change_log_sql, dedupe_sql, hash_sql, key_sql, table
 
@@ -155,6 +155,37 @@ def q_read_source(spark, sf):
     return found.select("c_custkey", "c_name", "c_nationkey")
 
 
+def _by_load_day(spark, sf):
+    """The change log as it lands, in a directory for each day, read back."""
+    log = change_log(spark, sf)
+    path = shared_folder(spark)
+    log.withColumn("load_day", F.col("_h2_sf_inserted").cast("date")).write.partitionBy("load_day").parquet(path)
+    return spark.read.schema(log.schema.add("load_day", "date")).parquet(path)
+
+
+_SINCE = f"""
+    WITH {change_log_sql()}, mark AS (SELECT CAST(max(etl_updated_timestamp) AS DATE) AS day FROM log
+        WHERE etl_updated_timestamp < DATE '{CUT}')
+    SELECT id, status, timestamp_effective FROM log, mark WHERE etl_updated_timestamp >= day"""
+_OF_LOG = ["id", "status", "_h2_binlog_ts_ms AS timestamp_effective"]
+
+
+@QUERIES.add(_SINCE)
+def watermark_by_load_day(spark, sf):
+    """Only the directories of the days since the mark are read."""
+    log = _by_load_day(spark, sf)
+    stored = log.where(F.col("_h2_sf_inserted") < F.lit(CUT).cast(NTZ))
+    mark = current_watermark(stored, "_h2_sf_inserted")
+    return watermark_filter(log, "_h2_sf_inserted", mark, "load_day").selectExpr(*_OF_LOG)
+
+
+@QUERIES.add(_SINCE)
+def watermark_subquery_by_load_day(spark, sf):
+    log = _by_load_day(spark, sf)
+    stored = log.where(F.col("_h2_sf_inserted") < F.lit(CUT).cast(NTZ))
+    return watermark_subquery(log, "_h2_sf_inserted", stored, "_h2_sf_inserted", day="load_day").selectExpr(*_OF_LOG)
+
+
 _COMPACT = """
     SELECT {key}, ts, event_id, row_hash FROM (
         SELECT *, lag(row_hash) OVER (PARTITION BY {key} ORDER BY ts) AS prev FROM (
