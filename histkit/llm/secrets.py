@@ -3,18 +3,26 @@
 Candidates are found by pattern: assignments to a password-like name, access
 keys, long hexadecimal strings, and opaque strings (long, with digits and both
 cases). The value of each is hashed, and the hashes are counted over the whole
-corpus by distinct repositories and owners. A value that three owners or more
-share is an *example* that was copied along; one that a single owner has and
-that looks random is *live*; the rest are *unclear*. Opaque strings are too
-common to report by pattern alone: they count only as live.
+corpus by distinct repositories and owners. Copies of one text count once, under
+one repository, as a text that travels whole says nothing of its values.
+
+- *example*: a value that doesn't look random, in several repositories of three
+  owners or more, or in so many repositories of fewer owners that it must be
+  boilerplate. Only examples are harmless.
+- *live*: looks random, and a single owner has it, in whatever many repositories.
+- *shared*: looks random, and several owners have it: a credential that was copied.
+- *unclear*: the rest.
+
+Opaque strings are too common to report by pattern alone: they count as live, or as
+shared while fewer owners than an example needs have them.
 
 Everything is a column expression. Spans are places of code points; a span's
 place follows from the lengths of the matches and of the gaps between them, as
 ``split`` and ``regexp_extract_all`` cut a text at the same places.
 
-Counts are aggregated per (hash, repository) before anything is joined, so a
-value in a third of all texts is one row; the join back is one that adaptive
-execution can split. Values leave a text only as hashes.
+Counts are aggregated per (hash, text), then per (hash, repository) before anything
+is joined, so a value in a third of all texts is one row; the join back is one that
+adaptive execution can split. Values leave a text only as hashes.
 
 Odd rows: a NULL text has no spans; NULL repositories and owners count as one
 each; every input row gives one output row, repeated or without id.
@@ -37,8 +45,9 @@ ASSIGN_LEAST = 8
 ACCESS_LEAST = 16
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "opaque")
-#: From so many owners on a value is an example; what its characters must be like to be live.
-EXAMPLE_OWNERS = 3
+#: From so many owners, or repositories, on a value that isn't random is an example.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 8
+#: Different characters of a value that looks random.
 LIVE_CHARACTERS = 8
 PLACEHOLDER = r"(?i)example|dummy|sample|changeme|placeholder|your|xxxx|1234567|abcdef"
 
@@ -114,28 +123,35 @@ def find_secrets(
             kept,
             F.struct(*[F.col(c) for c in repository]).alias("_repository"),
             F.struct(F.col(owner)).alias("_owner"),
+            F.xxhash64(F.col(text)).alias("_text"),
             spans.alias("_spans"),
         )
     )
-    uses = found.where(F.size("_spans") > 0).select("_row", "_kept", "_repository", "_owner", F.inline("_spans"))
+    uses = found.where(F.size("_spans") > 0).select("_row", "_repository", "_owner", "_text", F.inline("_spans"))
     counts = (
-        uses.groupBy("hash", "_owner", "_repository")
+        uses.groupBy("hash", "_text")
+        .agg(F.min(F.struct("_owner", "_repository")).alias("_place"))
+        .select("hash", "_place.*")
+        .groupBy("hash", "_owner", "_repository")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("hash", "_owner")
         .agg(F.count(F.lit(1)).alias("repositories"))
         .groupBy("hash")
         .agg(F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"))
     )
+    many = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
     verdict = (
-        F.when(F.col("owners") >= EXAMPLE_OWNERS, "example")
-        .when((F.col("owners") == 1) & F.col("random"), "live")
+        F.when(F.col("random"), F.when(F.col("owners") == 1, "live").otherwise("shared"))
+        .when(many, "example")
         .otherwise("unclear")
     )
+    told = F.col("verdict") == "live"
+    told |= (F.col("verdict") == "shared") & (F.col("owners") < EXAMPLE_OWNERS)
     judged = uses.join(counts, "hash").withColumn("verdict", verdict)
     span = F.struct("start", "kind", "end", "repositories", "owners", "verdict")
     # a row's spans are those of one text; its kept columns come along once
     with_spans = (
-        judged.where((F.col("kind") != KINDS.index("opaque")) | (F.col("verdict") == "live"))
+        judged.where((F.col("kind") != KINDS.index("opaque")) | told)
         .groupBy("_row")
         .agg(F.sort_array(F.collect_list(span)).alias("spans"))
     )

@@ -62,6 +62,17 @@ def test_secrets(steps):
             assert a == b
 
 
+def test_secrets_that_are_examples_stay(spark):
+    """A template value under many owners stays; random values go, however many owners or copies they have."""
+    random, own = "k3Jx9Qw2Lm7Zt4Vb", "0f3a9c5e7b1d2468ace013579bdf02468ace1357"
+    items = [(i, f"text {i}: password=your-password, token={random}", f"owner{i}") for i in range(4)]
+    items += [(10 + i, f"one text with secret={own}", f"owner{i}") for i in range(4)]
+    out = {r["doc_id"]: r for r in corpus_pipeline.mask_secrets(spark, frame(spark, items), SF).collect()}
+    for i in range(4):
+        assert out[i]["text"] == f"text {i}: password=your-password, [secret]"
+        assert out[10 + i]["text"] == "one text with [secret]" and out[10 + i]["n_chars"] == len(out[10 + i]["text"])
+
+
 def test_pieces(steps):
     want = sorted((r["doc_id"], *piece_digests(r["text"])) for r in rows(steps[4]))
     assert sorted(tuple(r) for r in steps[5].collect()) == want

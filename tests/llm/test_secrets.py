@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from histkit.llm.queries import op3_secrets
 from histkit.llm.secrets import find_secrets, mask
-from tests.llm.small import SF, empty, frame, odd, rows
+from tests.llm.small import SCHEMA, SF, empty, frame, odd, rows
 
 ASSIGN = re.compile(
     r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|"""
@@ -69,16 +69,48 @@ def test_query(spark):
     check(out, texts)
 
 
-def test_ownership(spark):
-    """The same value with many owners is an example, a random one with a single owner is live."""
-    copied, own, opaque = "k3Jx9Qw2Lm7Zt4Vb", "p8Rn5Yc1Hd6Gs0Fa", "Zk4mQ8xLw2Nv7Rt1Bp5Y"
-    items = [(i, f"password={copied} {opaque}X", f"owner{i % 4}") for i in range(8)]
-    items += [(8, f"secret={own} and {opaque}", "owner1"), (9, f"secret={own}", "owner1"), (10, "secret=aaaaaaaaaa", "o")]
-    out = {r["doc_id"]: r["spans"] for r in find_secrets(frame(spark, items), ["doc_id"]).collect()}
-    assert [(s["verdict"], s["owners"], s["kind"]) for s in out[0]] == [("example", 4, 0)]
-    assert [(s["verdict"], s["owners"], s["kind"]) for s in out[8]] == [("live", 1, 0), ("live", 1, 3)]
-    assert [(s["verdict"], s["repositories"]) for s in out[9]] == [("live", 1)]
-    assert [s["verdict"] for s in out[10]] == ["unclear"]
+def verdicts(spark, items):
+    """Per id the (verdict, owners, repositories, kind) of its spans; items are (id, text, source[, lang])."""
+    full = [(i, text, rest[1] if len(rest) > 1 else None, rest[0], None) for i, text, *rest in items]
+    found = find_secrets(spark.createDataFrame(full, SCHEMA), ["doc_id"]).collect()
+    return {r["doc_id"]: [(s["verdict"], s["owners"], s["repositories"], s["kind"]) for s in r["spans"]] for r in found}
+
+
+RANDOM, OWN, OPAQUE = "k3Jx9Qw2Lm7Zt4Vb", "p8Rn5Yc1Hd6Gs0Fa", "Zk4mQ8xLw2Nv7Rt1Bp5Y"
+
+
+def test_a_random_value_is_never_an_example(spark):
+    items = [(i, f"text {i} password={RANDOM} {OPAQUE}X", f"owner{i % 4}") for i in range(8)]
+    out = verdicts(spark, items)
+    # the opaque string has too many owners to be told
+    assert all(out[i] == [("shared", 4, 4, 0)] for i in range(8))
+
+
+def test_a_template_value_under_many_owners_is_an_example(spark):
+    items = [(i, f"text {i} password=your-password", f"owner{i}") for i in range(3)]
+    items += [(10 + i, f"text {i} password=changeme-{i}", "owner0") for i in range(3)]
+    out = verdicts(spark, items)
+    assert all(out[i] == [("example", 3, 3, 0)] for i in range(3))
+    assert all(out[10 + i] == [("unclear", 1, 1, 0)] for i in range(3))
+
+
+def test_copies_of_one_text_count_once(spark):
+    """A credential or a template in a text that many owners copied is still that of one text."""
+    items = [(i, f"the text with password={OWN} and token=placeholder", f"owner{i}") for i in range(9)]
+    assert all(v == [("live", 1, 1, 0), ("unclear", 1, 1, 0)] for v in verdicts(spark, items).values())
+
+
+def test_repositories_enter_the_verdict(spark):
+    """Boilerplate of one owner's many repositories is an example; a random value of theirs stays live."""
+    items = [(i, f"text {i} token=sample-token secret={OWN}", "owner", f"lang{i}") for i in range(8)]
+    assert all(v == [("example", 1, 8, 0), ("live", 1, 8, 0)] for v in verdicts(spark, items).values())
+    assert all(v[0][0] == "unclear" for v in verdicts(spark, items[:7]).values())
+
+
+def test_opaque_strings(spark):
+    items = [(i, f"text {i} with {OPAQUE}", f"owner{i}") for i in range(2)] + [(5, f"one {OPAQUE}Q", "owner1"), (6, "secret=aaaaaaaaaa", "o")]
+    out = verdicts(spark, items)
+    assert out[0] == out[1] == [("shared", 2, 2, 3)] and out[5] == [("live", 1, 1, 3)] and out[6][0][0] == "unclear"
 
 
 def test_mask(spark):
