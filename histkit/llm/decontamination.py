@@ -26,8 +26,10 @@ if the item is longer than a segment, that the document has around the passages
 in which segments were found. The last sentence of an item counts as its answer,
 the rest as its question.
 
-The index is broadcast in shards of a fixed size; a benchmark too large for one
-is split, and the documents are read once for each. Documents do not move.
+The index is made and broadcast in shards of a fixed size; a benchmark too large for
+one is split, and the documents are read once for each. Documents do not move. Bounds
+are held for a slice of the passages at a time, so a long text and a full shard need
+no more room than short ones.
 
 Odd rows: NULL and empty texts (of documents or items) match nothing; an item
 id that occurs twice is two items under one id; repeated documents get a row
@@ -37,6 +39,7 @@ each; words are compared without case and punctuation.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -50,6 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histkit.llm.common import ceil_div, tidy, whole_texts
+from histkit.sources.tables import stage
 
 SEGMENT = 64
 BLOCK = 4
@@ -66,8 +70,11 @@ ANSWER = 0.5
 ALONE = 8
 #: Text of the items in one index, in bytes.
 INDEX_BYTES = 16 << 20
-#: Words of documents that are matched together.
+#: Words of documents that are matched together, and bounds of (passage, block) at a time.
 BATCH_WORDS = 200_000
+CELLS = 4 << 20
+#: Bytes of a packed index in one row.
+PIECE = 8 << 20
 
 _WORD = re.compile(r"\w+")
 
@@ -181,11 +188,13 @@ class Index:
         maxima = np.zeros(len(key))
         np.maximum.at(maxima, at, value)
         weights = {}
+        by_block = np.lexsort((term, block))
+        ends = np.searchsorted(block[by_block], np.arange(n_blocks + 1))
         for b in range(n_blocks):
-            mine = block == b
-            own = np.unique(term[mine])
+            mine = by_block[ends[b] : ends[b + 1]]
+            own, at = np.unique(term[mine], return_inverse=True)
             dense = np.zeros((len(own), BLOCK))
-            dense[np.searchsorted(own, term[mine]), item[mine] % BLOCK] = value[mine]
+            dense[at, item[mine] % BLOCK] = value[mine]
             weights[b] = (own, dense)
         starts = np.searchsorted(key // max(1, n_blocks), np.arange(n_terms + 2))
         return starts, key % max(1, n_blocks), maxima, weights
@@ -199,19 +208,24 @@ class Index:
         n_blocks = len(self.weights)
         if not len(terms) or not n_blocks:
             return []
-        count = self.starts[terms + 1] - self.starts[terms]
-        pick = np.repeat(self.starts[terms] - np.cumsum(count) + count, count) + np.arange(count.sum())
         n_passages = int(passage[-1]) + 1
-        bound = np.bincount(np.repeat(passage, count) * n_blocks + self.blocks[pick], self.maxima[pick], n_passages * n_blocks)
         first = np.searchsorted(passage, np.arange(n_passages + 1))
         found = []
-        for at in np.flatnonzero(bound >= threshold - 1e-9):
-            p, b = divmod(int(at), n_blocks)
-            own, dense = self.weights[b]
-            mine = terms[first[p] : first[p + 1]]
-            where = np.minimum(np.searchsorted(own, mine), len(own) - 1)
-            scores = dense[where[own[where] == mine]].sum(axis=0)
-            found += [(p, b * BLOCK + int(i), float(scores[i])) for i in np.flatnonzero(scores >= threshold - 1e-9)]
+        # as many passages at a time as their bounds may take room
+        for low in range(0, n_passages, max(1, CELLS // n_blocks)):
+            high = min(n_passages, low + max(1, CELLS // n_blocks))
+            own_terms, own_passage = terms[first[low] : first[high]], passage[first[low] : first[high]] - low
+            count = self.starts[own_terms + 1] - self.starts[own_terms]
+            pick = np.repeat(self.starts[own_terms] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            cell = np.repeat(own_passage, count) * n_blocks + self.blocks[pick]
+            bound = np.bincount(cell, self.maxima[pick], (high - low) * n_blocks)
+            for at in np.flatnonzero(bound >= threshold - 1e-9):
+                p, b = divmod(int(at), n_blocks)
+                own, dense = self.weights[b]
+                mine = terms[first[low + p] : first[low + p + 1]]
+                where = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+                scores = dense[where[own[where] == mine]].sum(axis=0)
+                found += [(low + p, b * BLOCK + int(i), float(scores[i])) for i in np.flatnonzero(scores >= threshold - 1e-9)]
         return found
 
 
@@ -353,8 +367,29 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _builder(n_items: int, length: float):
+    def build(items: pa.Table, frequency: pa.Table) -> pa.Table:
+        """A shard's items and the counts of its words to its index, packed and cut to pieces."""
+        of_word = dict(zip(frequency.column("word").to_pylist(), frequency.column("n").to_pylist(), strict=True))
+        ordered = items.sort_by([("item_id", "ascending"), ("text", "ascending")])
+        rows = list(zip(ordered.column("item_id").to_pylist(), ordered.column("text").to_pylist(), strict=True))
+        packed = pickle.dumps(Index.build(rows, n_items, of_word, length), protocol=5)
+        pieces = [packed[i : i + PIECE] for i in range(0, len(packed), PIECE)]
+        shard = items.column("shard")[0].as_py()
+        return pa.table(
+            [pa.array([shard] * len(pieces), pa.int32()), pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())],
+            ["shard", "place", "piece"],
+        )
+
+    return build
+
+
 def _indexes(benchmark: DataFrame, index_bytes: int) -> Iterator:
-    """A broadcast index for each shard of the benchmark."""
+    """A broadcast index for each shard of the benchmark.
+
+    A shard's index is built in a task and kept as a table; the driver passes on
+    the bytes of one shard at a time.
+    """
     context = benchmark.sparkSession.sparkContext
     items = whole_texts(benchmark, key="item_id").withColumnRenamed("doc_id", "item_id")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -362,13 +397,16 @@ def _indexes(benchmark: DataFrame, index_bytes: int) -> Iterator:
     items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
     counted = items.select("shard", "text").mapInArrow(_terms, "shard int, word string, n bigint")
     n_items, n_words = counted.where("word IS NULL").agg(F.count(F.lit(1)), F.sum("n")).first()
-    frequency = counted.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"))
+    named = counted.where("word IS NOT NULL")
+    frequency = named.groupBy("word").agg(F.sum("n").alias("n"))
+    of_shard = named.select("shard", "word").distinct().join(frequency, "word").select("shard", "word", "n")
+    length = min(SEGMENT, (n_words or 0) / max(1, n_items))
+    built = items.groupBy("shard").cogroup(of_shard.groupBy("shard"))
+    table = stage(built.applyInArrow(_builder(n_items, length), "shard int, place int, piece binary"))
     for shard in range(shards):
-        here = counted.where((F.col("shard") == shard) & F.col("word").isNotNull()).select("word").distinct()
-        of_word = {r["word"]: r["n"] for r in frequency.join(here, "word", "left_semi").collect()}
-        rows = items.where(F.col("shard") == shard).orderBy("item_id", "text").collect()
-        length = min(SEGMENT, (n_words or 0) / max(1, n_items))
-        yield context.broadcast(Index.build([(r["item_id"], r["text"]) for r in rows], n_items, of_word, length))
+        rows = table.where(F.col("shard") == shard).orderBy("place").select("piece").collect()
+        if rows:
+            yield context.broadcast(pickle.loads(b"".join(bytes(r["piece"]) for r in rows)))
 
 
 def find_leaks(
@@ -380,7 +418,7 @@ def find_leaks(
     """
     source = whole_texts(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = [source.mapInArrow(_finder(sent, threshold), _SCHEMA) for sent in _indexes(benchmark, index_bytes)]
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, found) if found else source.sparkSession.createDataFrame([], _SCHEMA)
 
 
 def drop_leaks(
