@@ -55,6 +55,8 @@ COORDINATES = BANDS * ROWS
 SIMILAR = 0.8
 #: Members of a bucket that are compared at a time, columns of their tables, and rows of such blocks in a task.
 BLOCK, COLUMNS, TASK_ROWS = 256, 8192, 4_000
+#: Tasks over which the members of one bucket are dealt to meet its size.
+SALTS = 32
 #: Height of the lowest slab of ranks; each further slab ends at twice the rank.
 LOWEST = 0.25
 #: Darts after which most documents have all coordinates.
@@ -320,7 +322,10 @@ def _links_between(apart: DataFrame, roots: DataFrame, sets: DataFrame, similar:
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
         F.ceil(F.count_if("away") / BLOCK).cast("int").alias("away_blocks"),
     )
-    sized = named.join(sizes, "bucket")
+    # a bucket's members come from many tasks, and go on to as many
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    sized = named.withColumn("salt", salt).join(sizes.select("*", salts), ["bucket", "salt"]).drop("salt")
 
     def side(rows: DataFrame, own: str, other: str, name: str, is_left: bool) -> DataFrame:
         block = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(name)
