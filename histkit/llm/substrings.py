@@ -50,6 +50,8 @@ BATCH_WORDS = 500_000
 SHARD_WORDS = 150_000
 #: Words of repeats that one owner may bring to a shard.
 OWNER_WORDS = 50_000
+#: Bytes of text whose windows make one bucket, about.
+BUCKET_BYTES = 16 << 20
 #: Windows of a bucket that are sorted at a time.
 SORTED = 500_000
 
@@ -379,8 +381,9 @@ def _run_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc (the id, or the largest number for NULL), text_key, start, stop: word spans that an earlier document has."""
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keyed = _keyed(docs)
+    size = keyed.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0]
+    parts = max(1, ceil_div(size or 0, BUCKET_BYTES))
     routed = keyed.select("doc", _word_hashes(F.col("text")).alias("h")).mapInArrow(
         _router(parts), "bucket int, kind int, data binary"
     )
