@@ -3,7 +3,7 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import sentencepiece
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from histkit.llm.pieces import PieceModel, encode_pieces
@@ -22,11 +22,13 @@ def same(text):
     assert OWN.decode(ids) == LIBRARY.decode(theirs)
 
 
+@settings(deadline=None)
 @given(st.text(max_size=40) | st.text(alphabet="abe \n▁.thing", max_size=60))
 def test_any_text(text):
     same(text)
 
 
+@settings(deadline=None)
 @given(st.lists(st.sampled_from(sorted(OWN.ids)), max_size=12))
 def test_joined_pieces(pieces):
     """Texts made of pieces need to go back most often."""

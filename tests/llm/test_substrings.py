@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from histkit.llm import substrings
@@ -35,6 +35,7 @@ def found(df):
     return sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in df.collect()), key=str)
 
 
+@settings(deadline=None)
 @given(
     st.lists(st.lists(st.integers(0, 3), max_size=30), max_size=6),
     st.lists(st.integers(0, 4), max_size=40),

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -25,6 +25,7 @@ from tests.llm.small import SF, empty, odd, rows
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@settings(deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 50_000) | st.just(7), max_size=700))
 def test_blocks_round_trip(ids):
     ids = np.array(ids, np.uint32)
@@ -67,6 +68,7 @@ def test_file_round_trip(monkeypatch):
         list(read_file(Source(sink.whole[:-1])))
 
 
+@settings(deadline=None)  # the first texts warm the encoder
 @given(st.text(alphabet="ab é\n\t  '.1日😀", max_size=40))
 def test_words_encode_as_whole_texts(text):
     whole = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
