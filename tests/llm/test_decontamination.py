@@ -1,9 +1,11 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
 
+from histkit.llm import decontamination
 from histkit.llm.decontamination import K1, SEGMENT, B, Index, find_leaks, overlap, split_item, words_of
 from histkit.llm.queries import op8_decontamination
 from tests.llm.small import SF, empty, frame, odd, rows
@@ -49,6 +51,47 @@ def test_retrieval_is_all_above_threshold():
         assert all(abs(s - want[p, i]) < 1e-9 for p, i, s in got)
 
 
+def test_bounds_in_slices(monkeypatch):
+    """Any number of passages at a time gives the same pairs."""
+    rng = random.Random(6)
+    items = [(i, " ".join(rng.choices("abcdefghijklmnop", k=30))) for i in range(40)]
+    frequency = Counter(w for _, t in items for w in set(t.split()))
+    index = Index.build(items, 40, frequency, 30.0)
+    pairs = sorted({(p, rng.randint(1, len(index.terms))) for p in range(50) for _ in range(8)})
+    terms, passages = np.array([t for _, t in pairs]), np.array([p for p, _ in pairs])
+    whole = index.retrieve(terms, passages, 0.3)
+    for cells in (1, 7, 33):
+        monkeypatch.setattr(decontamination, "CELLS", cells)
+        assert index.retrieve(terms, passages, 0.3) == whole and whole
+
+
+def test_building_an_index_is_linear():
+    """Postings are sorted once: four times the items take far less than sixteen times the time."""
+
+    def seconds(n):
+        rng = random.Random(1)
+        items = [(i, " ".join(f"w{rng.randrange(20_000)}" for _ in range(30))) for i in range(n)]
+        frequency = Counter(w for _, t in items for w in set(t.split()))
+        start = time.process_time()
+        Index.build(items, n, frequency, 30.0)
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(12_000) < 8 * seconds(3_000)
+
+
+def test_a_long_varied_text(spark):
+    """A million different words, with an item at its end and in its middle."""
+    rng = random.Random(2)
+    text = [f"w{i}x{rng.randrange(10**6)}" for i in range(1_000_000)]
+    items = [(i, " ".join(rng.choices(text, k=40))) for i in range(300)]
+    text[500_000:500_000] = items[7][1].split()
+    text += items[250][1].split()
+    docs = frame(spark, [(1, " ".join(text)), (2, "short")])
+    found = find_leaks(docs, spark.createDataFrame(items, ITEMS), index_bytes=100_000).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 7), (1, 250)}
+
+
 def whole_copies():
     items = [(r["item_id"], f" {' '.join(words_of(r['text']))} ") for r in rows(table="benchmark")]
     texts = [(r["doc_id"], f" {' '.join(words_of(r['text']))} ") for r in rows()]

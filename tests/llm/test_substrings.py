@@ -98,6 +98,7 @@ def test_passages(spark, monkeypatch, parts):
         monkeypatch.setattr(substrings, "OWNER_WORDS", 100)
         monkeypatch.setattr(substrings, "SHARD_WORDS", 1000)
         monkeypatch.setattr(substrings, "SORTED", 50)
+        monkeypatch.setattr(substrings, "BUCKET_BYTES", 5_000)
     try:
         table = frame(spark, docs).repartition(parts * 2)
         assert found(remove_repeats(table)) == brute(docs)
@@ -149,3 +150,22 @@ def test_query_against_sql(spark):
     from tests.oracle import difference, duck
 
     assert difference(op7_substrings(spark, SF), duck(SF), SQL["op7_substrings"]) is None
+
+
+def test_buckets_follow_the_text_and_not_the_session(spark, monkeypatch):
+    """Small buckets change nothing, nor does the number of shuffle partitions."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = sorted(map(tuple, remove_repeats(docs, hashed=True).collect()))
+    routed = []
+    router = substrings._router
+    monkeypatch.setattr(substrings, "_router", lambda parts: routed.append(parts) or router(parts))
+    size = sum(len((r["text"] or "").encode()) for r in docs.collect())
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 10_000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (2, 9):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert sorted(map(tuple, remove_repeats(docs, hashed=True).collect())) == plain
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert routed == [-(-size // 10_000)] * 2
