@@ -18,13 +18,17 @@ CHANGED, LANDED = "is_change", "_loaded"
 
 
 def of_keys(target: DataFrame, rows: DataFrame, key: str, n_rows: int) -> DataFrame:
-    """Rows of ``target`` whose key occurs in the ``n_rows`` rows, NULL included.
+    """Rows of ``target`` whose key occurs in the ``n_rows`` rows, NULL included. ``rows`` are a staged batch.
 
     The keys of a small batch are broadcast, so that the target is filtered
-    where it is read; those of a large one are joined by shuffle.
+    where it is read; those of a large one are joined by shuffle. The join is a plain
+    equality, so a target in buckets of the key stays where it is.
     """
-    keys = if_small(rows.select(F.col(key).alias("_key")).distinct(), n_rows)
-    return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    keys = if_small(rows.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct(), n_rows)
+    found = target.join(keys, F.col(key) == F.col("_key"), "left_semi")
+    if rows.where(F.col(key).isNull()).isEmpty():
+        return found
+    return found.unionByName(target.where(F.col(key).isNull()))
 
 
 def history_of(versions: DataFrame) -> DataFrame:

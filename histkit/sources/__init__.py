@@ -2,9 +2,10 @@
 
 from .catalog import SOURCES, Source, read_source
 from .scans import scan_attributes, scan_cdc, scan_json
-from .tables import HistoryTable, merge_into, remove_staged, shared_folder, stage, upsert
+from .tables import BucketedTable, HistoryTable, merge_into, remove_staged, shared_folder, stage, upsert
 
 __all__ = [
+    "BucketedTable",
     "HistoryTable",
     "SOURCES",
     "Source",

@@ -149,6 +149,60 @@ class HistoryTable:
         self._write(merged, "overwrite", "dynamic")
 
 
+@dataclass(frozen=True)
+class BucketedTable(HistoryTable):
+    """A catalog table whose periods are cut into ``buckets`` by ``key``, sorted by key and time.
+
+    Joins and windows by key read it where it lies: of a batch and its target only
+    the batch is shuffled. Every period has a file for each bucket it has rows of, so
+    choose buckets for the size of a period, and the year or month as the period.
+    ``path`` is where the files are; a catalog that lives as long as its session
+    has to be told again with ``attach``.
+    """
+
+    name: str = ""
+    key: str = "id"
+    buckets: int = 64
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def _all(self) -> DataFrame:
+        if not self.exists():
+            raise ValueError(f"no table {self.name}")
+        return self.spark.table(self.name)
+
+    def _sorted_by(self, df: DataFrame) -> list[str]:
+        return [self.key, *[c for c in (self.time,) if c in df.columns]]
+
+    def _in_buckets(self, df: DataFrame) -> DataFrame:
+        # one task a bucket, so one file in each period
+        return df.withColumn(PERIOD, self._period(df)).repartition(self.buckets, self.key)
+
+    def replace(self, df: DataFrame) -> None:
+        writer = self._in_buckets(df).write.mode("overwrite").option("path", self.path).partitionBy(PERIOD)
+        writer.bucketBy(self.buckets, self.key).sortBy(*self._sorted_by(df)).saveAsTable(self.name)
+
+    def _write(self, df: DataFrame, mode: str, overwrite: str = "static") -> None:
+        conf, name = self.spark.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(name)
+        conf.set(name, overwrite)
+        try:
+            self._in_buckets(df).write.insertInto(self.name, overwrite=mode == "overwrite")
+        finally:
+            conf.set(name, before)
+
+    def attach(self, columns: T.StructType) -> None:
+        """Name the files at ``path`` to a catalog that has forgotten them."""
+        spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*columns, T.StructField(PERIOD, T.StringType())])
+        order = ", ".join(f"`{c}`" for c in [self.key, *[c for c in (self.time,) if c in columns.names]])
+        self.spark.sql(
+            f"CREATE TABLE {self.name} ({spec}) USING parquet PARTITIONED BY ({PERIOD}) "
+            f"CLUSTERED BY (`{self.key}`) SORTED BY ({order}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+        )
+        self.spark.catalog.recoverPartitions(self.name)
+
+
 def _drop_old(fs, path, needed: set[str], older_than: float) -> int:
     before = (time.time() - older_than) * 1000
     old = [f.getPath() for f in fs.listStatus(path) if f.getModificationTime() < before]

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from histkit.operators import current_watermark, watermark_filter, watermark_subquery
-from histkit.plans import cdc_history
-from histkit.sources import stage
+from histkit.operators import current_watermark, latest_per_key, watermark_filter, watermark_subquery
+from histkit.plans import cdc_history, cdc_rows, history
+from histkit.plans.history import HASH, TIME
+from histkit.sources import BucketedTable, stage
 from workloads import ALL
 from workloads.common import LOG_SPEC, change_log
 
@@ -87,6 +88,43 @@ def test_incremental_reads_three_columns_of_the_target_and_broadcasts_the_batch_
     assert "LeftSemi" in text and "BroadcastExchange" in text
 
 
+def above(text, scan):
+    """The operators between the first scan that matches and the next join above it."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if re.search(scan, line))
+    indent = lambda line: len(re.match(r"[ :|+-]*", line)[0])
+    out, depth = [], indent(lines[at])
+    for line in reversed(lines[:at]):
+        if indent(line) < depth:
+            depth = indent(line)
+            out.append(line.lstrip(" :|+-*0123456789()"))
+            if "Join" in line:
+                break
+    return out
+
+
+def test_a_target_in_buckets_is_not_shuffled(spark, tmp_path, monkeypatch):
+    """A batch too large to broadcast goes to the buckets of the target, for the join and for the last versions."""
+    monkeypatch.setattr(history, "if_small", lambda df, n: df)
+    log = change_log(spark, SF)
+    stored = BucketedTable(spark, f"{tmp_path}/t", grain="year", name="bucketed_plan", buckets=4)
+    stored.replace(cdc_history(LOG_SPEC, log))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = stage(cdc_rows(LOG_SPEC, log))
+        last = latest_per_key(history.of_keys(stored.rows().select("id", TIME, HASH), rows, "id", 10**9), "id", TIME)
+        text = plan(last)
+        whole = plan(cdc_history(LOG_SPEC, log, stored.rows()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for tree in (text, whole):
+        path = above(tree, "Bucketed: true")
+        assert path[-1].startswith("SortMergeJoin") and not any("Exchange" in line for line in path)
+        assert "SelectedBucketsCount: 4 out of 4" in tree
+    # above the join, the window finds its rows by key as well
+    assert count(text.split("SortMergeJoin")[0], "Exchange") == 0 and "Window" in text
+
+
 def test_a_watermark_reaches_the_scan(spark):
     raw = stage(change_log(spark, SF).withColumn("_h2_sf_inserted", F.col("_h2_sf_inserted").cast("timestamp")))
     mark = current_watermark(raw, "_h2_sf_inserted")

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from histkit.plans import AttributeSpec, load
-from histkit.sources import HistoryTable, merge_into, read_source, remove_staged, shared_folder, stage, upsert
+from histkit.sources import BucketedTable, HistoryTable, merge_into, read_source, remove_staged, shared_folder, stage, upsert
 from tests.test_documents import SPEC as ATTRIBUTES
 from tests.test_documents import doc, landed
 
@@ -107,6 +107,29 @@ def test_a_lost_full_refresh_is_no_table(spark, tmp_path):
     assert short(table.rows()) == [("a", 1)]
 
 
+def test_buckets_hold_the_same_rows(spark, tmp_path):
+    table = BucketedTable(spark, f"{tmp_path}/t", name="bucketed_for_test", key="k", buckets=3)
+    assert not table.exists()
+    table.upsert(frame(spark, ("a", 1, 1, 1), ("b", 1, 2, 1), ("c", 1, None, 1)), "k")
+    before = files(table)
+    assert set(before) == {"2024-01", "2024-02", "__HIVE_DEFAULT_PARTITION__"}
+    table.upsert(stage(frame(spark, ("b", 2, 2, 3), ("d", 2, 3, 3))), "k")
+    after = files(table)
+    assert short(table.rows()) == [("a", 1), ("b", 2), ("c", 1), ("d", 2)]
+    assert {p for p in before if before[p] == after[p]} == {"2024-01", "__HIVE_DEFAULT_PARTITION__"}
+    table.append(frame(spark, ("e", 1, 1, 4)))
+    assert ("e", 1) in short(table.rows()) and table.watermark() == "2024-06-04"
+    assert short(table.rows("2024-03-01")) == [("c", 1), ("d", 2)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    rows, columns = short(table.rows()), table.rows().schema
+    spark.sql("DROP TABLE bucketed_for_test")  # its files stay
+    assert not table.exists()
+    table.attach(columns)
+    assert short(table.rows()) == rows
+    table.replace(frame(spark, ("z", 1, 1, 1)))
+    assert short(table.rows()) == [("z", 1)]
+
+
 def test_staged_batches_are_removed_by_age(spark):
     stage(frame(spark, ("a", 1, 1, 1)))
     assert remove_staged(spark, 24 * 3600) == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from histkit.plans import CONSISTENT, cdc_history, history_of, load, read_history, replace_keys
-from histkit.sources import HistoryTable, shared_folder, stage, upsert
+from histkit.sources import BucketedTable, HistoryTable, shared_folder, stage, upsert
 
 from .common import (
     CUT,
@@ -72,6 +72,17 @@ def load_incremental(spark, sf):
     return read_history(stored)
 
 
+@QUERIES.add(INCREMENTAL)
+def load_bucketed(spark, sf):
+    """The same into a catalog table in buckets of the key, which loads don't shuffle."""
+    log, folder = change_log(spark, sf), shared_folder(spark)
+    name = f"history_{folder.rsplit('/', 1)[1]}"
+    stored = BucketedTable(spark, f"{folder}", name=name, buckets=4)
+    load(LOG_SPEC, _loaded_before(log, CUT), stored)
+    load(LOG_SPEC, log, stored)
+    return read_history(stored)
+
+
 @QUERIES.add(full_sql())
 def cdc_history_consistent(spark, sf):
     """Two runs in consistent mode equal one full rebuild; late copies differ from what is stored."""
