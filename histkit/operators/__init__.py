@@ -1,6 +1,14 @@
 """Operators on DataFrames; each can be used on its own."""
 
-from .checks import check_distinct_count_equal, check_not_null, check_recency, check_table, column_profile
+from .checks import (
+    Checks,
+    check_distinct_count_equal,
+    check_not_null,
+    check_recency,
+    check_table,
+    column_profile,
+    observed,
+)
 from .children import child_columns, child_list, child_pivot, explode_variant, lateral_left
 from .pivot import attribute_rows, infer_fields, pivot_attributes, pivot_rows
 from .skew import Cuts, if_small, sampled, stretches, time_cuts
@@ -16,6 +24,7 @@ from .versions import (
 from .watermark import current_watermark, watermark_filter, watermark_subquery
 
 __all__ = [
+    "Checks",
     "Cuts",
     "anti_rows",
     "anti_versions",
@@ -37,6 +46,7 @@ __all__ = [
     "infer_fields",
     "latest_per_key",
     "lateral_left",
+    "observed",
     "pivot_attributes",
     "pivot_rows",
     "sampled",

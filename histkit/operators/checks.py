@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 PASS, WARN = "pass", "warn"
@@ -76,29 +77,77 @@ def check_table(
     ``failures`` counts NULLs, 1 for a table that is late, or the difference.
     """
 
-    def tagged(checked: DataFrame, check: str, column: Column, tag: str, failures: Column) -> DataFrame:
-        return checked.select(
-            F.lit(check).alias("check"),
-            column.alias("column"),
-            F.lit(tag).alias("tag"),
-            F.lit(WARN).alias("severity"),
-            failures.cast("bigint").alias("failures"),
-            "status",
-        )
-
-    out = tagged(check_not_null(df, columns), "not_null", F.col("column"), "validity", F.col("failures"))
+    out = _nulls_checked(check_not_null(df, columns))
     if recency:
-        late = check_recency(df, *recency, as_of)
-        failed = (F.col("status") != PASS).cast("int")
-        out = out.unionByName(tagged(late, "recency", F.col("field"), "timeliness", failed))
+        out = out.unionByName(_recency_checked(check_recency(df, *recency, as_of)))
     if distinct:
-        column, other, other_column = distinct
-        both = check_distinct_count_equal(df, column, other, other_column)
-        gap = F.abs(F.col("distinct_a") - F.col("distinct_b"))
-        out = out.unionByName(tagged(both, "distinct_count", F.lit(column), "completeness", gap))
+        out = out.unionByName(_distinct_checked(df, distinct))
     return out
 
 
+def _tagged(checked: DataFrame, check: str, column: Column, tag: str, failures: Column) -> DataFrame:
+    return checked.select(
+        F.lit(check).alias("check"),
+        column.alias("column"),
+        F.lit(tag).alias("tag"),
+        F.lit(WARN).alias("severity"),
+        failures.cast("bigint").alias("failures"),
+        "status",
+    )
+
+
+def _nulls_checked(counts: DataFrame) -> DataFrame:
+    return _tagged(counts, "not_null", F.col("column"), "validity", F.col("failures"))
+
+
+def _recency_checked(late: DataFrame) -> DataFrame:
+    return _tagged(late, "recency", F.col("field"), "timeliness", (F.col("status") != PASS).cast("int"))
+
+
+def _distinct_checked(df: DataFrame, distinct: tuple[str, DataFrame, str]) -> DataFrame:
+    column, other, other_column = distinct
+    both = check_distinct_count_equal(df, column, other, other_column)
+    return _tagged(both, "distinct_count", F.lit(column), "completeness", F.abs(F.col("distinct_a") - F.col("distinct_b")))
+
+
+@dataclass(frozen=True)
+class Checks:
+    """What ``check_table`` takes, for checks of rows that a job writes anyway."""
+
+    recency: tuple[str, str, int] | None = None
+    as_of: str | None = None
+    distinct: tuple[str, DataFrame, str] | None = None
+    columns: Sequence[str] | None = None
+
+
+def observed(df: DataFrame, checks: Checks) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` under observation, and the check rows once a job has run over it.
+
+    NULLs and the newest time are counted while the job's rows pass by (D1, D2), so
+    they cost no second read. Distinct values (D3) can't be merged like that: for them
+    the second function reads one column of what the job wrote, which it is given.
+    """
+    columns = list(df.columns if checks.columns is None else checks.columns)
+    metrics = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)]
+    if checks.recency:
+        metrics.append(F.max(checks.recency[0]).cast("timestamp_ntz").alias("newest"))
+    seen = Observation()
+
+    def rows(written: DataFrame) -> DataFrame:
+        spark, got = written.sparkSession, seen.get
+        counts = spark.createDataFrame([(c, got[f"nulls_{i}"]) for i, c in enumerate(columns)], "column string, failures bigint")
+        out = _nulls_checked(counts.withColumn("status", _status(F.col("failures") == 0)))
+        if checks.recency:
+            field = checks.recency[0]
+            newest = spark.createDataFrame([(got["newest"],)], f"`{field}` timestamp_ntz")
+            out = out.unionByName(_recency_checked(check_recency(newest, *checks.recency, checks.as_of)))
+        if checks.distinct:
+            out = out.unionByName(_distinct_checked(written, checks.distinct))
+        return out
+
+    return df.observe(seen, *metrics), rows
+
+
 def column_profile(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
     """Name, position, type, comment, NULL and distinct counts of each column.
 

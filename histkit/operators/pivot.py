@@ -78,13 +78,15 @@ def pivot_rows(df: DataFrame, keys: Sequence[str], name: str, value: str, names:
     return df.groupBy(*keys).agg(*[F.max(F.when(F.col(name) == F.lit(n), F.col(value))).alias(n) for n in names])
 
 
-def infer_fields(df: DataFrame) -> DataFrame:
+def infer_fields(df: DataFrame, nested: bool = False) -> DataFrame:
     """Which attributes occur, of which kind, in how many documents.
 
     Takes the frame of ``scan_attributes``. A value with a label is a
     ``label``, another object with an id an ``id``; lists, other objects and
     mixed values are ``var``; text that always reads as a time is ``ts``. A
-    document counts as often as it landed.
+    document counts as often as it landed. With ``nested`` a column ``shape`` gives
+    the type of a ``var`` attribute with those of its members, merged over all values,
+    and is NULL for other kinds.
     """
     names = F.transform("fields", lambda f: f["name"])
     # only a document that repeats a name has to look for its first place
@@ -124,10 +126,10 @@ def infer_fields(df: DataFrame) -> DataFrame:
         .when(high <= SEEN.index("ts"), "str")
         .otherwise("var")
     )
-    return (
-        rows.select("name", "first", seen.alias("seen"))
+    shapes = [F.schema_of_variant_agg("value").alias("shape")] if nested else []
+    found = (
+        rows.select("name", "first", seen.alias("seen"), *["value"][: len(shapes)])
         .groupBy("name")
-        .agg(kind.alias("kind"), F.sum(F.col("first").cast("bigint")).alias("n_docs"))
+        .agg(kind.alias("kind"), F.sum(F.col("first").cast("bigint")).alias("n_docs"), *shapes)
     )
-
-
+    return found.withColumn("shape", F.when(F.col("kind") == "var", F.col("shape"))) if nested else found

@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
+from ..operators.checks import Checks, observed
 from ..operators.watermark import watermark_filter
 from ..sources.tables import HistoryTable, stage
 from .attributes import attribute_pivot
@@ -46,7 +47,8 @@ def load(
     children: str = IN_ROW,
     task_rows: int | None = None,
     watermark: str | None = None,
-) -> None:
+    checks: Checks | None = None,
+) -> DataFrame | None:
     """Fold new raw rows into ``table``, creating it on the first run.
 
     The first run, a full refresh, and a table without any load time take the
@@ -59,25 +61,47 @@ def load(
     With ``mode="consistent"`` the table holds all versions, and ``read_history``
     gives the changes among them: in whatever steps and order rows arrive, the
     result equals a full rebuild from all of them.
+
+    With ``checks`` the rows that the load writes are checked as they pass by (all
+    rows of the table, or the batch's), and the check rows are returned.
     """
     if full_refresh or not table.exists():
         watermark = None
     elif watermark is None:
         watermark = table.watermark(day=not isinstance(spec, AttributeSpec))
     if isinstance(spec, AttributeSpec):
-        return _load_attributes(spec, source, table, run_ts, watermark)
+        return _load_attributes(spec, source, table, run_ts, watermark, checks)
     options = {"task_rows": task_rows}
     if isinstance(spec, SnapshotSpec):
         options |= {"carry_all": carry_all, "children": children, "run_ts": run_ts}
     history = cdc_history if isinstance(spec, CdcSpec) else json_history
     if watermark is None:
-        return table.replace(history(spec, source, mode=mode, **options))
+        return _replaced(table, history(spec, source, mode=mode, **options), checks)
     if mode == CONSISTENT:
-        return load_rows(spec, watermark_filter(source, spec.loaded, watermark, spec.loaded_day), table, run_ts, task_rows)
+        batch = watermark_filter(source, spec.loaded, watermark, spec.loaded_day)
+        return load_rows(spec, batch, table, run_ts, task_rows, checks)
     stored = table.rows()
     if CHANGED in stored.columns:
         raise ValueError("the table holds all versions: load it in consistent mode")
-    table.upsert(stage(history(spec, source, stored, watermark=watermark, **options)), spec.unique_key)
+    batch, checked = _staged(history(spec, source, stored, watermark=watermark, **options), checks)
+    table.upsert(batch, spec.unique_key)
+    return checked
+
+
+def _replaced(table: HistoryTable, rows: DataFrame, checks: Checks | None) -> DataFrame | None:
+    if checks is None:
+        return table.replace(rows)
+    seen, told = observed(rows, checks)
+    table.replace(seen)
+    return told(table.rows())
+
+
+def _staged(rows: DataFrame, checks: Checks | None) -> tuple[DataFrame, DataFrame | None]:
+    if checks is None:
+        return stage(rows), None
+    seen, told = observed(rows, checks)
+    batch = stage(seen)
+    return batch, told(batch)
 
 
 def load_rows(
@@ -86,7 +110,8 @@ def load_rows(
     table: HistoryTable,
     run_ts: str | None = None,
     task_rows: int | None = None,
-) -> None:
+    checks: Checks | None = None,
+) -> DataFrame | None:
     """Fold ``batch`` into an existing table of all versions.
 
     Keys are rebuilt from their first version in the batch on, and only the
@@ -106,13 +131,17 @@ def load_rows(
     rebuilt = stage(finish_cdc(spec, wide) if is_log else finish_snapshots(spec, wide, run_ts))
     same = [spec.unique_key, HASH, CHANGED, loaded]
     stored = versions_from(recent.select(*dict.fromkeys([*same, spec.key, TIME])), firsts, spec.key, n)
-    table.upsert(stage(rebuilt.join(stored.select(*same), same, "left_anti")), spec.unique_key)
+    written, checked = _staged(rebuilt.join(stored.select(*same), same, "left_anti"), checks)
+    table.upsert(written, spec.unique_key)
+    return checked
 
 
-def _load_attributes(spec, source, table, run_ts, watermark) -> None:
+def _load_attributes(spec, source, table, run_ts, watermark, checks) -> DataFrame | None:
     """Attribute tables are rebuilt on a full refresh and appended to otherwise."""
     if table.time == TIME:  # attribute rows have no such column
         table = replace(table, time=HEADER_TIME)
     if watermark is None:
-        return table.replace(attribute_pivot(spec, source, run_ts=run_ts))
-    table.append(stage(attribute_pivot(spec, source, table.rows(), run_ts, watermark)))
+        return _replaced(table, attribute_pivot(spec, source, run_ts=run_ts), checks)
+    batch, checked = _staged(attribute_pivot(spec, source, table.rows(), run_ts, watermark), checks)
+    table.append(batch)
+    return checked

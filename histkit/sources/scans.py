@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import FAIL
@@ -37,6 +37,21 @@ def scan_json(
     return df.select(document.alias("document"), loaded)
 
 
+def scan_files(spark: SparkSession, path: str, payload: str = PAYLOAD, loaded: str = LOADED) -> DataFrame:
+    """JSON files where they land, as a raw table: (payload, raw_filename, load time) (S3).
+
+    A line is a document, read as a VARIANT without a schema; the file's name and
+    the time it was last changed come with it, and the partition columns of the folder.
+    """
+    files = spark.read.option("singleVariantColumn", payload).json(path)
+    return files.select(
+        payload,
+        F.col("_metadata.file_name").alias("raw_filename"),
+        F.col("_metadata.file_modification_time").alias(loaded),
+        *[c for c in files.columns if c != payload],
+    )
+
+
 def scan_attributes(
     df: DataFrame,
     payload: str = PAYLOAD,

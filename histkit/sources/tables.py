@@ -91,7 +91,8 @@ class HistoryTable:
         done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._columns}/_SUCCESS")
         return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
 
-    def _all(self) -> DataFrame:
+    def all_rows(self) -> DataFrame:
+        """All rows with their period."""
         if not self.exists():
             raise ValueError(f"no table at {self.path}")
         columns = self.spark.read.parquet(self._columns).schema
@@ -99,7 +100,7 @@ class HistoryTable:
 
     def rows(self, since: str | None = None) -> DataFrame:
         """All rows, or those of the periods from a time on (text, in UTC) and without time."""
-        rows = self._all()
+        rows = self.all_rows()
         if since is not None and self.time is not None:
             first = since[: len(GRAINS[self.grain])]
             rows = rows.where(F.col(PERIOD).isNull() | (F.col(PERIOD) >= first))
@@ -139,7 +140,7 @@ class HistoryTable:
         """
         if not self.exists():
             return self.replace(batch)
-        stored = self._all()
+        stored = self.all_rows()
         batch = batch.select(*[c for c in stored.columns if c != PERIOD])
         # as many as the batch has periods
         touched = [r[0] for r in batch.select(self._period(batch).alias(PERIOD)).distinct().collect()]
@@ -167,7 +168,8 @@ class BucketedTable(HistoryTable):
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
-    def _all(self) -> DataFrame:
+    def all_rows(self) -> DataFrame:
+        """All rows with their period."""
         if not self.exists():
             raise ValueError(f"no table {self.name}")
         return self.spark.table(self.name)

@@ -30,7 +30,7 @@ from histkit.plans import (
     read_history,
     replace_keys,
 )
-from histkit.sources import HistoryTable, scan_attributes, scan_json, shared_folder, stage, upsert
+from histkit.sources import HistoryTable, scan_attributes, scan_files, scan_json, shared_folder, stage, upsert
 
 from .common import CUT, NTZ, RUN_TS, Registry, compact_sql, dedupe_sql, hash_sql, key_sql, spread, table
 
@@ -452,3 +452,34 @@ def scan_json_documents(spark, sf):
         json_get(doc, "$.status", "string").alias("status"),
         "raw_inserted_timestamp",
     )
+
+
+@QUERIES.add("""
+    SELECT name, kind, 2 * count(*) AS n_docs, shape FROM orders CROSS JOIN (VALUES ('custkey', 'id', NULL),
+        ('status', 'label', NULL), ('priority', 'str', NULL), ('orderdate', 'ts', NULL), ('total', 'num', NULL),
+        ('detail', 'var', 'OBJECT<a: ARRAY<BIGINT>, z: BIGINT>'), ('absent', 'str', NULL), ('order', 'num', NULL))
+        v(name, kind, shape) GROUP BY name, kind, shape""")
+def infer_nested_fields(spark, sf):
+    """With the types of the members of objects and lists."""
+    return infer_fields(scan_attributes(_attribute_documents(spark, sf)), nested=True)
+
+
+@QUERIES.add("""
+    SELECT event_id, event_type AS status, CAST(props->>'$.k' AS BIGINT) AS k, CAST(ts AS DATE) AS day,
+           true AS is_named, true AS is_timed FROM events""")
+def scan_json_files(spark, sf):
+    """Files of JSON lines where they land, read without a schema."""
+    e, path = table(spark, sf, "events"), shared_folder(spark)
+    inner = F.struct(F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    lines = e.select("event_id", F.col("event_type").alias("status"), inner.alias("inner"), F.to_date("ts").alias("day"))
+    lines.write.partitionBy("day").json(path)
+    raw = scan_files(spark, path)
+    doc = F.col("raw_data")
+    return raw.select(
+        json_get(doc, "$.event_id", "bigint").alias("event_id"),
+        json_get(doc, "$.status", "string").alias("status"),
+        json_get(doc, "$.inner.k", "bigint").alias("k"),
+        "day",
+        F.col("raw_filename").like("part-%.json").alias("is_named"),
+        (F.col("raw_inserted_timestamp") > F.lit("2024-01-01").cast("timestamp")).alias("is_timed"),
+    )
