@@ -10,6 +10,7 @@ from .checks import (
     observed,
 )
 from .children import child_columns, child_list, child_pivot, explode_variant, lateral_left
+from .key_filter import key_filter, may_match, pages_for
 from .pivot import attribute_rows, infer_fields, pivot_attributes, pivot_rows
 from .skew import Cuts, if_small, sampled, stretches, time_cuts
 from .versions import (
@@ -44,9 +45,12 @@ __all__ = [
     "explode_variant",
     "if_small",
     "infer_fields",
+    "key_filter",
     "latest_per_key",
     "lateral_left",
+    "may_match",
     "observed",
+    "pages_for",
     "pivot_attributes",
     "pivot_rows",
     "sampled",

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import zone_free
-from ..operators.skew import if_small
+from ..operators.key_filter import key_filter, may_match, pages_for
+from ..operators.skew import SMALL_ROWS, if_small
 from ..operators.versions import change_history, latest_per_key
 
 TIME, HASH, LOADED = "timestamp_effective", "row_hash", "etl_updated_timestamp"
@@ -21,11 +22,19 @@ def of_keys(target: DataFrame, rows: DataFrame, key: str, n_rows: int) -> DataFr
     """Rows of ``target`` whose key occurs in the ``n_rows`` rows, NULL included. ``rows`` are a staged batch.
 
     The keys of a small batch are broadcast, so that the target is filtered
-    where it is read; those of a large one are joined by shuffle. The join is a plain
-    equality, so a target in buckets of the key stays where it is.
+    where it is read. Those of a large one are joined by shuffle, of the target's rows
+    that pass a broadcast map of the keys' hashes. The join is a plain equality, so a
+    target in buckets of the key stays where it is.
     """
-    keys = if_small(rows.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct(), n_rows)
-    found = target.join(keys, F.col(key) == F.col("_key"), "left_semi")
+    keys = rows.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct()
+    pages = pages_for(n_rows) if n_rows > SMALL_ROWS else None
+    same = F.col(key) == F.col("_key")
+    if pages:
+        near = may_match(target, key, key_filter(rows, key, pages), pages)
+        # an inner join with distinct keys: a semi join would be moved below the filter
+        found = near.join(keys, same).drop("_key")
+    else:
+        found = target.join(if_small(keys, n_rows), same, "left_semi")
     if rows.where(F.col(key).isNull()).isEmpty():
         return found
     return found.unionByName(target.where(F.col(key).isNull()))

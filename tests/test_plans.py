@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from histkit.operators import current_watermark, latest_per_key, watermark_filter, watermark_subquery
+from histkit.operators import current_watermark, latest_per_key, skew, watermark_filter, watermark_subquery
 from histkit.plans import cdc_history, cdc_rows, history
 from histkit.plans.history import HASH, TIME
 from histkit.sources import BucketedTable, stage
@@ -125,6 +125,26 @@ def test_a_target_in_buckets_is_not_shuffled(spark, tmp_path, monkeypatch):
     assert count(text.split("SortMergeJoin")[0], "Exchange") == 0 and "Window" in text
 
 
+def test_a_large_batch_filters_the_target_before_the_shuffle(spark, monkeypatch):
+    """The map of keys is broadcast, and stands between the target's scan and its exchange; rows are the same."""
+    log = change_log(spark, SF)
+    target = stage(cdc_history(LOG_SPEC, log))
+    plain = sorted(cdc_history(LOG_SPEC, log, target).collect())
+    for module in (history, skew):
+        monkeypatch.setattr(module, "SMALL_ROWS", 10)
+    monkeypatch.setattr(history, "if_small", lambda df, n: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = stage(cdc_rows(LOG_SPEC, log).where("id < 20"))
+        text = plan(history.of_keys(target.select("id", TIME, HASH), rows, "id", 1000))
+        found = sorted(cdc_history(LOG_SPEC, log, target).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    path = above(text, r"FileScan[^\n]*ReadSchema: struct<id:bigint,timestamp_effective:timestamp_ntz,row_hash:string>")
+    assert path[-1].startswith("BroadcastHashJoin") and not any("Exchange" in line for line in path)
+    assert "bitmap_construct_agg" in text and found == plain
+
+
 def test_a_watermark_reaches_the_scan(spark):
     raw = stage(change_log(spark, SF).withColumn("_h2_sf_inserted", F.col("_h2_sf_inserted").cast("timestamp")))
     mark = current_watermark(raw, "_h2_sf_inserted")

@@ -10,7 +10,10 @@ from histkit.operators import (
     change_history,
     compact_changes,
     dedupe_versions,
+    key_filter,
     latest_per_key,
+    may_match,
+    pages_for,
     stretches,
     time_cuts,
     union_distinct,
@@ -156,3 +159,16 @@ def test_anti_joins_and_null_keys(spark):
 def test_union_distinct(spark):
     a = frame(spark, [("a", 1, "x", 1), ("a", 1, "x", 1)])
     assert got(union_distinct(a, a)) == [("a", 1, "x", 1)]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_the_key_filter_keeps_all_that_match_and_little_else(spark, kind):
+    df = spark.range(50_000).select(F.when(F.col("id") % 100 != 7, F.col("id")).cast(kind).alias("k"))
+    batch = df.where("CAST(k AS bigint) % 10 = 3").unionByName(df.where("k IS NULL").limit(5))
+    pages = pages_for(batch.count())
+    near = may_match(df, "k", key_filter(batch, "k", pages), pages)
+    keys = {r["k"] for r in near.collect()}
+    assert {r["k"] for r in batch.where("k IS NOT NULL").collect()} <= keys and None not in keys
+    assert len(keys) < 0.25 * 50_000
+    assert may_match(df, "k", key_filter(batch.limit(0), "k", 1), 1).count() == 0
+    assert pages_for(1) == 1 and pages_for(10**8) is None and pages_for(6 * 10**7) * 4096 <= 64 << 20

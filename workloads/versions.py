@@ -13,7 +13,10 @@ from histkit.operators import (
     compact_changes,
     current_watermark,
     dedupe_versions,
+    key_filter,
     latest_per_key,
+    may_match,
+    pages_for,
     union_distinct,
     watermark_filter,
     watermark_subquery,
@@ -247,6 +250,17 @@ def q_anti_versions(spark, sf):
     return anti_versions(e.where(F.col("ts") < CUT), batch, "user_id", "ts")
 
 
+@QUERIES.add("""
+    SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
+def q_key_filter(spark, sf):
+    """Rows with a key of the batch; most others don't reach the join."""
+    batch = stage(table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("key")))
+    lines, pages = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), pages_for(batch.count())
+    near = may_match(lines, "l_orderkey", key_filter(batch, "key", pages), pages)
+    return near.join(batch, F.col("l_orderkey") == F.col("key")).drop("key")
+
+
 @QUERIES.add("""
     SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
     LEFT JOIN (SELECT DISTINCT 2 * c_custkey AS twice, 'F' AS status FROM customer) c
