@@ -2,7 +2,7 @@
 
 from .catalog import SOURCES, Source, read_source
 from .profiles import compare_columns, profile_periods, stored_profile
-from .scans import scan_attributes, scan_cdc, scan_files, scan_json
+from .scans import scan_attributes, scan_cdc, scan_files, scan_json, store_documents
 from .tables import BucketedTable, HistoryTable, merge_into, remove_staged, shared_folder, stage, upsert
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "scan_json",
     "shared_folder",
     "stage",
+    "store_documents",
     "stored_profile",
     "upsert",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ..functions.documents import as_document, field_value, json_get, read_membe
 from ..operators.pivot import FIELD_LIST, HEADER
 
 TIMES = "timestamp_ntz"
+SHREDDING = ("spark.sql.variant.writeShredding.enabled", "spark.sql.variant.inferShreddingSchema")
 PAYLOAD, LOADED = "raw_data", "raw_inserted_timestamp"
 
 
@@ -52,6 +54,30 @@ def scan_files(spark: SparkSession, path: str, payload: str = PAYLOAD, loaded: s
     )
 
 
+@contextmanager
+def _shredding(spark: SparkSession):
+    before = {name: spark.conf.get(name, None) for name in SHREDDING}
+    for name in SHREDDING:
+        spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def store_documents(df: DataFrame, path: str, payload: str = PAYLOAD, on_error: str = FAIL, mode: str = "append") -> None:
+    """Write a raw table of JSON documents with the payload parsed, once and for all.
+
+    Members that most documents of a file have become columns of it, so a scan of the
+    stored table reads the paths that a table description names and skips the rest of
+    the documents. The specs take either form.
+    """
+    document = as_document(F.col(payload), df.schema[payload].dataType, on_error)
+    with _shredding(df.sparkSession):
+        df.withColumn(payload, document).write.mode(mode).parquet(path)
+
+
 def scan_attributes(
     df: DataFrame,
     payload: str = PAYLOAD,

@@ -1,10 +1,10 @@
 """Every registered query against DuckDB, and the plans of what the loads write."""
 
+from importlib import import_module
+
 import pytest
 
 import __spark_entry__ as driver
-from histkit.operators import skew
-from histkit.plans import attributes, cdc, load, snapshots
 from histkit.sources import tables
 from tests.oracle import difference, duck
 from tests.test_plans import assert_no_slow_path, plan
@@ -30,8 +30,8 @@ def staged(monkeypatch):
         texts.append(plan(df))
         return stage(df)
 
-    for module in (tables, skew, cdc, snapshots, attributes, load):
-        monkeypatch.setattr(module, "stage", recorded)
+    for name in ("sources.tables", "operators.skew", "plans.cdc", "plans.snapshots", "plans.attributes", "plans.load"):
+        monkeypatch.setattr(import_module(f"histkit.{name}"), "stage", recorded)
     return texts
 
 

@@ -145,6 +145,15 @@ def test_a_large_batch_filters_the_target_before_the_shuffle(spark, monkeypatch)
     assert "bitmap_construct_agg" in text and found == plain
 
 
+def test_stored_documents_are_read_by_path(spark):
+    """The scan gives the seven members that the description reads, and no document."""
+    text = plan(ALL["json_history_stored_documents"].run(spark, SF))
+    members = ",".join(f"{i}:variant" for i in range(7))
+    assert f"ReadSchema: struct<raw_data:struct<{members}>,raw" in text
+    assert "raw_data:variant" not in text
+    assert spark.conf.get("spark.sql.variant.writeShredding.enabled", None) is None
+
+
 def test_a_watermark_reaches_the_scan(spark):
     raw = stage(change_log(spark, SF).withColumn("_h2_sf_inserted", F.col("_h2_sf_inserted").cast("timestamp")))
     mark = current_watermark(raw, "_h2_sf_inserted")

@@ -30,7 +30,7 @@ from histkit.plans import (
     read_history,
     replace_keys,
 )
-from histkit.sources import HistoryTable, scan_attributes, scan_files, scan_json, shared_folder, stage, upsert
+from histkit.sources import HistoryTable, scan_attributes, scan_files, scan_json, shared_folder, stage, store_documents, upsert
 
 from .common import CUT, NTZ, RUN_TS, Registry, compact_sql, dedupe_sql, hash_sql, key_sql, spread, table
 
@@ -228,6 +228,16 @@ def json_history_full(spark, sf):
     return json_history(SNAPSHOTS, _snapshots(spark, sf), run_ts=RUN_TS)
 
 
+@QUERIES.add(f"""
+    WITH {_SNAPSHOT_ROWS}
+    SELECT {_stamped(RUN_TS)} FROM {compact_sql(dedupe_sql("docs", "entity_id", "loaded") + " d", "entity_id")} h""")
+def json_history_stored_documents(spark, sf):
+    """The same from documents that were parsed when they were stored; only the paths read leave the files."""
+    path = shared_folder(spark)
+    store_documents(_snapshots(spark, sf), path)
+    return json_history(SNAPSHOTS, spark.read.parquet(path), run_ts=RUN_TS)
+
+
 @QUERIES.add(f"""
     WITH {_SNAPSHOT_ROWS}, dated AS (SELECT * FROM docs WHERE timestamp_effective IS NOT NULL)
     SELECT {_stamped(RUN_TS)} FROM {compact_sql(dedupe_sql("dated", "entity_id", "loaded") + " d", "entity_id")} h""")
@@ -454,6 +464,13 @@ def scan_json_documents(spark, sf):
     )
 
 
+@QUERIES.add(f"SELECT * FROM {_ATTRIBUTE_ROWS} p")
+def attribute_pivot_stored_documents(spark, sf):
+    path = shared_folder(spark)
+    store_documents(_attribute_documents(spark, sf), path)
+    return attribute_pivot(ORDERS, spark.read.parquet(path), run_ts=RUN_TS)
+
+
 @QUERIES.add("""
     SELECT name, kind, 2 * count(*) AS n_docs, shape FROM orders CROSS JOIN (VALUES ('custkey', 'id', NULL),
         ('status', 'label', NULL), ('priority', 'str', NULL), ('orderdate', 'ts', NULL), ('total', 'num', NULL),
