@@ -51,7 +51,7 @@ SHARD_WORDS = 150_000
 #: Words of repeats that one owner may bring to a shard.
 OWNER_WORDS = 50_000
 #: Bytes of text whose windows make one bucket, about.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Windows of a bucket that are sorted at a time.
 SORTED = 500_000
 
