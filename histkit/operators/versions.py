@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .skew import BORDER, STRETCH, Cuts, sampled, stretches, task_limit, time_cuts
+from .skew import BORDER, STRETCH, sampled, stretches, task_limit, time_cuts
 
 
 # A column of its own, because an expression would be computed anew for each
