@@ -134,3 +134,24 @@ def test_equal_texts_have_equal_fingerprints(spark):
     docs = frame(spark, [(i, r["text"]) for i, r in enumerate(rows()[:20] * 2)])
     out = docs.select("text", as_text(fingerprint(F.col("text"))).alias("p")).distinct()
     assert out.count() == len({r["text"] for r in rows()[:20]})
+
+
+def test_thousands_of_rows_without_an_id(spark):
+    """They are cut into ranges by text, copies too, and follow each other by text all the same."""
+    items = [(i, f"text {i}") for i in range(50)]
+    items += [(None, f"no id {i:05d}") for i in range(3000)] + [(None, "one text that many have")] * 2000
+    docs = frame(spark, items).select("doc_id", "text").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = ordered._ranges_of_nulls(docs, "doc_id", "text").groupBy("_range").count().collect()
+        assert len(sizes) == 8 and max(r["count"] for r in sizes) < 1500
+        for some in (docs, docs.where("doc_id IS NULL")):
+            got = with_next(some, "doc_id", "text", ["text"]).collect()
+            order = sorted(some.collect(), key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["text"]))
+            follows = sorted((a["text"], b["text"]) for a, b in zip(order, order[1:] + order[:1]))
+            assert sorted((r["text"], r["next_text"]) for r in got) == follows
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
