@@ -387,8 +387,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     routed = keyed.select("doc", _word_hashes(F.col("text")).alias("h")).mapInArrow(
         _router(parts), "bucket int, kind int, data binary"
     )
-    settled = routed.groupBy("bucket").applyInArrow(_settler(parts), "bucket int, kind int, data binary")
-    runs = stage(settled.groupBy("bucket").applyInArrow(_runs, _RUNS))
+    # a task has about one bucket, whatever the session's number of partitions
+    settled = routed.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_settler(parts), "bucket int, kind int, data binary")
+    runs = stage(settled.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_runs, _RUNS))
     n_words = runs.agg(F.sum(F.col("n") + WINDOW - 1)).first()[0]
 
     # owners with many repeats are referred to in several shards
