@@ -87,6 +87,8 @@ def changes(
         stored = of_keys(target.select(*rows.columns), rows, key, n)
         # a key with few new rows may have many stored ones: they are cut together
         return change_history(rows.unionByName(stored), key, TIME, order, HASH, task_rows=task_rows, flag=CHANGED)
+    if CHANGED in target.columns:
+        raise ValueError("the target has all versions: use consistent mode, or its history_of")
     if carry_all:
         stored = target.select([c for c in target.columns if c in rows.columns])
     else:

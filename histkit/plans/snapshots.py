@@ -124,7 +124,8 @@ def json_history(
     if stored is not None:
         if mode != CONSISTENT:
             # when a stored version landed is not kept
-            stored = stored.withColumn(LANDED, F.lit(None).cast(rows.schema[LANDED].dataType)).select(*rows.columns)
+            stored = stored.withColumn(LANDED, F.lit(None).cast(rows.schema[LANDED].dataType))
+            stored = stored.select(*rows.columns, *[c for c in (CHANGED,) if c in stored.columns])
         wide = changes(stage(rows), spec.key, LANDED, stored, mode, carry_all, task_rows=task_rows)
         return finish_snapshots(spec, wide, run_ts)
     # documents are parsed once, and a few of them for the cuts

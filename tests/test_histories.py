@@ -167,6 +167,8 @@ def test_modes_do_not_mix(spark, tmp_path):
         load(SPEC, df, versions)
     with pytest.raises(ValueError):
         cdc_history(SPEC, df, plain.rows(), mode=CONSISTENT)
+    with pytest.raises(ValueError):
+        cdc_history(SPEC, df, versions.rows())
     load(SPEC, df, plain, mode=CONSISTENT, full_refresh=True)
     assert short(read_history(plain)) == short(read_history(versions))
 
