@@ -107,11 +107,13 @@ def compare_columns(a: HistoryTable, column_a: str, b: HistoryTable, column_b: s
     the share ``within`` pass.
     """
 
-    def whole(table: HistoryTable, column: str, name: str) -> DataFrame:
-        own = profile_periods(table).where(F.col("column_name") == column)
-        return own.agg(F.theta_union_agg("sketch", LOG_ENTRIES).alias(name)).withColumn("one", F.lit(1))
+    def side(table: HistoryTable, column: str, name: str) -> DataFrame:
+        return profile_periods(table).where(F.col("column_name") == column).select(F.lit(name).alias("side"), "sketch")
 
-    both = whole(a, column_a, "a").join(whole(b, column_b, "b"), "one")
+    def whole(name: str):
+        return F.theta_union_agg(F.when(F.col("side") == name, F.col("sketch")), LOG_ENTRIES).alias(name)
+
+    both = side(a, column_a, "a").unionByName(side(b, column_b, "b")).agg(whole("a"), whole("b"))
     counts = both.select(
         F.theta_sketch_estimate("a").alias("distinct_a"),
         F.theta_sketch_estimate("b").alias("distinct_b"),
