@@ -251,6 +251,18 @@ def test_inferred_fields_drive_the_pivot(spark):
     assert (row["name"], row["kind"], row["blob"]) == ("z", "L", "[1]")
 
 
+def test_attributes_of_one_kind_keep_their_own_columns(spark):
+    """Values travel in lists by kind: absent, null and repeated names must not move the others."""
+    fields = {"a": "str", "n": "num", "b": "str", "m": "num", "c": "str", "l": "label"}
+    docs = [
+        doc(1, ("c", "3"), ("a", "1"), ("m", 2)),
+        doc(2, ("b", "x"), ("b", "y"), ("n", 7), ("c", None), ("l", {"id": 1, "defaultAttributes": {"Label": "L"}})),
+        doc(3, ("other", "1")),
+    ]
+    out = {r["id"]: tuple(r)[3:] for r in pivot_attributes(scan_attributes(landed(spark, docs)), fields).collect()}
+    assert out == {1: ("1", None, None, 2, "3", None), 2: (None, 7, "y", None, None, "L"), 3: (None,) * 6}
+
+
 def test_names_that_need_quoting(spark):
     fields = {"a b": "str", "group": "str", "x.y": "str"}
     raw = landed(spark, [doc(1, ("a b", "1"), ("group", "2"), ("x.y", "3"))])

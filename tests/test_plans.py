@@ -50,6 +50,12 @@ def test_pivot_shuffles_narrow_rows_and_sorts_once(spark):
     assert text.count("hashpartitioning") == 1 and count(text, "Sort") == 1
 
 
+def test_pivot_reads_its_values_before_the_shuffle(spark):
+    """A document that is a column of a shuffled row is copied whole for each path read from it."""
+    above, below = plan(ALL["model_submittal"].run(spark, SF)).split("Exchange hashpartitioning", 1)
+    assert "variant_get" not in above and "variant_get" in below
+
+
 def test_inferring_fields_sorts_nothing(spark):
     text = plan(ALL["infer_fields"].run(spark, SF))
     assert count(text, "Sort") == 0 and "HashAggregate" in text
