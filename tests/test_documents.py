@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+from importlib import import_module
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from histkit.plans import (
     load,
     read_history,
 )
-from histkit.sources import HistoryTable, scan_attributes
+from histkit.sources import HistoryTable, scan_attributes, tables
 
 SNAP = SnapshotSpec(
     "snap",
@@ -213,6 +214,27 @@ def test_incremental_appends_only_new_content(spark):
     assert sorted((r["id"], r["name"]) for r in new.collect()) == [(1, "y"), (2, "x")]
 
 
+def test_a_batch_of_documents_is_staged_tight_and_wide_rows_once(spark, tmp_path, monkeypatch):
+    """Staged rows are packed by zstd; what the table holds of a batch is staged on two columns, the batch not again."""
+    staged, stage = [], tables.stage
+
+    def recorded(df):
+        staged.append(stage(df))
+        return staged[-1]
+
+    for name in ("attributes", "load"):
+        monkeypatch.setattr(import_module(f"histkit.plans.{name}"), "stage", recorded)
+    table = HistoryTable(spark, str(tmp_path), grain="year")
+    spec = AttributeSpec("t", ("t", "t"), {"name": "str"}, time_type="timestamp_ntz")
+    first = landed(spark, [doc(1, ("name", "a")), doc(2, ("name", "b"))])
+    load(spec, first, table, "2024-01-01 00:00:00")
+    again = first.unionByName(landed(spark, [doc(2, ("name", "b")), doc(3, ("name", "c"))], day=2))
+    load(spec, again, table, "2024-01-02 00:00:00")
+    assert sorted((r["id"], r["name"]) for r in table.rows().collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    assert [len(df.columns) for df in staged] == [5, 2] and staged[1].count() == 2
+    assert all(".zstd." in f for df in (*staged, table.rows()) for f in df.inputFiles())
+
+
 def test_variant_payload(spark):
     raw = landed(spark, [doc(1, ("name", "x"))]).withColumn("raw_data", F.parse_json("raw_data"))
     assert attribute_pivot(SPEC, raw, run_ts="2024-02-01").first()["name"] == "x"
