@@ -56,6 +56,12 @@ def test_pivot_reads_its_values_before_the_shuffle(spark):
     assert "variant_get" not in above and "variant_get" in below
 
 
+def test_attribute_rows_parse_a_document_once_and_shuffle_it_whole(spark):
+    text = plan(ALL["attribute_rows_distinct"].run(spark, SF))
+    assert text.count("hashpartitioning") == 1 and text.index("explode") < text.index("hashpartitioning")
+    assert text.count("Project [from_json(") == text.count("from_json(") == 2
+
+
 def test_inferring_fields_sorts_nothing(spark):
     text = plan(ALL["infer_fields"].run(spark, SF))
     assert count(text, "Sort") == 0 and "HashAggregate" in text
