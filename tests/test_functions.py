@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import re
 from decimal import Decimal
 
 import pytest
@@ -34,6 +36,17 @@ def test_row_hash_sees_moved_separators(spark):
     assert len(set(hashes(spark, [("a:", "b"), ("a", ":b"), ("-", "b"), (None, "b"), ("", "b")], "x string, y string"))) == 5
 
 
+def test_row_hash_of_a_wide_row_is_code_that_the_jvm_compiles(spark, tmp_path):
+    """HotSpot leaves methods of more than 8000 bytes to its interpreter."""
+    path = str(tmp_path / "wide")
+    spark.range(2).select(*[F.concat(F.col("id"), F.lit(i)).alias(f"c{i}") for i in range(56)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = spark._jvm.PythonSQLUtils.explainString(df.select(row_hash(df))._jdf.queryExecution(), "codegen")
+    assert all(int(size) <= 8000 for size in re.findall(r"maxMethodCodeSize:(\d+)", plan))
+    text = ["".join(f"{len(v)}:{v}" for v in (f"{i}{c}" for c in range(56))) for i in (0, 1)]
+    assert {r[0] for r in df.select(row_hash(df)).collect()} == {hashlib.md5(t.encode()).hexdigest() for t in text}
+
+
 def test_row_hash_does_not_depend_on_integer_width_or_zero_sign(spark):
     assert hashes(spark, [(7,)], "a int") == hashes(spark, [(7,)], "a bigint")
     assert len(set(hashes(spark, [(0.0,), (-0.0,)], "a double"))) == 1
