@@ -185,6 +185,16 @@ def test_pivot_reads_every_kind(spark):
     assert (row["when"], row["blob"]) == (dt.datetime(2024, 1, 2, 3, 4, 5), '{"a":[1],"b":1}')
 
 
+def test_pivot_reads_values_at_the_top_in_one_pass(spark):
+    fields = {**{f"Text {i}": "str" for i in range(30)}, "Size s": "num", "when": "ts", "boss": "id"}
+    raw = landed(spark, [doc(1, ("Text 0", 1.5), ("Text 29", {"b": 1, "a": None}), ("Size s", "7"), ("boss", {"id": 3}), ("odd", []))])
+    wide = pivot_attributes(scan_attributes(raw), fields)
+    plan = spark._jvm.PythonSQLUtils.explainString(wide._jdf.queryExecution(), "simple")
+    assert plan.count("variant_get(values") == 2
+    row = wide.collect()[0]
+    assert (row["Text 0"], row["Text 1"], row["Text 29"], row["boss"]) == ("1.5", None, '{"a":null,"b":1}', 3)
+
+
 def test_repeated_names_take_the_largest_value_as_its_type(spark):
     rows = pivoted(spark, [doc(1, ("rank", 9), ("rank", 10), ("name", "b"), ("name", "a"), ("name", None), ("boss", {"id": 3}))])
     assert (int(rows[1]["rank"]), rows[1]["name"], rows[1]["boss"]) == (10, "b", 3)
