@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from histkit.plans import AttributeSpec, load
-from histkit.sources import BucketedTable, HistoryTable, merge_into, read_source, remove_staged, shared_folder, stage, upsert
+from histkit.sources import BucketedTable, HistoryTable, merge_into, read_source, remove_staged, shared_folder, stage, tables, upsert
 from tests.test_documents import SPEC as ATTRIBUTES
 from tests.test_documents import doc, landed
 
@@ -50,6 +50,18 @@ def test_upsert_rewrites_only_the_periods_it_touches(spark, tmp_path):
     assert table.watermark(day=False) == "2024-06-04 00:00:00"
 
 
+def test_an_upsert_stages_keys_and_no_rows(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(tables, "stage", lambda df: staged.append(df.columns) or stage(df))
+    table = HistoryTable(spark, str(tmp_path))
+    table.replace(frame(spark, ("a", 1, 1, 1), ("b", 1, 1, 1), (None, 1, 1, 1)))
+    table.upsert(stage(frame(spark, ("b", 2, 1, 3), ("d", 2, 2, 3), (None, 2, 1, 3))), "k")
+    assert staged == [["k"]]
+    rows = table.rows()
+    assert short(rows.where("k IS NOT NULL")) == [("a", 1), ("b", 2), ("d", 2)]
+    assert sorted(r["v"] for r in rows.where("k IS NULL").collect()) == [1, 2]
+
+
 def test_append_and_column_order(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path))
     table.append(frame(spark, ("a", 1, 1, 1)))
