@@ -34,10 +34,10 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -53,6 +53,8 @@ PERCENTILE = 0.9
 MAGIC = b"PFORIDS1"
 #: Blocks packed or unpacked at a time.
 CHUNK = 4_096
+#: Texts encoded at a time, and their bytes, about.
+TEXTS, TEXT_BYTES = 1_024, 4 << 20
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 800_000
 #: Marks at the end of a word of letters are tokens apart from it, so words with and without share ids.
@@ -305,39 +307,55 @@ class WordEncoder:
             )
         return [of_odd[w] for w in words]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        # a batch makes no cycles, but so many lists and pairs that looking for some takes a tenth of the time
+        # a batch makes no cycles, but so many strings that looking for some takes a tenth of the time
         gc.disable()
         try:
-            return self._encode(texts)
+            return self._encode(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        kept, get = self.kept, self.kept.get
-        split = [text.split(" ") for text in texts]
-        # each word is looked up once for all these texts
-        known = dict.fromkeys(chain.from_iterable(split))
-        names = list(known)
-        ids = list(map(get, names))
-        unseen = [names[i] for i in _places(ids, None)]
-        known = dict(zip(names, ids, strict=True))
-        known.update(self._unseen(unseen))
+    def _encode(self, texts: pa.Array) -> list[bytes]:
+        if not len(texts):
+            return []
+        # words are split, told apart and put together again as columns: Python meets each once for all these texts
+        split = pc.split_pattern(texts, " ")
+        known = split.flatten().dictionary_encode()
+        names = known.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places, ends = known.indices.to_numpy(), split.offsets.to_numpy().astype(np.int64)
+        ends = ends - ends[0]
+        ids = list(map(self.kept.get, names))
+        at_unseen = _places(ids, None)
+        unseen = [names[at] for at in at_unseen]
+        found = self._unseen(unseen)
+        for at, word in zip(at_unseen, unseen, strict=True):
+            ids[at] = found[word]
+        strings = texts.to_numpy(zero_copy_only=False).tolist()
         # words that begin with white space, and empty ones, are never kept
-        blank = {w for w in unseen if not w or w[0].isspace()}
+        blank = [at for at, w in zip(at_unseen, unseen, strict=True) if not w or w[0].isspace()]
+        has_blank = np.zeros(len(texts), bool)
+        if blank:
+            is_blank = np.zeros(len(names), bool)
+            is_blank[blank] = True
+            has_blank = np.logical_or.reduceat(is_blank[places], ends[:-1])
+        # the first word has no space before it, unless the text begins with one
+        firsts = places[ends[:-1]].tolist()
+        places = places.copy()
+        places[ends[:-1]] = np.arange(len(ids), len(ids) + len(firsts))
+        ids += [self._first(names[at]) for at in firsts]
+        taken = pa.array(ids, pa.large_binary()).take(pa.array(places))
+        starts = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1][ends].tolist()
+        data = memoryview(taken.buffers()[2] or b"")
         out: list[bytes | None] = []
-        for text, words in zip(texts, split, strict=True):
-            unsafe = blank and not blank.isdisjoint(words) and _UNSAFE.search(text)
+        for text, look, start, end in zip(strings, has_blank.tolist(), starts, starts[1:], strict=False):
+            unsafe = look and _UNSAFE.search(text)
             if not text or unsafe or any(s in text for s in self.special):
                 out.append(None)
             else:
-                # the first word has no space before it, unless the text begins with one
-                words[0] = self._first(words[0])
-                words[1:] = map(known.__getitem__, words[1:])
-                out.append(b"".join(words))
+                out.append(bytes(data[start:end]))
         whole = [at for at, ids in enumerate(out) if ids is None]
-        for at, ids in zip(whole, self._ids([texts[at] for at in whole]), strict=True):
+        for at, ids in zip(whole, self._ids([strings[at] for at in whole]), strict=True):
             out[at] = ids
         return out
 
@@ -411,15 +429,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, folder:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, path, least, known, docs_n = None, None, None, True, 0
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for at in range(0, len(keys), 256):
-                part = batch.column(1).slice(at, 256).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            step = max(1, min(TEXTS, len(texts) * TEXT_BYTES // max(1, texts.nbytes)))
+            for at in range(0, len(keys), step):
+                part = texts.slice(at, step)
                 if out is None:
                     fs, base = _open(folder)
                     fs.create_dir(base, recursive=True)
                     name = f"ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.pfor"
                     path, out = f"{folder}/{name}", TokenFile(fs.open_output_stream(f"{base}/{name}"))
-                for key, ids in zip(keys[at : at + 256], encoder(tokenizer).encode(part), strict=True):
+                for key, ids in zip(keys[at : at + step], encoder(tokenizer).encode(part), strict=True):
                     known = known and key is not None
                     least = key if least is None else least
                     docs_n += 1

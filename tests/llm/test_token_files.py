@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -78,6 +79,14 @@ def test_words_encode_as_whole_texts(text):
 ENCODER = WordEncoder(PATH)
 
 
+def test_columns_of_texts_encode_as_whole_texts():
+    texts = ["to be or not to be", "", " or not", "be  to", "be\n or\nnot", "not", "été. \tété", "<|endoftext|> to be"]
+    column = pa.array(["cut off", *texts, "too"]).slice(1, len(texts))
+    whole = [Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in ENCODER.encode(column)] == whole
+    assert ENCODER.encode(column.slice(0, 0)) == []
+
+
 def brute(texts):
     """(doc_id, start, n_tokens, crc) from the library, in id order."""
     tokenizer, at, out = Tokenizer.from_file(PATH), 0, []
