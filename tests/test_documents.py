@@ -14,6 +14,7 @@ from histkit.operators import (
     explode_variant,
     infer_fields,
     lateral_left,
+    pivot,
     pivot_attributes,
 )
 from histkit.plans import (
@@ -295,6 +296,43 @@ def test_attributes_of_one_kind_keep_their_own_columns(spark):
     assert out == {1: ("1", None, None, 2, "3", None), 2: (None, 7, "y", None, None, "L"), 3: (None,) * 6}
 
 
+def test_many_fields_are_read_in_place_with_the_same_rows(spark, monkeypatch):
+    """Also of repeated, absent, nameless and null attributes, and of two names with one CRC-32."""
+    kinds = {"name": "str", "rank": "num", "boss": "id", "kind": "label", "when": "ts", "blob": "var", "plumless": "str", "a b.c": "str"}
+    fields = {**kinds, **{f"field{i}": "str" for i in range(120)}}
+    label = {"id": 1, "defaultAttributes": {"Label": "L"}}
+    docs = [
+        doc(1, ("blob", {"b": 1, "a": [1]}), ("name", 1.50), ("when", "2024-01-02T03:04:05"), ("kind", label), ("boss", {"id": 7}), ("other", 3)),
+        doc(2, ("rank", 9), ("rank", 10), ("name", None), ("name", "a"), ("name", "b"), (None, "x"), ("kind", "L")),
+        doc(3, ("buckeroo", "x"), ("field7", {"b": 1, "a": None})),
+        doc(4, ("buckeroo", "x"), ("plumless", "y"), ("a b.c", "z")),
+        doc(5, (None, "x"), (None, "y")),
+        doc(6, (None, "x")),
+        doc(7),
+        doc(8, fields=None),
+        {**doc(9), "fields": [{"name": "name"}, {"value": "x"}, {"name": "rank", "value": 2.5}]},
+        doc(1, ("name", "later"), ("blob", None), updated="2024-01-02T00:00:00"),
+        doc(1, ("name", "2"), ("field119", True)),
+    ]
+    documents = scan_attributes(landed(spark, docs))
+    wide = pivot_attributes(documents, fields)
+    assert "to_variant_object" not in spark._jvm.PythonSQLUtils.explainString(wide._jdf.queryExecution(), "extended")
+    rows = {(r["id"], r["lastUpdated"].day): r for r in wide.collect()}
+    assert (rows[1, 1]["name"], rows[1, 1]["boss"], rows[1, 1]["kind"], rows[1, 1]["blob"]) == ("2", 7, "L", '{"a":[1],"b":1}')
+    assert (rows[2, 1]["name"], int(rows[2, 1]["rank"]), rows[2, 1]["kind"]) == ("b", 10, None)
+    assert (rows[3, 1]["plumless"], rows[4, 1]["plumless"], rows[4, 1]["a b.c"]) == (None, "y", "z")
+    assert sorted(i for i, _ in rows) == [1, 1, 2, 3, 4, 5, 6, 9]
+    monkeypatch.setattr(pivot, "LOOKED_UP", 1000)
+    assert sorted(pivot_attributes(documents, fields).collect(), key=repr) == sorted(wide.collect(), key=repr)
+
+
+def test_bad_values_of_many_fields_raise_or_give_null(spark, monkeypatch):
+    monkeypatch.setattr(pivot, "LOOKED_UP", 0)
+    test_bad_values_raise_or_give_null(spark)
+    test_header_times_in_the_fields_format(spark)
+    test_variant_payload(spark)
+
+
 def test_names_that_need_quoting(spark):
     fields = {"a b": "str", "group": "str", "x.y": "str"}
     raw = landed(spark, [doc(1, ("a b", "1"), ("group", "2"), ("x.y", "3"))])
